@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.time import duration_us
 from .sequence import running_sum, time_bucket
+from .windows import window_starts
 
 
 def _tumble(ts_col: str, size_us: int) -> tuple[Column, Column]:
@@ -85,13 +86,8 @@ def approx_unique_visitors(df: DataFrame, user_col: str = "user_id", ts_col: str
     if size_us == slide_us:
         win = panes.select(F.col("_p").alias("_ws"), "_sk")
     else:
-        first_end = F.col("_p") + F.lit(pane_us)
-        first_end = first_end + F.pmod(F.lit(slide_us) - F.pmod(first_end, F.lit(slide_us)), F.lit(slide_us))
-        last_end = F.col("_p") + F.lit(size_us)
-        last_end = last_end - F.pmod(last_end, F.lit(slide_us))
-        win = (panes.select(F.explode(F.sequence(first_end, last_end, F.lit(slide_us))).alias("_we"), "_sk")
-               .groupBy("_we").agg(F.hll_union_agg("_sk").alias("_sk"))
-               .select((F.col("_we") - F.lit(size_us)).alias("_ws"), "_sk"))
+        win = (panes.select(F.explode(window_starts(F.col("_p"), pane_us, size_us, slide_us)).alias("_ws"), "_sk")
+               .groupBy("_ws").agg(F.hll_union_agg("_sk").alias("_sk")))
     return win.select(F.expr("_ws div 1000").alias("window_start"),
                       F.expr(f"(_ws + {size_us}L) div 1000").alias("window_end"),
                       F.hll_sketch_estimate("_sk").alias(out))

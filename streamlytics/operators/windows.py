@@ -40,10 +40,24 @@ def pane_partials(df: DataFrame, keys, ts_col: str, pane_us: int,
     return df.groupBy(*k, pane.alias("_pane")).agg(*[a.alias(n) for n, a in aggs.items()])
 
 
+def window_starts(pane_start: Column, pane_us: int, size_us: int, slide_us: int) -> Column:
+    """Starts (epoch µs) of all windows ``[s, s + size)``, ``s`` a multiple of
+    ``slide``, that contain the pane ``[pane_start, pane_start + pane_us)``:
+    ``pane_start + pane_us - size <= s <= pane_start``. Empty when the pane falls
+    in a gap (size < slide)."""
+    slide = F.lit(slide_us)
+    last = pane_start - F.pmod(pane_start, slide)
+    lo = pane_start + F.lit(pane_us - size_us)
+    first = lo + F.pmod(slide - F.pmod(lo, slide), slide)
+    return F.when(first <= last, F.sequence(first, last, slide)).otherwise(
+        F.array().cast("array<bigint>"))
+
+
 def window_agg(df: DataFrame, keys, ts_col: str, size: str | int, slide: str | int | None = None,
                aggs: dict[str, Column] | None = None,
                merge: dict[str, str] | None = None) -> DataFrame:
-    """Windowed aggregate per key with the window bounds attached.
+    """Windowed aggregate per key with the window bounds attached (windows start at
+    multiples of ``slide``, as ``F.window`` and the reference framework do).
 
     ``aggs`` maps output names to *mergeable* aggregate columns (default
     ``cnt = count(*)``); ``merge`` says how partials combine (``sum`` by default;
@@ -63,18 +77,11 @@ def window_agg(df: DataFrame, keys, ts_col: str, size: str | int, slide: str | i
         # Tumbling: one window per pane, no fan-out, a single aggregation.
         out = parts.select(*k, (F.col("_pane") * F.lit(size_us)).alias("_ws"), *aggs.keys())
     else:
-        # Window ends e (multiples of slide) with e - size <= pane_start and pane_end <= e.
-        p0 = F.col("_pane") * F.lit(pane_us)
-        first_end = p0 + F.lit(pane_us)
-        first_end = first_end + F.pmod(F.lit(slide_us) - F.pmod(first_end, F.lit(slide_us)), F.lit(slide_us))
-        last_end = p0 + F.lit(size_us)
-        last_end = last_end - F.pmod(last_end, F.lit(slide_us))
-        ends = F.sequence(first_end, last_end, F.lit(slide_us))
-        exploded = parts.select(*k, F.explode(ends).alias("_we"), *aggs.keys())
+        exploded = parts.select(*k, F.explode(window_starts(F.col("_pane") * F.lit(pane_us), pane_us,
+                                                            size_us, slide_us)).alias("_ws"), *aggs.keys())
         fns = {"sum": F.sum, "max": F.max, "min": F.min}
-        out = (exploded.groupBy(*k, "_we")
-               .agg(*[fns[merge.get(n, "sum")](n).alias(n) for n in aggs])
-               .select(*k, (F.col("_we") - F.lit(size_us)).alias("_ws"), *aggs.keys()))
+        out = (exploded.groupBy(*k, "_ws")
+               .agg(*[fns[merge.get(n, "sum")](n).alias(n) for n in aggs]))
     return out.select(*k, F.expr("_ws div 1000").alias("window_start"),
                       F.expr(f"(_ws + {size_us}L) div 1000").alias("window_end"),
                       *aggs.keys())

@@ -52,3 +52,12 @@ def decode_records(df: DataFrame, kind: str, value_col: str = "value") -> DataFr
     keep = [c for c in df.columns if c != value_col]
     out = df.select(*keep, parsed.alias("_r")).select(*keep, "_r.*")
     return _finish(out, kind)
+
+
+def records_from_lines(spark: SparkSession, lines: list[str] | str, kind: str) -> DataFrame:
+    """Small in-memory input (tests, examples): CSV lines -> typed records with
+    ``seq`` = line position. Not for large data: the lines pass through the driver."""
+    if isinstance(lines, str):
+        lines = [ln for ln in lines.splitlines() if ln.strip()]
+    raw = spark.createDataFrame([(i, ln) for i, ln in enumerate(lines)], "seq BIGINT, value STRING")
+    return decode_records(raw, kind)
