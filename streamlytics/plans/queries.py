@@ -284,3 +284,7 @@ def tx_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tx_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Matched pairs plus unmatched purchases and clicks, tagged."""
     return jobs.tx_match(_pays(spark, sf_dir), _receipts(spark, sf_dir), "key", "-1 hour", "1 hour")
+
+
+# streaming twins register themselves into the same tables
+from . import stream_queries  # noqa: E402,F401

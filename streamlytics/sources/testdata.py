@@ -30,11 +30,18 @@ URL_SUFFIXES = [".css", ".js", ".html", ".json", ""]
 PAY_CHANNELS = ["wechat", "alipay"]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def events(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, stream: bool = False) -> DataFrame:
+    """A driver table; ``stream=True`` reads it as a file stream (new files of the
+    table's folder/pattern arrive as micro-batches)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if not stream:
+        return spark.read.parquet(path)
+    schema = spark.read.parquet(path).schema
+    # A glob (not a plain file path) lets the file-stream source list the table.
+    return spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/{name}.parq[u]et")
+
+
+def events(spark: SparkSession, sf_dir: str, where=None, stream: bool = False) -> DataFrame:
     """``events`` with ``ts_us`` (epoch µs), ``seq`` (arrival) and ``k`` (props item).
 
     ``where`` is an optional predicate on the raw columns, applied before any
@@ -43,7 +50,7 @@ def events(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
     """
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    df = table(spark, sf_dir, "events")
+    df = table(spark, sf_dir, "events", stream)
     if where is not None:
         df = df.filter(where)
     ts_type = df.schema["ts"].dataType
@@ -67,18 +74,18 @@ def _pick(values: list, idx) -> "F.Column":
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx % len(values)).cast("int") + 1)
 
 
-def user_behavior(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
+def user_behavior(spark: SparkSession, sf_dir: str, where=None, stream: bool = False) -> DataFrame:
     """UserBehavior records: user_id, item_id, category_id, behavior, ts_us, seq."""
-    e = events(spark, sf_dir, where)
+    e = events(spark, sf_dir, where, stream)
     return e.select(
         "user_id", F.col("k").alias("item_id"), (F.col("k") % 10).cast("int").alias("category_id"),
         _map("event_type", BEHAVIOR_OF_EVENT).alias("behavior"), "ts_us", "seq")
 
 
-def access_log_lines(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
+def access_log_lines(spark: SparkSession, sf_dir: str, where=None, stream: bool = False) -> DataFrame:
     """Web access-log text lines (``value``), space separated like a server log:
     ``ip - user dd/MM/yyyy:HH:mm:ss +0000 METHOD url``."""
-    e = events(spark, sf_dir, where)
+    e = events(spark, sf_dir, where, stream)
     ip = F.format_string("10.%d.%d.%d", (F.col("user_id") / 65536).cast("bigint") % 256,
                          (F.col("user_id") / 256).cast("bigint") % 256, F.col("user_id") % 256)
     when = F.date_format(epoch_ms_to_ntz(F.floor(F.col("ts_us") / 1000)), LOG_TIME_FORMAT)
@@ -89,14 +96,14 @@ def access_log_lines(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
     return e.select(line.alias("value"), "seq")
 
 
-def ad_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ad_clicks(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """AdClickLog records: user_id, ad_id, province (region), city (nation), ts_us, seq.
 
     ``nation`` (25 rows) and ``region`` (5 rows) are fixed-size dimensions and are
     broadcast explicitly; ``customer`` grows with the data and is joined by the
     planner's size-checked choice (broadcast below the threshold, else shuffle).
     """
-    e = events(spark, sf_dir).filter(F.col("event_type") == "click")
+    e = events(spark, sf_dir, None, stream).filter(F.col("event_type") == "click")
     geo = (table(spark, sf_dir, "nation")
            .join(F.broadcast(table(spark, sf_dir, "region")),
                  F.col("n_regionkey") == F.col("r_regionkey"))
@@ -108,38 +115,38 @@ def ad_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("user_id", F.col("k").alias("ad_id"), "province", "city", "ts_us", "seq"))
 
 
-def marketing_events(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
+def marketing_events(spark: SparkSession, sf_dir: str, where=None, stream: bool = False) -> DataFrame:
     """MarketingUserBehavior records: user_id, behavior, channel, ts_us, seq."""
-    e = events(spark, sf_dir, where)
+    e = events(spark, sf_dir, where, stream)
     return e.select("user_id", _map("event_type", MARKETING_OF_EVENT).alias("behavior"),
                     _pick(CHANNELS, F.col("k")).alias("channel"), "ts_us", "seq")
 
 
-def login_events(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
+def login_events(spark: SparkSession, sf_dir: str, where=None, stream: bool = False) -> DataFrame:
     """LoginEvent records: user_id, ip, event_type ('fail' for error, else 'success'), ts_us, seq."""
-    e = events(spark, sf_dir, where)
+    e = events(spark, sf_dir, where, stream)
     return e.select("user_id", F.format_string("10.0.%d.%d", F.col("k"), F.col("user_id") % 256).alias("ip"),
                     F.when(F.col("event_type") == "error", "fail").otherwise("success").alias("event_type"),
                     "ts_us", "seq")
 
 
-def order_events(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
+def order_events(spark: SparkSession, sf_dir: str, where=None, stream: bool = False) -> DataFrame:
     """OrderEvent records keyed by user: signup = create, purchase = pay (tx 'tx<event_id>')."""
-    e = events(spark, sf_dir, where)
+    e = events(spark, sf_dir, where, stream)
     et = (F.when(F.col("event_type") == "signup", "create")
           .when(F.col("event_type") == "purchase", "pay").otherwise(F.col("event_type")))
     tx = F.when(F.col("event_type") == "purchase", F.concat(F.lit("tx"), F.col("event_id").cast("string")))
     return e.select(F.col("user_id").alias("order_id"), et.alias("event_type"), tx.alias("tx_id"), "ts_us", "seq")
 
 
-def pay_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pay_events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """Pays for reconciliation: purchases keyed by user (the shared key of both streams)."""
-    e = events(spark, sf_dir).filter(F.col("event_type") == "purchase")
+    e = events(spark, sf_dir, None, stream).filter(F.col("event_type") == "purchase")
     return e.select(F.col("user_id").alias("key"), F.col("event_id").alias("pay_id"), "ts_us")
 
 
-def receipt_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def receipt_events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """Receipts for reconciliation: clicks keyed by user, channel by k % 2."""
-    e = events(spark, sf_dir).filter(F.col("event_type") == "click")
+    e = events(spark, sf_dir, None, stream).filter(F.col("event_type") == "click")
     return e.select(F.col("user_id").alias("key"), F.col("event_id").alias("receipt_id"),
                     _pick(PAY_CHANNELS, F.col("k")).alias("pay_channel"), "ts_us")
