@@ -99,17 +99,19 @@ def access_log_lines(spark: SparkSession, sf_dir: str, where=None, stream: bool
 def ad_clicks(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """AdClickLog records: user_id, ad_id, province (region), city (nation), ts_us, seq.
 
-    ``nation`` (25 rows) and ``region`` (5 rows) are fixed-size dimensions and are
-    broadcast explicitly; ``customer`` grows with the data and is joined by the
-    planner's size-checked choice (broadcast below the threshold, else shuffle).
+    ``nation`` and ``region`` are broadcast after a row-count check
+    (``bounded_broadcast``); ``customer`` grows with the data and is joined by the
+    planner's size-checked choice (broadcast below the threshold, else a shuffle
+    join that AQE splits if a user is hot).
     """
+    from ..operators.dims import bounded_broadcast
     e = events(spark, sf_dir, None, stream).filter(F.col("event_type") == "click")
     geo = (table(spark, sf_dir, "nation")
-           .join(F.broadcast(table(spark, sf_dir, "region")),
+           .join(bounded_broadcast(table(spark, sf_dir, "region")),
                  F.col("n_regionkey") == F.col("r_regionkey"))
            .select("n_nationkey", F.col("n_name").alias("city"), F.col("r_name").alias("province")))
     cust = (table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-            .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(bounded_broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
             .select("c_custkey", "province", "city"))
     return (e.join(cust, e.user_id == cust.c_custkey)
             .select("user_id", F.col("k").alias("ad_id"), "province", "city", "ts_us", "seq"))
