@@ -12,9 +12,10 @@ along the order, e.g. ``ts div 1 hour`` or ``seq div 1M``):
    per (key, bucket), ordered by a window over its buckets (bounded by the time
    span, not by the data volume), and is joined back on (key, bucket).
 
-The window of step 1 already hash-partitions rows by (key, bucket); the
-aggregate of step 2 and the join-back reuse that partitioning, so raw rows are
-shuffled once.
+Raw rows are shuffled once (by (key, bucket), for the window of step 1); the
+per-bucket table of step 2 is a partial aggregate (one row per key, bucket and
+map task crosses the network), and the join-back reuses the window's partitioning
+(or broadcasts the small table when the planner sees it is small).
 """
 
 from __future__ import annotations
@@ -64,15 +65,18 @@ def with_neighbor(df: DataFrame, keys, order: Sequence[str], bucket: Column, col
     desc = [F.col(c).desc() for c in order]
     inb = W.partitionBy(*keys, "_b")
     if where is None:
-        near = (F.lead if fwd else F.lag)("_s", 1).over(inb.orderBy(*asc))
+        spec = inb.orderBy(*asc)
+        near = (F.lead if fwd else F.lag)("_s", 1).over(spec)
     else:
         # Nearest qualifying row strictly after (before) the current one: walk the
         # bucket in the opposite direction with a growing frame (linear, not quadratic).
-        frame = inb.orderBy(*(desc if fwd else asc)).rowsBetween(W.unboundedPreceding, -1)
-        near = F.last("_s", ignorenulls=True).over(frame)
-    d = d.withColumn("_in", near)
-    # First (last) qualifying row of each bucket, then carried to the buckets before (after) it.
+        spec = inb.orderBy(*(desc if fwd else asc))
+        near = F.last("_s", ignorenulls=True).over(spec.rowsBetween(W.unboundedPreceding, -1))
+    # First (last) qualifying row of each bucket: a partial aggregate, so only one
+    # row per (key, bucket, map task) is shuffled for it.
     per = d.groupBy(*keys, "_b").agg((F.min if fwd else F.max)("_s").alias("_edge"))
+    d = d.withColumn("_in", near)
+    # ... carried to the buckets before (after) it: one row per (key, bucket).
     carry = W.partitionBy(*keys).orderBy(F.col("_b").desc() if fwd else F.col("_b").asc()) \
         .rowsBetween(W.unboundedPreceding, -1)
     per = per.select(*keys, "_b", F.last("_edge", ignorenulls=True).over(carry).alias("_out"))
@@ -89,8 +93,8 @@ def running_sum(df: DataFrame, keys, order: Sequence[str], bucket: Column, value
     d = df.withColumn("_b", bucket)
     inb = W.partitionBy(*keys, "_b").orderBy(*[F.col(c).asc() for c in order]) \
         .rowsBetween(W.unboundedPreceding, W.currentRow)
+    per = d.groupBy(*keys, "_b").agg(F.sum(value).alias("_tot"))   # partial aggregate
     d = d.withColumn("_run", F.sum(value).over(inb))
-    per = d.groupBy(*keys, "_b").agg(F.sum(value).alias("_tot"))
     before = W.partitionBy(*keys).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
     per = per.select(*keys, "_b", F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"))
     d = d.join(per, [*keys, "_b"], "left")
