@@ -34,10 +34,11 @@ def top_n_by_count(counts: DataFrame, key: str, n: int, window_col: str = "windo
 
 
 # The text of the reference's ranking blocks (K3).
-ITEM_REPORT = {"time": "时间：", "line": "No{rank}: 商品ID={key} 浏览量={cnt}",
-               "rule": "================================"}
-URL_REPORT = {"time": "时间：", "line": "NO{rank}: URL={key} 流量={cnt}",
-              "rule": "============================="}
+ITEM_REPORT = {"head": None, "time": "时间：", "line": "No{rank}: 商品ID={key} 浏览量={cnt}",
+               "rule": "================================", "tail": ""}
+URL_REPORT = {"head": "=================================", "time": "时间：",
+              "line": "NO{rank}: URL={key} 流量={cnt}", "rule": "=============================",
+              "tail": "\n\n"}
 
 
 def render_ranking(ranked: DataFrame, key: str, labels: dict = ITEM_REPORT,
@@ -53,9 +54,9 @@ def render_ranking(ranked: DataFrame, key: str, labels: dict = ITEM_REPORT,
     line = F.concat(F.lit(pre), F.col("rank").cast("string"), F.lit(key_lbl),
                     F.col(key).cast("string"), F.lit(cnt_lbl), F.col(count_col).cast("string"))
     lines = F.array_sort(F.collect_list(F.struct(F.col("rank"), line.alias("l"))))
+    head = [F.lit(labels["head"])] if labels.get("head") else []
+    body = F.concat_ws("\n", *head, F.concat(F.lit(labels["time"]), format_sql_time(F.col(window_col))),
+                       F.concat_ws("\n", F.transform("_ls", lambda s: s["l"])), F.lit(labels["rule"]))
     return (ranked.groupBy(window_col)
             .agg(lines.alias("_ls"))
-            .select(window_col, F.concat_ws(
-                "\n", F.concat(F.lit(labels["time"]), format_sql_time(F.col(window_col))),
-                F.concat_ws("\n", F.transform("_ls", lambda s: s["l"])),
-                F.lit(labels["rule"])).alias("report")))
+            .select(window_col, F.concat(body, F.lit(labels.get("tail") or "")).alias("report")))

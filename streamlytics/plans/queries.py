@@ -69,12 +69,26 @@ PAGES = (f"SELECT url, ts_ms * 1000 AS ts_us FROM ({O.ACCESS_LOG}) "
          f"WHERE NOT regexp_matches(url, '\\.(css|js)$')")
 
 
-@register("hot_urls_topn", O.topn(O.sliding(PAGES, ["url"], 10 * MIN, 5 * S), "url", 5))
+HOT_URLS_SQL = O.topn(O.sliding(PAGES, ["url"], 10 * MIN, 5 * S), "url", 5)
+
+
+@register("hot_urls_topn", HOT_URLS_SQL)
 def hot_urls_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top 5 URLs per 10 min window sliding by 5 s."""
     return jobs.hot_urls(parse_access_log(td.access_log_lines(spark, sf_dir)))
 
 
+@register("hot_urls_report", (
+    f"SELECT window_end, '=================================' || chr(10) || '时间：' "
+    f"|| strftime(epoch_ms(window_end), '%Y-%m-%d %H:%M:%S') || '.0' || chr(10) "
+    f"|| string_agg('NO' || rank || ': URL=' || url || ' 流量=' || cnt, chr(10) ORDER BY rank) "
+    f"|| chr(10) || '=============================' || chr(10) || chr(10) AS report "
+    f"FROM ({HOT_URLS_SQL}) t GROUP BY window_end"))
+def hot_urls_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: the URL ranking rendered as the reference's text block per window."""
+    return jobs.hot_urls_report(hot_urls_topn(spark, sf_dir))
+
+
 # ------------------------------------------------------------------ page views / uv
 @register("page_views_hourly", (
     f"SELECT (ts_us // {H}) * {H // 1000} AS window_start, (ts_us // {H} + 1) * {H // 1000} AS window_end, "

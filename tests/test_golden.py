@@ -100,3 +100,16 @@ def test_ad_count_without_outliers(spark):
     out = jobs.ad_count_by_province(clicks)
     assert out.count() == 5976
     assert out.agg(F.sum("cnt")).first()[0] == 141 * 720
+
+
+def test_ranking_text_blocks(spark):
+    # two items in the window ending 1511661720 s; the rendering follows the reference's text
+    ranked = spark.createDataFrame([(1511661720_000, 1, 1715, 121), (1511661720_000, 2, 36156, 2)],
+                                   "window_end BIGINT, rank BIGINT, item_id BIGINT, cnt BIGINT")
+    (txt,) = jobs.hot_items_report(ranked).select("report").first()
+    assert txt == ("时间：2017-11-26 02:02:00.0\nNo1: 商品ID=1715 浏览量=121\nNo2: 商品ID=36156 浏览量=2\n"
+                   "================================")
+    urls = ranked.withColumnRenamed("item_id", "url").withColumn("url", F.concat(F.lit("/p/"), F.col("url")))
+    (txt,) = jobs.hot_urls_report(urls).select("report").first()
+    assert txt == ("=================================\n时间：2017-11-26 02:02:00.0\nNO1: URL=/p/1715 流量=121\n"
+                   "NO2: URL=/p/36156 流量=2\n=============================\n\n")
