@@ -58,16 +58,19 @@ def run_available_now(df: DataFrame, name: str, mode: str = "append",
         fn = foreach or (lambda b: b)
 
         def sink(batch: DataFrame, epoch_id: int) -> None:
-            fn(batch).write.mode("append").parquet(out)
+            # foreachBatch is at-least-once: a retried epoch overwrites its own
+            # folder instead of appending a second copy.
+            fn(batch).write.mode("overwrite").parquet(f"{out}/epoch={epoch_id}")
         q = w.foreachBatch(sink).start()
     q.awaitTermination()
     schema = (foreach(df.sparkSession.createDataFrame([], df.schema)) if foreach else df).schema
-    return _read_or_empty(spark, out, schema)
+    res = _read_or_empty(spark, out, schema)
+    return res.drop("epoch") if "epoch" in res.columns else res
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.parquet(path).select(*schema.fieldNames())
     except Exception:  # nothing was written: no closed window yet
         return spark.createDataFrame([], schema)
 
