@@ -113,3 +113,25 @@ def stream_order_pay_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = td.order_events(spark, sf_dir, where=F.col("event_type").isin("signup", "purchase"), stream=True)
     o = with_event_time(o.withColumn("day", F.expr(f"ts_us div {D}L")), "ts_us", "0 seconds")
     return run_available_now(ST.stream_order_outcomes(o, ("order_id", "day"), within="4 hours"), "order_outcomes")
+
+
+def _wm_us(src: str, delay_ms: int = 0) -> str:
+    """The final watermark of a stream over ``src`` in µs (Spark keeps it in ms)."""
+    return f"((SELECT max(ts_us) // 1000 FROM ({src}) s) - {delay_ms}) * 1000"
+
+
+@register("stream_login_fail_strict", (
+    f"SELECT * FROM ({_BATCH_SQL['login_fail_strict']}) q WHERE last_us <= {_wm_us(O.LOGIN, 5000)}"))
+def stream_login_fail_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 on a stream: rows buffered until the watermark (5 s delay), matched in event-time order."""
+    lg = with_event_time(td.login_events(spark, sf_dir, stream=True), "ts_us", "5 seconds")
+    return run_available_now(ST.stream_strict_pair(lg, within="1 hour"), "login_strict")
+
+
+@register("stream_order_pay_timeout", (
+    f"SELECT * FROM ({_BATCH_SQL['order_pay_timeout']}) q WHERE (output = 'matched' AND end_us <= {_wm_us(O.ORDERS)}) "
+    f"OR (output = 'timeout' AND start_us + {D} <= {_wm_us(O.ORDERS)})"))
+def stream_order_pay_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C2 on a stream: create followed by pay within 1 day, timeouts by event-time timers."""
+    o = with_event_time(td.order_events(spark, sf_dir, stream=True), "ts_us", "0 seconds")
+    return run_available_now(ST.stream_followed_by_within(o, within="1 day"), "order_timeout")

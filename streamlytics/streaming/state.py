@@ -158,3 +158,113 @@ def stream_order_outcomes(df: DataFrame, keys: Sequence[str] = ("order_id",), ty
 
     return d.groupBy(*k).applyInPandasWithState(fn, schema, "create_us long, pay_us long", "append",
                                                  GroupStateTimeout.EventTimeTimeout)
+
+
+# ---------------------------------------------------------------- C1 / C2 patterns
+# Pattern matching consumes a key's rows in event-time order: rows are buffered
+# in state until the watermark passes them (then sorted by (ts, seq) and
+# consumed); rows arriving behind what was already consumed are late and dropped.
+# The buffer holds at most the watermark delay's worth of a key's rows.
+
+_PENDING = "p_ts array<bigint>, p_seq array<bigint>, p_type array<string>"
+
+
+def _ready(state, batches, ts_col, seq_col, type_col, last_ts):
+    """Merge buffered and new rows; return (ready rows sorted, still pending rows)."""
+    parts = [b[[ts_col, seq_col, type_col]] for b in batches]
+    if state.exists:
+        st = state.get
+        if st[0]:
+            parts.append(pd.DataFrame({ts_col: list(st[0]), seq_col: list(st[1]), type_col: list(st[2])}))
+    rows = pd.concat(parts) if parts else pd.DataFrame(columns=[ts_col, seq_col, type_col])
+    if last_ts is not None:
+        rows = rows[rows[ts_col] >= last_ts]           # behind the consumed part: late
+    wm_us = _watermark_us(state)
+    rows = rows.sort_values([ts_col, seq_col])
+    return rows[rows[ts_col] <= wm_us], rows[rows[ts_col] > wm_us], wm_us
+
+
+def _watermark_us(state) -> int:
+    try:
+        wm = int(state.getCurrentWatermarkMs())
+    except Exception:
+        wm = 0
+    return wm * 1000 if wm > 0 else -(1 << 62)
+
+
+def _pending_tuple(pend, ts_col, seq_col, type_col):
+    return ([int(x) for x in pend[ts_col]], [int(x) for x in pend[seq_col]], [str(x) for x in pend[type_col]])
+
+
+def stream_strict_pair(df: DataFrame, key: str = "user_id", type_col: str = "event_type",
+                       first: str = "fail", second: str = "fail", within="2 seconds",
+                       ts_col: str = "ts_us", seq_col: str = "seq", msg: str = "login fail!") -> DataFrame:
+    """C1 on a stream: ``first`` immediately followed by ``second`` (event-time order)
+    with ``second.ts - first.ts < within``; emitted once the watermark passes the second."""
+    from ..operators.patterns import STRICT_FAIL_MSG  # noqa: F401  (same default text)
+    w = duration_us(within)
+    d = df.select(key, type_col, ts_col, seq_col, *(["ts"] if "ts" in df.columns else []))
+    schema = _out_schema(d, [key], "first_us bigint, last_us bigint, msg string")
+
+    def fn(k, batches, state):
+        last_ts, last_type = (state.get[3], state.get[4]) if state.exists else (None, None)
+        ready, pend, wm_us = _ready(state, [] if state.hasTimedOut else batches, ts_col, seq_col, type_col, last_ts)
+        hits = []
+        for t, ty in zip(ready[ts_col], ready[type_col]):
+            t = int(t)
+            if last_type == first and ty == second and t - last_ts < w:
+                hits.append((last_ts, t))
+            last_ts, last_type = t, ty
+        state.update((*_pending_tuple(pend, ts_col, seq_col, type_col), last_ts, last_type))
+        if len(pend):
+            state.setTimeoutTimestamp(_not_before_watermark(state, int(pend[ts_col].min()) // 1000 + 1))
+        if hits:
+            yield pd.DataFrame({key: [k[0]] * len(hits), "first_us": [a for a, _ in hits],
+                                "last_us": [b for _, b in hits], "msg": [msg] * len(hits)})
+
+    return d.groupBy(key).applyInPandasWithState(
+        fn, schema, f"{_PENDING}, last_ts bigint, last_type string", "append",
+        GroupStateTimeout.EventTimeTimeout)
+
+
+def stream_followed_by_within(df: DataFrame, key: str = "order_id", type_col: str = "event_type",
+                              start: str = "create", end: str = "pay", within="15 minutes",
+                              ts_col: str = "ts_us", seq_col: str = "seq",
+                              matched_msg: str = "payed successfully", timeout_msg: str = "timeout") -> DataFrame:
+    """C2 on a stream: each ``start`` waits for the first later ``end`` of its key;
+    matched when it comes less than ``within`` later, else a timeout row once the
+    watermark reaches start + within (the reference's timeout side output)."""
+    w = duration_us(within)
+    d = df.select(key, type_col, ts_col, seq_col, *(["ts"] if "ts" in df.columns else []))
+    schema = _out_schema(d, [key], "start_us bigint, end_us bigint, output string, msg string")
+
+    def fn(k, batches, state):
+        st = state.get if state.exists else None
+        last_ts = st[3] if st else None
+        opened = list(st[4]) if st and st[4] else []
+        ready, pend, wm_us = _ready(state, [] if state.hasTimedOut else batches, ts_col, seq_col, type_col, last_ts)
+        out = []
+        for t, ty in zip(ready[ts_col], ready[type_col]):
+            t = int(t)
+            out += [(c, None, "timeout", timeout_msg) for c in opened if c + w <= t]
+            opened = [c for c in opened if c + w > t]
+            if ty == end and opened:
+                out += [(c, t, "matched", matched_msg) for c in opened]
+                opened = []
+            elif ty == start:
+                opened.append(t)
+            last_ts = t
+        out += [(c, None, "timeout", timeout_msg) for c in opened if c + w <= wm_us]
+        opened = [c for c in opened if c + w > wm_us]
+        state.update((*_pending_tuple(pend, ts_col, seq_col, type_col), last_ts, opened))
+        timers = ([int(pend[ts_col].min())] if len(pend) else []) + [c + w for c in opened]
+        if timers:
+            state.setTimeoutTimestamp(_not_before_watermark(state, min(timers) // 1000 + 1))
+        if out:
+            yield pd.DataFrame({key: [k[0]] * len(out), "start_us": [a for a, _, _, _ in out],
+                                "end_us": [b for _, b, _, _ in out], "output": [o for _, _, o, _ in out],
+                                "msg": [m for _, _, _, m in out]})
+
+    return d.groupBy(key).applyInPandasWithState(
+        fn, schema, f"{_PENDING}, last_ts bigint, opened array<bigint>", "append",
+        GroupStateTimeout.EventTimeTimeout)

@@ -136,3 +136,28 @@ def test_click_cap_never_reset_and_day_reset(spark):
     never = jobs.blacklist_filter(clicks, cap=2, reset="never")
     assert day.filter("output = 'pass'").count() == 4 and day.filter("output = 'warn'").count() == 2
     assert never.filter("output = 'pass'").count() == 2 and never.filter("output = 'warn'").count() == 1
+
+
+def _two_file_stream(spark, text, kind, split_at, name):
+    src = scratch_path(spark, name)
+    lines = text.strip().splitlines()
+    _write_csv(src, "a.csv", lines[:split_at])
+    _write_csv(src, "b.csv", lines[split_at:])
+    s = read_records_stream(spark, src, kind, max_files=1)
+    return s.withColumn("seq", F.col("ts_us"))   # tie-break only; order comes from event time
+
+
+def test_stream_strict_pattern_uses_event_time_across_batches(spark):
+    from streamlytics.streaming.state import stream_strict_pair
+    # file 1 ends with user 1035's fail 842 and success 844; its fail 843 arrives in file 2
+    s = with_event_time(_two_file_stream(spark, FX.LOGIN_LOG, "login", 8, "login2"), "ts_us", "5 seconds")
+    got = run_available_now(stream_strict_pair(s), "strict2")
+    assert rows(got) == [(1035, 1558430842_000000, 1558430843_000000, "login fail!")]
+
+
+def test_stream_followed_by_with_timeouts(spark):
+    from streamlytics.streaming.state import stream_followed_by_within
+    s = with_event_time(_two_file_stream(spark, FX.ORDER_LOG, "order", 40, "orders2"), "ts_us", "0 seconds")
+    got = run_available_now(stream_followed_by_within(s), "followed2")
+    assert got.filter("output = 'matched'").count() == 36
+    assert {r[0] for r in rows(got.filter("output = 'timeout'"), "order_id")} == {34730, 34756, 34767}
