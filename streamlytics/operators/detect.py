@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.time import US_PER, duration_us
-from .sequence import seq_bucket, with_neighbor
+from .sequence import running_sum, seq_bucket, time_bucket, with_neighbor
 
 # Messages of the reference's detectors.
 CLICK_CAP_MSG = "Click over {cap} times today."
@@ -28,7 +28,7 @@ CREATE_NO_PAY = "order timeout"
 
 def click_cap(df: DataFrame, keys: Sequence[str] = ("user_id", "ad_id"), cap: int = 100,
               reset: str = "day", ts_col: str = "ts_us", seq_col: str = "seq",
-              msg: str | None = None) -> DataFrame:
+              msg: str | None = None, bucket_width="1 hour") -> DataFrame:
     """D1/D1r: per key, the first ``cap`` rows in (ts, seq) order pass; the next row
     produces the single warning; later rows are dropped. ``reset='day'`` restarts
     the count every UTC day, ``'never'`` keeps one count.
@@ -44,9 +44,18 @@ def click_cap(df: DataFrame, keys: Sequence[str] = ("user_id", "ad_id"), cap: in
         part.append(F.expr(f"`{ts_col}` div {US_PER['day']}L"))
     elif reset != "never":
         raise ValueError("reset must be 'day' or 'never'")
-    w = W.partitionBy(*part).orderBy(F.col(ts_col), F.col(seq_col))
     text = (msg or CLICK_CAP_MSG).format(cap=cap)
-    ranked = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= cap + 1)
+    limit_max = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if cap + 1 <= limit_max:
+        w = W.partitionBy(*part).orderBy(F.col(ts_col), F.col(seq_col))
+        ranked = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= cap + 1)
+    else:
+        # Above the planner's group-limit threshold a plain row_number would sort a
+        # whole key in one task; the bucketed running count gives the same rank.
+        pk = [f"_k{i}" for i in range(len(part))]
+        d = df.select("*", *[c.alias(n) for c, n in zip(part, pk)], F.lit(1).cast("bigint").alias("_one"))
+        d = running_sum(d, pk, [ts_col, seq_col], time_bucket(ts_col, bucket_width), "_one", "_rn")
+        ranked = d.filter(F.col("_rn") <= cap + 1).drop(*pk, "_one")
     return ranked.select(*df.columns,
                          F.when(F.col("_rn") <= cap, "pass").otherwise("warn").alias("output"),
                          F.when(F.col("_rn") > cap, F.lit(text)).alias("msg"))

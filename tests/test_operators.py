@@ -118,3 +118,16 @@ def test_interval_join_equals_naive(spark):
     matched_r = {r[0] for r in rows(ref.select("rid"))}
     assert {r[0] for r in rows(rec.filter("output = 'unmatched_pay'"), "lid")} == set(range(300)) - matched_l
     assert {r[0] for r in rows(rec.filter("output = 'unmatched_receipt'"), "rid")} == set(range(300)) - matched_r
+
+
+def test_click_cap_large_cap_path_equals_row_number(spark):
+    from streamlytics.operators.detect import click_cap
+    df = _random_events(spark, n=2500, keys=4, hot_share=0.6).withColumnRenamed("key", "user_id")
+    small = click_cap(df, ("user_id",), cap=300, reset="never")
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10")
+    try:
+        big = click_cap(df, ("user_id",), cap=300, reset="never", bucket_width="17 minutes")
+        assert rows(big, "seq", "output") == rows(small, "seq", "output")
+        assert big.filter("output = 'warn'").count() == 4
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
