@@ -135,3 +135,24 @@ def stream_order_pay_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C2 on a stream: create followed by pay within 1 day, timeouts by event-time timers."""
     o = with_event_time(td.order_events(spark, sf_dir, stream=True), "ts_us", "0 seconds")
     return run_available_now(ST.stream_followed_by_within(o, within="1 day"), "order_timeout")
+
+
+@register("stream_uv_bitmap_hourly", _closed(_BATCH_SQL["uv_bitmap_hourly"], PV))
+def stream_uv_bitmap_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 on a stream: hashed users in per-window bitmaps (chained aggregates)."""
+    return run_available_now(SJ.stream_bitmap_unique_visitors(_view_stream(spark, sf_dir)), "uv_bitmap")
+
+
+_LOG_ALL = f"SELECT ts_ms * 1000 AS ts_us FROM ({O.ACCESS_LOG}) a"
+
+
+@register("stream_hot_urls_topn", (
+    f"SELECT * FROM ({_BATCH_SQL['hot_urls_topn']}) q "
+    f"WHERE window_end <= (SELECT max(ts_us) // 1000 - 1000 FROM ({_LOG_ALL}) s)"))
+def stream_hot_urls_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NetworkFlow on a stream: parsed log lines, 1 s out-of-orderness watermark,
+    10 min / 5 s pane-chained counts, top 5 per closed window."""
+    from ..sources.access_log import parse_access_log
+    log = with_event_time(parse_access_log(td.access_log_lines(spark, sf_dir, stream=True)), "ts_us", "1 second")
+    counts, rank = SJ.stream_hot_urls(log, "10 minutes", "5 seconds", 5)
+    return run_available_now(counts, "hot_urls", foreach=rank)
