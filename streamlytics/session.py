@@ -7,10 +7,20 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every job relies on: UTC session zone (time formatting), AQE for
-# runtime re-planning (coalescing, skew splitting, broadcast conversion).
-BASE_CONF = {
+# Settings the library needs on any session (applied by ``configure``):
+# * UTC session zone: event times are UTC wall clock (formatting, NTZ casts);
+# * all clustering keys as partition keys: a window/aggregate on (user, day) after a
+#   join on user must not reuse the join's partitioning by user alone, or a hot user
+#   is one task and AQE cannot split the skewed join partition.
+REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
+}
+
+# Settings every job relies on: the required ones, AQE for runtime re-planning
+# (coalescing, skew splitting, broadcast conversion), ANSI mode.
+BASE_CONF = {
+    **REQUIRED_CONF,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -39,6 +49,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply ``REQUIRED_CONF`` to a session (idempotent); called by the sources."""
+    for k, v in REQUIRED_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import SCHEMAS, TIME_UNIT
+from ..session import configure
 
 _SCALE = {"s": 1_000_000, "ms": 1_000}
 
@@ -26,6 +27,7 @@ def _finish(df: DataFrame, kind: str) -> DataFrame:
 
 def read_records(spark: SparkSession, path: str, kind: str, with_seq: bool = True) -> DataFrame:
     """Read a CSV file/folder of one record kind (no header)."""
+    configure(spark)
     df = (spark.read.schema(SCHEMAS[kind]).option("mode", "FAILFAST")
           .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
           .csv(path))
@@ -39,6 +41,7 @@ def read_records(spark: SparkSession, path: str, kind: str, with_seq: bool = Tru
 
 def read_records_stream(spark: SparkSession, path: str, kind: str, max_files: int | None = None) -> DataFrame:
     """Streaming form of ``read_records`` (a folder that receives new CSV files)."""
+    configure(spark)
     r = spark.readStream.schema(SCHEMAS[kind]).option("mode", "FAILFAST")
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)

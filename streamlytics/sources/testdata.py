@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.time import epoch_us, LOG_TIME_FORMAT, epoch_ms_to_ntz
+from ..session import configure
 
 # ---- fixed values of the mapping (chosen once; the oracle SQL uses the same) ----
 # events.event_type -> UserBehavior.behavior
@@ -46,10 +47,10 @@ def events(spark: SparkSession, sf_dir: str, where=None, stream: bool = False) -
 
     ``where`` is an optional predicate on the raw columns, applied before any
     derivation so that it reaches the Parquet scan (``PushedFilters``). Event
-    time is read as UTC wall clock: the session zone is pinned to UTC.
+    time is read as UTC wall clock: ``session.configure`` pins the session zone to
+    UTC (and sets the other settings the plans rely on).
     """
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    configure(spark)
     df = table(spark, sf_dir, "events", stream)
     if where is not None:
         df = df.filter(where)
