@@ -18,7 +18,7 @@ from ..streaming import state as ST
 from ..streaming.core import run_available_now, with_event_time
 from ..functions.time import format_window_time
 from . import oracle as O
-from .queries import (CAP_RANKED, H, MIN, D, PAYS, PV, RECEIPTS, _fmt, register)
+from .queries import CAP_RANKED, D, H, MIN, PV, register
 from .queries import ORACLE as _BATCH_SQL
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import drop_static_resources
 from ..functions.time import duration_us
+from ..operators.joins import _signed_us as _signed
 from ..operators.topn import top_n_by_count
 from .core import _duration_text, window_bounds_ms
 
@@ -94,25 +95,3 @@ def stream_interval_join(left: DataFrame, right: DataFrame, on, lower="-5 second
     tag = (F.when(F.col("_hl") & F.col("_hr"), "matched").when(F.col("_hl"), "unmatched_pay")
            .otherwise("unmatched_receipt"))
     return out.withColumn("output", tag).drop("_hl", "_hr")
-
-
-def _signed(d) -> int:
-    if isinstance(d, int):
-        return d
-    d = d.strip()
-    return -duration_us(d[1:]) if d.startswith("-") else duration_us(d)
-
-
-def stream_bitmap_unique_visitors(behavior: DataFrame, size="1 hour", seed: int = 61, bits: int = 1 << 29,
-                                  ts_col: str = "ts") -> DataFrame:
-    """UVWithBloomFilter on a stream: per (window, 32768-bit bucket) a bitmap of the
-    hashed users, then set bits summed per window (two chained aggregates)."""
-    from ..functions.hashing import poly_hash_mask
-    views = behavior.filter(F.col("behavior") == "pv").withColumn(
-        "_pos", poly_hash_mask(F.col("user_id").cast("string"), seed, bits))
-    per_bucket = (views.groupBy(F.window(ts_col, _duration_text(size)).alias("u"),
-                                F.bitmap_bucket_number("_pos").alias("_bk"))
-                  .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_pos")).alias("_bm")))
-    per_win = (per_bucket.groupBy(F.window(F.window_time("u"), _duration_text(size)).alias("w"))
-               .agg(F.sum(F.bitmap_count("_bm")).alias("uv")))
-    return per_win.select(*window_bounds_ms("w"), "uv")

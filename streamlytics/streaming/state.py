@@ -23,6 +23,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..functions.time import US_PER, duration_us
 from ..operators import detect
+from ..operators.patterns import PAYED_MSG, STRICT_FAIL_MSG, TIMEOUT_MSG
 
 
 def _out_schema(df: DataFrame, cols: Sequence[str], extra: str) -> str:
@@ -198,10 +199,9 @@ def _pending_tuple(pend, ts_col, seq_col, type_col):
 
 def stream_strict_pair(df: DataFrame, key: str = "user_id", type_col: str = "event_type",
                        first: str = "fail", second: str = "fail", within="2 seconds",
-                       ts_col: str = "ts_us", seq_col: str = "seq", msg: str = "login fail!") -> DataFrame:
+                       ts_col: str = "ts_us", seq_col: str = "seq", msg: str = STRICT_FAIL_MSG) -> DataFrame:
     """C1 on a stream: ``first`` immediately followed by ``second`` (event-time order)
     with ``second.ts - first.ts < within``; emitted once the watermark passes the second."""
-    from ..operators.patterns import STRICT_FAIL_MSG  # noqa: F401  (same default text)
     w = duration_us(within)
     d = df.select(key, type_col, ts_col, seq_col, *(["ts"] if "ts" in df.columns else []))
     schema = _out_schema(d, [key], "first_us bigint, last_us bigint, msg string")
@@ -230,7 +230,7 @@ def stream_strict_pair(df: DataFrame, key: str = "user_id", type_col: str = "eve
 def stream_followed_by_within(df: DataFrame, key: str = "order_id", type_col: str = "event_type",
                               start: str = "create", end: str = "pay", within="15 minutes",
                               ts_col: str = "ts_us", seq_col: str = "seq",
-                              matched_msg: str = "payed successfully", timeout_msg: str = "timeout") -> DataFrame:
+                              matched_msg: str = PAYED_MSG, timeout_msg: str = TIMEOUT_MSG) -> DataFrame:
     """C2 on a stream: each ``start`` waits for the first later ``end`` of its key;
     matched when it comes less than ``within`` later, else a timeout row once the
     watermark reaches start + within (the reference's timeout side output)."""
