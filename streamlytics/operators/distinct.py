@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.time import duration_us
 from .sequence import running_sum, time_bucket
-from .windows import window_starts
+from .windows import explode_windows
 
 
 def _tumble(ts_col: str, size_us: int) -> tuple[Column, Column]:
@@ -86,7 +86,7 @@ def approx_unique_visitors(df: DataFrame, user_col: str = "user_id", ts_col: str
     if size_us == slide_us:
         win = panes.select(F.col("_p").alias("_ws"), "_sk")
     else:
-        win = (panes.select(F.explode(window_starts(F.col("_p"), pane_us, size_us, slide_us)).alias("_ws"), "_sk")
+        win = (explode_windows(panes, F.col("_p"), pane_us, size_us, slide_us, ["_sk"])
                .groupBy("_ws").agg(F.hll_union_agg("_sk").alias("_sk")))
     return win.select(F.expr("_ws div 1000").alias("window_start"),
                       F.expr(f"(_ws + {size_us}L) div 1000").alias("window_end"),

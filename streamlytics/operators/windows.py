@@ -53,6 +53,26 @@ def window_starts(pane_start: Column, pane_us: int, size_us: int, slide_us: int)
         F.array().cast("array<bigint>"))
 
 
+def explode_windows(df: DataFrame, pane_start: Column, pane_us: int, size_us: int, slide_us: int,
+                    keep: Sequence[str]) -> DataFrame:
+    """One row per (input row, window containing its pane) with ``_ws`` = window start.
+
+    The candidates are the latest window start at or before the pane minus
+    0..ceil(size/slide)-1 slides (a constant array, exploded without building a
+    per-row sequence); the ones that do not cover the whole pane are filtered out
+    (only when slide does not divide size, or size < slide).
+    """
+    n = -(-size_us // slide_us)
+    last = pane_start - F.pmod(pane_start, F.lit(slide_us))
+    offs = F.array(*[F.lit(i * slide_us) for i in range(n)])
+    out = (df.select(*keep, pane_start.alias("_ps"), last.alias("_last"), F.explode(offs).alias("_off"))
+           .select(*keep, "_ps", (F.col("_last") - F.col("_off")).alias("_ws")))
+    if size_us % slide_us or pane_us != slide_us:
+        # keep windows with s + size >= pane end (s <= pane start holds by construction)
+        out = out.filter(F.col("_ws") + F.lit(size_us) >= F.col("_ps") + F.lit(pane_us))
+    return out.drop("_ps")
+
+
 def window_agg(df: DataFrame, keys, ts_col: str, size: str | int, slide: str | int | None = None,
                aggs: dict[str, Column] | None = None,
                merge: dict[str, str] | None = None) -> DataFrame:
@@ -77,8 +97,8 @@ def window_agg(df: DataFrame, keys, ts_col: str, size: str | int, slide: str | i
         # Tumbling: one window per pane, no fan-out, a single aggregation.
         out = parts.select(*k, (F.col("_pane") * F.lit(size_us)).alias("_ws"), *aggs.keys())
     else:
-        exploded = parts.select(*k, F.explode(window_starts(F.col("_pane") * F.lit(pane_us), pane_us,
-                                                            size_us, slide_us)).alias("_ws"), *aggs.keys())
+        exploded = explode_windows(parts, F.col("_pane") * F.lit(pane_us), pane_us, size_us, slide_us,
+                                   [*k, *aggs.keys()])
         fns = {"sum": F.sum, "max": F.max, "min": F.min}
         out = (exploded.groupBy(*k, "_ws")
                .agg(*[fns[merge.get(n, "sum")](n).alias(n) for n in aggs]))
