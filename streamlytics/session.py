@@ -24,6 +24,10 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Window fan-out multiplies the rows of a small pane stage (x12 .. x720); AQE must
+    # not coalesce that stage below the cluster's parallelism just because its input
+    # is small (default floor 1 MB per partition).
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
 }
