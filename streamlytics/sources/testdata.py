@@ -87,8 +87,9 @@ def access_log_lines(spark: SparkSession, sf_dir: str, where=None, stream: bool
     """Web access-log text lines (``value``), space separated like a server log:
     ``ip - user dd/MM/yyyy:HH:mm:ss +0000 METHOD url``."""
     e = events(spark, sf_dir, where, stream)
-    ip = F.format_string("10.%d.%d.%d", (F.col("user_id") / 65536).cast("bigint") % 256,
-                         (F.col("user_id") / 256).cast("bigint") % 256, F.col("user_id") % 256)
+    u = F.col("user_id")
+    ip = F.concat_ws(".", F.lit("10"), F.expr("(user_id div 65536) % 256").cast("string"),
+                     F.expr("(user_id div 256) % 256").cast("string"), (u % 256).cast("string"))
     when = F.date_format(epoch_ms_to_ntz(F.floor(F.col("ts_us") / 1000)), LOG_TIME_FORMAT)
     method = F.when(F.col("event_type").isin("purchase", "signup"), "POST").otherwise("GET")
     url = F.concat(F.lit("/p/"), F.col("k").cast("string"), _pick(URL_SUFFIXES, F.col("k")))
