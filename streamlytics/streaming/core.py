@@ -4,6 +4,10 @@ Streams carry the event time twice: ``ts_us`` (epoch µs, used by the shared bat
 operators) and ``ts`` (TIMESTAMP, what ``withWatermark`` and ``F.window`` need).
 Rows behind the watermark are dropped by Spark's windowed aggregates and joins, as
 in the reference framework; the keyed state processors do not drop them.
+
+Note: a filter that does not reference the event-time column is pushed below
+``withWatermark`` by the optimizer, so the watermark follows the rows that pass
+it (the reference assigns watermarks before filtering, i.e. over every row).
 """
 
 from __future__ import annotations
