@@ -10,6 +10,11 @@ watermark on the input (``core.with_event_time``).
 Memory per key and micro-batch is bounded by the micro-batch size
 (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``); the click cap keeps only the
 ``cap + 1`` earliest rows of each Arrow batch.
+
+Spark hands the watermark column (a TIMESTAMP) to the functions, and pandas holds
+timestamps in nanoseconds (years 1677-2262): rows outside that range must be
+removed first, which ``core.with_event_time(max_ts_us=...)`` does for impossible
+future times (they would also push the watermark past all real data).
 """
 
 from __future__ import annotations

@@ -161,3 +161,16 @@ def test_stream_followed_by_with_timeouts(spark):
     got = run_available_now(stream_followed_by_within(s), "followed2")
     assert got.filter("output = 'matched'").count() == 36
     assert {r[0] for r in rows(got.filter("output = 'timeout'"), "order_id")} == {34730, 34756, 34767}
+
+
+def test_stream_click_cap_state_across_batches(spark):
+    from streamlytics.streaming.state import stream_click_cap
+    # the hot (user, ad) key has 121 clicks; split so that its 100th click is in file 1.
+    # The two rows stamped in year 2449 would push the watermark centuries ahead (and
+    # are outside the pandas timestamp range): the event-time guard drops them.
+    s = _two_file_stream(spark, FX.AD_CLICK_LOG, "ad_click", 110, "clicks2")
+    s = with_event_time(s, "ts_us", "0 seconds", max_ts_us=4102444800_000000)   # < 2100-01-01
+    got = run_available_now(stream_click_cap(s, ("user_id", "ad_id"), cap=100, reset="day"), "cap2")
+    assert got.filter("output = 'pass'").count() == 120
+    assert rows(got.filter("output = 'warn'"), "user_id", "ad_id", "msg") == [
+        (937166, 1715, "Click over 100 times today.")]
