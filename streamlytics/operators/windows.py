@@ -40,19 +40,6 @@ def pane_partials(df: DataFrame, keys, ts_col: str, pane_us: int,
     return df.groupBy(*k, pane.alias("_pane")).agg(*[a.alias(n) for n, a in aggs.items()])
 
 
-def window_starts(pane_start: Column, pane_us: int, size_us: int, slide_us: int) -> Column:
-    """Starts (epoch µs) of all windows ``[s, s + size)``, ``s`` a multiple of
-    ``slide``, that contain the pane ``[pane_start, pane_start + pane_us)``:
-    ``pane_start + pane_us - size <= s <= pane_start``. Empty when the pane falls
-    in a gap (size < slide)."""
-    slide = F.lit(slide_us)
-    last = pane_start - F.pmod(pane_start, slide)
-    lo = pane_start + F.lit(pane_us - size_us)
-    first = lo + F.pmod(slide - F.pmod(lo, slide), slide)
-    return F.when(first <= last, F.sequence(first, last, slide)).otherwise(
-        F.array().cast("array<bigint>"))
-
-
 def explode_windows(df: DataFrame, pane_start: Column, pane_us: int, size_us: int, slide_us: int,
                     keep: Sequence[str]) -> DataFrame:
     """One row per (input row, window containing its pane) with ``_ws`` = window start.

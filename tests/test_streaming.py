@@ -174,3 +174,21 @@ def test_stream_click_cap_state_across_batches(spark):
     assert got.filter("output = 'pass'").count() == 120
     assert rows(got.filter("output = 'warn'"), "user_id", "ad_id", "msg") == [
         (937166, 1715, "Click over 100 times today.")]
+
+
+def test_stream_access_log_and_tagged_side_outputs(spark):
+    from streamlytics.sources.access_log import read_access_log_stream
+    from streamlytics.streaming.core import write_side_outputs
+    src = scratch_path(spark, "weblog")
+    _write_csv(src, "apache.log", [
+        "83.149.9.216 - - 17/05/2015:10:05:03 +0000 GET /a.png",
+        "83.149.9.216 - - 17/05/2015:10:05:43 +0000 GET /b.js",
+        "10.0.0.1 - - 17/05/2015:10:06:00 +0000 POST /c.html"])
+    log = read_access_log_stream(spark, src)
+    tagged = log.withColumn("output", F.when(F.col("url").rlike(r"\.(css|js)$"), "static").otherwise("page"))
+    out, ck = scratch_path(spark, "tag-out"), scratch_path(spark, "tag-ck")
+    q = write_side_outputs(tagged, out, ck, trigger={"availableNow": True})
+    q.awaitTermination()
+    back = spark.read.parquet(out)
+    assert dict(rows(back.groupBy("output").count())) == {"page": 2, "static": 1}
+    assert rows(back.filter("output = 'page'"), "ts_us") == [(1431857103_000000,), (1431857160_000000,)]
