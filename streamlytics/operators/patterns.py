@@ -3,7 +3,9 @@
 Both reference patterns are two-step, so they reduce to "the next row of the
 key" (strict contiguity) and "the next row of a given type" (relaxed
 contiguity), taken in event-time order with ``seq`` breaking ties. Both use the
-skew-safe bucketed neighbour search of ``sequence.with_neighbor``.
+skew-safe bucketed neighbour search of ``sequence.with_neighbor``; since a
+match must lie less than ``within`` after its start, buckets at least ``within``
+wide let the search run in one window pass (``adjacent_only``).
 """
 
 from __future__ import annotations
@@ -20,9 +22,17 @@ PAYED_MSG = "payed successfully"
 TIMEOUT_MSG = "timeout"
 
 
+def _width(bucket_width, within_us: int) -> int:
+    """Time-bucket width: by default the larger of 1 hour and ``within`` (so a match
+    is always in the same or the next bucket and the single-pass form applies)."""
+    if bucket_width is None:
+        return max(duration_us("1 hour"), within_us)
+    return duration_us(bucket_width)
+
+
 def strict_pair(df: DataFrame, key: str = "user_id", type_col: str = "event_type",
                 first: str = "fail", second: str = "fail", within="2 seconds",
-                ts_col: str = "ts_us", seq_col: str = "seq", bucket_width="1 hour",
+                ts_col: str = "ts_us", seq_col: str = "seq", bucket_width=None,
                 msg: str = STRICT_FAIL_MSG) -> DataFrame:
     """``first`` immediately followed (next row of the key) by ``second`` with
     ``second.ts - first.ts < within`` (strict). Overlapping matches are all kept.
@@ -30,8 +40,12 @@ def strict_pair(df: DataFrame, key: str = "user_id", type_col: str = "event_type
     Returns key, first_us, last_us, msg.
     """
     w = duration_us(within)
+    bucket_width = _width(bucket_width, w)
+    # a match needs the next row less than `within` later: with buckets at least that
+    # wide it is in the same or the next bucket (single-pass form)
     n = with_neighbor(df.select(key, type_col, ts_col, seq_col), [key], [ts_col, seq_col],
-                      time_bucket(ts_col, bucket_width), [type_col, ts_col], "next")
+                      time_bucket(ts_col, bucket_width), [type_col, ts_col], "next",
+                      adjacent_only=duration_us(bucket_width) >= w)
     hit = ((F.col(type_col) == first) & (F.col(f"next_{type_col}") == second)
            & (F.col(f"next_{ts_col}") - F.col(ts_col) < F.lit(w)))
     return n.filter(hit).select(key, F.col(ts_col).alias("first_us"),
@@ -40,7 +54,7 @@ def strict_pair(df: DataFrame, key: str = "user_id", type_col: str = "event_type
 
 def followed_by_within(df: DataFrame, key: str = "order_id", type_col: str = "event_type",
                        start: str = "create", end: str = "pay", within="15 minutes",
-                       ts_col: str = "ts_us", seq_col: str = "seq", bucket_width="1 hour",
+                       ts_col: str = "ts_us", seq_col: str = "seq", bucket_width=None,
                        matched_msg: str = PAYED_MSG, timeout_msg: str = TIMEOUT_MSG) -> DataFrame:
     """Every ``start`` row paired with the first later ``end`` row of its key;
     matched when ``end.ts - start.ts < within`` (main output), else timed out
@@ -50,9 +64,10 @@ def followed_by_within(df: DataFrame, key: str = "order_id", type_col: str = "ev
     Returns key, start_us, end_us (NULL on timeout), output ('matched'|'timeout'), msg.
     """
     w = duration_us(within)
+    bucket_width = _width(bucket_width, w)
     n = with_neighbor(df.select(key, type_col, ts_col, seq_col), [key], [ts_col, seq_col],
                       time_bucket(ts_col, bucket_width), [ts_col], "next",
-                      where=F.col(type_col) == end)
+                      where=F.col(type_col) == end, adjacent_only=duration_us(bucket_width) >= w)
     ok = F.col(f"next_{ts_col}").isNotNull() & (F.col(f"next_{ts_col}") - F.col(ts_col) < F.lit(w))
     return (n.filter(F.col(type_col) == start)
             .select(key, F.col(ts_col).alias("start_us"),

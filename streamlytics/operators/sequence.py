@@ -46,12 +46,18 @@ def _list(x) -> list[str]:
 
 def with_neighbor(df: DataFrame, keys, order: Sequence[str], bucket: Column, cols: Sequence[str],
                   direction: str = "next", where: Column | None = None,
-                  prefix: str | None = None) -> DataFrame:
+                  prefix: str | None = None, adjacent_only: bool = False) -> DataFrame:
     """Attach, to every row, columns of the nearest row of the same key that comes
     after it (``direction='next'``) or before it (``'prev'``) in ``order``,
     considering only rows where ``where`` holds (all rows if ``None``).
 
     Adds ``<prefix><col>`` for each of ``cols`` (NULL when there is no such row).
+
+    ``adjacent_only=True``: the caller needs the neighbour only when it lies in the
+    same or the adjacent bucket (e.g. a pattern with ``within`` <= bucket width);
+    farther neighbours come back as NULL. The qualifying rows are then also copied
+    into the adjacent bucket and one window pass answers every row: one shuffle,
+    no per-bucket table, no join.
     """
     keys, order, cols = _list(keys), list(order), list(cols)
     if direction not in ("next", "prev"):
@@ -60,6 +66,8 @@ def with_neighbor(df: DataFrame, keys, order: Sequence[str], bucket: Column, col
     fwd = direction == "next"
     s = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
                  *[F.col(c).alias(f"_c{i}") for i, c in enumerate(cols)])
+    if adjacent_only:
+        return _adjacent_neighbor(df, keys, order, bucket, cols, fwd, where, prefix, s)
     d = df.withColumn("_b", bucket).withColumn("_s", s if where is None else F.when(where, s))
     asc = [F.col(c).asc() for c in order]
     desc = [F.col(c).desc() for c in order]
@@ -86,6 +94,25 @@ def with_neighbor(df: DataFrame, keys, order: Sequence[str], bucket: Column, col
                     *[got[f"_c{i}"].alias(f"{prefix}{c}") for i, c in enumerate(cols)])
 
 
+def _adjacent_neighbor(df, keys, order, bucket, cols, fwd, where, prefix, s) -> DataFrame:
+    d = df.withColumn("_b", bucket).withColumn("_own", F.lit(True))
+    d = d.withColumn("_s", s if where is None else F.when(where, s))
+    # candidates of bucket b+1 (b-1) are copied into b: they come after (before) all of b
+    cand = d if where is None else d.filter(where)
+    copies = cand.withColumn("_b", F.col("_b") + F.lit(-1 if fwd else 1)).withColumn("_own", F.lit(False))
+    u = d.unionByName(copies)
+    asc = [F.col(c).asc() for c in order]
+    desc = [F.col(c).desc() for c in order]
+    inb = W.partitionBy(*keys, "_b")
+    if where is None:
+        near = (F.lead if fwd else F.lag)("_s", 1).over(inb.orderBy(*asc))
+    else:
+        near = F.last("_s", ignorenulls=True).over(
+            inb.orderBy(*(desc if fwd else asc)).rowsBetween(W.unboundedPreceding, -1))
+    out = u.withColumn("_in", near).filter(F.col("_own"))
+    return out.select(*df.columns, *[F.col("_in")[f"_c{i}"].alias(f"{prefix}{c}") for i, c in enumerate(cols)])
+
+
 def running_sum(df: DataFrame, keys, order: Sequence[str], bucket: Column, value: str,
                 out: str) -> DataFrame:
     """Running (inclusive) sum of ``value`` per key along ``order``."""

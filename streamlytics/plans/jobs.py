@@ -113,7 +113,7 @@ def marketing_total(events: DataFrame, size="1 hour", slide="1 second",
 
 
 # -------------------------------------------------------------- login / orders / tx
-def login_fail_cep(logins: DataFrame, within="2 seconds", bucket_width="1 hour") -> DataFrame:
+def login_fail_cep(logins: DataFrame, within="2 seconds", bucket_width=None) -> DataFrame:
     """LoginFailWithCEP: fail strictly followed by fail within 2 s (event-time order)."""
     return patterns.strict_pair(logins, "user_id", "event_type", "fail", "fail", within,
                                 bucket_width=bucket_width)
@@ -125,7 +125,7 @@ def login_fail_state(logins: DataFrame, within="2 seconds", bucket_width: int =
                                      bucket_width=bucket_width)
 
 
-def order_timeout_cep(orders: DataFrame, within="15 minutes", bucket_width="1 hour") -> DataFrame:
+def order_timeout_cep(orders: DataFrame, within="15 minutes", bucket_width=None) -> DataFrame:
     """OrderTimeout: create followed by pay within 15 min; else timeout (side output)."""
     return patterns.followed_by_within(orders, "order_id", "event_type", "create", "pay", within,
                                        bucket_width=bucket_width)

@@ -131,3 +131,17 @@ def test_click_cap_large_cap_path_equals_row_number(spark):
         assert big.filter("output = 'warn'").count() == 4
     finally:
         spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+
+
+@pytest.mark.parametrize("direction", ["next", "prev"])
+@pytest.mark.parametrize("only_b", [False, True])
+def test_adjacent_neighbor_equals_general_within_one_bucket(spark, direction, only_b):
+    df = _random_events(spark)
+    where = (F.col("et") == "b") if only_b else None
+    width = 600_000_000
+    args = (["key"], ["ts_us", "seq"], time_bucket("ts_us", width), ["seq", "ts_us"], direction, where)
+    full = with_neighbor(df, *args)
+    adj = with_neighbor(df, *args, adjacent_only=True)
+    gap = (F.col(f"{direction}_ts_us") - F.col("ts_us")) if direction == "next" else (F.col("ts_us") - F.col(f"{direction}_ts_us"))
+    near = lambda d: d.filter(gap < width).select("seq", f"{direction}_seq")
+    assert rows(near(adj)) == rows(near(full))
