@@ -66,6 +66,15 @@ def unique_visitors_bitmap(behavior: DataFrame, size="1 hour", seed: int = 61,
     return distinct.bitmap_unique_visitors(pos, "_pos", "ts_us", size)
 
 
+def unique_visitors_bitmap_running(behavior: DataFrame, size="1 hour", seed: int = 61,
+                                   bits: int = 1 << 29, bucket_width="1 hour") -> DataFrame:
+    """UVWithBloomFilter as the reference emits it: one row per page view with the
+    number of distinct hash bits set so far in its window (fires per element)."""
+    views = behavior.filter(F.col("behavior") == "pv")
+    hashed = views.withColumn("_pos", poly_hash_mask(F.col("user_id").cast("string"), seed, bits))
+    return distinct.running_unique_visitors(hashed, "_pos", "ts_us", "seq", size, bucket_width)
+
+
 def average_timestamp(behavior: DataFrame) -> DataFrame:
     """AverageAgg: integer mean of the epoch-second timestamps per user, as double."""
     views = behavior.filter(F.col("behavior") == "pv")

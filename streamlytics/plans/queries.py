@@ -128,6 +128,16 @@ def uv_bitmap_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.unique_visitors_bitmap(_views(spark, sf_dir))
 
 
+@register("uv_bitmap_running", (
+    f"SELECT seq, window_end, CAST(sum(CASE WHEN rn = 1 THEN 1 ELSE 0 END) OVER (PARTITION BY window_end "
+    f"ORDER BY ts_us, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS uv FROM ("
+    f"SELECT seq, ts_us, (ts_us // {H} + 1) * {H // 1000} AS window_end, row_number() OVER "
+    f"(PARTITION BY ts_us // {H}, {HASH61} ORDER BY ts_us, seq) AS rn FROM ({PV})) t"))
+def uv_bitmap_running(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page view, distinct hash bits (seed 61, 2^29) so far in its hour."""
+    return jobs.unique_visitors_bitmap_running(_views(spark, sf_dir))
+
+
 @register("uv_approx_hourly")
 def uv_approx_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """HLL sketch per hour (approximate; no exact oracle)."""
