@@ -41,7 +41,7 @@ def click_cap(df: DataFrame, keys: Sequence[str] = ("user_id", "ad_id"), cap: in
     k = list(keys)
     part = [F.col(c) for c in k]
     if reset == "day":
-        part.append(F.expr(f"`{ts_col}` div {US_PER['day']}L"))
+        part.append(F.expr(f"(`{ts_col}` - pmod(`{ts_col}`, {US_PER['day']}L)) div {US_PER['day']}L"))
     elif reset != "never":
         raise ValueError("reset must be 'day' or 'never'")
     text = (msg or CLICK_CAP_MSG).format(cap=cap)

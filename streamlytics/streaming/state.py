@@ -57,7 +57,7 @@ def stream_click_cap(df: DataFrame, keys: Sequence[str] = ("user_id", "ad_id"),
     d = df
     gk = k
     if reset == "day":
-        d = df.withColumn("_day", F.expr(f"`{ts_col}` div {US_PER['day']}L"))
+        d = df.withColumn("_day", F.expr(f"(`{ts_col}` - pmod(`{ts_col}`, {US_PER['day']}L)) div {US_PER['day']}L"))
         gk = k + ["_day"]
     carry = [c for c in d.columns if c in (*gk, ts_col, seq_col, "ts")]
     d = d.select(*carry)

@@ -192,3 +192,10 @@ def test_stream_access_log_and_tagged_side_outputs(spark):
     back = spark.read.parquet(out)
     assert dict(rows(back.groupBy("output").count())) == {"page": 2, "static": 1}
     assert rows(back.filter("output = 'page'"), "ts_us") == [(1431857103_000000,), (1431857160_000000,)]
+
+
+def test_click_cap_day_before_epoch(spark):
+    # -1 s and +1 s are on different UTC days (1969-12-31 and 1970-01-01)
+    clicks = records_from_lines(spark, ["1,9,p,c,-1", "1,9,p,c,1"], "ad_click")
+    out = jobs.blacklist_filter(clicks, cap=1, reset="day")
+    assert out.filter("output = 'pass'").count() == 2
