@@ -40,6 +40,30 @@ def seq_bucket(seq_col: str = "seq", width: int = 1 << 20) -> Column:
     return F.expr(f"(`{seq_col}` - pmod(`{seq_col}`, {int(width)}L)) div {int(width)}L")
 
 
+def choose_width(df: DataFrame, keys, ts_col: str = "ts_us", base="1 hour",
+                 target_rows: int = 5_000_000, min_width="1 second") -> int:
+    """Bucket width (µs) for the bucketed operators so that no (key, bucket) holds
+    more than about ``target_rows`` rows: the largest (key, bucket) at ``base`` is
+    measured with one aggregate (partial per task; a single number reaches the
+    driver), and the width is halved accordingly, down to ``min_width``. Use it when
+    a key may be bursty within one bucket (a hot key spread over time is already
+    split by any width)."""
+    k = _list(keys)
+    w = duration_us(base)
+    biggest = (df.groupBy(*k, time_bucket(ts_col, w).alias("_b")).count()
+               .agg(F.max("count")).first()[0]) or 0
+    lo = duration_us(min_width)
+    while biggest > target_rows and w // 2 >= lo:
+        w //= 2
+        biggest //= 2   # assumes rows spread over the bucket; re-measured below
+    if w != duration_us(base):
+        biggest = (df.groupBy(*k, time_bucket(ts_col, w).alias("_b")).count()
+                   .agg(F.max("count")).first()[0]) or 0
+        if biggest > target_rows and w // 2 >= lo:
+            return choose_width(df, keys, ts_col, w // 2, target_rows, min_width)
+    return w
+
+
 def _list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 

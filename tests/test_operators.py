@@ -145,3 +145,19 @@ def test_adjacent_neighbor_equals_general_within_one_bucket(spark, direction, on
     gap = (F.col(f"{direction}_ts_us") - F.col("ts_us")) if direction == "next" else (F.col("ts_us") - F.col(f"{direction}_ts_us"))
     near = lambda d: d.filter(gap < width).select("seq", f"{direction}_seq")
     assert rows(near(adj)) == rows(near(full))
+
+
+def test_choose_width_narrows_for_a_burst(spark):
+    from streamlytics.operators.sequence import choose_width
+    # key 0 has a burst of 2000 rows within one minute; everything else is sparse
+    data = [(0, 1_000_000_000 + i * 30_000, i) for i in range(2000)] + \
+           [(k, k * 7_000_000_000, 10_000 + k) for k in range(1, 50)]
+    df = spark.createDataFrame(data, "key BIGINT, ts_us BIGINT, seq BIGINT")
+    w = choose_width(df, ["key"], "ts_us", "1 hour", target_rows=300)
+    assert w < 3_600_000_000
+    biggest = df.groupBy("key", time_bucket("ts_us", w).alias("b")).count().agg(F.max("count")).first()[0]
+    assert biggest <= 300
+    # and the bucketed operators stay exact with that width
+    got = with_neighbor(df, ["key"], ["ts_us", "seq"], time_bucket("ts_us", w), ["seq"], "next")
+    ref = df.withColumn("n", F.lead("seq").over(W.partitionBy("key").orderBy("ts_us", "seq")))
+    assert rows(got, "seq", "next_seq") == rows(ref, "seq", "n")
