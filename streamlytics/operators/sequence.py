@@ -16,6 +16,10 @@ Raw rows are shuffled once (by (key, bucket), for the window of step 1); the
 per-bucket table of step 2 is a partial aggregate (one row per key, bucket and
 map task crosses the network), and the join-back reuses the window's partitioning
 (or broadcasts the small table when the planner sees it is small).
+
+When only neighbours in the same or the adjacent bucket matter (a pattern whose
+``within`` is at most the bucket width), ``with_neighbor(adjacent_only=True)`` copies
+the candidate rows one bucket over and needs a single window pass instead.
 """
 
 from __future__ import annotations

@@ -1,8 +1,9 @@
 """Event-time windows (T3 T4 T5) and windowed aggregates (A1 A2 A4 A5).
 
-Windows are ``[end - size, end)`` with ``end`` a multiple of ``slide`` from the
-epoch (UTC), as in the reference framework and in ``F.window``. Only non-empty
-windows give rows.
+Windows are ``[start, start + size)`` with ``start`` a multiple of ``slide`` from
+the epoch (UTC), as in the reference framework and in ``F.window`` (when slide
+divides size, the ends are multiples of slide too). Only non-empty windows give
+rows.
 
 Sliding windows use **pane pre-aggregation** instead of assigning every row to
 size/slide windows: rows are first counted per (key, pane), where a pane is a
