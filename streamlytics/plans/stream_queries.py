@@ -159,3 +159,17 @@ def stream_hot_urls_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = with_event_time(parse_access_log(td.access_log_lines(spark, sf_dir, stream=True)), "ts_us", "1 second")
     counts, rank = SJ.stream_hot_urls(log, "10 minutes", "5 seconds", 5)
     return run_available_now(counts, "hot_urls", foreach=rank)
+
+
+_MKT = (f"SELECT * FROM ({O.MARKETING}) m WHERE behavior IS DISTINCT FROM 'UNINSTALL'")
+
+
+@register("stream_marketing_by_channel", _closed(_BATCH_SQL["marketing_by_channel"], _MKT))
+def stream_marketing_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 on a stream: counts per (channel, behaviour), 1 h windows sliding by 1 min."""
+    m = with_event_time(td.marketing_events(spark, sf_dir, stream=True), "ts_us", "0 seconds")
+    kept = m.filter(~F.col("behavior").eqNullSafe("UNINSTALL"))
+    c = SJ.stream_window_count(kept, ["channel", "behavior"], "1 hour", "1 minute")
+    c = c.select("window_start", "window_end", format_window_time("window_start").alias("window_start_str"),
+                 format_window_time("window_end").alias("window_end_str"), "channel", "behavior", "cnt")
+    return run_available_now(c, "marketing")
