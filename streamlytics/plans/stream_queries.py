@@ -15,13 +15,19 @@ from pyspark.sql import functions as F
 from ..sources import testdata as td
 from ..streaming import jobs as SJ
 from ..streaming import state as ST
-from ..streaming.core import run_available_now, with_event_time
+from ..streaming.core import run_available_now as _run, with_event_time
 from ..functions.time import format_window_time
 from . import oracle as O
 from .queries import CAP_RANKED, D, H, MIN, PV, register
 from .queries import ORACLE as _BATCH_SQL
 
 
+def run_available_now(df, name, **kw):
+    """Registered streams use one state partition per core of the cluster."""
+    kw.setdefault("state_partitions", df.sparkSession.sparkContext.defaultParallelism)
+    return _run(df, name, **kw)
+
+
 def _closed(sql: str, src: str) -> str:
     """Rows of ``sql`` whose window has been closed by the watermark of ``src``."""
     return f"SELECT * FROM ({sql}) q WHERE window_end <= (SELECT max(ts_us) // 1000 FROM ({src}) s)"

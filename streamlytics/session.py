@@ -50,17 +50,45 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    configure(spark)
     return spark
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply ``REQUIRED_CONF`` to a session (idempotent); called by the sources."""
+    """Apply ``REQUIRED_CONF`` to a session and make the package importable by the
+    Python workers (idempotent); called by the sources."""
     for k, v in REQUIRED_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Distribute this package to the executors' Python workers (``addPyFile`` of a
+    zip, as ``--py-files`` would), once per SparkContext. The stream state functions
+    run in Python workers and are pickled by reference to this package."""
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="streamlytics-pkg-"), "streamlytics.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 

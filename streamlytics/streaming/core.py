@@ -46,26 +46,36 @@ def _duration_text(d) -> str:
 
 
 def run_available_now(df: DataFrame, name: str, mode: str = "append",
-                      foreach: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                      foreach: Callable[[DataFrame], DataFrame] | None = None,
+                      state_partitions: int | None = None) -> DataFrame:
     """Run a streaming DataFrame over everything available now and return the
     result table (a Parquet folder under the shared checkpoint folder).
 
     ``foreach`` maps each micro-batch (a static DataFrame) before it is appended,
     e.g. a batch top-N over the windows the batch has just closed.
+    ``state_partitions`` fixes the number of state-store partitions of the query
+    (taken from ``spark.sql.shuffle.partitions`` when the query first starts and
+    kept in its checkpoint); the session setting is restored afterwards.
     """
     spark = df.sparkSession
     out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
     w = df.writeStream.option("checkpointLocation", ckpt).outputMode(mode).trigger(availableNow=True)
-    if foreach is None and mode == "append":
-        q = w.format("parquet").option("path", out).start()
-    else:
-        fn = foreach or (lambda b: b)
-
-        def sink(batch: DataFrame, epoch_id: int) -> None:
-            # foreachBatch is at-least-once: a retried epoch overwrites its own
-            # folder instead of appending a second copy.
-            fn(batch).write.mode("overwrite").parquet(f"{out}/epoch={epoch_id}")
-        q = w.foreachBatch(sink).start()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        if foreach is None and mode == "append":
+            q = w.format("parquet").option("path", out).start()
+        else:
+            fn = foreach or (lambda b: b)
+
+            def sink(batch: DataFrame, epoch_id: int) -> None:
+                # foreachBatch is at-least-once: a retried epoch overwrites its own
+                # folder instead of appending a second copy.
+                fn(batch).write.mode("overwrite").parquet(f"{out}/epoch={epoch_id}")
+            q = w.foreachBatch(sink).start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     q.awaitTermination()
     schema = (foreach(df.sparkSession.createDataFrame([], df.schema)) if foreach else df).schema
     res = _read_or_empty(spark, out, schema)
