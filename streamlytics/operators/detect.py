@@ -69,9 +69,10 @@ def login_fail_arrival(df: DataFrame, key: str = "user_id", type_col: str = "eve
     fail with ``ts < prev_ts + within`` warns (no lower bound; any other event type
     clears). Returns key, first_us, last_us, msg."""
     w = duration_us(within)
-    n = with_neighbor(df.select(key, type_col, ts_col, seq_col), [key], [seq_col],
-                      seq_bucket(seq_col, bucket_width), [type_col, ts_col], "prev")
-    hit = ((F.col(type_col) == fail) & (F.col(f"prev_{type_col}") == fail)
+    # a boolean instead of the type text keeps the per-bucket edge a hash aggregate
+    d = df.select(key, (F.col(type_col) == fail).alias("_fail"), ts_col, seq_col)
+    n = with_neighbor(d, [key], [seq_col], seq_bucket(seq_col, bucket_width), ["_fail", ts_col], "prev")
+    hit = (F.col("_fail") & F.col("prev__fail")
            & (F.col(ts_col) < F.col(f"prev_{ts_col}") + F.lit(w)))
     return n.filter(hit).select(key, F.col(f"prev_{ts_col}").alias("first_us"),
                                 F.col(ts_col).alias("last_us"), F.lit(msg).alias("msg"))

@@ -110,7 +110,7 @@ def with_neighbor(df: DataFrame, keys, order: Sequence[str], bucket: Column, col
         near = F.last("_s", ignorenulls=True).over(spec.rowsBetween(W.unboundedPreceding, -1))
     # First (last) qualifying row of each bucket: a partial aggregate, so only one
     # row per (key, bucket, map task) is shuffled for it.
-    per = d.groupBy(*keys, "_b").agg((F.min if fwd else F.max)("_s").alias("_edge"))
+    per = d.groupBy(*keys, "_b").agg(_edge_agg(df, order, cols, fwd, where).alias("_edge"))
     d = d.withColumn("_in", near)
     # ... carried to the buckets before (after) it: one row per (key, bucket).
     carry = W.partitionBy(*keys).orderBy(F.col("_b").desc() if fwd else F.col("_b").asc()) \
@@ -122,6 +122,22 @@ def with_neighbor(df: DataFrame, keys, order: Sequence[str], bucket: Column, col
                     *[got[f"_c{i}"].alias(f"{prefix}{c}") for i, c in enumerate(cols)])
 
 
+_FIXED = ("bigint", "int", "smallint", "tinyint", "boolean", "double", "float", "date", "timestamp")
+
+
+def _edge_agg(df: DataFrame, order, cols, fwd: bool, where) -> Column:
+    """min/max of the row struct per bucket. With one order column and fixed-width
+    columns (and no filter) it is built from ``min_by``/``max_by``, which hash
+    aggregation supports; a struct buffer would force a sort-based aggregate."""
+    types = dict(df.dtypes)
+    if where is None and len(order) == 1 and all(types[c] in _FIXED for c in [*order, *cols]):
+        o = order[0]
+        by = F.min_by if fwd else F.max_by
+        return F.struct((F.min if fwd else F.max)(o).alias("_o0"),
+                        *[by(c, o).alias(f"_c{i}") for i, c in enumerate(cols)])
+    return (F.min if fwd else F.max)("_s")
+
+
 def _adjacent_neighbor(df, keys, order, bucket, cols, fwd, where, prefix, s) -> DataFrame:
     d = df.withColumn("_b", bucket).withColumn("_own", F.lit(True))
     d = d.withColumn("_s", s if where is None else F.when(where, s))

@@ -161,3 +161,13 @@ def test_choose_width_narrows_for_a_burst(spark):
     got = with_neighbor(df, ["key"], ["ts_us", "seq"], time_bucket("ts_us", w), ["seq"], "next")
     ref = df.withColumn("n", F.lead("seq").over(W.partitionBy("key").orderBy("ts_us", "seq")))
     assert rows(got, "seq", "next_seq") == rows(ref, "seq", "n")
+
+
+@pytest.mark.parametrize("direction", ["next", "prev"])
+def test_with_neighbor_single_order_column_hash_path(spark, direction):
+    df = _random_events(spark).withColumn("flag", F.col("et") == "b")
+    got = with_neighbor(df, ["key"], ["seq"], seq_bucket("seq", 53), ["flag", "ts_us"], direction)
+    fn = F.lead if direction == "next" else F.lag
+    w = W.partitionBy("key").orderBy("seq")
+    ref = df.select("seq", fn("flag").over(w).alias("f"), fn("ts_us").over(w).alias("t"))
+    assert rows(got, "seq", f"{direction}_flag", f"{direction}_ts_us") == rows(ref)
