@@ -126,9 +126,10 @@ _FIXED = ("bigint", "int", "smallint", "tinyint", "boolean", "double", "float",
 
 
 def _edge_agg(df: DataFrame, order, cols, fwd: bool, where) -> Column:
-    """min/max of the row struct per bucket. With one order column and fixed-width
-    columns (and no filter) it is built from ``min_by``/``max_by``, which hash
-    aggregation supports; a struct buffer would force a sort-based aggregate."""
+    """min/max of the row struct per bucket. With one order column (unique within a
+    key, like an arrival sequence) and fixed-width columns (and no filter) it is
+    built from ``min_by``/``max_by``, which hash aggregation supports; a struct
+    buffer would force a sort-based aggregate."""
     types = dict(df.dtypes)
     if where is None and len(order) == 1 and all(types[c] in _FIXED for c in [*order, *cols]):
         o = order[0]
