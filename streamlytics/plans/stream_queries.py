@@ -179,3 +179,25 @@ def stream_marketing_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = c.select("window_start", "window_end", format_window_time("window_start").alias("window_start_str"),
                  format_window_time("window_end").alias("window_end_str"), "channel", "behavior", "cnt")
     return run_available_now(c, "marketing")
+
+
+_PAY_SRC = f"SELECT ts_us FROM ({O.EVENTS}) e WHERE event_type = 'purchase'"
+_REC_SRC = f"SELECT ts_us FROM ({O.EVENTS}) e WHERE event_type = 'click'"
+# global watermark = the smaller of the two streams' watermarks (Spark's default policy)
+_WM2 = f"least((SELECT max(ts_us) // 1000 FROM ({_PAY_SRC}) a), (SELECT max(ts_us) // 1000 FROM ({_REC_SRC}) b)) * 1000"
+
+
+@register("stream_tx_reconcile", (
+    f"SELECT * FROM ({_BATCH_SQL['tx_reconcile']}) q WHERE output = 'matched' "
+    f"OR (output = 'unmatched_pay' AND pay_us + {H} < {_WM2}) "
+    f"OR (output = 'unmatched_receipt' AND receipt_us + {H} < {_WM2})"))
+def stream_tx_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 on streams: full outer interval join (+-1 h) of purchases and clicks; an
+    unmatched row is emitted once the watermark has passed its interval."""
+    pays = with_event_time(td.pay_events(spark, sf_dir, stream=True), "ts_us", "0 seconds", "pay_ts") \
+        .withColumnRenamed("ts_us", "pay_us")
+    recs = with_event_time(td.receipt_events(spark, sf_dir, stream=True), "ts_us", "0 seconds", "receipt_ts") \
+        .withColumnRenamed("ts_us", "receipt_us")
+    j = SJ.stream_interval_join(pays, recs, "key", "-1 hour", "1 hour", "pay_ts", "receipt_ts", "full_outer")
+    j = j.select("key", "pay_id", "pay_us", "receipt_id", "pay_channel", "receipt_us", "output")
+    return run_available_now(j, "tx_reconcile")
