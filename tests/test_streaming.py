@@ -199,3 +199,18 @@ def test_click_cap_day_before_epoch(spark):
     clicks = records_from_lines(spark, ["1,9,p,c,-1", "1,9,p,c,1"], "ad_click")
     out = jobs.blacklist_filter(clicks, cap=1, reset="day")
     assert out.filter("output = 'pass'").count() == 2
+
+
+def test_stream_order_outcomes_timers_across_batches(spark):
+    from streamlytics.streaming.state import stream_order_outcomes
+    # file 1 ends at 1558430943 s; file 2 holds the late pays (34756, 34767), the
+    # pay without create (34768) and moves the watermark past every deadline
+    s = with_event_time(_two_file_stream(spark, FX.ORDER_LOG, "order", 60, "orders3"), "ts_us", "0 seconds")
+    got = run_available_now(stream_order_outcomes(s), "outcomes2")
+    by = {}
+    for oid, msg in rows(got, "order_id", "msg"):
+        by.setdefault(msg, set()).add(oid)
+    assert len(by["payed successfully"]) == 36
+    assert by["payed but already timeout"] == {34756, 34767}
+    assert by["order timeout"] == {34730}
+    assert by["already payed but not found create log"] == {34768}
