@@ -26,7 +26,12 @@ from .core import _duration_text, window_bounds_ms
 
 def stream_window_count(df: DataFrame, keys, size="1 hour", slide=None, ts_col: str = "ts",
                         count_col: str = "cnt") -> DataFrame:
-    """A1/A2 T3/T4 on a watermarked stream: keys..., window_start, window_end (ms), cnt."""
+    """A1/A2 T3/T4 on a watermarked stream: keys..., window_start, window_end (ms), cnt.
+
+    The second stage expands each closed pane with ``F.window`` into size/slide
+    windows; beyond a few hundred windows per pane Spark's generated code for the
+    expansion is too large and it falls back to interpreted evaluation (slower,
+    still exact)."""
     k = [] if keys is None else ([keys] if isinstance(keys, str) else list(keys))
     size_us = duration_us(size)
     slide_us = duration_us(slide) if slide else size_us
