@@ -1,7 +1,5 @@
 """Scalar functions F1-F9 against hand-computed values."""
 
-from pyspark.sql import functions as F
-
 from streamlytics.functions.text import drop_static_resources, split_fields, tx_present
 from streamlytics.functions.time import (duration_us, format_sql_time, format_window_time,
                                          next_midnight_us, parse_log_time)
