@@ -214,3 +214,10 @@ def test_stream_order_outcomes_timers_across_batches(spark):
     assert by["payed but already timeout"] == {34756, 34767}
     assert by["order timeout"] == {34730}
     assert by["already payed but not found create log"] == {34768}
+
+
+def test_malformed_record_fails_the_job(spark):
+    import pytest
+    bad = records_from_lines(spark, ["5402,83.149.11.115,success,1558430815", "x,1.2.3.4,fail,notatime"], "login")
+    with pytest.raises(Exception):
+        bad.collect()
