@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import duration_us
-from .sequence import running_sum, time_bucket
+from .sequence import pack_order, running_sum, time_bucket, unpack_order
 from .windows import explode_windows
 
 
@@ -44,8 +44,11 @@ def running_unique_visitors(df: DataFrame, user_col: str = "user_id", ts_col: st
     _, we = _tumble(ts_col, size_us)
     rows = df.select(we.alias("window_end"), F.col(ts_col).alias("_t"), F.col(seq_col).alias("_q"),
                      F.col(user_col).alias("_u"))
-    firsts = (rows.groupBy("window_end", "_u").agg(F.min(F.struct("_t", "_q")).alias("_f"))
-              .select("window_end", F.col("_f._t").alias("_t"), F.col("_f._q").alias("_q"),
+    # first (ts, seq) per (window, visitor): packed into one decimal so that the
+    # aggregate is a hash aggregate with map-side partial aggregation
+    t, q = unpack_order("_f")
+    firsts = (rows.groupBy("window_end", "_u").agg(F.min(pack_order("_t", "_q")).alias("_f"))
+              .select("window_end", t.alias("_t"), q.alias("_q"),
                       F.lit(0).alias("_m"), F.lit(1).cast("bigint").alias("_flag")))
     marked = rows.select("window_end", "_t", "_q", F.lit(1).alias("_m"),
                          F.lit(0).cast("bigint").alias("_flag")).unionByName(firsts)

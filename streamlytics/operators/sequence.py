@@ -68,6 +68,25 @@ def choose_width(df: DataFrame, keys, ts_col: str = "ts_us", base="1 hour",
     return w
 
 
+# (ts, seq) packed into one DECIMAL(38,0) with the same order: ts + 2^58 (any µs
+# timestamp of years -7100..11100) times 2^64, plus seq + 2^63 (any bigint).
+_TS_OFF, _SEQ_OFF, _SHIFT = 1 << 58, 1 << 63, 1 << 64
+
+
+def pack_order(ts_col: str, seq_col: str) -> Column:
+    """Order-preserving single value for (ts, seq); ``min``/``max`` over it run as
+    hash aggregates (a struct would need a sort-based aggregate)."""
+    return F.expr(f"(CAST(`{ts_col}` AS DECIMAL(38,0)) + {_TS_OFF}) * {_SHIFT} "
+                  f"+ (CAST(`{seq_col}` AS DECIMAL(38,0)) + {_SEQ_OFF})")
+
+
+def unpack_order(packed: str) -> tuple[Column, Column]:
+    """Inverse of ``pack_order``: (ts, seq) as bigint columns."""
+    ts = F.expr(f"CAST(`{packed}` div {_SHIFT} - {_TS_OFF} AS BIGINT)")
+    seq = F.expr(f"CAST(pmod(`{packed}`, CAST({_SHIFT} AS DECIMAL(38,0))) - {_SEQ_OFF} AS BIGINT)")
+    return ts, seq
+
+
 def _list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 

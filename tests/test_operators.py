@@ -171,3 +171,13 @@ def test_with_neighbor_single_order_column_hash_path(spark, direction):
     w = W.partitionBy("key").orderBy("seq")
     ref = df.select("seq", fn("flag").over(w).alias("f"), fn("ts_us").over(w).alias("t"))
     assert rows(got, "seq", f"{direction}_flag", f"{direction}_ts_us") == rows(ref)
+
+
+def test_pack_order_roundtrip_and_order(spark):
+    from streamlytics.operators.sequence import pack_order, unpack_order
+    vals = [(-(1 << 57), -(1 << 63)), (-1, 5), (0, 0), (0, (1 << 63) - 1), (1, -(1 << 63)),
+            (1706658900_000000, 12), (1706658900_000000, 13), ((1 << 57), 7)]
+    df = spark.createDataFrame(vals, "t BIGINT, q BIGINT").withColumn("p", pack_order("t", "q"))
+    t, q = unpack_order("p")
+    got = [tuple(r) for r in df.orderBy("p").select(t, q).collect()]
+    assert got == sorted(vals)
