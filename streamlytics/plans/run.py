@@ -86,7 +86,26 @@ def _stream_outputs(job: str, d: list, p: dict) -> dict:
     # A file stream has no arrival sequence; the event-time jobs only use it to break
     # ties, which are then left unordered (a queue's offset is used when present).
     d = [x if "seq" in x.columns else x.withColumn("seq", F.col("ts_us")) for x in d]
-    d = [with_event_time(x, "ts_us", delay) for x in d]
+    if job in ("tx_match_detect", "tx_match_by_join"):
+        # each side gets its own event-time column and watermark
+        pays = with_event_time(_pays(d[0]), "pay_us", "0 seconds", "pay_ts", p.get("max_ts_us"))
+        recs = with_event_time(_receipts(d[1]), "receipt_us", "0 seconds", "receipt_ts", p.get("max_ts_us"))
+        how = "full_outer" if job == "tx_match_detect" else "inner"
+        j = SJ.stream_interval_join(pays, recs, "tx_id", p.get("lower", "-5 seconds"), p.get("upper", "5 seconds"),
+                                    "pay_ts", "receipt_ts", how)
+        return {"result": j.drop("pay_ts", "receipt_ts")}
+    # max_ts_us: optional guard against impossible future event times (they would push
+    # the watermark past all real data)
+    d = [with_event_time(x, "ts_us", delay, max_ts_us=p.get("max_ts_us")) for x in d]
+    if job == "hot_items":
+        counts, rank = SJ.stream_hot_items(d[0], p.get("size", "1 hour"), p.get("slide", "5 minutes"), p.get("n", 3))
+        return {"report": (counts, lambda b: jobs.hot_items_report(rank(b)))}
+    if job == "network_flow":
+        counts, rank = SJ.stream_hot_urls(d[0], p.get("size", "10 minutes"), p.get("slide", "5 seconds"), p.get("n", 5))
+        return {"report": (counts, lambda b: jobs.hot_urls_report(rank(b)))}
+    if job == "blacklist_warning":
+        tagged = ST.stream_click_cap(d[0], p.get("keys", ("user_id", "ad_id")), p.get("cap", 100), p.get("reset", "day"))
+        return {"clicks": tagged}   # output = pass | warn
     if job == "page_view":
         return {"pv": SJ.stream_window_count(d[0].filter("behavior = 'pv'"), None, p.get("size", "1 hour"))}
     if job == "unique_visitor":
@@ -115,10 +134,22 @@ def run(spark: SparkSession, job: str, inputs: list[str], output: str | None = N
         from streamlytics.session import scratch_path
         qs = {}
         for name, df in outs.items():
+            per_batch = None
+            if isinstance(df, tuple):          # (stream, function applied to each micro-batch)
+                df, per_batch = df
             w = df.writeStream.outputMode("append").option(
                 "checkpointLocation", f"{output}/_checkpoints/{name}" if output else scratch_path(spark, name))
-            qs[name] = (w.format("parquet").option("path", f"{output}/{name}") if output
-                        else w.format("console").option("truncate", False)).start()
+            if per_batch is not None:
+                def sink(batch, epoch_id, fn=per_batch, name=name):
+                    res = fn(batch)
+                    if output:     # one folder per epoch: a retried epoch overwrites itself
+                        res.write.mode("overwrite").parquet(f"{output}/{name}/epoch={epoch_id}")
+                    else:
+                        res.show(20, truncate=False)
+                qs[name] = w.foreachBatch(sink).start()
+            else:
+                qs[name] = (w.format("parquet").option("path", f"{output}/{name}") if output
+                            else w.format("console").option("truncate", False)).start()
         return qs
     for name, df in outs.items():
         if output:
