@@ -75,17 +75,23 @@ def ship_package(spark: SparkSession) -> None:
     key = sc.applicationId
     if key in _SHIPPED:
         return
+    import warnings
     import zipfile
     pkg = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg)
-    out = os.path.join(tempfile.mkdtemp(prefix="streamlytics-pkg-"), "streamlytics.zip")
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-        for d, _, files in os.walk(pkg):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(d, f)
-                    z.write(full, os.path.relpath(full, root))
-    sc.addPyFile(out)
+    try:
+        # a code archive on the driver; Spark itself copies it to every executor
+        out = os.path.join(tempfile.mkdtemp(prefix="streamlytics-pkg-"), "streamlytics.zip")
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for d, _, files in os.walk(pkg):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(d, f)
+                        z.write(full, os.path.relpath(full, root))
+        sc.addPyFile(out)
+    except Exception as e:  # batch plans are JVM-only and do not need it
+        warnings.warn(f"could not ship streamlytics to the Python workers ({e}); "
+                      "pass it with --py-files for the streaming state functions")
     _SHIPPED.add(key)
 
 
