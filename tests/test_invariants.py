@@ -50,3 +50,15 @@ def test_sliding_count_brute_force(spark, size_s, slide_s, ts):
             want[key] = want.get(key, 0) + 1
             s += slide_s
     assert got == want
+
+
+def test_hll_sliding_windows_match_exact_at_small_cardinality(spark):
+    # sketches are exact while a window holds few distinct users; the sliding form
+    # unions pane sketches, so this checks the pane fan-out of sketches
+    views = td.user_behavior(spark, SF_SMALL).filter("behavior = 'pv'")
+    approx = distinct.approx_unique_visitors(views, "user_id", "ts_us", "1 hour", "10 minutes")
+    exploded = views.select("user_id", F.timestamp_micros("ts_us").alias("ts"))
+    exact = (exploded.groupBy(F.window("ts", "1 hour", "10 minutes").alias("w"))
+             .agg(F.countDistinct("user_id").alias("uv"))
+             .select((F.unix_micros("w.end") / 1000).cast("bigint").alias("window_end"), "uv"))
+    assert rows(approx, "window_end", "uv") == rows(exact)
