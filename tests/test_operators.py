@@ -181,3 +181,17 @@ def test_pack_order_roundtrip_and_order(spark):
     t, q = unpack_order("p")
     got = [tuple(r) for r in df.orderBy("p").select(t, q).collect()]
     assert got == sorted(vals)
+
+
+def test_bounded_broadcast_checks_the_size(spark):
+    from streamlytics.operators.dims import bounded_broadcast
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = spark.range(0, 1000).withColumnRenamed("id", "k")
+        dim = spark.range(0, 30).withColumnRenamed("id", "k")
+        small_plan = big.join(bounded_broadcast(dim, max_rows=100), "k")._jdf.queryExecution().executedPlan().toString()
+        large_plan = big.join(bounded_broadcast(dim, max_rows=10), "k")._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in small_plan
+        assert "BroadcastHashJoin" not in large_plan and "SortMergeJoin" in large_plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
