@@ -42,7 +42,8 @@ def read_records(spark: SparkSession, path: str, kind: str, with_seq: bool = Tru
 def read_records_stream(spark: SparkSession, path: str, kind: str, max_files: int | None = None) -> DataFrame:
     """Streaming form of ``read_records`` (a folder that receives new CSV files)."""
     configure(spark)
-    r = spark.readStream.schema(SCHEMAS[kind]).option("mode", "FAILFAST")
+    r = (spark.readStream.schema(SCHEMAS[kind]).option("mode", "FAILFAST")
+         .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True))
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return _finish(r.csv(path), kind)
@@ -51,7 +52,9 @@ def read_records_stream(spark: SparkSession, path: str, kind: str, max_files: in
 def decode_records(df: DataFrame, kind: str, value_col: str = "value") -> DataFrame:
     """S3: decode a message-queue ``value`` (binary or string) holding one CSV record,
     as delivered by ``spark.readStream.format('kafka')``; other columns are kept."""
-    parsed = F.from_csv(F.col(value_col).cast("string"), SCHEMAS[kind], {"mode": "FAILFAST"})
+    parsed = F.from_csv(F.col(value_col).cast("string"), SCHEMAS[kind],
+                        {"mode": "FAILFAST", "ignoreLeadingWhiteSpace": "true",
+                         "ignoreTrailingWhiteSpace": "true"})
     keep = [c for c in df.columns if c != value_col]
     out = df.select(*keep, parsed.alias("_r")).select(*keep, "_r.*")
     return _finish(out, kind)

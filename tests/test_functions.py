@@ -38,3 +38,17 @@ def test_durations():
     assert duration_us("5 seconds") == 5_000_000
     assert duration_us("15 minutes") == 900_000_000
     assert duration_us(42) == 42
+
+
+def test_records_are_trimmed(spark):
+    from streamlytics.sources.records import records_from_lines
+    df = records_from_lines(spark, [" 5402 , 83.149.11.115 ,  success , 1558430815 "], "login")
+    r = df.select("user_id", "ip", "event_type", "ts_us").first()
+    assert tuple(r) == (5402, "83.149.11.115", "success", 1558430815_000000)
+
+
+def test_file_records_are_trimmed(spark, tmp_path):
+    from streamlytics.sources.records import read_records
+    (tmp_path / "a.csv").write_text(" 5402 , 83.149.11.115 ,  success , 1558430815 \n")
+    r = read_records(spark, str(tmp_path), "login").select("user_id", "ip", "event_type", "ts_us").first()
+    assert tuple(r) == (5402, "83.149.11.115", "success", 1558430815_000000)
