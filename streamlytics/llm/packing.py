@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from ..session import ship_package
+
 CAPACITY, END_ID, FULL = 2048, 1, 0.97
 SMALLEST = 48
 SPECIAL = "<|endoftext|>"
@@ -149,6 +151,7 @@ def _packer(capacity: int, end_id: int, ranks_path: str, json_path: str, with_id
 def pack(docs: DataFrame, ranks_path: str, json_path: str, capacity: int = CAPACITY,
          end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """One row per piece; with ``with_ids`` its ids as well. No shuffle."""
+    ship_package(docs.sparkSession)
     schema = _SCHEMA + (", ids array<int>" if with_ids else "")
     return docs.select(docs["doc_id"].cast("long"), "text").mapInArrow(
         _packer(capacity, end_id, ranks_path, json_path, with_ids), schema)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality_rules
+from . import decontaminate, line_dedup, ngram_join, packing, quality_rules, substring_dedup
 from .tables import read
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -48,7 +48,7 @@ gone AS (SELECT n.doc_id, sum(len(string_split(n.x, ' '))) AS w, count(DISTINCT
          FROM norm n JOIN limits h ON n.source IS NOT DISTINCT FROM h.source AND n.x = h.x
          WHERE n.doc_id <> h.first_doc GROUP BY n.doc_id),
 m AS (SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
-             CAST(coalesce(list_sum(list_transform(ws, w -> length(w))), 0) AS BIGINT) AS word_chars,
+             CAST(coalesce(list_sum([length(w) FOR w IN ws]), 0) AS BIGINT) AS word_chars,
              CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
              CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
              CAST(coalesce(gone.w, 0) AS BIGINT) AS n_removed_words, CAST(coalesce(gone.k, 0) AS BIGINT) AS n_removed_lines
@@ -60,10 +60,79 @@ FROM m
 """
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.removed_lines(read(spark, sf_dir, "documents"))
+
+
+OP2_SQL = r"""
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS x,
+                  unnest(range(0, len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents),
+o AS (SELECT [doc_id, i] AS place, regexp_extract_all(x, '[^\x20\x09-\x0D]+') AS ws FROM l
+      WHERE regexp_matches(x, '[^\x20\x09-\x0D]')),
+d AS (SELECT array_to_string(ws, ' ') AS w, any_value(ws) AS ws, min(place) AS first FROM o GROUP BY 1),
+long AS (SELECT * FROM d WHERE len(ws) >= 8),
+cut AS (SELECT w, first, p, array_to_string(ws[1:p - 1] || ws[p + 1:], ' ') AS v
+        FROM (SELECT w, ws, first, unnest(range(1, len(ws) + 1)) AS p FROM long) WHERE len(ws) >= 8),
+swap AS (SELECT v, p, min(first) AS best FROM cut GROUP BY v, p HAVING count(*) > 1),
+near AS (SELECT w, best FROM cut JOIN swap USING (v, p) WHERE best < first
+         UNION ALL SELECT c.w, s.first FROM cut c JOIN long s ON c.v = s.w WHERE s.first < c.first
+         UNION ALL SELECT s.w, c.first FROM cut c JOIN long s ON c.v = s.w WHERE c.first < s.first),
+keeper AS (SELECT w, min(best) AS best FROM near GROUP BY w)
+SELECT place[1] AS doc_id, place[2] AS line_no, CAST(len(o.ws) AS BIGINT) AS n_words,
+       coalesce(best, first)[1] AS kept_doc_id, coalesce(best, first)[2] AS kept_line_no,
+       CAST(best IS NOT NULL AS INTEGER) AS distance
+FROM o JOIN d ON array_to_string(o.ws, ' ') = d.w LEFT JOIN keeper k ON k.w = d.w
+WHERE best IS NOT NULL OR place <> first
+"""
+
+_SHINGLES = """CASE WHEN len(ws) >= 5 THEN list_distinct([array_to_string(ws[i:i + 4], ' ') FOR i IN range(1, len(ws) - 3)])
+                    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END"""
+_LOW_WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+')"
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("text_key")
+
+
+OP4_SQL = f"""
+WITH d AS (SELECT doc_id, unnest({_SHINGLES}) AS s FROM (SELECT doc_id, {_LOW_WORDS} AS ws FROM documents)),
+i AS (SELECT item_id, unnest({_SHINGLES}) AS s FROM (SELECT item_id, {_LOW_WORDS} AS ws FROM benchmark)),
+n AS (SELECT item_id, count(*) AS n_item FROM i GROUP BY item_id),
+c AS (SELECT doc_id, item_id, count(*) AS n_shared FROM d JOIN i USING (s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_shared, n_item FROM c JOIN n USING (item_id) WHERE 5 * n_shared >= 4 * n_item
+"""
+
+
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(read(spark, sf_dir, "documents")).drop("text_key")
+
+
+OP6_SQL = f"""
+WITH RECURSIVE t AS (SELECT doc_id, array_to_string(ws, ' ') AS x, {_SHINGLES} AS sh
+                     FROM (SELECT doc_id, {_LOW_WORDS} AS ws FROM documents)),
+s AS (SELECT doc_id, unnest(sh) AS s FROM t),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM s a JOIN s b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT a, b, x.x AS xa, y.x AS xb FROM c JOIN t x ON a = x.doc_id JOIN t y ON b = y.doc_id
+         WHERE 5 * n >= 4 * (len(x.sh) + len(y.sh) - n)),
+reach AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+cls AS (SELECT a AS doc_id, min(b) AS least FROM reach GROUP BY a),
+deg AS (SELECT a AS doc_id, count(*) AS n, count(DISTINCT CASE WHEN xa <> xb THEN xb END) AS k FROM link GROUP BY a)
+SELECT doc_id, least(doc_id, coalesce(cls.least, doc_id)) AS class_id, coalesce(n, 0) AS n_links, coalesce(k, 0) AS n_text_links
+FROM t LEFT JOIN cls USING (doc_id) LEFT JOIN deg USING (doc_id)
+"""
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_ranges(read(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"),
                         tokenizer_path("byte_bpe_50k.json"))
 
 
-QUERIES = {"op1_quality_rules": op1_quality_rules, "op7_packing": op7_packing}
-ORACLE = {"op1_quality_rules": OP1_SQL}
+QUERIES = {"op1_quality_rules": op1_quality_rules, "op2_line_dedup": op2_line_dedup,
+           "op4_decontamination": op4_decontamination, "op6_ngram_join": op6_ngram_join,
+           "op7_packing": op7_packing, "op10_substring_dedup": op10_substring_dedup}
+ORACLE = {"op1_quality_rules": OP1_SQL, "op2_line_dedup": OP2_SQL, "op4_decontamination": OP4_SQL,
+          "op6_ngram_join": OP6_SQL}
