@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, ngram_join, packing, quality_rules, substring_dedup
+from . import (decontaminate, line_dedup, lm_score, ngram_join, packing, quality_gam, quality_rules, substring_dedup,
+               token_counts, toxicity)
 from .tables import read
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -122,6 +123,22 @@ FROM t LEFT JOIN cls USING (doc_id) LEFT JOIN deg USING (doc_id)
 """
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_totals(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"))
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_gam.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_ranges(read(spark, sf_dir, "documents"))
 
@@ -132,7 +149,9 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_quality_rules": op1_quality_rules, "op2_line_dedup": op2_line_dedup,
-           "op4_decontamination": op4_decontamination, "op6_ngram_join": op6_ngram_join,
-           "op7_packing": op7_packing, "op10_substring_dedup": op10_substring_dedup}
+           "op3_token_counts": op3_token_counts, "op4_decontamination": op4_decontamination,
+           "op5_lm_scoring": op5_lm_scoring, "op6_ngram_join": op6_ngram_join, "op7_packing": op7_packing,
+           "op8_quality_classifier": op8_quality_classifier, "op9_toxicity": op9_toxicity,
+           "op10_substring_dedup": op10_substring_dedup}
 ORACLE = {"op1_quality_rules": OP1_SQL, "op2_line_dedup": OP2_SQL, "op4_decontamination": OP4_SQL,
           "op6_ngram_join": OP6_SQL}
