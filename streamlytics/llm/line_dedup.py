@@ -34,6 +34,7 @@ from .tables import null_safe, written
 from .text import Words, mix, signed, text_chunks
 
 MIN_WORDS = 8
+_HALVES = ("h1", "h2", "h3", "h4")
 _LAST = (1 << 63) - 1
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -77,23 +78,18 @@ def _places(min_words: int):
             doc, number, a, b = _line_bounds(w)
             one, two = (_Sums(h, x) for x in _BASES)
             n = b - a
-            halves, count = [], np.zeros(len(a), np.int64)
+            halves = []
             for d in (0, 1):
                 ok = n - d >= min_words
-                size = (n - d)[ok]
+                size = np.where(ok, n - d, 1)
                 cut = size // 2
                 tag = mix(size.astype(np.uint64))
-                halves += [(np.flatnonzero(ok), one.run(a[ok], a[ok] + cut) ^ tag),
-                           (np.flatnonzero(ok), one.run(b[ok] - (size - cut), b[ok]) ^ mix(tag))]
-                count += 2 * ok
-            at = np.concatenate([x for x, _ in halves])
-            keys = np.concatenate([x for _, x in halves])[np.argsort(at, kind="stable")]
-            bounds = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+                halves += [pa.array(signed(x), mask=~ok) for x in (one.run(a, a + cut) ^ tag,
+                                                                   one.run(b - (size - cut), b) ^ mix(tag))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(doc)), pa.array(number.astype(np.int32)), pa.array(n.astype(np.int32)),
-                 pa.array(signed(one.run(a, b))), pa.array(signed(two.run(a, b))),
-                 pa.ListArray.from_arrays(pa.array(bounds), pa.array(signed(keys)))],
-                names=["doc", "line", "n", "l1", "l2", "halves"])
+                 pa.array(signed(one.run(a, b))), pa.array(signed(two.run(a, b))), *halves],
+                names=["doc", "line", "n", "l1", "l2", *_HALVES])
     return run
 
 
@@ -154,9 +150,10 @@ def _verify(batches):
                                          names=["l1", "l2", "k_doc", "k_line"])
 
 
-def near_lines(docs: DataFrame, places: DataFrame, lines: DataFrame) -> DataFrame:
+def near_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """(l1, l2, k_doc, k_line): distinct lines with an earlier line within one edit, and its place."""
-    halves = lines.filter(F.size("halves") > 0).select("l1", "l2", F.explode("halves").alias("half"))
+    halves = lines.filter("h1 is not null").select("l1", "l2", F.explode(F.array(*_HALVES)).alias("half")) \
+        .filter("half is not null")
     shared = halves.groupBy("half").agg(F.count("*").alias("c")).filter("c > 1").select("half")
     asked = halves.join(shared, "half", "left_semi").select("l1", "l2").distinct() \
         .join(lines.select("l1", "l2", "first"), ["l1", "l2"])
@@ -170,11 +167,13 @@ def near_lines(docs: DataFrame, places: DataFrame, lines: DataFrame) -> DataFram
                                             F.first("line").alias("line"))
                    .select("text", F.struct("doc", "line", "l1", "l2").alias("place")), "lines")
     place = "place struct<doc: long, line: int, l1: long, l2: long>"
-    rows = written(cand.mapInArrow(_variants, f"v1 long, v2 long, p int, {place}"), "variants")
-    group = rows.groupBy("v1", "v2", "p").agg(F.min("place").alias("least"), F.count("*").alias("c"))
+    rows = cand.mapInArrow(_variants, f"v1 long, v2 long, p int, {place}")
+    # most variants are one line's alone; only the others are carried on
+    shared = rows.groupBy("v1", "v2").agg(F.count("*").alias("c")).filter("c > 1").select("v1", "v2")
+    rows = written(rows.join(shared, ["v1", "v2"], "left_semi"), "variants")
+    group = rows.groupBy("v1", "v2", "p").agg(F.min("place").alias("least"))
     both = group.groupBy("v1", "v2").agg(
-        F.min(F.when(F.col("p") < 0, F.col("least"))).alias("whole"), F.min(F.when(F.col("p") >= 0, F.col("least"))).alias("cut"),
-        F.sum("c").alias("all")).filter("all > 1")
+        F.min(F.when(F.col("p") < 0, F.col("least"))).alias("whole"), F.min(F.when(F.col("p") >= 0, F.col("least"))).alias("cut"))
     best = group.join(both, ["v1", "v2"]).select(
         "v1", "v2", "p", F.when(F.col("p") < 0, F.least("whole", "cut")).otherwise(F.least("least", "whole")).alias("best"))
     keeper = rows.join(best, ["v1", "v2", "p"]).filter(F.col("best") < F.col("place")) \
@@ -190,18 +189,15 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, line_no, n_words, kept_doc_id, kept_line_no, distance): each line removed and
     the earliest line that stands for it."""
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), "text")
-    places = written(docs.mapInArrow(_places(min_words), "doc long, line int, n int, l1 long, l2 long, halves array<long>"),
+    places = written(docs.mapInArrow(_places(min_words), "doc long, line int, n int, l1 long, l2 long, h1 long, h2 long, h3 long, h4 long"),
                      "places")
-    firsts = places.groupBy("l1", "l2").agg(F.min(F.struct("doc", "line")).alias("first"), F.max(F.struct("doc", "line")).alias("last"),
-                                            F.min("n").alias("n"))
-    lines = written(places.select("l1", "l2", "doc", "line", "halves")
-                    .join(firsts, ["l1", "l2"]).filter((F.col("doc") == F.col("first.doc")) & (F.col("line") == F.col("first.line")))
-                    .select("l1", "l2", "first", "last", "halves"), "distinct")
-    near = written(near_lines(docs, places, lines), "near")
-    gone = lines.join(near, ["l1", "l2"], "left").filter(F.col("k_doc").isNotNull() | (F.col("first") != F.col("last"))) \
+    here = F.struct("doc", "line")
+    lines = written(places.groupBy("l1", "l2").agg(F.min(here).alias("first"), F.max(here).alias("last"),
+                                                   *[F.first(h).alias(h) for h in _HALVES]), "distinct")
+    near = written(near_lines(docs, lines), "near")
+    gone = lines.drop(*_HALVES).join(near, ["l1", "l2"], "left").filter(F.col("k_doc").isNotNull() | (F.col("first") != F.col("last"))) \
         .select("l1", "l2", "first", F.struct(F.col("k_doc").alias("doc"), F.col("k_line").alias("line")).alias("near"),
                 F.col("k_doc").isNotNull().alias("is_near"))
-    here = F.struct("doc", "line")
     named = lambda c, n: F.when(c != _LAST, c).alias(n)
     kept = F.when(F.col("is_near"), F.col("near")).otherwise(F.col("first"))
     return places.join(gone, ["l1", "l2"]).filter(F.col("is_near") | (here != F.col("first"))) \
