@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .quality_rules import text_key
-from .tables import null_safe, written
+from .tables import null_safe, unused, written
 from .text import Words, distinct_per_text, shingles, signed, text_chunks
 
 K, THRESHOLD, MISS, MAX_SENT = 5, 0.8, 1e-6, 4_000_000
@@ -188,5 +188,6 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
 
 def apply(docs: DataFrame, items: DataFrame, **params) -> DataFrame:
     """The documents that hold no item, same columns."""
-    bad = contaminated(docs, items, **params).select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_d"]) & (text_key("text") == bad["_k"]), "left_anti")
+    d, k = unused(docs, "_d", "_k")
+    bad = contaminated(docs, items, **params).select(F.col("doc_id").alias(d), F.col("text_key").alias(k)).distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad[d]) & (text_key("text") == bad[k]), "left_anti")

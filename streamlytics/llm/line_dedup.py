@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import null_safe, written
+from .tables import null_safe, unused, written
 from .text import Words, mix, signed, text_chunks
 
 MIN_WORDS = 8
@@ -195,9 +195,9 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     lines = written(places.groupBy("l1", "l2").agg(F.min(here).alias("first"), F.max(here).alias("last"),
                                                    *[F.first(h).alias(h) for h in _HALVES]), "distinct")
     near = written(near_lines(docs, lines), "near")
-    gone = lines.drop(*_HALVES).join(near, ["l1", "l2"], "left").filter(F.col("k_doc").isNotNull() | (F.col("first") != F.col("last"))) \
+    gone = written(lines.drop(*_HALVES).join(near, ["l1", "l2"], "left").filter(F.col("k_doc").isNotNull() | (F.col("first") != F.col("last"))) \
         .select("l1", "l2", "first", F.struct(F.col("k_doc").alias("doc"), F.col("k_line").alias("line")).alias("near"),
-                F.col("k_doc").isNotNull().alias("is_near"))
+                F.col("k_doc").isNotNull().alias("is_near")), "gone")
     named = lambda c, n: F.when(c != _LAST, c).alias(n)
     kept = F.when(F.col("is_near"), F.col("near")).otherwise(F.col("first"))
     return places.join(gone, ["l1", "l2"]).filter(F.col("is_near") | (here != F.col("first"))) \
@@ -225,5 +225,6 @@ def _drop(batches):
 
 def apply(docs: DataFrame, **params) -> DataFrame:
     """The documents without their removed lines, same columns; one that loses all goes."""
-    gone = removed_lines(docs, **params).groupBy(F.col("doc_id").alias("_d")).agg(F.collect_list("line_no").alias("_gone"))
-    return null_safe(docs, gone, {"doc_id": "_d"}, "left").drop("_d").mapInArrow(_drop, docs.schema)
+    d, lines = unused(docs, "_d", "_gone")
+    gone = removed_lines(docs, **params).groupBy(F.col("doc_id").alias(d)).agg(F.collect_list("line_no").alias(lines))
+    return null_safe(docs, gone, {"doc_id": d}, "left").drop(d).mapInArrow(_drop, docs.schema)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .components import connected
 from .line_dedup import _BASES, _Sums
 from .quality_rules import text_key
-from .tables import null_safe, written
+from .tables import null_safe, unused, written
 from .text import Words, distinct_per_text, mix, shingles, signed, text_chunks
 
 K, THRESHOLD = 5, 0.8
@@ -187,8 +187,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, trees: int =
 
 def apply(docs: DataFrame, **params) -> DataFrame:
     """One document of each class stays, the one with the least doc_id; same columns."""
+    key, d, k = unused(docs, "_key", "_d", "_k")
     keep = near_duplicates(docs, **params).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))) \
-        .select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k")).distinct()
-    keyed = docs.withColumn("_key", text_key("text"))
-    return null_safe(keyed, keep, {"doc_id": "_d", "_key": "_k"}, "left_semi") \
-        .dropDuplicates(["doc_id", "_key"]).drop("_key")
+        .select(F.col("doc_id").alias(d), F.col("text_key").alias(k)).distinct()
+    return null_safe(docs.withColumn(key, text_key("text")), keep, {"doc_id": d, key: k}, "left_semi") \
+        .dropDuplicates(["doc_id", key]).drop(key)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import null_safe, written
+from .tables import null_safe, unused, written
 from .text import SPACE, Words, lists, mix, runs_hash, text_chunks
 
 MIN_DOCS, MAX_SHARE = 5, 0.10
@@ -164,11 +164,9 @@ def _strip(batches):
 
 def apply(docs: DataFrame, **limits) -> DataFrame:
     """The kept documents, same columns, with the lines above the limits taken out."""
-    key = F.struct("doc_id", "source", "text_key")
-    v = written(verdicts(docs, **limits).filter("kept").groupBy(key.alias("k"))
-                .agg(F.first("removed").alias("_gone")), "verdicts")
-    keyed = docs.withColumn("_key", text_key("text"))
-    cond = keyed["doc_id"].eqNullSafe(v["k.doc_id"]) & keyed["source"].eqNullSafe(v["k.source"]) \
-        & (keyed["_key"] == v["k.text_key"])
-    return keyed.join(v, cond, "inner").select(*[keyed[c] for c in docs.columns], "_gone") \
-        .mapInArrow(_strip, docs.schema)
+    key, d, t, s, gone = unused(docs, "_key", "_d", "_t", "_s", "_gone")
+    v = written(verdicts(docs, **limits).filter("kept")
+                .groupBy(F.col("doc_id").alias(d), F.col("source").alias(s), F.col("text_key").alias(t))
+                .agg(F.first("removed").alias(gone)), "verdicts")
+    found = null_safe(docs.withColumn(key, text_key("text")), v, {"doc_id": d, "source": s, key: t}, "inner")
+    return found.select(*docs.columns, gone).mapInArrow(_strip, docs.schema)

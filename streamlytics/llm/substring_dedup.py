@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import null_safe, written
+from .tables import null_safe, unused, written
 from .text import Words, runs_hash, signed, text_chunks
 
 MIN_SENTENCES, MIN_WORDS, LONG = 2, 20, 40
@@ -89,8 +89,9 @@ def repeated_ranges(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_wor
     spans = written(docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), "text")
                     .mapInArrow(_spans(min_sentences, min_words), "h1 long, h2 long, doc long, b0 int, b1 int"),
                     "spans")
-    first = spans.groupBy("h1", "h2").agg(F.min(F.struct("doc", "b0")).alias("first"), F.max(F.struct("doc", "b0")).alias("last")) \
-        .filter(F.col("first") != F.col("last")).select("h1", "h2", "first")
+    # written, so that the join below reads two plain shuffles and can split a hot run
+    first = written(spans.groupBy("h1", "h2").agg(F.min(F.struct("doc", "b0")).alias("first"), F.max(F.struct("doc", "b0")).alias("last"))
+                    .filter(F.col("first") != F.col("last")).select("h1", "h2", "first"), "repeated")
     later = spans.join(first, ["h1", "h2"]).filter(F.struct("doc", "b0") != F.col("first")) \
         .groupBy("doc", "b0", "b1").agg(F.min("first.doc").alias("keeper"))
     order = Window.partitionBy("doc").orderBy("b0", "b1")
@@ -122,6 +123,7 @@ def _cut(batches):
 
 def apply(docs: DataFrame, **params) -> DataFrame:
     """All documents, same columns, without the sentences of repeated runs."""
-    ranges = repeated_ranges(docs, **params).groupBy(F.col("doc_id").alias("_d")) \
-        .agg(F.collect_list(F.struct("start_byte", "end_byte")).alias("_ranges"))
-    return null_safe(docs, ranges, {"doc_id": "_d"}, "left").drop("_d").mapInArrow(_cut, docs.schema)
+    d, cuts = unused(docs, "_d", "_ranges")
+    ranges = repeated_ranges(docs, **params).groupBy(F.col("doc_id").alias(d)) \
+        .agg(F.collect_list(F.struct("start_byte", "end_byte")).alias(cuts))
+    return null_safe(docs, ranges, {"doc_id": d}, "left").drop(d).mapInArrow(_cut, docs.schema)

@@ -22,6 +22,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many marks behind it as it takes not to clash with a column
+    of ``df`` (Spark compares names without case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        out.append(n)
+    return out
+
+
 def null_safe(left: DataFrame, right: DataFrame, keys: dict[str, str], how: str) -> DataFrame:
     """Join on ``left.key <=> right.value``: rows with null keys keep their partners."""
     cond = None

@@ -11,7 +11,7 @@ def docs_frame(spark, rows):
     full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "h", len(r[1] or "")) for r in rows]
     from pyspark.sql import functions as F
     df = spark.createDataFrame(full, SCHEMA).repartition(3)
-    return df.select("*", *[F.lit("x").alias(c) for c in ("doc", "line", "n", "h", "node", "key", "item", "kept", "_key", "w")])
+    return df.select("*", *[F.lit("x").alias(c) for c in ("doc", "line", "n", "h", "node", "key", "item", "kept", "_key", "w", "_d", "_k", "_t", "_s", "_gone", "_ranges", "y", "x", "chunk")])
 
 
 def prose(rng, n, vocabulary=4000):
