@@ -8,8 +8,11 @@ that of the pieces before, plus that of the piece begun there.
 Inside a piece the counts of all prefixes come from one pass: the encoding of s[:i] is the
 encoding of some s[:i - l] and one more token, the only one that ends there and is
 compatible with the token before it, i.e. BPE over the two tokens' symbols gives these two
-back. Encodings of plain prefixes are kept by their last token; the prefix as a text of its own ends with a word-end token instead, which is looked for in the same way. States are
+back. Encodings of plain prefixes are kept by their last token; the prefix as a text of its
+own ends with a word-end token instead, which is looked for in the same way. States are
 shared by all pieces that begin alike, and pieces are remembered (bounded, then started anew).
+``prefix_table`` stores the count at every prefix; ``token_totals`` asks the same tables for
+whole texts and for the longest prefix within a limit.
 
 Positions are code points of the normalised text; for a text in NFC whose lower case is as
 long (nearly all) these are its own. Special strings are one token each, as the library has
@@ -35,7 +38,7 @@ from pyspark.sql import functions as F
 from ..session import ship_package
 
 LIMIT, PART = 2048, 8192
-_KEEP_PIECES, _KEEP_STATES, _LONG_PIECE = 250_000, 400_000, 48
+_KEEP_PIECES, _KEEP_STATES, _LONG_PIECE = 500_000, 400_000, 48
 # The piece pattern, the contractions in it and the two special strings.
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
@@ -51,6 +54,20 @@ def _byte_symbols() -> list[str]:
     return [chr(b) if b in shown else chr(next(other)) for b in range(256)]
 
 
+class _Totals(dict):
+    """piece -> its count."""
+
+    def __init__(self, counter):
+        super().__init__()
+        self.counter = counter
+
+    def __missing__(self, piece: str) -> int:
+        if len(self) > _KEEP_PIECES:
+            self.clear()
+        out = self[piece] = self.counter.piece_total(piece)
+        return out
+
+
 class PrefixCounter(dict):
     """piece -> bytes, the count at each of the piece's prefixes (a short piece's)."""
 
@@ -68,9 +85,8 @@ class PrefixCounter(dict):
             raise ValueError("merges must come after those that make their parts")
         self.fits: dict[tuple[str, str], bool] = {}
         self.edges: dict[str, tuple | None] = {}
-        # of a prefix of a piece: its last token, its count, and the counts of all its own
-        # prefixes as texts of their own
-        self.states: dict[str, tuple[str, int, bytes]] = {"": ("", 0, b"")}
+        self.states: dict[str, tuple[str, int]] = {"": ("", 0)}    # of a piece's prefix: last token, count
+        self.totals = _Totals(self)
         self.pattern = regex.compile(rf"\s+|{_PIECES}")
         self.special = regex.compile(_SPECIALS)
 
@@ -130,24 +146,47 @@ class PrefixCounter(dict):
             if until_y <= until_x:
                 j += 1
 
-    def _step(self, text: str, i: int, last) -> tuple[str, int, int]:
-        """For prefix text[:i] of byte symbols, given the states of shorter ones: its last
-        token, its count, and its count as a text of its own."""
-        token, count, ended = None, 0, 0
+    def _plain_state(self, text: str, i: int, last) -> tuple[str, int]:
+        """Last token and count of the prefix text[:i] (byte symbols), given ``last`` of shorter ones."""
+        for n in range(min(i, self.longest), 0, -1):
+            own = text[i - n:i]
+            if own in self.vocab:
+                state = last(i - n)
+                if self._fit(state[0], own):
+                    return own, state[1] + 1
+        raise ValueError(f"the vocabulary has no symbols for {text[:i]!r}")
+
+    def _ended_count(self, text: str, i: int, last) -> int:
+        """Count of text[:i] as a text of its own, which ends a word."""
         for n in range(min(i, self.longest), 0, -1):
             own = text[i - n:i]
-            plain, end = token is None and own in self.vocab, not ended and own in self.enders
-            if plain or end:
+            if own in self.enders:
                 state = last(i - n)
-                if plain and self._fit(state[0], own):
-                    token, count = own, state[1] + 1
-                if end and self._fit(state[0], own + "</w>"):
-                    ended = state[1] + 1
-                if ended and token is not None:
-                    return token, count, ended
+                if self._fit(state[0], own + "</w>"):
+                    return state[1] + 1
         raise ValueError(f"the vocabulary has no symbols for {text[:i]!r}")
 
-    def piece_counts(self, piece: str) -> list[int] | bytes:
+    def _states(self, text: str, upto: int):
+        """A function from a length, 0 to ``upto``, to that prefix's state."""
+        if len(text) > _LONG_PIECE:
+            states: list[tuple] = [("", 0)]
+            for i in range(1, upto + 1):
+                states.append(self._plain_state(text, i, states.__getitem__))
+            return states.__getitem__
+        if len(self.states) > _KEEP_STATES:
+            self.states = {"": ("", 0)}
+        if len(self.fits) > 2 * _KEEP_STATES:
+            self.fits = {}
+        known = self.states
+        last = lambda j: known[text[:j]]
+        at = upto
+        while text[:at] not in known:
+            at -= 1
+        for i in range(at + 1, upto + 1):
+            known[text[:i]] = self._plain_state(text, i, last)
+        return last
+
+    def piece_counts(self, piece: str) -> list[int]:
         """Counts at every prefix (in code points) of a piece."""
         if piece in _CONTRACTIONS:
             # a cut contraction is a quote and letters, pieces of their own
@@ -155,31 +194,38 @@ class PrefixCounter(dict):
                     for i in range(1, len(piece))] + [self._ended_counts(piece)[-1]]
         return self._ended_counts(piece)
 
-    def _ended_counts(self, piece: str) -> list[int] | bytes:
+    def _ended_counts(self, piece: str) -> list[int]:
         raw = piece.encode()
         text = "".join(map(self.symbol.__getitem__, raw))
-        if len(text) > _LONG_PIECE:
-            states: list[tuple] = [("", 0, 0)]
-            for i in range(1, len(text) + 1):
-                states.append(self._step(text, i, states.__getitem__))
-            out = [s[2] for s in states[1:]]
-        else:
-            if len(self.states) > _KEEP_STATES:
-                self.states = {"": ("", 0, b"")}
-            if len(self.fits) > 2 * _KEEP_STATES:
-                self.fits = {}
-            known = self.states
-            at = len(text)
-            while text[:at] not in known:
-                at -= 1
-            out = known[text[:at]][2]
-            for i in range(at + 1, len(text) + 1):
-                token, count, ended = self._step(text, i, lambda j: known[text[:j]])
-                out += bytes((ended,))
-                known[text[:i]] = (token, count, out)
-        if len(raw) > len(piece):
-            out = [c for c, b in zip(out, [*raw[1:], 0]) if b & 0xC0 != 0x80]
-        return out
+        last = self._states(text, len(text) - 1)
+        return [self._ended_count(text, i, last) for i, b in zip(range(1, len(text) + 1), [*raw[1:], 0]) if b & 0xC0 != 0x80]
+
+    def piece_total(self, piece: str) -> int:
+        """Count of a whole piece."""
+        if not self.piece(piece):
+            return 0
+        text = "".join(map(self.symbol.__getitem__, piece.encode()))
+        return self._ended_count(text, len(text), self._states(text, len(text) - 1))
+
+    def total_and_fit(self, text: str | None, limit: int) -> tuple[int, int]:
+        """Count of the whole text, and the length of its longest prefix within the limit."""
+        if not text or self.special.search(text):
+            c = self.counts(text)
+            fit = np.flatnonzero(c <= limit)
+            return int(c[-1]) if len(c) else 0, int(fit[-1]) + 1 if len(fit) else 0
+        parts = self.pattern.findall(normal(text))
+        each = list(map(self.totals.__getitem__, parts))
+        total = sum(each)
+        if total <= limit:
+            return total, sum(map(len, parts))
+        # the count before a piece never falls, so only pieces from the last one within count
+        before = np.cumsum([0, *each[:-1]])
+        for j in range(int(np.searchsorted(before, limit, side="right")) - 1, -1, -1):
+            inside = self.piece_counts(parts[j]) if self.piece(parts[j]) else [0] * len(parts[j])
+            fit = [i for i, c in enumerate(inside, 1) if before[j] + c <= limit]
+            if fit:
+                return total, sum(map(len, parts[:j])) + fit[-1]
+        return total, 0
 
     def __missing__(self, piece: str) -> bytes:
         out = bytes(len(piece)) if piece[0].isspace() and not self.piece(piece) else bytes(self.piece_counts(piece))
@@ -239,9 +285,7 @@ def _summary(json_path: str, limit: int):
             rows = []
             for x in batch.column(1):
                 text = x.as_py()
-                c = table.counts(text)
-                fit = np.flatnonzero(c <= limit)
-                rows.append((len((text or "").encode()), int(c[-1]) if len(c) else 0, int(fit[-1]) + 1 if len(fit) else 0))
+                rows.append((len((text or "").encode()), *table.total_and_fit(text, limit)))
             cols = list(zip(*rows)) if rows else [()] * 3
             n = pa.array(cols[1], pa.int64())
             yield pa.RecordBatch.from_arrays(
