@@ -12,8 +12,8 @@ from __future__ import annotations
 
 import numpy as np
 
-WINDOW, STEP = 32, 24
-DIM, HEAD, HIDDEN = 16, 16, 32
+WINDOW, STEP = 32, 26
+DIM, HEAD, HIDDEN = 16, 16, 16
 
 
 def init(size: int, rng: np.random.Generator) -> dict[str, np.ndarray]:
@@ -35,6 +35,7 @@ def branches(size: int) -> int:
 
 # logits are held within this, which stands for subtracting the largest
 _MOST = 40.0
+_BLOCK = 4096            # rows handled at once, so that they stay in a core's cache
 # distance of each scored position (the window's last STEP) to each position of the window
 _BACK = np.arange(WINDOW - STEP, WINDOW)[:, None] - np.arange(WINDOW)[None, :]
 
@@ -46,8 +47,9 @@ def _level(h, out, bias, bounds, target, back):
     logp = np.empty(h.shape[1], h.dtype)
     dh = np.empty_like(h) if back else None
     dw, db = (np.zeros_like(out), np.zeros_like(bias)) if back else (None, None)
-    for node in np.flatnonzero(np.diff(bounds)).tolist():
-        a, b = bounds[node], bounds[node + 1]
+    parts = [(node, a, min(a + _BLOCK, bounds[node + 1])) for node in np.flatnonzero(np.diff(bounds)).tolist()
+             for a in range(bounds[node], bounds[node + 1], _BLOCK)]
+    for node, a, b in parts:
         own = target[a:b], np.arange(b - a)
         z = out[node].T @ h[:, a:b]
         z += bias[node][:, None]
@@ -60,32 +62,37 @@ def _level(h, out, bias, bounds, target, back):
             z /= -total
             z[own] += 1                                  # gradient of the log-probability
             dh[:, a:b] = out[node] @ z
-            dw[node] = h[:, a:b] @ z.T
-            db[node] = z.sum(axis=1)
+            dw[node] += h[:, a:b] @ z.T
+            db[node] += z.sum(axis=1)
     return logp, dh, dw, db
 
 
 def _look(p: dict, ids: np.ndarray):
     """The attention layer: inputs, keys, values, queries, weights, their totals, result."""
-    x = p["e0"][ids[:, 2:]]
-    x += p["e1"][ids[:, 1:-1]]
-    x += p["e2"][ids[:, :-2]]
+    x = p["e0"].take(ids[:, 2:], axis=0)
+    x += p["e1"].take(ids[:, 1:-1], axis=0)
+    x += p["e2"].take(ids[:, :-2], axis=0)
     k, v, q = x @ p["wk"], x @ p["wv"], x[:, WINDOW - STEP:] @ (p["wq"] * np.float32(HEAD ** -0.5))
     a = q @ k.transpose(0, 2, 1)
     np.clip(a, -_MOST, _MOST, out=a)
     a += np.where(_BACK >= 0, p["far"][np.maximum(_BACK, 0)], np.float32(-1e9))
     np.exp(a, out=a)
-    total = a.sum(axis=2, keepdims=True)
-    c = a @ v
-    c /= total
-    return x, k, v, q, a, total, c
+    # one more column of ones gives the weights' total with the weighted values
+    c = a @ np.concatenate([v, np.ones((*v.shape[:2], 1), v.dtype)], axis=2)
+    total = c[:, :, HEAD:]
+    return x, k, v, q, a, total, c[:, :, :HEAD] / total
 
 
 def _think(p: dict, late: np.ndarray, c: np.ndarray):
     """The hidden layer: features of each scored position."""
-    h = late + c @ p["wo"]
-    u = np.maximum(h @ p["w1"] + p["b1"], 0)
-    return h, u, h + u @ p["w2"]
+    h = c @ p["wo"]
+    h += late
+    u = h @ p["w1"]
+    u += p["b1"]
+    np.maximum(u, 0, out=u)
+    g = u @ p["w2"]
+    g += h
+    return h, u, g
 
 
 def _tree(p: dict, g: np.ndarray, code: np.ndarray, back: bool):
@@ -101,21 +108,22 @@ def _by_node(p: dict, code: np.ndarray) -> np.ndarray:
     return np.argsort((code // p["c1"].shape[1]).astype(np.uint16), kind="stable")
 
 
-def score(p: dict, ids: np.ndarray, target: np.ndarray, scored: np.ndarray, part: int = 256) -> np.ndarray:
+def score(p: dict, ids: np.ndarray, target: np.ndarray, scored: np.ndarray, part: int = 64) -> np.ndarray:
     """Natural log-probabilities of the scored targets, in order; see ``windows``."""
-    g, code = [], target[scored]
+    code = target[scored]
+    g = np.empty((DIM, len(code)), p["e0"].dtype)
+    at = 0
     for i in range(0, len(ids), part):
         x, c = (r for j, r in enumerate(_look(p, ids[i:i + part])) if j in (0, 6))
         own = scored[i:i + part]
         late = x[:, WINDOW - STEP:].reshape(-1, DIM)
         out = _think(p, late, c.reshape(-1, HEAD))[2]
-        g.append(out if own.all() else out[own.ravel()])
-    if not g:
-        return np.zeros(0, np.float32)
+        out = out if own.all() else out[own.ravel()]
+        g[:, at:at + len(out)] = out.T
+        at += len(out)
     order = _by_node(p, code)
-    features = np.ascontiguousarray(np.concatenate(g)[order].T)
-    logp = np.empty(len(code), features.dtype)
-    logp[order] = sum(x[0] for x in _tree(p, features, code[order], False))
+    logp = np.empty(len(code), g.dtype)
+    logp[order] = sum(x[0] for x in _tree(p, g.take(order, axis=1), code[order], False))
     return logp
 
 

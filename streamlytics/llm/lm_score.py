@@ -7,13 +7,17 @@ none). Subwords are those of a public byte-level BPE, its first ``size`` ranks.
 
 Gathered from all training texts (crc32 of the id modulo ``modulus`` not ``held``): the
 word counts, by partial sums and one shuffle by word; and windows for the attention model,
-from every text, ``PIECE`` words in each ``EVERY``. Training is data-parallel: each of
-``ROUNDS`` rounds sends the parameters (about 1 MB, fixed) to tasks that each run Adam over
-their share of the windows, and averages their results, in two steps, by Spark.
+from every text, ``PIECE`` words in each so many bytes that what they hold grows as the
+corpus to the power 1 - ``POWER``, or with the number of texts, whichever is more (all of a
+corpus of ``FULL`` words). Training is data-parallel: one task finds a first solution in at most
+``WARM`` steps; then each of ``ROUNDS`` rounds sends the parameters (about 1 MB, fixed) to
+tasks that each run Adam over their share of the windows, and averages their results, in
+two steps, by Spark.
 
 Scoring goes by chunks of about ``ROWS`` neighbouring rows (a text over 1 MB is one by
-itself): a chunk's distinct words fetch their counts by a join, those that occur in no other
-chunk keep their own, and texts and counts meet by chunk. Overlapping windows score each
+itself). The counts of the ``COMMON`` commonest words (a fixed bound) are sent to the tasks;
+a chunk's other distinct words fetch theirs by a join, those that occur in no other chunk
+keep their own, and texts and counts meet by chunk. Overlapping windows score each
 subword once, many windows in one masked attention.
 
 Defined cases: a null or blank text is its end alone; a null ``doc_id`` stays null and counts
@@ -27,6 +31,7 @@ from __future__ import annotations
 import base64
 from collections import Counter
 from functools import lru_cache
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -39,68 +44,107 @@ from .labelled import remainder
 from .tables import written
 from .text import LOWER
 
-SIZE, MIX, MODULUS, HELD = 4095, 0.4, 10, 0
+SIZE, MIX, MODULUS, HELD = 4095, 0.35, 10, 0
 ROWS, LONG_TEXT = 1024, 1 << 20
-PIECE, BEFORE, EVERY = 16, 10, 256
-ROUNDS, RATE, BATCH, SHARE, LEAST_TOKENS = 2, 0.01, 200, 40_000, 2_000_000
+COMMON, _HELD_WORDS = 200_000, 400_000
+PIECE, BEFORE, FULL, POWER, WORD_BYTES = 16, 10, 300_000, 0.6, 6
+WARM, WARM_PASSES, ROUNDS, RATE, BATCH, SHARE = 500, 3, 2, 0.01, 320, 40_000
 _LOWER = LOWER.tobytes()
 _WIDE = attention.WINDOW + 2 + attention.STEP + 1
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode().translate(_LOWER).split()
+def words_of(text: pa.Scalar) -> list[bytes]:
+    raw = text.as_buffer() if text.is_valid else None
+    return raw.to_pybytes().translate(_LOWER).split() if raw is not None else []
+
+
+class Spelling(dict):
+    """word -> its subword ids, those of the word after a space. Kept words are bounded."""
+
+    def __init__(self, ranks_path: str, size: int):
+        import public_tokenizers
+        import tiktoken
+        super().__init__()
+        with open(ranks_path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.encoder = tiktoken.Encoding("first", pat_str=public_tokenizers.PATTERN, special_tokens={},
+                                         mergeable_ranks={t: r for t, r in ranks.items() if r < size})
+
+    def __missing__(self, word: bytes) -> tuple[int, ...]:
+        if len(self) > _HELD_WORDS:
+            self.clear()
+        ids = self[word] = tuple(self.encoder.encode_ordinary(" " + word.decode(errors="replace")))
+        return ids
 
 
 @lru_cache(maxsize=1)
-def _encoder(ranks_path: str, size: int):
-    """Encoding with the first ``size`` ranks, and which of its ids begin with a space."""
-    import public_tokenizers
-    import tiktoken
-    with open(ranks_path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    ranks = {t: r for t, r in ranks.items() if r < size}
-    begins = np.zeros(size + 1, bool)
-    begins[[r for t, r in ranks.items() if t[:1] == b" "]] = True
-    begins[size] = True                                       # the end is a token of its own
-    return tiktoken.Encoding("first", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}), begins
-
-
-def subwords(words: list[bytes], ranks_path: str, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of the words, each after one space, and the places where words begin."""
-    encoder, begins = _encoder(ranks_path, size)
-    ids = np.array(encoder.encode_ordinary((b" " + b" ".join(words)).decode()) if words else [], np.int32)
-    starts = np.flatnonzero(begins[ids])
-    if len(starts) != len(words):                             # a word that begins with another kind of space
-        each = [encoder.encode_ordinary(" " + w.decode()) for w in words]
-        ids = np.array([i for x in each for i in x], np.int32)
-        starts = np.cumsum([0] + [len(x) for x in each])[:-1]
-    return ids, starts
+def spelling(ranks_path: str, size: int) -> Spelling:
+    return Spelling(ranks_path, size)
+
+
+def subwords(words: list[bytes], spelled: Spelling) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the words and the places where words begin."""
+    each = list(map(spelled.__getitem__, words))
+    size = np.fromiter(map(len, each), np.int64, len(each))
+    ids = np.fromiter(chain.from_iterable(each), np.int32, int(size.sum()))
+    return ids, np.cumsum(size) - size
 
 
 # ---- counts ----
 
-def _vocabulary(batches):
-    """Per chunk its distinct words, the end as an empty one, and their training tokens."""
+def _partial_counts(batches):
+    """Words, the end as an empty one, and their counts in a part of the texts."""
+    own: Counter = Counter()
+
+    def out():
+        return pa.RecordBatch.from_arrays([pa.array(list(own), pa.binary()), pa.array(list(own.values()), pa.int64())],
+                                          names=["word", "c"])
     for batch in batches:
-        chunk = np.asarray(batch.column(0))
-        train = batch.column(2).to_pylist()
-        cuts = [0, *(np.flatnonzero(np.diff(chunk)) + 1).tolist(), len(chunk)]
-        for a, b in zip(cuts, cuts[1:]):
-            if a == b:
-                continue
-            own, seen = Counter(), set()
-            for i in range(a, b):
-                words = words_of(batch.column(1)[i].as_py())
-                if train[i]:
-                    own.update(words)
-                    own[b""] += 1
-                else:
-                    seen.update(words)
-                    seen.add(b"")
-            names = [*own, *(w for w in seen if w not in own)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(names), chunk[a])), pa.array(names, pa.binary()),
-                 pa.array([own[w] if w in own else 0 for w in names], pa.int64())], names=["chunk", "word", "own"])
+        for x in batch.column(0):
+            own.update(words_of(x))
+            own[b""] += 1
+            if len(own) > _HELD_WORDS:
+                yield out()
+                own.clear()
+    if own:
+        yield out()
+
+
+def _rare(sent):
+    """Per chunk its distinct words outside the broadcast ones, with their training counts in it."""
+    def run(batches):
+        common = sent.value
+        for batch in batches:
+            chunk = np.asarray(batch.column(0))
+            held = batch.column(2).to_pylist()
+            cuts = [0, *(np.flatnonzero(np.diff(chunk)) + 1).tolist(), len(chunk)]
+            for a, b in zip(cuts, cuts[1:]):
+                own: Counter = Counter()
+                seen: set = set()
+                for i in range(a, b):
+                    (seen if held[i] else own).update(filterfalse(common.__contains__, words_of(batch.column(1)[i])))
+                names, n = list(own), list(own.values())
+                more = [w for w in seen if w not in own]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(names) + len(more), chunk[a] if b > a else 0)), pa.array(names + more, pa.binary()),
+                     pa.array(n + [0] * len(more), pa.int64())], names=["chunk", "word", "own"])
+    return run
+
+
+def common_words(counts: DataFrame, most: int) -> dict[bytes, int]:
+    """The words of the largest counts, at most ``most``: those above a limit that is found
+    from a histogram (a few hundred rows)."""
+    level = F.floor(F.log2("c") * 8)
+    rows = counts.groupBy(level.alias("level")).agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect()
+    limit, n = None, 0
+    for r in rows:
+        n += r.n
+        if n > most:
+            break
+        limit = r.level
+    if limit is None:
+        return {}
+    return {bytes(r.word): r.c for r in counts.filter(level >= limit).collect()}
 
 
 def _chunked(docs: DataFrame, modulus: int, held: int) -> DataFrame:
@@ -114,22 +158,38 @@ def _chunked(docs: DataFrame, modulus: int, held: int) -> DataFrame:
 
 # ---- training ----
 
-def _windows(ranks_path: str, size: int):
-    """From each text, PIECE words in every EVERY, with words before as context: windows of
-    ids, targets, and how many of these are scored."""
+def pieces(raw: bytes, every: int):
+    """From a text, a piece in each ``every`` bytes and one at least: its words with some
+    before as context, how many are context, whether the text ends with it."""
+    n = len(raw)
+    shift = (n * 2654435761 >> 7) % max(1, min(every, n - 8 * PIECE + 1))
+    for p in range(shift, max(n, 1), every):
+        a, b = max(0, p - 8 * BEFORE), min(n, p + 12 * PIECE)
+        words, context = raw[a:b].split(), raw[a:p].split()
+        if context and a and raw[a - 1] not in _SPACES and raw[a] not in _SPACES:
+            words, context = words[1:], context[1:]                        # begun before
+        if words and b < n and raw[b - 1] not in _SPACES and raw[b] not in _SPACES:
+            words = words[:-1]                                             # not ended
+        if len(words) > len(context) or b == n:
+            yield words[:len(context) + PIECE], min(len(context), len(words)), b == n and len(words) <= len(context) + PIECE
+
+
+_SPACES = b" \t\n\x0b\x0c\r"
+
+
+def _windows(ranks_path: str, size: int, every: int):
+    """Windows of ids over the pieces of each text, their targets, and how many are scored."""
     w, s = attention.WINDOW, attention.STEP
 
     def run(batches):
         for batch in batches:
             rows = []
             for x in batch.column(0):
-                words = words_of(x.as_py())
-                shift = (len(words) * 2654435761 >> 7) % max(1, min(EVERY, len(words) - PIECE + 1))
-                for at in range(shift, max(len(words), 1), EVERY):
-                    from_ = max(0, at - BEFORE)
-                    ids, starts = subwords(words[from_:at + PIECE], ranks_path, size)
-                    first = int(starts[at - from_]) if len(starts) > at - from_ else len(ids)
-                    if at + PIECE >= len(words):
+                raw = x.as_buffer().to_pybytes().translate(_LOWER) if x.is_valid else b""
+                for words, context, ends in pieces(raw, every):
+                    ids, starts = subwords(words, spelling(ranks_path, size))
+                    first = int(starts[context]) if len(starts) > context else len(ids)
+                    if ends:
                         ids = np.append(ids, size)
                     n = len(ids) - first
                     line = np.concatenate([np.full(w + 2, size), ids, np.full(s, size)]).astype(np.int32)
@@ -159,7 +219,7 @@ def _unflat(flat: np.ndarray, size: int) -> dict:
     return out
 
 
-def _train(sent, size: int, turn: int, passes: int):
+def _train(sent, size: int, turn: int):
     """Adam over this task's windows of the round; its parameters in parts, with their weight."""
     def run(batches):
         from pyspark import TaskContext
@@ -168,20 +228,23 @@ def _train(sent, size: int, turn: int, passes: int):
         task = TaskContext.get().partitionId()
         rng = np.random.default_rng(task)
         rng.shuffle(got)
-        got = got[turn::ROUNDS]
-        if not len(got):
+        steps = min(WARM, WARM_PASSES * -(-len(got) // BATCH))
+        if turn:
+            got = got[turn - 1::ROUNDS]
+            steps = -(-len(got) // BATCH)
+        if not len(got) or (turn == 0 and task):
             return
         p = _unflat(sent.value, size)
-        adam = attention.Adam(p, RATE / (1 + 2 * turn))
+        adam = attention.Adam(p, RATE / (1 + 3 * turn))
         w, s = attention.WINDOW + 2, attention.STEP
         tokens = 0
-        for _ in range(passes):
-            for i in range(0, len(got), BATCH):
-                x = got[i:i + BATCH]
-                scored = np.arange(s)[None, :] < x[:, -1:]
-                logp, grad = attention.windows(p, x[:, :w], x[:, w:w + s], scored)
-                adam.step(p, grad, len(logp))
-                tokens += len(logp)
+        for i in range(steps):
+            at = i * BATCH % len(got)
+            x = got[at:at + BATCH]
+            scored = np.arange(s)[None, :] < x[:, -1:]
+            logp, grad = attention.windows(p, x[:, :w], x[:, w:w + s], scored)
+            adam.step(p, grad, len(logp))
+            tokens += len(logp)
         flat = _flat(p)
         for k in range(0, len(flat), 1 << 14):
             yield pa.RecordBatch.from_arrays(
@@ -199,16 +262,16 @@ def _average(key, table):
                      "v": pa.array([mean.astype(np.float32)], pa.list_(pa.float32()))})
 
 
-def train(docs: DataFrame, ranks_path: str, size: int = SIZE) -> np.ndarray:
-    """Parameters of the attention model, learnt from the texts of ``docs``."""
+def train(docs: DataFrame, n_words: int, ranks_path: str, size: int = SIZE) -> np.ndarray:
+    """Parameters of the attention model, learnt from the texts of ``docs``, ``n_words`` long."""
+    every = round(WORD_BYTES * PIECE * max(1.0, n_words / FULL) ** POWER)
     sc = docs.sparkSession.sparkContext
-    made = written(docs.select("text").mapInArrow(_windows(ranks_path, size), "w array<int>"), "windows")
+    made = written(docs.select("text").mapInArrow(_windows(ranks_path, size, every), "w array<int>"), "windows")
     n = made.count()
     flat = _flat(attention.init(size, np.random.default_rng(7)))
-    passes = max(1, -(-LEAST_TOKENS // max(1, n * attention.STEP)))
     shares = made.repartition(max(1, n // SHARE)) if n else made
-    for turn in range(ROUNDS if n else 0):
-        done = shares.mapInArrow(_train(sc.broadcast(flat), size, turn, passes), "part int, bucket int, n double, v array<float>")
+    for turn in range(1 + ROUNDS if n else 0):
+        done = shares.mapInArrow(_train(sc.broadcast(flat), size, turn), "part int, bucket int, n double, v array<float>")
         mean = done.groupBy("part", "bucket").applyInArrow(_average, "part int, n double, v array<float>") \
             .groupBy("part").applyInArrow(_average, "part int, n double, v array<float>")
         got = sorted(mean.select("part", "v").collect())                # the model: its size is fixed
@@ -218,58 +281,78 @@ def train(docs: DataFrame, ranks_path: str, size: int = SIZE) -> np.ndarray:
 
 # ---- scoring ----
 
-def _score(sent, ranks_path: str, size: int, mix: float, total: int, distinct: int):
+class _Numbers(dict):
+    """word -> its number, in the order of first use."""
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        return n
+
+
+def _score(sent, words, ends: int, ranks_path: str, size: int, mix: float, total: int, distinct: int):
     log_all = np.log10(total + 0.1 * (distinct + 1))
 
     def run(key, left, right):
         p = _unflat(sent.value, size)
+        common, spelled = words.value, spelling(ranks_path, size)
+        # texts as numbers of the chunk's words
+        number = _Numbers()
+        texts = []
+        for x in left.column("text"):
+            found = words_of(x)
+            texts.append(np.fromiter(map(number.__getitem__, found), np.int32, len(found)))
         held = left.column("held_out").to_pylist()
-        count: Counter = Counter()
-        for x, out in zip(left.column("text"), held):
-            if not out:
-                count.update(words_of(x.as_py()))
-                count[b""] += 1
-        known = dict(count)
-        known.update(zip(right.column("word").to_pylist(), right.column("c").to_pylist()))
-        rows = {k: [] for k in ("n_tokens", "n_known", "base_score", "score")}
-        texts: list[tuple] = []
-
-        def flush():
-            if not texts:
-                return
-            bounds = np.cumsum([0] + [len(i) for i, _, _ in texts])
-            win = attention.cut(np.concatenate([i for i, _, _ in texts]), bounds, size)
-            logp = np.concatenate([attention.score(p, *(x[k:k + 1024] for x in win)) for k in range(0, len(win[0]), 1024)])
-            heads = np.concatenate([np.append(s, len(i)) + b + j for j, ((i, s, _), b) in enumerate(zip(texts, bounds[:-1]))])
-            c = np.concatenate([x for _, _, x in texts])
+        own = np.zeros(len(number) + 1, np.int64)            # words of no other chunk keep their count in this one
+        learnt = [t for t, out in zip(texts, held) if not out]
+        if learnt:
+            own += np.bincount(np.concatenate(learnt), minlength=len(own))
+        rare = dict(zip(right.column("word").to_pylist(), right.column("c").to_pylist()))
+        count = np.array([common.get(w) or rare.get(w) or n for w, n in zip(number, own.tolist())], float)
+        each = list(map(spelled.__getitem__, number))
+        length = np.fromiter(map(len, each), np.int64, len(each))
+        spelt = np.fromiter(chain.from_iterable(each), np.int32, int(length.sum()))
+        begin = np.cumsum(length) - length
+        with np.errstate(divide="ignore"):
+            share = np.log(np.append(count, ends) / max(total, 1)) + np.log(mix)
+        base = np.log10(np.append(count, ends) + 0.1) - log_all
+        seen = np.append(count, ends) > 0
+        out = {k: [] for k in ("n_tokens", "n_known", "base_score", "score")}
+
+        def flush(group: list[np.ndarray]) -> None:
+            """Scores some texts: word numbers, with the end as the one after all words."""
+            n = np.array([len(t) for t in group])
+            t = np.concatenate(group)
+            size_of = length[t]
+            first = np.cumsum(size_of) - size_of
+            ids = spelt[np.repeat(begin[t] - first, size_of) + np.arange(int(size_of.sum()))]
+            word_bounds = np.concatenate([[0], np.cumsum(n)])
+            bounds = np.append(first, len(ids))[word_bounds]
+            win = attention.cut(ids, bounds, size)
+            logp = np.concatenate([attention.score(p, *(x[k:k + 4096] for x in win)) for k in range(0, len(win[0]), 4096)])
+            # with an end behind each text: its words' first places, and the end's own
+            tokens = np.insert(t, word_bounds[1:], len(length))
+            heads = np.insert(first, word_bounds[1:], bounds[1:]) + np.repeat(np.arange(len(n)), n + 1)
             word = np.add.reduceat(logp.astype(float), heads)
-            with np.errstate(divide="ignore"):
-                share = np.log(c / max(total, 1)) + np.log(mix)
-            both = np.logaddexp(share, word + np.log(1 - mix)) / np.log(10)
-            base = np.log10(c + 0.1) - log_all
-            at = np.cumsum([0] + [len(x) for _, _, x in texts])[:-1]
-            rows["score"] += np.add.reduceat(both, at).tolist()
-            rows["base_score"] += np.add.reduceat(base, at).tolist()
-            rows["n_tokens"] += [len(x) for _, _, x in texts]
-            rows["n_known"] += np.add.reduceat((c > 0).astype(np.int64), at).tolist()
-            texts.clear()
-
-        pending = 0
-        for x in left.column("text"):
-            words = words_of(x.as_py())
-            ids, starts = subwords(words, ranks_path, size)
-            words.append(b"")
-            texts.append((ids, starts, np.array([known.get(w, 0) for w in words], float)))
-            pending += len(ids)
-            if pending > 100_000:
-                flush()
-                pending = 0
-        flush()
-        n = left.num_rows
+            both = np.logaddexp(share[tokens], word + np.log(1 - mix)) / np.log(10)
+            at = word_bounds[:-1] + np.arange(len(n))
+            out["score"] += np.add.reduceat(both, at).tolist()
+            out["base_score"] += np.add.reduceat(base[tokens], at).tolist()
+            out["n_tokens"] += (n + 1).tolist()
+            out["n_known"] += np.add.reduceat(seen[tokens].astype(np.int64), at).tolist()
+
+        group, pending = [], 0
+        for t in texts:
+            group.append(t)
+            pending += len(t)
+            if pending > 30_000:
+                flush(group)
+                group, pending = [], 0
+        if group:
+            flush(group)
         return pa.table({"doc_id": left.column("doc_id"), "held_out": left.column("held_out"),
-                         "n_tokens": pa.array(rows["n_tokens"], pa.int64()), "n_known": pa.array(rows["n_known"], pa.int64()),
-                         "train_tokens": pa.array([total] * n, pa.int64()), "base_score": pa.array(rows["base_score"], pa.float64()),
-                         "score": pa.array(rows["score"], pa.float64())})
+                         "n_tokens": pa.array(out["n_tokens"], pa.int64()), "n_known": pa.array(out["n_known"], pa.int64()),
+                         "train_tokens": pa.array([total] * len(texts), pa.int64()),
+                         "base_score": pa.array(out["base_score"], pa.float64()), "score": pa.array(out["score"], pa.float64())})
     return run
 
 
@@ -281,12 +364,15 @@ def score(docs: DataFrame, ranks_path: str, size: int = SIZE, mix: float = MIX,
     if not docs.inputFiles() or "_metadata" in docs.columns or docs.isStreaming:
         docs = written(docs.select("doc_id", "text"), "documents")
     base = _chunked(docs, modulus, held)
-    words = written(base.select("chunk", "text", (~F.col("held_out")).alias("train")).mapInArrow(
-        _vocabulary, "chunk long, word binary, own long"), "vocabulary")
-    counts = written(words.groupBy("word").agg(F.sum("own").alias("c")).filter("c > 0"), "counts")
+    texts = base.filter(~F.col("held_out")).select("text")
+    counts = written(texts.mapInArrow(_partial_counts, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")), "counts")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    sent = spark.sparkContext.broadcast(train(base.filter(~F.col("held_out")), ranks_path, size))
-    known = words.join(counts, "word").filter("c <> own").select("chunk", "word", "c")
-    return base.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(
-        _score(sent, ranks_path, size, mix, total, distinct),
+    ends = texts.count()
+    sc = spark.sparkContext
+    words = sc.broadcast(common_words(counts.filter(F.col("word") != F.lit(b"")), COMMON))
+    sent = sc.broadcast(train(texts, total - ends, ranks_path, size))
+    rare = base.select("chunk", "text", "held_out").mapInArrow(_rare(words), "chunk long, word binary, own long") \
+        .join(counts, "word").filter("c <> own").select("chunk", "word", "c")
+    return base.groupBy("chunk").cogroup(rare.groupBy("chunk")).applyInArrow(
+        _score(sent, words, ends, ranks_path, size, mix, total, distinct),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -134,7 +134,7 @@ def test_windows_score_each_id_once():
 
 
 def test_lm_base_scores(spark, monkeypatch):
-    monkeypatch.setattr(lm_score, "LEAST_TOKENS", 60_000)
+    monkeypatch.setattr(lm_score, "WARM", 20)
     monkeypatch.setattr(lm_score, "ROWS", 7)
     rows = [r[:2] for r in corpus(6, 40)] + [(900 + i, t) for i, t in enumerate(STRANGE)]
     low = lambda t: (t or "").encode().translate(lm_score._LOWER).split() + [b""]
@@ -149,11 +149,12 @@ def test_lm_base_scores(spark, monkeypatch):
 
 
 def test_lm_beats_an_untrained_one(spark, monkeypatch):
-    monkeypatch.setattr(lm_score, "LEAST_TOKENS", 400_000)
+    monkeypatch.setattr(lm_score, "WARM", 60)
     docs = spark.read.parquet(f"{DATA}/documents.parquet").filter("doc_id % 3 = 0")
     total = lambda: sum(r.score for r in lm_score.score(docs, RANKS, mix=1e-9).filter("held_out").collect())
     trained = total()
-    monkeypatch.setattr(lm_score, "ROUNDS", 0)
+    untrained = lm_score._flat(attention.init(lm_score.SIZE, np.random.default_rng(7)))
+    monkeypatch.setattr(lm_score, "train", lambda *a: untrained)
     assert trained > 0.75 * total()
 
 
