@@ -44,17 +44,15 @@ def epoch_us(col: str | Column, dtype=None) -> Column:
     is an instant and uses ``unix_micros``.
     """
     c = F.col(col) if isinstance(col, str) else col
-    if isinstance(dtype, TimestampNTZType):
-        # NTZ wall clock read as UTC; the library pins the session zone to UTC
-        # (sources.testdata.events), which makes this cast zone-free.
-        return F.unix_micros(c.cast("timestamp"))
-    return F.unix_micros(c)
+    return _ntz_us(c) if isinstance(dtype, TimestampNTZType) else F.unix_micros(c)
 
 
-def to_event_timestamp(us_col: str | Column) -> Column:
-    """Epoch microseconds -> TIMESTAMP (instant), for ``withWatermark``."""
-    c = F.col(us_col) if isinstance(us_col, str) else us_col
-    return F.timestamp_micros(c)
+def _ntz_us(c: Column) -> Column:
+    """Microseconds of a TIMESTAMP_NTZ since the epoch, its wall clock read as UTC. Made
+    of the clock's own fields, so the session zone has no part in it."""
+    seconds = F.unix_date(F.to_date(c)) * 86_400 + F.hour(c) * 3_600 + F.minute(c) * 60
+    return (seconds.cast("bigint") * 1_000_000
+            + (F.date_part(F.lit("SECOND"), c) * 1_000_000).cast("bigint"))
 
 
 def epoch_ms_to_ntz(ms_col: str | Column) -> Column:
@@ -89,7 +87,7 @@ def format_sql_time(ms_col: str | Column) -> Column:
 def parse_log_time(col: str | Column) -> Column:
     """F2: 'dd/MM/yyyy:HH:mm:ss' (UTC wall clock) -> epoch microseconds."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.unix_micros(F.to_timestamp(c, LOG_TIME_FORMAT))
+    return _ntz_us(F.to_timestamp_ntz(c, F.lit(LOG_TIME_FORMAT)))
 
 
 def next_midnight_us(us_col: str | Column) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.time import US_PER, duration_us
-from .sequence import running_sum, seq_bucket, time_bucket, with_neighbor
+from .sequence import seq_bucket, time_bucket, with_neighbor
 
 # Messages of the reference's detectors.
 CLICK_CAP_MSG = "Click over {cap} times today."
@@ -34,9 +34,11 @@ def click_cap(df: DataFrame, keys: Sequence[str] = ("user_id", "ad_id"), cap: in
     the count every UTC day, ``'never'`` keeps one count.
 
     Returns the input columns plus ``output`` ('pass' | 'warn') and ``msg`` (NULL on
-    pass rows). ``row_number() <= cap + 1`` is planned with a partial group limit
-    before the shuffle, so a key with millions of clicks sends at most cap + 1 rows
-    per map task, and the warning comes from the same pass.
+    pass rows). A row of rank cap + 1 or less of its key has that rank or less in its
+    time bucket too, so each (key, bucket) is limited to its first cap + 1 rows first
+    (below the planner's group-limit threshold also before the shuffle); the key's own
+    ranking then sees at most cap + 1 rows a bucket, whatever the cap and however hot
+    the key. NULL keys are a key like any other.
     """
     k = list(keys)
     part = [F.col(c) for c in k]
@@ -45,17 +47,11 @@ def click_cap(df: DataFrame, keys: Sequence[str] = ("user_id", "ad_id"), cap: in
     elif reset != "never":
         raise ValueError("reset must be 'day' or 'never'")
     text = (msg or CLICK_CAP_MSG).format(cap=cap)
-    limit_max = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if cap + 1 <= limit_max:
-        w = W.partitionBy(*part).orderBy(F.col(ts_col), F.col(seq_col))
-        ranked = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= cap + 1)
-    else:
-        # Above the planner's group-limit threshold a plain row_number would sort a
-        # whole key in one task; the bucketed running count gives the same rank.
-        pk = [f"_k{i}" for i in range(len(part))]
-        d = df.select("*", *[c.alias(n) for c, n in zip(part, pk)], F.lit(1).cast("bigint").alias("_one"))
-        d = running_sum(d, pk, [ts_col, seq_col], time_bucket(ts_col, bucket_width), "_one", "_rn")
-        ranked = d.filter(F.col("_rn") <= cap + 1).drop(*pk, "_one")
+    order = [F.col(ts_col), F.col(seq_col)]
+    within = W.partitionBy(*part, time_bucket(ts_col, bucket_width)).orderBy(*order)
+    first = df.withColumn("_rb", F.row_number().over(within)).filter(F.col("_rb") <= cap + 1)
+    ranked = first.withColumn("_rn", F.row_number().over(W.partitionBy(*part).orderBy(*order))) \
+        .filter(F.col("_rn") <= cap + 1)
     return ranked.select(*df.columns,
                          F.when(F.col("_rn") <= cap, "pass").otherwise("warn").alias("output"),
                          F.when(F.col("_rn") > cap, F.lit(text)).alias("msg"))

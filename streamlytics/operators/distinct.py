@@ -30,7 +30,7 @@ def unique_visitors(df: DataFrame, user_col: str = "user_id", ts_col: str = "ts_
 
 
 def running_unique_visitors(df: DataFrame, user_col: str = "user_id", ts_col: str = "ts_us",
-                            seq_col: str = "seq", size="1 hour", bucket_width="1 hour",
+                            seq_col: str = "seq", size="1 hour", bucket_width="1 second",
                             out: str = "uv") -> DataFrame:
     """For every input row, the distinct visitors of its window so far
     (the row included), in (ts, seq) order. Returns seq, window_end, uv.
@@ -38,7 +38,9 @@ def running_unique_visitors(df: DataFrame, user_col: str = "user_id", ts_col: st
     A visitor's first row in a window is found by aggregation (min of (ts, seq)
     per window and visitor); those first-seen markers are unioned with the rows,
     ordered just before the row they come from, and counted with a bucketed
-    running sum (``sequence.running_sum``).
+    running sum (``sequence.running_sum``): a task group holds ``bucket_width`` of a
+    window. The rows are scanned once for the markers, whose shuffle is shared, and twice
+    for the sum (rows and bucket totals).
     """
     size_us = duration_us(size)
     _, we = _tumble(ts_col, size_us)
@@ -62,7 +64,8 @@ def bitmap_distinct(df: DataFrame, keys, pos_col: str, out: str = "uv") -> DataF
     bitmap aggregates: a 4 KiB bitmap per (group, 32768-position bucket), OR-merged
     by partial aggregation, then the set bits are summed per group."""
     k = [keys] if isinstance(keys, str) else list(keys)
-    per_bucket = (df.groupBy(*k, F.bitmap_bucket_number(pos_col).alias("_bk"))
+    # distinct positions first, so that a sparse group's 4 KiB buffers are not made by every task
+    per_bucket = (df.select(*k, pos_col).distinct().groupBy(*k, F.bitmap_bucket_number(pos_col).alias("_bk"))
                   .agg(F.bitmap_construct_agg(F.bitmap_bit_position(pos_col)).alias("_bm")))
     return per_bucket.groupBy(*k).agg(F.sum(F.bitmap_count("_bm")).alias(out))
 

@@ -35,7 +35,7 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[str] | str, lo
                   how: str = "inner") -> DataFrame:
     """Pairs with equal keys and ``left.ts + lower <= right.ts <= left.ts + upper``
     (both bounds inclusive). Column names of the two sides must be distinct apart
-    from the keys. ``how`` may be 'inner', 'left_anti' or 'left_semi'."""
+    from the keys. ``how`` may be 'inner', 'left', 'left_anti' or 'left_semi'."""
     keys = [on] if isinstance(on, str) else list(on)
     lo_us, up_us = _signed_us(lower), _signed_us(upper)
     l2, r2 = _bucketed(left, right, lo_us, up_us, left_ts, right_ts)
@@ -67,19 +67,17 @@ def reconcile(left: DataFrame, right: DataFrame, on: Sequence[str] | str, lower=
               tags=("matched", "unmatched_pay", "unmatched_receipt")) -> DataFrame:
     """Full-outer interval join with an ``output`` tag: matched pairs, left rows
     with no partner, right rows with no partner (the reference's main output and
-    two side outputs). Unmatched rows come from bucketed anti-joins, so the
-    fan-out of the right side never creates spurious unmatched copies."""
+    two side outputs). A left row stands in one bucket, so a bucketed left outer join
+    gives the pairs and the unmatched left rows; a bucketed anti-join gives the right
+    ones, so the fan-out of the right side never creates spurious unmatched copies."""
     keys = [on] if isinstance(on, str) else list(on)
     lo_us, up_us = _signed_us(lower), _signed_us(upper)
-    matched = interval_join(left, right, keys, lo_us, up_us, left_ts, right_ts).withColumn("output", F.lit(tags[0]))
-    lonly = interval_join(left, right, keys, lo_us, up_us, left_ts, right_ts, "left_anti")
+    found = interval_join(left, right.withColumn("_hit", F.lit(True)), keys, lo_us, up_us, left_ts, right_ts, "left")
+    found = found.withColumn("output", F.when(F.col("_hit"), tags[0]).otherwise(tags[1])).drop("_hit")
     # right rows without a left partner: the same join seen from the right side
     # (left.ts in [right.ts - upper, right.ts - lower]).
     ronly = interval_join(right, left, keys, -up_us, -lo_us, right_ts, left_ts, "left_anti")
     lcols = [c for c in left.columns if c not in keys]
     rcols = [c for c in right.columns if c not in keys]
     lnull = [F.lit(None).cast(left.schema[c].dataType).alias(c) for c in lcols]
-    rnull = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in rcols]
-    a = lonly.select(*keys, *lcols, *rnull, F.lit(tags[1]).alias("output"))
-    b = ronly.select(*keys, *lnull, *rcols, F.lit(tags[2]).alias("output"))
-    return matched.unionByName(a).unionByName(b)
+    return found.unionByName(ronly.select(*keys, *lnull, *rcols, F.lit(tags[2]).alias("output")))

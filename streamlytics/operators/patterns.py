@@ -5,7 +5,7 @@ key" (strict contiguity) and "the next row of a given type" (relaxed
 contiguity), taken in event-time order with ``seq`` breaking ties. Both use the
 skew-safe bucketed neighbour search of ``sequence.with_neighbor``; since a
 match must lie less than ``within`` after its start, buckets at least ``within``
-wide let the search run in one window pass (``adjacent_only``).
+wide let the search run in one window pass (``reach``).
 """
 
 from __future__ import annotations
@@ -23,11 +23,18 @@ TIMEOUT_MSG = "timeout"
 
 
 def _width(bucket_width, within_us: int) -> int:
-    """Time-bucket width: by default the larger of 1 hour and ``within`` (so a match
-    is always in the same or the next bucket and the single-pass form applies)."""
+    """Time-bucket width, by default the larger of 1 minute and 4 x ``within``: a match
+    is in the same or the next bucket, a burst is split, and few rows are near an edge.
+    A narrower one is widened to ``within``."""
     if bucket_width is None:
-        return max(duration_us("1 hour"), within_us)
-    return duration_us(bucket_width)
+        return max(duration_us("1 minute"), 4 * within_us)
+    return max(duration_us(bucket_width), within_us)
+
+
+def _near_edge(ts_col: str, width: int, within_us: int):
+    """Rows less than ``within`` after the start of their bucket: the only ones that can
+    end a match begun in the bucket before."""
+    return F.expr(f"pmod(`{ts_col}`, {width}L) < {within_us}L")
 
 
 def strict_pair(df: DataFrame, key: str = "user_id", type_col: str = "event_type",
@@ -41,11 +48,9 @@ def strict_pair(df: DataFrame, key: str = "user_id", type_col: str = "event_type
     """
     w = duration_us(within)
     bucket_width = _width(bucket_width, w)
-    # a match needs the next row less than `within` later: with buckets at least that
-    # wide it is in the same or the next bucket (single-pass form)
     n = with_neighbor(df.select(key, type_col, ts_col, seq_col), [key], [ts_col, seq_col],
                       time_bucket(ts_col, bucket_width), [type_col, ts_col], "next",
-                      adjacent_only=duration_us(bucket_width) >= w)
+                      reach=_near_edge(ts_col, bucket_width, w))
     hit = ((F.col(type_col) == first) & (F.col(f"next_{type_col}") == second)
            & (F.col(f"next_{ts_col}") - F.col(ts_col) < F.lit(w)))
     return n.filter(hit).select(key, F.col(ts_col).alias("first_us"),
@@ -67,7 +72,7 @@ def followed_by_within(df: DataFrame, key: str = "order_id", type_col: str = "ev
     bucket_width = _width(bucket_width, w)
     n = with_neighbor(df.select(key, type_col, ts_col, seq_col), [key], [ts_col, seq_col],
                       time_bucket(ts_col, bucket_width), [ts_col], "next",
-                      where=F.col(type_col) == end, adjacent_only=duration_us(bucket_width) >= w)
+                      where=F.col(type_col) == end, reach=_near_edge(ts_col, bucket_width, w))
     ok = F.col(f"next_{ts_col}").isNotNull() & (F.col(f"next_{ts_col}") - F.col(ts_col) < F.lit(w))
     return (n.filter(F.col(type_col) == start)
             .select(key, F.col(ts_col).alias("start_us"),

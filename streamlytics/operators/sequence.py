@@ -17,9 +17,9 @@ per-bucket table of step 2 is a partial aggregate (one row per key, bucket and
 map task crosses the network), and the join-back reuses the window's partitioning
 (or broadcasts the small table when the planner sees it is small).
 
-When only neighbours in the same or the adjacent bucket matter (a pattern whose
-``within`` is at most the bucket width), ``with_neighbor(adjacent_only=True)`` copies
-the candidate rows one bucket over and needs a single window pass instead.
+When only neighbours in the same bucket or near its edge matter (a pattern whose
+``within`` is at most the bucket width), ``with_neighbor(reach=...)`` lets the rows near
+the edge also stand one bucket over and needs a single window pass instead.
 """
 
 from __future__ import annotations
@@ -91,20 +91,40 @@ def _list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
+_BLANK = {"string": "''", "boolean": "false", "date": "date'1970-01-01'"}
+
+
+def without_nulls(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` with two columns for each key, a value that is never NULL and whether it was;
+    windows, aggregates and plain equi-joins over these keep NULL keys together, and a join
+    can reuse the partitioning of a window on the same columns (a ``<=>`` join cannot)."""
+    types = dict(df.dtypes)
+    cols, names = [], []
+    for i, k in enumerate(keys):
+        t = types[k]
+        blank = _BLANK.get(t, f"CAST(0 AS {t})" if t in _FIXED or t.startswith("decimal") else None)
+        if t.startswith("timestamp"):
+            blank = f"{t}'1970-01-01 00:00:00'"
+        value = F.col(k) if blank else F.to_json(F.struct(k))
+        cols += [F.coalesce(value, F.expr(blank or "''")).alias(f"_v{i}"), F.col(k).isNull().alias(f"_n{i}")]
+        names += [f"_v{i}", f"_n{i}"]
+    return df.select("*", *cols), names
+
+
 def with_neighbor(df: DataFrame, keys, order: Sequence[str], bucket: Column, cols: Sequence[str],
                   direction: str = "next", where: Column | None = None,
-                  prefix: str | None = None, adjacent_only: bool = False) -> DataFrame:
+                  prefix: str | None = None, reach: Column | None = None) -> DataFrame:
     """Attach, to every row, columns of the nearest row of the same key that comes
     after it (``direction='next'``) or before it (``'prev'``) in ``order``,
     considering only rows where ``where`` holds (all rows if ``None``).
 
     Adds ``<prefix><col>`` for each of ``cols`` (NULL when there is no such row).
 
-    ``adjacent_only=True``: the caller needs the neighbour only when it lies in the
-    same or the adjacent bucket (e.g. a pattern with ``within`` <= bucket width);
-    farther neighbours come back as NULL. The qualifying rows are then also copied
-    into the adjacent bucket and one window pass answers every row: one shuffle,
-    no per-bucket table, no join.
+    ``reach``: the caller needs a neighbour from the adjacent bucket only if that row
+    fulfils this condition (e.g. lies less than a pattern's ``within`` from the edge
+    between the buckets); farther neighbours come back as NULL. Such rows, and no others,
+    also take part in the adjacent bucket, and one window pass answers every row: one
+    scan, one shuffle, no per-bucket table, no join.
     """
     keys, order, cols = _list(keys), list(order), list(cols)
     if direction not in ("next", "prev"):
@@ -113,9 +133,10 @@ def with_neighbor(df: DataFrame, keys, order: Sequence[str], bucket: Column, col
     fwd = direction == "next"
     s = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
                  *[F.col(c).alias(f"_c{i}") for i, c in enumerate(cols)])
-    if adjacent_only:
-        return _adjacent_neighbor(df, keys, order, bucket, cols, fwd, where, prefix, s)
-    d = df.withColumn("_b", bucket).withColumn("_s", s if where is None else F.when(where, s))
+    if reach is not None:
+        return _adjacent_neighbor(df, keys, order, bucket, cols, fwd, where, prefix, s, reach)
+    d, keys = without_nulls(df, keys)
+    d = d.withColumn("_b", bucket).withColumn("_s", s if where is None else F.when(where, s))
     asc = [F.col(c).asc() for c in order]
     desc = [F.col(c).desc() for c in order]
     inb = W.partitionBy(*keys, "_b")
@@ -158,13 +179,13 @@ def _edge_agg(df: DataFrame, order, cols, fwd: bool, where) -> Column:
     return (F.min if fwd else F.max)("_s")
 
 
-def _adjacent_neighbor(df, keys, order, bucket, cols, fwd, where, prefix, s) -> DataFrame:
-    d = df.withColumn("_b", bucket).withColumn("_own", F.lit(True))
-    d = d.withColumn("_s", s if where is None else F.when(where, s))
-    # candidates of bucket b+1 (b-1) are copied into b: they come after (before) all of b
-    cand = d if where is None else d.filter(where)
-    copies = cand.withColumn("_b", F.col("_b") + F.lit(-1 if fwd else 1)).withColumn("_own", F.lit(False))
-    u = d.unionByName(copies)
+def _adjacent_neighbor(df, keys, order, bucket, cols, fwd, where, prefix, s, reach) -> DataFrame:
+    d = df.withColumn("_home", bucket).withColumn("_s", s if where is None else F.when(where, s))
+    # candidates of bucket b+1 (b-1) also stand in b: they come after (before) all of b
+    near = reach if where is None else reach & where
+    there = F.col("_home") + F.lit(-1 if fwd else 1)
+    u = d.withColumn("_b", F.explode(F.when(near, F.array("_home", there)).otherwise(F.array("_home")))) \
+        .withColumn("_own", F.col("_b").eqNullSafe(F.col("_home")))
     asc = [F.col(c).asc() for c in order]
     desc = [F.col(c).desc() for c in order]
     inb = W.partitionBy(*keys, "_b")
@@ -181,7 +202,8 @@ def running_sum(df: DataFrame, keys, order: Sequence[str], bucket: Column, value
                 out: str) -> DataFrame:
     """Running (inclusive) sum of ``value`` per key along ``order``."""
     keys, order = _list(keys), list(order)
-    d = df.withColumn("_b", bucket)
+    d, keys = without_nulls(df, keys)
+    d = d.withColumn("_b", bucket)
     inb = W.partitionBy(*keys, "_b").orderBy(*[F.col(c).asc() for c in order]) \
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     per = d.groupBy(*keys, "_b").agg(F.sum(value).alias("_tot"))   # partial aggregate

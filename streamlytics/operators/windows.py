@@ -101,6 +101,33 @@ def sliding_count(df: DataFrame, keys, ts_col: str = "ts_us", size: str | int =
     return window_agg(df, keys, ts_col, size, slide, {count_col: F.count(F.lit(1))})
 
 
+def sliding_count_by_runs(df: DataFrame, keys, ts_col: str = "ts_us", size: str | int = "1 hour",
+                          slide: str | int = "1 second", count_col: str = "cnt") -> DataFrame:
+    """The rows of ``sliding_count`` for windows that overlap many times (size a multiple of
+    slide): n rows of a pane raise the count of the next size/slide windows by n, so a key's
+    count changes only where a pane enters or leaves. These changes, two a pane, are summed
+    along the key's windows (bucketed, so that a hot key is split), and each stretch of equal
+    counts is unfolded into its windows last: what is shuffled is panes, never windows."""
+    from .sequence import running_sum, with_neighbor
+    size_us, slide_us = duration_us(size), duration_us(slide)
+    if size_us % slide_us:
+        raise ValueError("size must be a multiple of slide")
+    k = _cols(keys) or ["_all"]
+    d = df if _cols(keys) else df.withColumn("_all", F.lit(0))
+    n = size_us // slide_us
+    panes = pane_partials(d, k, ts_col, slide_us, {"_n": F.count(F.lit(1))})
+    change = F.explode(F.array(F.struct((F.col("_pane") + 1).alias("e"), F.col("_n").alias("d")),
+                               F.struct((F.col("_pane") + 1 + n).alias("e"), (-F.col("_n")).alias("d"))))
+    changes = panes.select(*k, change.alias("_x")).groupBy(*k, F.col("_x.e").alias("_e")).agg(F.sum("_x.d").alias("_d"))
+    bucket = F.expr(f"(_e - pmod(_e, {16 * n}L)) div {16 * n}L")
+    counts = running_sum(changes, k, ["_e"], bucket, "_d", count_col)
+    # a stretch ends at the key's next change, at most n windows on
+    runs = with_neighbor(counts, k, ["_e"], bucket, ["_e"], "next", reach=F.expr(f"pmod(_e, {16 * n}L) <= {n}L"))
+    ends = runs.filter(F.col(count_col) > 0).withColumn("_w", F.explode(F.expr("sequence(_e, next__e - 1)")))
+    return ends.select(*_cols(keys), F.expr(f"(_w * {slide_us}L - {size_us}L) div 1000").alias("window_start"),
+                       F.expr(f"_w * {slide_us}L div 1000").alias("window_end"), count_col)
+
+
 def tumbling_count(df: DataFrame, keys=None, ts_col: str = "ts_us", size: str | int = "1 hour",
                    count_col: str = "cnt") -> DataFrame:
     """A2 (sum of ones) / A5 (grand total) over tumbling windows; ``keys=None`` is

@@ -14,7 +14,7 @@ from ..functions.text import drop_static_resources
 from ..functions.time import format_window_time
 from ..operators import detect, distinct, joins, patterns
 from ..operators.topn import ITEM_REPORT, URL_REPORT, render_ranking, top_n_by_count
-from ..operators.windows import integer_average, sliding_count, tumbling_count
+from ..operators.windows import integer_average, sliding_count, sliding_count_by_runs, tumbling_count
 
 
 # -------------------------------------------------------------- hot items / urls
@@ -51,7 +51,7 @@ def unique_visitors(behavior: DataFrame, size="1 hour") -> DataFrame:
     return distinct.unique_visitors(behavior.filter(F.col("behavior") == "pv"), "user_id", "ts_us", size)
 
 
-def unique_visitors_running(behavior: DataFrame, size="1 hour", bucket_width="1 hour") -> DataFrame:
+def unique_visitors_running(behavior: DataFrame, size="1 hour", bucket_width="1 second") -> DataFrame:
     """UV with per-element firing: distinct users so far, one row per page view."""
     return distinct.running_unique_visitors(behavior.filter(F.col("behavior") == "pv"),
                                             "user_id", "ts_us", "seq", size, bucket_width)
@@ -67,7 +67,7 @@ def unique_visitors_bitmap(behavior: DataFrame, size="1 hour", seed: int = 61,
 
 
 def unique_visitors_bitmap_running(behavior: DataFrame, size="1 hour", seed: int = 61,
-                                   bits: int = 1 << 29, bucket_width="1 hour") -> DataFrame:
+                                   bits: int = 1 << 29, bucket_width="1 second") -> DataFrame:
     """UVWithBloomFilter as the reference emits it: one row per page view with the
     number of distinct hash bits set so far in its window (fires per element)."""
     views = behavior.filter(F.col("behavior") == "pv")
@@ -85,7 +85,7 @@ def average_timestamp(behavior: DataFrame) -> DataFrame:
 # -------------------------------------------------------------- ads / marketing
 def ad_count_by_province(clicks: DataFrame, size="1 hour", slide="5 seconds") -> DataFrame:
     """AdStatisticsByGeo: clicks per province per sliding window, end formatted."""
-    c = sliding_count(clicks, "province", "ts_us", size, slide)
+    c = sliding_count_by_runs(clicks, "province", "ts_us", size, slide)
     return c.select("window_end", format_window_time("window_end").alias("window_end_str"), "province", "cnt")
 
 
@@ -106,7 +106,7 @@ def marketing_by_channel(events: DataFrame, size="1 hour", slide="1 second",
                          drop_behavior: str = "UNINSTALL") -> DataFrame:
     """AppMarketingByChannel: counts per (channel, behaviour) per sliding window."""
     kept = events.filter(~F.col("behavior").eqNullSafe(drop_behavior))
-    c = sliding_count(kept, ["channel", "behavior"], "ts_us", size, slide)
+    c = sliding_count_by_runs(kept, ["channel", "behavior"], "ts_us", size, slide)
     return c.select("window_start", "window_end", format_window_time("window_start").alias("window_start_str"),
                     format_window_time("window_end").alias("window_end_str"), "channel", "behavior", "cnt")
 
@@ -115,7 +115,7 @@ def marketing_total(events: DataFrame, size="1 hour", slide="1 second",
                     drop_behavior: str = "UNINSTALL") -> DataFrame:
     """AppMarketingStatistics: grand total per sliding window, tagged total/total."""
     kept = events.filter(~F.col("behavior").eqNullSafe(drop_behavior))
-    c = sliding_count(kept, None, "ts_us", size, slide)
+    c = sliding_count_by_runs(kept, None, "ts_us", size, slide)
     return c.select("window_start", "window_end", format_window_time("window_start").alias("window_start_str"),
                     format_window_time("window_end").alias("window_end_str"),
                     F.lit("total").alias("channel"), F.lit("total").alias("behavior"), "cnt")

@@ -6,8 +6,8 @@
 Inputs are the jobs' CSV files (or folders; ``apache.log``-style text for
 ``network_flow``); ``--stream`` reads them as file streams (new files are new
 micro-batches) for the jobs that have a streaming form. With ``--output`` every
-output (main and side outputs) is written as Parquet under DIR/<output name>;
-without it a preview of each output is printed (the reference's ``print``).
+output is written as Parquet under DIR/<output name>, tagged ones (main and side
+outputs) in one job under DIR/output=<tag>; without it a preview of each output is printed (the reference's ``print``).
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from streamlytics.functions.text import tx_present  # noqa: E402
+from streamlytics.operators.outputs import split, write_split  # noqa: E402
 from streamlytics.plans import jobs  # noqa: E402
 from streamlytics.sources.access_log import read_access_log, read_access_log_stream  # noqa: E402
 from streamlytics.sources.records import read_records, read_records_stream  # noqa: E402
@@ -38,8 +39,20 @@ def _receipts(r: DataFrame) -> DataFrame:
     return r.select("tx_id", "pay_channel", F.col("ts_us").alias("receipt_us"))
 
 
-def _split(df: DataFrame, tags) -> dict:
-    return {t: df.filter(F.col("output") == t).drop("output") for t in tags}
+class Tagged:
+    """Main and side outputs of one plan, told apart by the column ``output``."""
+
+    def __init__(self, df: DataFrame, tags):
+        self.df, self.tags = df, list(tags)
+
+    def views(self) -> dict:
+        return split(self.df, tags=self.tags)
+
+    def write(self, path: str) -> dict:
+        """All outputs in one job, under PATH/output=<tag>; returned as tables."""
+        write_split(self.df, path)
+        made = self.df.sparkSession.read.schema(self.df.schema).parquet(path)
+        return split(made, tags=self.tags)
 
 
 # job -> (input kinds, batch function returning {output name: DataFrame})
@@ -55,11 +68,11 @@ BATCH = {
     "app_marketing_statistics": (["marketing"], lambda d, p: {"count": jobs.marketing_total(d[0], **p)}),
     "login_fail": (["login"], lambda d, p: {"warning": jobs.login_fail_state(d[0], **p)}),
     "login_fail_with_cep": (["login"], lambda d, p: {"warning": jobs.login_fail_cep(d[0], **p)}),
-    "order_timeout": (["order"], lambda d, p: _split(jobs.order_timeout_cep(d[0], **p), ["matched", "timeout"])),
-    "order_timeout_without_cep": (["order"], lambda d, p: _split(jobs.order_timeout_state(d[0], **p),
-                                                                 ["payed", "timeout"])),
-    "tx_match_detect": (["order", "receipt"], lambda d, p: _split(jobs.tx_match(_pays(d[0]), _receipts(d[1]), **p),
-                                                                  ["matched", "unmatched_pay", "unmatched_receipt"])),
+    "order_timeout": (["order"], lambda d, p: Tagged(jobs.order_timeout_cep(d[0], **p), ["matched", "timeout"])),
+    "order_timeout_without_cep": (["order"], lambda d, p: Tagged(jobs.order_timeout_state(d[0], **p),
+                                                                  ["payed", "timeout"])),
+    "tx_match_detect": (["order", "receipt"], lambda d, p: Tagged(jobs.tx_match(_pays(d[0]), _receipts(d[1]), **p),
+                                                                   ["matched", "unmatched_pay", "unmatched_receipt"])),
     "tx_match_by_join": (["order", "receipt"], lambda d, p: {"matched": jobs.tx_match_by_join(
         _pays(d[0]), _receipts(d[1]), **p)}),
 }
@@ -86,6 +99,8 @@ def _stream_outputs(job: str, d: list, p: dict) -> dict:
     # A file stream has no arrival sequence; the event-time jobs only use it to break
     # ties, which are then left unordered (a queue's offset is used when present).
     d = [x if "seq" in x.columns else x.withColumn("seq", F.col("ts_us")) for x in d]
+    capped = {k: p[k] for k in ("keys", "cap", "reset") if k in p}
+    sliding = {k: p[k] for k in ("size", "slide") if k in p}
     if job in ("tx_match_detect", "tx_match_by_join"):
         # each side gets its own event-time column and watermark
         pays = with_event_time(_pays(d[0]), "pay_us", "0 seconds", "pay_ts", p.get("max_ts_us"))
@@ -104,10 +119,18 @@ def _stream_outputs(job: str, d: list, p: dict) -> dict:
         counts, rank = SJ.stream_hot_urls(d[0], p.get("size", "10 minutes"), p.get("slide", "5 seconds"), p.get("n", 5))
         return {"report": (counts, lambda b: jobs.hot_urls_report(rank(b)))}
     if job == "blacklist_warning":
-        tagged = ST.stream_click_cap(d[0], p.get("keys", ("user_id", "ad_id")), p.get("cap", 100), p.get("reset", "day"))
-        return {"clicks": tagged}   # output = pass | warn
+        return {"clicks": ST.stream_click_cap(d[0], **capped)}   # output = pass | warn; a second
+        # stream over this table counts the passed clicks per province (see plans.stream_queries)
+    if job == "login_fail":
+        return {"warning": ST.stream_login_fail(d[0], within=p.get("within", "2 seconds"))}
+    if job == "uv_with_bloom":
+        return {"uv": SJ.stream_bitmap_unique_visitors(d[0], p.get("size", "1 hour"))}
+    if job == "app_marketing_by_channel":
+        return {"count": SJ.stream_marketing_counts(d[0], ["channel", "behavior"], **sliding)}
+    if job == "app_marketing_statistics":
+        return {"count": SJ.stream_marketing_counts(d[0], None, **sliding)}
     if job == "page_view":
-        return {"pv": SJ.stream_window_count(d[0].filter("behavior = 'pv'"), None, p.get("size", "1 hour"))}
+        return {"pv": SJ.stream_window_count(SJ.page_views(d[0]), None, p.get("size", "1 hour"))}
     if job == "unique_visitor":
         return {"uv": SJ.stream_unique_visitors(d[0], p.get("size", "1 hour"))}
     if job == "ad_statistics_by_geo":
@@ -129,6 +152,10 @@ def run(spark: SparkSession, job: str, inputs: list[str], output: str | None = N
         raise SystemExit(f"{job} needs {len(kinds)} input(s): {', '.join(kinds)}")
     d = [_read(spark, k, path, stream) for k, path in zip(kinds, inputs)]
     params = dict(params or {})
+    if isinstance(params.get("keys"), str):
+        params["keys"] = tuple(k.strip() for k in params["keys"].split(","))
+    if not stream:
+        params.pop("max_ts_us", None)       # nothing is late in batch
     outs = _stream_outputs(job, d, params) if stream else fn(d, params)
     if stream:
         from streamlytics.session import scratch_path
@@ -151,6 +178,10 @@ def run(spark: SparkSession, job: str, inputs: list[str], output: str | None = N
                 qs[name] = (w.format("parquet").option("path", f"{output}/{name}") if output
                             else w.format("console").option("truncate", False)).start()
         return qs
+    if isinstance(outs, Tagged):
+        if output:
+            return outs.write(output)
+        outs = outs.views()
     for name, df in outs.items():
         if output:
             df.write.mode("overwrite").parquet(f"{output}/{name}")

@@ -22,6 +22,11 @@ from .queries import CAP_RANKED, D, H, MIN, PV, register
 from .queries import ORACLE as _BATCH_SQL
 
 
+# seconds without change after which a query with processing-time timeouts is over; its
+# keys with a timer are looked at every second
+SETTLE = 3.0
+
+
 def run_available_now(df, name, **kw):
     """Registered streams use one state partition per core of the cluster."""
     kw.setdefault("state_partitions", df.sparkSession.sparkContext.defaultParallelism)
@@ -33,37 +38,35 @@ def _closed(sql: str, src: str) -> str:
     return f"SELECT * FROM ({sql}) q WHERE window_end <= (SELECT max(ts_us) // 1000 FROM ({src}) s)"
 
 
-def _view_stream(spark, sf_dir):
-    b = td.user_behavior(spark, sf_dir, where=F.col("event_type") == "view", stream=True)
-    return with_event_time(b, "ts_us", "0 seconds")
+def _behavior_stream(spark, sf_dir):
+    return with_event_time(td.user_behavior(spark, sf_dir, stream=True), "ts_us", "0 seconds")
 
 
-@register("stream_page_views_hourly", _closed(_BATCH_SQL["page_views_hourly"], PV))
+@register("stream_page_views_hourly", _closed(_BATCH_SQL["page_views_hourly"], O.USER_BEHAVIOR))
 def stream_page_views_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T1 T3 A2 on a stream: page views per tumbling hour (append mode)."""
-    c = SJ.stream_window_count(_view_stream(spark, sf_dir).filter(F.col("behavior") == "pv"), None, "1 hour",
-                               count_col="pv")
+    c = SJ.stream_window_count(SJ.page_views(_behavior_stream(spark, sf_dir)), None, "1 hour", count_col="pv")
     return run_available_now(c, "page_views")
 
 
-@register("stream_hot_items_topn", O.topn(_closed(O.sliding(PV, ["item_id"], H, 5 * MIN), PV), "item_id", 3))
+@register("stream_hot_items_topn", O.topn(_closed(O.sliding(PV, ["item_id"], H, 5 * MIN), O.USER_BEHAVIOR), "item_id", 3))
 def stream_hot_items_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """HotItems on a stream: pane-chained sliding counts, top 3 per closed window."""
-    counts, rank = SJ.stream_hot_items(_view_stream(spark, sf_dir), "1 hour", "5 minutes", 3)
+    counts, rank = SJ.stream_hot_items(_behavior_stream(spark, sf_dir), "1 hour", "5 minutes", 3)
     return run_available_now(counts, "hot_items", foreach=rank)
 
 
-@register("stream_uv_exact_hourly", _closed(_BATCH_SQL["uv_exact_hourly"], PV))
+@register("stream_uv_exact_hourly", _closed(_BATCH_SQL["uv_exact_hourly"], O.USER_BEHAVIOR))
 def stream_uv_exact_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T5 A6 on a stream: distinct users per hour in two chained aggregates."""
-    return run_available_now(SJ.stream_unique_visitors(_view_stream(spark, sf_dir), "1 hour"), "uv_exact")
+    return run_available_now(SJ.stream_unique_visitors(_behavior_stream(spark, sf_dir), "1 hour"), "uv_exact")
 
 
 @register("stream_ad_clicks_by_region", _closed(_BATCH_SQL["ad_clicks_by_region"], O.AD_CLICKS))
 def stream_ad_clicks_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ad clicks per province on a stream (stream-static join to the customer geography)."""
     clicks = with_event_time(td.ad_clicks(spark, sf_dir, stream=True), "ts_us", "0 seconds")
-    c = SJ.stream_window_count(clicks, "province", "1 hour", "1 minute")
+    c = SJ.stream_window_count(clicks, "province", "1 hour", "5 seconds")
     c = c.select("window_end", format_window_time("window_end").alias("window_end_str"), "province", "cnt")
     return run_available_now(c, "ad_clicks")
 
@@ -83,7 +86,8 @@ def stream_tx_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _cap_stream(spark, sf_dir):
     e = td.events(spark, sf_dir, stream=True).select("user_id", "event_type", "seq", "ts_us")
     e = with_event_time(e, "ts_us", "0 seconds")
-    return run_available_now(ST.stream_click_cap(e, ("user_id", "event_type"), 2, "day"), "click_cap")
+    return run_available_now(ST.stream_click_cap(e, ("user_id", "event_type"), 2, "day", check_every="1 second"),
+                             "click_cap", settle=SETTLE)
 
 
 @register("stream_click_cap_pass", f"SELECT user_id, event_type, seq, ts_us FROM ({CAP_RANKED}) t WHERE rn <= 2")
@@ -118,7 +122,8 @@ def stream_order_pay_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D3 on a stream: keyed state with event-time timers (4 h deadline per user-day)."""
     o = td.order_events(spark, sf_dir, where=F.col("event_type").isin("signup", "purchase"), stream=True)
     o = with_event_time(o.withColumn("day", F.expr(f"ts_us div {D}L")), "ts_us", "0 seconds")
-    return run_available_now(ST.stream_order_outcomes(o, ("order_id", "day"), within="4 hours"), "order_outcomes")
+    return run_available_now(ST.stream_order_outcomes(o, ("order_id", "day"), within="4 hours", check_every="1 second"),
+                             "order_outcomes", settle=SETTLE)
 
 
 def _wm_us(src: str, delay_ms: int = 0) -> str:
@@ -143,21 +148,15 @@ def stream_order_pay_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_available_now(ST.stream_followed_by_within(o, within="1 day"), "order_timeout")
 
 
-@register("stream_uv_bitmap_hourly", _closed(_BATCH_SQL["uv_bitmap_hourly"], PV))
+@register("stream_uv_bitmap_hourly", _closed(_BATCH_SQL["uv_bitmap_hourly"], O.USER_BEHAVIOR))
 def stream_uv_bitmap_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A8 on a stream: hashed users in per-window bitmaps (chained aggregates)."""
-    return run_available_now(SJ.stream_bitmap_unique_visitors(_view_stream(spark, sf_dir)), "uv_bitmap")
-
-
-# Spark's optimizer pushes the URL filter (it does not touch event time) below the
-# watermark, so the watermark follows the kept pages, not every log line.
-_PAGES = (f"SELECT ts_ms * 1000 AS ts_us FROM ({O.ACCESS_LOG}) a "
-          f"WHERE NOT regexp_matches(url, '\\.(css|js)$')")
+    return run_available_now(SJ.stream_bitmap_unique_visitors(_behavior_stream(spark, sf_dir)), "uv_bitmap")
 
 
 @register("stream_hot_urls_topn", (
     f"SELECT * FROM ({_BATCH_SQL['hot_urls_topn']}) q "
-    f"WHERE window_end <= (SELECT max(ts_us) // 1000 - 1000 FROM ({_PAGES}) s)"))
+    f"WHERE window_end <= (SELECT max(ts_ms) - 1000 FROM ({O.ACCESS_LOG}) s)"))
 def stream_hot_urls_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """NetworkFlow on a stream: parsed log lines, 1 s out-of-orderness watermark,
     10 min / 5 s pane-chained counts, top 5 per closed window."""
@@ -167,20 +166,27 @@ def stream_hot_urls_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_available_now(counts, "hot_urls", foreach=rank)
 
 
-_MKT = (f"SELECT * FROM ({O.MARKETING}) m WHERE behavior IS DISTINCT FROM 'UNINSTALL'")
-
-
-@register("stream_marketing_by_channel", _closed(_BATCH_SQL["marketing_by_channel"], _MKT))
+@register("stream_marketing_by_channel", _closed(_BATCH_SQL["marketing_by_channel"], O.MARKETING))
 def stream_marketing_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4 on a stream: counts per (channel, behaviour), 1 h windows sliding by 1 min."""
     m = with_event_time(td.marketing_events(spark, sf_dir, stream=True), "ts_us", "0 seconds")
-    kept = m.filter(~F.col("behavior").eqNullSafe("UNINSTALL"))
-    c = SJ.stream_window_count(kept, ["channel", "behavior"], "1 hour", "1 minute")
+    c = SJ.stream_marketing_counts(m, ["channel", "behavior"], "1 hour", "1 minute")
     c = c.select("window_start", "window_end", format_window_time("window_start").alias("window_start_str"),
                  format_window_time("window_end").alias("window_end_str"), "channel", "behavior", "cnt")
     return run_available_now(c, "marketing")
 
 
+@register("stream_marketing_total", _closed(_BATCH_SQL["marketing_total"], O.MARKETING))
+def stream_marketing_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 on a stream: grand total per 1 h window sliding by 1 min."""
+    m = with_event_time(td.marketing_events(spark, sf_dir, stream=True), "ts_us", "0 seconds")
+    c = SJ.stream_marketing_counts(m, None, "1 hour", "1 minute")
+    c = c.select("window_start", "window_end", format_window_time("window_start").alias("window_start_str"),
+                 format_window_time("window_end").alias("window_end_str"), F.lit("total").alias("channel"),
+                 F.lit("total").alias("behavior"), "cnt")
+    return run_available_now(c, "marketing_total")
+
+
 _PAY_SRC = f"SELECT ts_us FROM ({O.EVENTS}) e WHERE event_type = 'purchase'"
 _REC_SRC = f"SELECT ts_us FROM ({O.EVENTS}) e WHERE event_type = 'click'"
 # global watermark = the smaller of the two streams' watermarks (Spark's default policy)
@@ -201,3 +207,118 @@ def stream_tx_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = SJ.stream_interval_join(pays, recs, "key", "-1 hour", "1 hour", "pay_ts", "receipt_ts", "full_outer")
     j = j.select("key", "pay_id", "pay_us", "receipt_id", "pay_channel", "receipt_us", "output")
     return run_available_now(j, "tx_reconcile")
+
+
+# ------------------------------------------------------------------ many micro-batches, late rows
+# The streams below deliver their rows in BATCHES micro-batches by event time, and a block
+# of rows late. A row's batch, and the watermark when a batch begins, in SQL:
+BATCHES = 8
+_RANGE = f"(SELECT min(ts_us) AS lo, max(ts_us) AS hi FROM ({O.EVENTS}) e)"
+
+
+def _delivered(src: str, late: str) -> str:
+    return (f"SELECT s.*, least((ts_us - lo) * {BATCHES} // (hi - lo + 1) + ({late}), {BATCHES - 1}) AS batch "
+            f"FROM ({src}) s, {_RANGE} r")
+
+
+def _watermarks(src: str) -> str:
+    """(batch, wm): milliseconds, from the rows of the batches before."""
+    return (f"SELECT b AS batch, coalesce((SELECT max(ts_us) // 1000 FROM ({src}) w WHERE w.batch < b), 0) AS wm "
+            f"FROM range(0, {BATCHES + 1}) r(b)")
+
+
+_CAP_SRC = _delivered(f"SELECT user_id, event_type, seq, ts_us FROM ({O.EVENTS}) e", "CASE WHEN seq % 10 = 7 THEN 2 ELSE 0 END")
+_CAP_LATE = (f"WITH s AS ({_CAP_SRC}), w AS ({_watermarks('SELECT * FROM s')}) "
+             f"SELECT s.*, row_number() OVER (PARTITION BY user_id, event_type, ts_us // {D}, "
+             f"CASE WHEN wm >= (ts_us // {D} + 1) * {D // 1000} THEN s.batch ELSE -1 END ORDER BY s.batch, ts_us, seq) AS rn "
+             f"FROM s JOIN w USING (batch)")
+
+
+@register("stream_click_cap_late", (
+    f"SELECT user_id, event_type, seq, ts_us, CASE WHEN rn <= 2 THEN 'pass' ELSE 'warn' END AS output "
+    f"FROM ({_CAP_LATE}) t WHERE rn <= 3"))
+def stream_click_cap_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 D1r T8 over many micro-batches: state carried across them, every tenth row two
+    batches late; a row of a day that is over starts a count of its own."""
+    e = td.events(spark, sf_dir).select("user_id", "event_type", "seq", "ts_us")
+    e = td.in_batches(spark, e, *td.time_range(spark, sf_dir), BATCHES, F.when(F.col("seq") % 10 == 7, 2).otherwise(0))
+    capped = ST.stream_click_cap(with_event_time(e), ("user_id", "event_type"), 2, "day", check_every="1 second")
+    return run_available_now(capped, "click_cap_late", settle=SETTLE).drop("msg")
+
+
+_PAY_WITHIN = 4 * H
+_ONE_SRC = (f"SELECT order_id, 'create' AS event_type, ts_us FROM (SELECT event_id AS order_id, ts_us FROM ({O.EVENTS}) e "
+            f"WHERE event_type = 'signup') c UNION ALL SELECT order_id, 'pay', ts_us + (order_id * 7919) % 12 * {H} "
+            f"FROM (SELECT event_id AS order_id, ts_us FROM ({O.EVENTS}) e WHERE event_type = 'signup') p WHERE order_id % 4 <> 0")
+_ONE_LATE = _delivered(_ONE_SRC, "CASE WHEN event_type = 'pay' AND order_id % 10 = 7 THEN 1 ELSE 0 END")
+
+
+@register("stream_order_outcomes_late", (
+    f"WITH s AS ({_ONE_LATE}), w AS ({_watermarks('SELECT * FROM s')}), "
+    f"o AS (SELECT c.order_id, c.ts_us AS c, c.batch AS cb, p.ts_us AS p, p.batch AS pb FROM s c LEFT JOIN s p "
+    f"ON c.order_id = p.order_id AND p.event_type = 'pay' WHERE c.event_type = 'create'), "
+    f"f AS (SELECT max(wm) AS fin FROM w), "
+    f"x AS (SELECT o.*, fin, coalesce(pb > cb AND wm > (c + {_PAY_WITHIN}) // 1000, false) AS missed FROM o "
+    f"LEFT JOIN w ON w.batch = o.pb, f) "
+    f"SELECT order_id, c AS create_us, p AS pay_us, CASE WHEN p < c + {_PAY_WITHIN} THEN 'payed' ELSE 'timeout' END AS output, "
+    f"CASE WHEN p < c + {_PAY_WITHIN} THEN 'payed successfully' ELSE 'payed but already timeout' END AS msg "
+    f"FROM x WHERE p IS NOT NULL AND NOT missed "
+    f"UNION ALL SELECT order_id, c, NULL, 'timeout', 'order timeout' FROM x "
+    f"WHERE missed OR (p IS NULL AND fin > (c + {_PAY_WITHIN}) // 1000) "
+    f"UNION ALL SELECT order_id, NULL, p, 'timeout', 'already payed but not found create log' FROM x "
+    f"WHERE missed AND fin > p // 1000"))
+def stream_order_outcomes_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3 T6 T8 over many micro-batches: creates wait across them, one pay in ten comes a
+    batch late: matched if its order's timer has not fired by then."""
+    o = td.in_batches(spark, td.single_orders(spark, sf_dir), *td.time_range(spark, sf_dir), BATCHES,
+                      F.when((F.col("event_type") == "pay") & (F.col("order_id") % 10 == 7), 1).otherwise(0))
+    out = ST.stream_order_outcomes(with_event_time(o), ("order_id",), within="4 hours", check_every="1 second")
+    return run_available_now(out, "order_outcomes_late", settle=SETTLE)
+
+
+_BEH_LATE = _delivered(O.USER_BEHAVIOR, "CASE WHEN seq % 10 = 7 THEN 1 ELSE 0 END")
+
+
+@register("stream_page_views_late", (
+    f"WITH s AS ({_BEH_LATE}), w AS ({_watermarks('SELECT * FROM s')}) "
+    f"SELECT ts_us // {H} * {H // 1000} AS window_start, (ts_us // {H} + 1) * {H // 1000} AS window_end, "
+    f"CAST(count(*) AS BIGINT) AS pv FROM s JOIN w ON w.batch = greatest(s.batch - 1, 0) WHERE behavior = 'pv' AND (ts_us // {H} + 1) * {H // 1000} > wm "
+    f"AND (ts_us // {H} + 1) * {H // 1000} <= (SELECT max(wm) FROM w) GROUP BY ALL"))
+def stream_page_views_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3 T8 over many micro-batches: windows drop rows that come after they closed (Spark
+    takes rows as late by the watermark that the batch before began with)."""
+    b = td.in_batches(spark, td.user_behavior(spark, sf_dir), *td.time_range(spark, sf_dir), BATCHES,
+                      F.when(F.col("seq") % 10 == 7, 1).otherwise(0))
+    return run_available_now(SJ.stream_window_count(SJ.page_views(with_event_time(b)), None, "1 hour", count_col="pv"), "pv_late")
+
+
+_D1G = (f"SELECT *, row_number() OVER (PARTITION BY user_id, ts_us // {D} ORDER BY ts_us, seq) AS rn FROM ({O.AD_CLICKS}) a")
+
+
+@register("stream_click_cap_by_region", (
+    f"SELECT window_end, strftime(epoch_ms(window_end), '%Y/%m/%d-%H:%M:%S') AS window_end_str, province, cnt FROM ("
+    + O.sliding(f"SELECT * FROM ({_D1G}) b WHERE rn <= 1", ["province"], H, MIN)
+    + f") t WHERE window_end <= (SELECT max(ts_us) // 1000 FROM ({_D1G}) m WHERE rn <= 1)"))
+def stream_click_cap_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1g on streams: capped clicks go to a table, which a second stream counts per
+    province in 1 h windows sliding by 1 min."""
+    clicks = with_event_time(td.ad_clicks(spark, sf_dir, stream=True))
+    passed = run_available_now(ST.stream_click_cap(clicks, ("user_id",), 1, "day", check_every="1 second"), "cap_region",
+                               settle=SETTLE)
+    again = spark.readStream.schema(passed.schema).parquet(passed.inputFiles()[0].rsplit("/", 1)[0]) if passed.inputFiles() \
+        else None
+    if again is None:
+        return spark.createDataFrame([], "window_end bigint, window_end_str string, province string, cnt bigint")
+    c = SJ.stream_window_count(with_event_time(again.filter(F.col("output") == "pass")), "province", "1 hour", "1 minute")
+    c = c.select("window_end", format_window_time("window_end").alias("window_end_str"), "province", "cnt")
+    return run_available_now(c, "cap_region_counts")
+
+
+@register("stream_uv_update_hourly", _BATCH_SQL["uv_exact_hourly"])
+def stream_uv_update_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T7 A8 on a stream: an HLL estimate re-emitted after every micro-batch that touches its
+    window (update mode); the last of each window (a few hundred users, which a sketch
+    counts exactly)."""
+    b = td.in_batches(spark, td.user_behavior(spark, sf_dir), *td.time_range(spark, sf_dir), BATCHES)
+    out = run_available_now(SJ.stream_sketch_unique_visitors(with_event_time(b)), "uv_update", mode="update")
+    return out.groupBy("window_start", "window_end").agg(F.max("uv").alias("uv"))

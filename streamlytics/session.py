@@ -7,20 +7,23 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings the library needs on any session (applied by ``configure``):
-# * UTC session zone: event times are UTC wall clock (formatting, NTZ casts);
+# Settings that ``local_session`` makes and a cluster's session should make (results do
+# not depend on them; a caller's session is left as it is):
 # * all clustering keys as partition keys: a window/aggregate on (user, day) after a
 #   join on user must not reuse the join's partitioning by user alone, or a hot user
 #   is one task and AQE cannot split the skewed join partition.
 REQUIRED_CONF = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.requireAllClusterKeysForDistribution": "true",
+    # keyed and pane state of streams on local disk instead of the executors' heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 # Settings every job relies on: the required ones, AQE for runtime re-planning
 # (coalescing, skew splitting, broadcast conversion), ANSI mode.
 BASE_CONF = {
     **REQUIRED_CONF,
+    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -55,11 +58,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply ``REQUIRED_CONF`` to a session and make the package importable by the
-    Python workers (idempotent); called by the sources."""
-    for k, v in REQUIRED_CONF.items():
-        if spark.conf.get(k, None) != v:
-            spark.conf.set(k, v)
+    """Make the package importable by the Python workers (idempotent); called by the
+    sources. The session's settings are the caller's and stay as they are."""
     ship_package(spark)
     return spark
 
@@ -89,20 +89,24 @@ def ship_package(spark: SparkSession) -> None:
                         full = os.path.join(d, f)
                         z.write(full, os.path.relpath(full, root))
         sc.addPyFile(out)
-    except Exception as e:  # batch plans are JVM-only and do not need it
+    except Exception as e:  # batch plans are JVM-only and do not need it; tried again next time
         warnings.warn(f"could not ship streamlytics to the Python workers ({e}); "
                       "pass it with --py-files for the streaming state functions")
+        return
     _SHIPPED.add(key)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster the setting names a shared folder and is used as is. Only when it
-    is unset (local tests) a scratch folder is created and registered.
+    On a cluster the setting names a shared folder and is used as is; without one a
+    cluster's session is an error, as each host would get a folder of its own. In local
+    mode (tests) a scratch folder is created and registered.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    if not d and not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all hosts share")
     if not d:
         d = tempfile.mkdtemp(prefix="streamlytics-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if not sc.getCheckpointDir():

@@ -3,12 +3,14 @@
 Batch: ``read_records(spark, path, kind)``; stream: ``read_records_stream``;
 queue payloads: ``decode_records(df_with_binary_value, kind)``. Fields are
 trimmed; malformed rows fail the job (FAILFAST), as the reference's parser does.
-An arrival sequence ``seq`` is attached where the source defines one (the
-position in the file for batch reads), because order-sensitive operators need it.
+An arrival sequence ``seq`` is attached where the source defines one (for batch reads the
+file, by name, and the position in it), because order-sensitive operators need it.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,12 +35,36 @@ def read_records(spark: SparkSession, path: str, kind: str, with_seq: bool = Tru
           .csv(path))
     out = _finish(df, kind)
     if with_seq:
-        # File position as arrival order: monotonically_increasing_id follows the
-        # file/partition order of the scan, which is the order the lines were read.
-        out = out.withColumn("seq", F.monotonically_increasing_id())
+        out = _arrival(spark, out, df.inputFiles())
     return out
 
 
+# seq = file number * 2^_FILE_BITS + byte where the scanned block begins + row of the task
+_FILE_BITS = 44
+
+
+def _arrival(spark: SparkSession, df: DataFrame, files: list[str]) -> DataFrame:
+    """``df`` with ``seq``, ascending by (file name, position), without a sort.
+
+    Spark deals blocks of files to tasks largest first, so a task's row number alone says
+    nothing about the file. A block that is followed by another of its file is a whole
+    split and alone in its task, which so reads fewer rows than the block has bytes: block
+    start plus row number ascends within a file."""
+    row = F.expr(f"monotonically_increasing_id() & {(1 << 33) - 1}L")
+    placed = df.withColumn("_at", F.col("_metadata.file_block_start") + row)
+    if len(files) < 2:
+        return placed.withColumn("seq", F.col("_at")).drop("_at")
+    # both spellings of a path, file:/x and file:///x, as the former
+    order = spark.createDataFrame([(re.sub("^(\\w+):/+", r"\1:/", f), i) for i, f in enumerate(sorted(files))],
+                                  "_file string, _number bigint")
+    placed = placed.withColumn("_path", F.regexp_replace(F.col("_metadata.file_path"), "^(\\w+):/+", "$1:/"))
+    # file names only: their number is the folder's listing, which the driver holds anyway
+    number = F.coalesce("_number", F.raise_error(F.concat(F.lit("not in the listing: "), "_path")).cast("bigint"))
+    return placed.join(order, F.col("_path") == F.col("_file"), "left") \
+        .withColumn("seq", number * F.lit(1 << _FILE_BITS) + F.col("_at")) \
+        .drop("_at", "_path", "_file", "_number")
+
+
 def read_records_stream(spark: SparkSession, path: str, kind: str, max_files: int | None = None) -> DataFrame:
     """Streaming form of ``read_records`` (a folder that receives new CSV files)."""
     configure(spark)

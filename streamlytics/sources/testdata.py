@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.time import epoch_us, LOG_TIME_FORMAT, epoch_ms_to_ntz
+from ..functions.time import US_PER, epoch_us, LOG_TIME_FORMAT, epoch_ms_to_ntz
 from ..session import configure
 
 # ---- fixed values of the mapping (chosen once; the oracle SQL uses the same) ----
@@ -47,8 +47,7 @@ def events(spark: SparkSession, sf_dir: str, where=None, stream: bool = False) -
 
     ``where`` is an optional predicate on the raw columns, applied before any
     derivation so that it reaches the Parquet scan (``PushedFilters``). Event
-    time is read as UTC wall clock: ``session.configure`` pins the session zone to
-    UTC (and sets the other settings the plans rely on).
+    time is read as UTC wall clock, whatever the session's zone.
     """
     configure(spark)
     df = table(spark, sf_dir, "events", stream)
@@ -63,6 +62,48 @@ def events(spark: SparkSession, sf_dir: str, where=None, stream: bool = False) -
     )
 
 
+def in_batches(spark: SparkSession, df: DataFrame, lo_us: int, hi_us: int, n: int, late=None) -> DataFrame:
+    """``df`` (with ``ts_us``) as a stream of ``n`` micro-batches: its rows are written as
+    ordered sets of files, by their place in [lo_us, hi_us], and read one set a batch.
+    ``late`` (a column of whole numbers) delays a row by so many batches."""
+    from ..session import scratch_path
+    k = max(1, spark.sparkContext.defaultParallelism // 4)
+    at = F.expr(f"(ts_us - {lo_us}L) * {n}L div {hi_us - lo_us + 1}L")
+    d = df.withColumn("_batch", F.least(at + (F.lit(0) if late is None else late), F.lit(n - 1)))
+    path = scratch_path(spark, "batches")
+    for i in range(n):
+        # the stream takes files in the order they were written
+        d.filter(F.col("_batch") == i).drop("_batch").repartition(k).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", k).parquet(path)
+
+
+def time_range(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
+    """Least and largest event time of ``events`` (µs)."""
+    return tuple(events(spark, sf_dir).agg(F.min("ts_us"), F.max("ts_us")).first())
+
+
+def single_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with one create each (a signup, order_id its event) and, for three in four,
+    one pay 0 to 11 hours later."""
+    e = events(spark, sf_dir).filter(F.col("event_type") == "signup")
+    pay = F.struct(F.lit("pay").alias("event_type"), (F.col("ts_us") + (F.col("event_id") * 7919) % 12 * US_PER["h"]).alias("ts_us"))
+    create = F.struct(F.lit("create").alias("event_type"), F.col("ts_us"))
+    rows = F.explode(F.when(F.col("event_id") % 4 != 0, F.array(create, pay)).otherwise(F.array(create)))
+    return e.select(F.col("event_id").alias("order_id"), rows.alias("x")).select("order_id", "x.event_type", "x.ts_us") \
+        .withColumn("seq", F.col("order_id") * 2 + (F.col("event_type") == "pay").cast("int"))
+
+
+def unique_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Receipts with unique transaction ids: of four purchases in five, up to 6 s from the
+    pay, and of no purchase (signups)."""
+    e = events(spark, sf_dir)
+    bought = F.col("event_type") == "purchase"
+    tx = F.concat(F.when(bought, "tx").otherwise("rx"), F.col("event_id").cast("string"))
+    at = F.when(bought, F.col("ts_us") + (F.col("event_id") % 13 - 6) * US_PER["s"]).otherwise(F.col("ts_us"))
+    return e.filter((bought & (F.col("event_id") % 5 != 0)) | (F.col("event_type") == "signup")) \
+        .select(tx.alias("tx_id"), _pick(PAY_CHANNELS, F.col("k")).alias("pay_channel"), at.alias("receipt_us"))
+
+
 def _map(col: str, mapping: dict, default=None):
     expr = None
     for k, v in mapping.items():

@@ -3,17 +3,21 @@
 Streams carry the event time twice: ``ts_us`` (epoch µs, used by the shared batch
 operators) and ``ts`` (TIMESTAMP, what ``withWatermark`` and ``F.window`` need).
 Rows behind the watermark are dropped by Spark's windowed aggregates and joins, as
-in the reference framework; the keyed state processors do not drop them.
+in the reference framework, and by the patterns (C1, C2); the keyed process functions
+(D1, D2, D3) do not drop them.
 
-Note: a filter that does not reference the event-time column is pushed below
-``withWatermark`` by the optimizer, so the watermark follows the rows that pass
-it (the reference assigns watermarks before filtering, i.e. over every row).
+The reference assigns watermarks before it filters, so they follow every row. Spark's
+optimizer pushes a filter that does not read the event time below ``withWatermark``,
+and the watermark would follow the kept rows only; ``after_watermark`` makes a filter
+that stays above it.
 """
 
 from __future__ import annotations
 
+import time
 from typing import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,15 +29,27 @@ def with_event_time(df: DataFrame, ts_us_col: str = "ts_us", delay="0 seconds",
                     max_ts_us: int | None = None) -> DataFrame:
     """T1 (``delay=0``: ascending timestamps) / T2 (bounded out-of-orderness).
 
-    ``max_ts_us`` optionally drops rows with impossible future times before the
-    watermark sees them (one bad row would otherwise push the watermark years
-    ahead and make every later row late); in batch nothing is late.
+    ``max_ts_us`` optionally bounds the watermark's column: a row with an impossible
+    future time (one would push the watermark years ahead and make every later row late)
+    stands at the bound there, and one before 1678 at its start. No row is dropped, and
+    ``ts_us`` keeps the row's own time, which the keyed functions use. In a window by the
+    watermark's column such a row counts at the bound.
     """
-    d = df.withColumn(ts_col, F.timestamp_micros(F.col(ts_us_col)))
+    at = F.col(ts_us_col)
     if max_ts_us is not None:
-        d = d.filter(F.col(ts_us_col) <= F.lit(max_ts_us))
-    secs = duration_us(delay) / 1_000_000
-    return d.withWatermark(ts_col, f"{secs:g} seconds")
+        at = F.greatest(F.least(at, F.lit(max_ts_us)), F.lit(_FIRST_PANDAS_US))
+    d = df.withColumn(ts_col, F.timestamp_micros(at))
+    return d.withWatermark(ts_col, _duration_text(delay))
+
+
+# 1678-01-01, after the first instant that pandas' nanoseconds can hold
+_FIRST_PANDAS_US = -9_214_560_000_000_000
+
+
+def after_watermark(condition: Column, ts_col: str = "ts") -> Column:
+    """``condition`` as one that also reads the event time, so that it is applied after the
+    watermark (rows without a time don't pass)."""
+    return F.when(F.col(ts_col).isNotNull(), condition).otherwise(F.lit(False))
 
 
 def window_bounds_ms(w: str = "w") -> list[Column]:
@@ -47,7 +63,7 @@ def _duration_text(d) -> str:
 
 def run_available_now(df: DataFrame, name: str, mode: str = "append",
                       foreach: Callable[[DataFrame], DataFrame] | None = None,
-                      state_partitions: int | None = None) -> DataFrame:
+                      state_partitions: int | None = None, settle: float | None = None) -> DataFrame:
     """Run a streaming DataFrame over everything available now and return the
     result table (a Parquet folder under the shared checkpoint folder).
 
@@ -56,10 +72,14 @@ def run_available_now(df: DataFrame, name: str, mode: str = "append",
     ``state_partitions`` fixes the number of state-store partitions of the query
     (taken from ``spark.sql.shuffle.partitions`` when the query first starts and
     kept in its checkpoint); the session setting is restored afterwards.
+    ``settle`` (seconds) is for functions with processing-time timeouts, whose query never
+    runs out of batches: it is stopped once its input is read and neither the watermark
+    nor the state has changed for that long, which must exceed ``check_every``.
     """
     spark = df.sparkSession
     out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
-    w = df.writeStream.option("checkpointLocation", ckpt).outputMode(mode).trigger(availableNow=True)
+    w = df.writeStream.option("checkpointLocation", ckpt).outputMode(mode)
+    w = w.trigger(processingTime="0 seconds") if settle else w.trigger(availableNow=True)
     before = spark.conf.get("spark.sql.shuffle.partitions")
     if state_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
@@ -76,17 +96,34 @@ def run_available_now(df: DataFrame, name: str, mode: str = "append",
             q = w.foreachBatch(sink).start()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+    if settle:
+        _stop_when_settled(q, settle)
     q.awaitTermination()
     schema = (foreach(df.sparkSession.createDataFrame([], df.schema)) if foreach else df).schema
     res = _read_or_empty(spark, out, schema)
     return res.drop("epoch") if "epoch" in res.columns else res
 
 
+def _stop_when_settled(q, seconds: float) -> None:
+    last, since = None, time.monotonic()
+    while q.isActive:
+        p = q.lastProgress
+        now = p and (p["numInputRows"] == 0, p["eventTime"].get("watermark"),
+                     [(s["numRowsTotal"], s["numRowsRemoved"]) for s in p["stateOperators"]])
+        if not now or not now[0] or now != last:
+            last, since = now, time.monotonic()
+        elif time.monotonic() - since > seconds:
+            q.stop()
+        time.sleep(0.2)
+
+
 def _read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     try:
         return spark.read.parquet(path).select(*schema.fieldNames())
-    except Exception:  # nothing was written: no closed window yet
-        return spark.createDataFrame([], schema)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([], schema)     # nothing was written: no closed window yet
 
 
 def write_side_outputs(df: DataFrame, path: str, checkpoint: str, tag_col: str = "output",

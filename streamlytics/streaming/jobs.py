@@ -21,7 +21,7 @@ from ..functions.text import drop_static_resources
 from ..functions.time import duration_us
 from ..operators.joins import _signed_us as _signed
 from ..operators.topn import top_n_by_count
-from .core import _duration_text, window_bounds_ms
+from .core import _duration_text, after_watermark, window_bounds_ms
 
 
 def stream_window_count(df: DataFrame, keys, size="1 hour", slide=None, ts_col: str = "ts",
@@ -46,21 +46,33 @@ def stream_window_count(df: DataFrame, keys, size="1 hour", slide=None, ts_col:
     return c.select(*k, *window_bounds_ms("w"), count_col)
 
 
+def page_views(behavior: DataFrame) -> DataFrame:
+    """P1 on a stream; the watermark still follows every row."""
+    return behavior.filter(after_watermark(F.col("behavior") == "pv"))
+
+
+def stream_marketing_counts(events: DataFrame, keys, size="1 hour", slide="1 second",
+                            drop_behavior: str = "UNINSTALL") -> DataFrame:
+    """A4 (keys channel, behavior) / A5 (no keys) on a stream."""
+    kept = events.filter(after_watermark(~F.col("behavior").eqNullSafe(drop_behavior)))
+    return stream_window_count(kept, keys, size, slide)
+
+
 def stream_hot_items(behavior: DataFrame, size="1 hour", slide="5 minutes", n: int = 3):
     """HotItems on a stream: returns (windowed counts stream, per-batch ranker)."""
-    views = behavior.filter(F.col("behavior") == "pv")
+    views = page_views(behavior)
     counts = stream_window_count(views, "item_id", size, slide)
     return counts, (lambda batch: top_n_by_count(batch, "item_id", n))
 
 
 def stream_hot_urls(log: DataFrame, size="10 minutes", slide="5 seconds", n: int = 5):
-    counts = stream_window_count(log.filter(drop_static_resources("url")), "url", size, slide)
+    counts = stream_window_count(log.filter(after_watermark(drop_static_resources("url"))), "url", size, slide)
     return counts, (lambda batch: top_n_by_count(batch, "url", n))
 
 
 def stream_unique_visitors(behavior: DataFrame, size="1 hour", ts_col: str = "ts") -> DataFrame:
     """UniqueVisitor on a stream: exact distinct users per tumbling window."""
-    views = behavior.filter(F.col("behavior") == "pv")
+    views = page_views(behavior)
     per_user = views.groupBy(F.window(ts_col, _duration_text(size)).alias("u"), "user_id").agg(
         F.count(F.lit(1)).alias("_n"))
     per_win = per_user.groupBy(F.window(F.window_time("u"), _duration_text(size)).alias("w")).agg(
@@ -71,11 +83,19 @@ def stream_unique_visitors(behavior: DataFrame, size="1 hour", ts_col: str = "ts
 def stream_approx_unique_visitors(behavior: DataFrame, size="1 hour", ts_col: str = "ts") -> DataFrame:
     """UV with early firing (T7): an HLL estimate per window, re-emitted in update
     mode after every micro-batch that touches the window."""
-    views = behavior.filter(F.col("behavior") == "pv")
+    views = page_views(behavior)
     return (views.groupBy(F.window(ts_col, _duration_text(size)).alias("w"))
             .agg(F.approx_count_distinct("user_id").alias("uv")).select(*window_bounds_ms("w"), "uv"))
 
 
+def stream_sketch_unique_visitors(behavior: DataFrame, size="1 hour", lg_k: int = 12, ts_col: str = "ts") -> DataFrame:
+    """As ``stream_approx_unique_visitors`` with an HLL sketch, which is exact while a window
+    holds few users."""
+    return (page_views(behavior).groupBy(F.window(ts_col, _duration_text(size)).alias("w"))
+            .agg(F.hll_sketch_estimate(F.hll_sketch_agg("user_id", F.lit(lg_k))).alias("uv"))
+            .select(*window_bounds_ms("w"), "uv"))
+
+
 def stream_interval_join(left: DataFrame, right: DataFrame, on, lower="-5 seconds", upper="5 seconds",
                          left_ts: str = "l_ts", right_ts: str = "r_ts", how: str = "inner") -> DataFrame:
     """J1 (``how='inner'``) / J2 (``'full_outer'``) between two watermarked streams;
@@ -107,7 +127,7 @@ def stream_bitmap_unique_visitors(behavior: DataFrame, size="1 hour", seed: int
     """UVWithBloomFilter on a stream: per (window, 32768-bit bucket) a bitmap of the
     hashed users, then set bits summed per window (two chained aggregates)."""
     from ..functions.hashing import poly_hash_mask
-    views = behavior.filter(F.col("behavior") == "pv").withColumn(
+    views = page_views(behavior).withColumn(
         "_pos", poly_hash_mask(F.col("user_id").cast("string"), seed, bits))
     per_bucket = (views.groupBy(F.window(ts_col, _duration_text(size)).alias("u"),
                                 F.bitmap_bucket_number("_pos").alias("_bk"))

@@ -1,26 +1,34 @@
-"""Keyed state machines for streams (D1 D2 D3) with ``applyInPandasWithState``.
+"""Keyed state machines for streams (D1 D2 D3 C1 C2) with ``applyInPandasWithState``.
 
 Each function receives the rows of one key in the current micro-batch (as Arrow
 batches) plus the key's state, and returns output rows. Rows of a key inside a
 micro-batch are ordered by the caller's order columns, and across micro-batches by
-arrival, as in the reference's keyed process functions. Event-time timeouts play
-the reference's timers (they fire once the watermark passes them); they need a
-watermark on the input (``core.with_event_time``).
+arrival, as in the reference's keyed process functions.
+
+Late rows. The reference's process functions (D1, D3) handle every row, however late.
+Spark drops rows behind the watermark from a function with event-time timeouts, so these
+two use processing-time ones: a key with a timer is looked at again every ``check_every``
+and acts once the watermark has passed the timer's event time. The patterns (C1, C2) drop
+late rows, as the reference's do, and use event-time timeouts. D2 needs no timer.
+
+State is removed when nothing can follow from it: at the end of the day (D1), with the
+outcome (D3), after a row that is no fail (D2), when no row waits and no match is open
+(C1, C2).
 
 Memory per key and micro-batch is bounded by the micro-batch size
 (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``); the click cap keeps only the
-``cap + 1`` earliest rows of each Arrow batch.
+``cap + 1`` earliest rows of each Arrow batch, D3 only the earliest create and pay.
 
 Spark hands the watermark column (a TIMESTAMP) to the functions, and pandas holds
-timestamps in nanoseconds (years 1677-2262): rows outside that range must be
-removed first, which ``core.with_event_time(max_ts_us=...)`` does for impossible
-future times (they would also push the watermark past all real data).
+timestamps in nanoseconds (years 1677-2262): ``core.with_event_time(max_ts_us=...)``
+keeps that column inside the range and no row is lost.
 """
 
 from __future__ import annotations
 
 from typing import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,28 +56,33 @@ def _not_before_watermark(state, ts_ms: int) -> int:
 # ---------------------------------------------------------------- D1 click cap
 def stream_click_cap(df: DataFrame, keys: Sequence[str] = ("user_id", "ad_id"), cap: int = 100,
                      reset: str = "day", ts_col: str = "ts_us", seq_col: str = "seq",
-                     msg: str | None = None) -> DataFrame:
+                     msg: str | None = None, check_every="10 seconds") -> DataFrame:
     """D1/D1r on a stream: rows of each key pass until ``cap``; the next one warns
     once; later rows are dropped. With ``reset='day'`` the count lives per UTC day
-    and its state is removed when the watermark passes the end of the day."""
+    and its state is removed when the watermark has passed the end of the day.
+    Returns the input columns (but the watermark's) plus ``output`` and ``msg``."""
     k = list(keys)
     text = (msg or detect.CLICK_CAP_MSG).format(cap=cap)
-    d = df
-    gk = k
+    d, gk = df, k
     if reset == "day":
         d = df.withColumn("_day", F.expr(f"(`{ts_col}` - pmod(`{ts_col}`, {US_PER['day']}L)) div {US_PER['day']}L"))
         gk = k + ["_day"]
-    carry = [c for c in d.columns if c in (*gk, ts_col, seq_col, "ts")]
-    d = d.select(*carry)
-    out_cols = k + [seq_col, ts_col]
-    schema = _out_schema(d, out_cols, "output string, msg string")
-    day_ms = US_PER["day"] // 1000
+    elif reset != "never":
+        raise ValueError("reset must be 'day' or 'never'")
+    out_cols = [c for c in df.columns if c != "ts"]
+    schema = _out_schema(df, out_cols, "output string, msg string")
+    day_ms, every_ms = US_PER["day"] // 1000, duration_us(check_every) // 1000
 
     def fn(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
-            state.remove()
+            if state.getCurrentWatermarkMs() >= int(key[-1] + 1) * day_ms:
+                state.remove()
+            else:
+                state.setTimeoutDuration(every_ms)
             return
-        cnt, warned = state.get if state.exists else (0, False)
+        # a day that the watermark has passed is over, whether its state was looked at yet or not
+        over = reset == "day" and state.getCurrentWatermarkMs() >= int(key[-1] + 1) * day_ms
+        cnt, warned = state.get if state.exists and not over else (0, False)
         room = max(cap - cnt, 0) + 1
         heads = [b.sort_values([ts_col, seq_col]).head(room) for b in batches]
         rows = pd.concat(heads).sort_values([ts_col, seq_col]).head(room) if heads else None
@@ -79,16 +92,16 @@ def stream_click_cap(df: DataFrame, keys: Sequence[str] = ("user_id", "ad_id"),
         out = rows.iloc[:n_pass][out_cols].assign(output="pass", msg=None)
         if len(rows) > n_pass and not warned:
             w = rows.iloc[[n_pass]][out_cols].assign(output="warn", msg=text)
-            out = pd.concat([out, w])
+            out = pd.concat([out, w]) if n_pass else w
             warned = True
         state.update((cnt + n_pass, warned))
         if reset == "day":
-            state.setTimeoutTimestamp(_not_before_watermark(state, int(key[-1] + 1) * day_ms))
+            state.setTimeoutDuration(every_ms)
         yield out
 
     return (d.groupBy(*gk).applyInPandasWithState(
         fn, schema, "cnt long, warned boolean", "append",
-        GroupStateTimeout.EventTimeTimeout if reset == "day" else GroupStateTimeout.NoTimeout))
+        GroupStateTimeout.ProcessingTimeTimeout if reset == "day" else GroupStateTimeout.NoTimeout))
 
 
 # ---------------------------------------------------------------- D2 login failures
@@ -102,32 +115,33 @@ def stream_login_fail(df: DataFrame, key: str = "user_id", type_col: str = "even
     schema = _out_schema(d, [key], "first_us bigint, last_us bigint, msg string")
 
     def fn(k, batches, state):
-        pdf = pd.concat(list(batches)).sort_values(seq_col)
-        has, last = state.get if state.exists else (False, 0)
-        is_fail = (pdf[type_col] == fail).to_numpy()
-        ts = pdf[ts_col].to_numpy()
-        prev_fail = [has] + list(is_fail[:-1])
-        prev_ts = [last] + list(ts[:-1])
-        hits = [i for i in range(len(pdf)) if is_fail[i] and prev_fail[i] and ts[i] < prev_ts[i] + w]
-        state.update((bool(is_fail[-1]), int(ts[-1]) if is_fail[-1] else 0))
-        if hits:
-            yield pd.DataFrame({key: [k[0]] * len(hits), "first_us": [int(prev_ts[i]) for i in hits],
-                                "last_us": [int(ts[i]) for i in hits], "msg": [msg] * len(hits)})
-
-    return d.groupBy(key).applyInPandasWithState(fn, schema, "has_fail boolean, last_us long",
-                                                 "append", GroupStateTimeout.NoTimeout)
+        rows = pd.concat([b[[seq_col, type_col, ts_col]] for b in batches]).sort_values(seq_col)
+        is_fail = (rows[type_col] == fail).to_numpy()
+        ts = rows[ts_col].to_numpy()
+        held = state.exists
+        before = np.concatenate([[state.get[0] if held else 0], ts[:-1]])
+        hit = is_fail & np.concatenate([[held], is_fail[:-1]]) & (ts < before + w)
+        if is_fail[-1]:
+            state.update((int(ts[-1]),))
+        elif held:
+            state.remove()
+        if hit.any():
+            yield pd.DataFrame({key: k[0], "first_us": before[hit], "last_us": ts[hit], "msg": msg})
+
+    return d.groupBy(key).applyInPandasWithState(fn, schema, "last_us long", "append", GroupStateTimeout.NoTimeout)
 
 
 # ---------------------------------------------------------------- D3 order / pay
 def stream_order_outcomes(df: DataFrame, keys: Sequence[str] = ("order_id",), type_col: str = "event_type",
                           create: str = "create", pay: str = "pay", within="15 minutes",
-                          ts_col: str = "ts_us", seq_col: str = "seq") -> DataFrame:
+                          ts_col: str = "ts_us", seq_col: str = "seq", check_every="10 seconds") -> DataFrame:
     """D3 on a stream with timers: create waits ``within`` for its pay ('order
     timeout' when the watermark passes the deadline); a pay without create waits
     until the watermark passes its own time ('already payed but not found create
-    log'); a late pay is 'payed but already timeout'."""
+    log'); a late pay is 'payed but already timeout'. A pay that arrives behind the
+    watermark but before its order's timer has fired is matched."""
     k = list(keys)
-    w = duration_us(within)
+    w, every_ms = duration_us(within), duration_us(check_every) // 1000
     d = df.filter(F.col(type_col).isin(create, pay)).select(
         *k, type_col, ts_col, seq_col, *(["ts"] if "ts" in df.columns else []))
     schema = _out_schema(d, k, "create_us bigint, pay_us bigint, output string, msg string")
@@ -138,32 +152,30 @@ def stream_order_outcomes(df: DataFrame, keys: Sequence[str] = ("order_id",), ty
 
     def fn(key, batches, state):
         c, p = state.get if state.exists else (None, None)
-        if state.hasTimedOut:
+        # the timer comes before any row of this batch, whether it was looked at yet or not
+        if state.exists and state.getCurrentWatermarkMs() > (p if c is None else c + w) // 1000:
             state.remove()
-            if c is not None:
-                yield row(key, c, None, detect.CREATE_NO_PAY)
-            elif p is not None:
-                yield row(key, None, p, detect.PAY_NO_CREATE)
+            yield row(key, c, p, detect.PAY_NO_CREATE if c is None else detect.CREATE_NO_PAY)
+            c = p = None
+        if state.hasTimedOut:
+            if state.exists:
+                state.setTimeoutDuration(every_ms)
             return
-        pdf = pd.concat(list(batches)).sort_values([ts_col, seq_col])
-        for t, ts in zip(pdf[type_col], pdf[ts_col]):
-            ts = int(ts)
-            if t == create and c is None:
-                c = ts
-            elif t == pay and p is None:
-                p = ts
-            else:
-                continue
-            if c is not None and p is not None:
+        first = {create: c, pay: p}
+        for b in batches:
+            for t, ts in b.groupby(type_col)[ts_col].min().items():
+                first[t] = int(ts) if first[t] is None else min(first[t], int(ts))
+        c, p = first[create], first[pay]
+        if c is not None and p is not None:
+            if state.exists:
                 state.remove()
-                yield row(key, c, p, detect.PAY_OK if p < c + w else detect.PAY_LATE)
-                return
+            yield row(key, c, p, detect.PAY_OK if p < c + w else detect.PAY_LATE)
+            return
         state.update((c, p))
-        timer_us = c + w if c is not None else p
-        state.setTimeoutTimestamp(_not_before_watermark(state, timer_us // 1000))
+        state.setTimeoutDuration(every_ms)
 
     return d.groupBy(*k).applyInPandasWithState(fn, schema, "create_us long, pay_us long", "append",
-                                                 GroupStateTimeout.EventTimeTimeout)
+                                                 GroupStateTimeout.ProcessingTimeTimeout)
 
 
 # ---------------------------------------------------------------- C1 / C2 patterns
@@ -214,18 +226,23 @@ def stream_strict_pair(df: DataFrame, key: str = "user_id", type_col: str = "eve
     def fn(k, batches, state):
         last_ts, last_type = (state.get[3], state.get[4]) if state.exists else (None, None)
         ready, pend, wm_us = _ready(state, [] if state.hasTimedOut else batches, ts_col, seq_col, type_col, last_ts)
-        hits = []
-        for t, ty in zip(ready[ts_col], ready[type_col]):
-            t = int(t)
-            if last_type == first and ty == second and t - last_ts < w:
-                hits.append((last_ts, t))
-            last_ts, last_type = t, ty
+        ts, kind = ready[ts_col].to_numpy(dtype="int64"), ready[type_col].to_numpy()
+        if len(ts):
+            before = np.concatenate([[ts[0] if last_ts is None else last_ts], ts[:-1]])
+            opens = np.concatenate([[last_type == first], kind[:-1] == first]).astype(bool)
+            hit = opens & (kind == second) & (ts - before < w)
+            last_ts, last_type = int(ts[-1]), str(kind[-1])
+            if hit.any():
+                yield pd.DataFrame({key: k[0], "first_us": before[hit], "last_us": ts[hit], "msg": msg})
+        # the last row can still open a match; older rows are behind the watermark and dropped
+        open_ = last_type == first and last_ts + w > wm_us
+        if not len(pend) and not open_:
+            if state.exists:
+                state.remove()
+            return
         state.update((*_pending_tuple(pend, ts_col, seq_col, type_col), last_ts, last_type))
-        if len(pend):
-            state.setTimeoutTimestamp(_not_before_watermark(state, int(pend[ts_col].min()) // 1000 + 1))
-        if hits:
-            yield pd.DataFrame({key: [k[0]] * len(hits), "first_us": [a for a, _ in hits],
-                                "last_us": [b for _, b in hits], "msg": [msg] * len(hits)})
+        next_us = int(pend[ts_col].min()) if len(pend) else last_ts + w
+        state.setTimeoutTimestamp(_not_before_watermark(state, next_us // 1000 + 1))
 
     return d.groupBy(key).applyInPandasWithState(
         fn, schema, f"{_PENDING}, last_ts bigint, last_type string", "append",
@@ -261,10 +278,12 @@ def stream_followed_by_within(df: DataFrame, key: str = "order_id", type_col: st
             last_ts = t
         out += [(c, None, "timeout", timeout_msg) for c in opened if c + w <= wm_us]
         opened = [c for c in opened if c + w > wm_us]
-        state.update((*_pending_tuple(pend, ts_col, seq_col, type_col), last_ts, opened))
         timers = ([int(pend[ts_col].min())] if len(pend) else []) + [c + w for c in opened]
         if timers:
+            state.update((*_pending_tuple(pend, ts_col, seq_col, type_col), last_ts, opened))
             state.setTimeoutTimestamp(_not_before_watermark(state, min(timers) // 1000 + 1))
+        elif state.exists:
+            state.remove()
         if out:
             yield pd.DataFrame({key: [k[0]] * len(out), "start_us": [a for a, _, _, _ in out],
                                 "end_us": [b for _, b, _, _ in out], "output": [o for _, _, o, _ in out],

@@ -141,7 +141,7 @@ def test_adjacent_neighbor_equals_general_within_one_bucket(spark, direction, on
     width = 600_000_000
     args = (["key"], ["ts_us", "seq"], time_bucket("ts_us", width), ["seq", "ts_us"], direction, where)
     full = with_neighbor(df, *args)
-    adj = with_neighbor(df, *args, adjacent_only=True)
+    adj = with_neighbor(df, *args, reach=F.lit(True))
     gap = (F.col(f"{direction}_ts_us") - F.col("ts_us")) if direction == "next" else (F.col("ts_us") - F.col(f"{direction}_ts_us"))
     near = lambda d: d.filter(gap < width).select("seq", f"{direction}_seq")
     assert rows(near(adj)) == rows(near(full))
@@ -195,3 +195,50 @@ def test_bounded_broadcast_checks_the_size(spark):
         assert "BroadcastHashJoin" not in large_plan and "SortMergeJoin" in large_plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_null_keys_are_a_key(spark):
+    from streamlytics.operators.detect import click_cap, login_fail_arrival
+    df = spark.createDataFrame([(None, i, i * 1000_000, "fail") for i in range(5)] + [(1, 9, 0, "fail")],
+                               "user_id BIGINT, seq BIGINT, ts_us BIGINT, event_type STRING")
+    for cap in (3, 100, 1000, 5000):
+        out = click_cap(df, ("user_id",), cap=cap, reset="never")
+        assert out.filter("output = 'pass'").count() == min(cap, 5) + 1
+    hits = login_fail_arrival(df, within="2 seconds", bucket_width=2)     # neighbours across buckets
+    assert rows(hits, "first_us", "last_us") == [(i * 1000_000, (i + 1) * 1000_000) for i in range(4)]
+
+
+def test_running_sum_keeps_null_keys(spark):
+    from streamlytics.operators.sequence import running_sum
+    for kind, value in (("BIGINT", 7), ("STRING", "x"), ("DATE", None), ("DOUBLE", 1.5), ("TIMESTAMP", None), ("BOOLEAN", True)):
+        df = spark.createDataFrame([(None, i, 1) for i in range(6)] + [(value, 9, 1)], f"k {kind}, t BIGINT, v BIGINT")
+        got = running_sum(df, "k", ["t"], time_bucket("t", 2), "v", "s")
+        assert rows(got.filter("k IS NULL AND t < 6"), "t", "s") == [(i, i + 1) for i in range(6)]
+
+
+def test_arrival_order_over_files(spark, tmp_path):
+    from streamlytics.operators.detect import login_fail_arrival
+    from streamlytics.sources.records import read_records
+    (tmp_path / "part-0001.csv").write_text("1,10.0.0.1,fail,100\n1,10.0.0.1,success,101\n")
+    (tmp_path / "part-0002 +x.csv").write_text("1,10.0.0.1,fail,102\n" + "2,10.0.0.2,success,102\n" * 500)
+    df = read_records(spark, str(tmp_path), "login")
+    assert df.count() == 503 and df.select("seq").distinct().count() == 503
+    assert [r.ts_us // 1000000 for r in df.filter("user_id = 1").orderBy("seq").collect()] == [100, 101, 102]
+    assert login_fail_arrival(df).count() == 0
+
+
+def test_times_do_not_move_with_the_session_zone(spark):
+    from streamlytics.functions.time import epoch_us, format_window_time, parse_log_time
+    from pyspark.sql.types import TimestampNTZType
+    df = spark.createDataFrame([("17/05/2015:10:05:03",), ("08/03/2015:02:30:00",), ("01/01/1969:23:59:59",)], "s STRING")
+    df = df.select(parse_log_time("s").alias("a"), epoch_us(F.expr("to_timestamp_ntz(s, 'dd/MM/yyyy:HH:mm:ss')"), TimestampNTZType()).alias("b"))
+    df = df.withColumn("t", format_window_time(F.expr("a div 1000")))
+    want = rows(df)
+    assert (1431857103_000000, 1431857103_000000, "2015/05/17-10:05:03") in want and len(want) == 3
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for z in ("Asia/Shanghai", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            assert rows(df) == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

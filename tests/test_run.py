@@ -37,7 +37,8 @@ def test_every_job_runs_on_its_input(spark, job):
     kinds, _ = BATCH[job]
     out = scratch_path(spark, f"out-{job}")
     res = run(spark, job, [_folder(spark, k) for k in kinds], out)
-    assert res and all(spark.read.parquet(f"{out}/{n}").columns for n in res)
+    assert res and all(df.columns and df.count() >= 0 for df in res.values())
+    assert spark.read.option("recursiveFileLookup", True).parquet(out).columns
 
 
 def test_run_results(spark):
@@ -50,6 +51,12 @@ def test_run_results(spark):
     assert out["report"].filter("report LIKE '%商品ID=1715 浏览量=2%'").count() > 0
 
 
+def test_keys_parameter_is_a_list_of_names(spark):
+    out = run(spark, "blacklist_warning", [_folder(spark, "ad_click")], scratch_path(spark, "o5"),
+              params={"keys": "user_id, ad_id", "max_ts_us": 1})
+    assert out["blacklist"].count() == 1
+
+
 def test_run_stream(spark):
     out = scratch_path(spark, "o4")
     qs = run(spark, "order_timeout", [_folder(spark, "order")], out, stream=True)
@@ -66,6 +73,10 @@ def test_run_stream(spark):
     ("blacklist_warning", ["ad_click"], lambda df: df.filter("output = 'warn'").count() == 1),
     ("hot_items", ["user_behavior"], lambda df: df.count() > 0),
     ("network_flow", ["access_log"], lambda df: df.count() > 0),
+    ("login_fail", ["login"], lambda df: "first_us" in df.columns),
+    ("uv_with_bloom", ["user_behavior"], lambda df: df.count() > 0),
+    ("app_marketing_by_channel", ["marketing"], lambda df: "cnt" in df.columns),
+    ("app_marketing_statistics", ["marketing"], lambda df: "cnt" in df.columns),
 ])
 def test_run_more_streams(spark, job, inputs, check):
     out = scratch_path(spark, f"s-{job}")

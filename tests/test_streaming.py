@@ -167,11 +167,13 @@ def test_stream_click_cap_state_across_batches(spark):
     from streamlytics.streaming.state import stream_click_cap
     # the hot (user, ad) key has 121 clicks; split so that its 100th click is in file 1.
     # The two rows stamped in year 2449 would push the watermark centuries ahead (and
-    # are outside the pandas timestamp range): the event-time guard drops them.
+    # are outside the pandas timestamp range): the guard bounds the watermark's column, and
+    # the rows themselves are counted, as in the batch form.
     s = _two_file_stream(spark, FX.AD_CLICK_LOG, "ad_click", 110, "clicks2")
     s = with_event_time(s, "ts_us", "0 seconds", max_ts_us=4102444800_000000)   # < 2100-01-01
-    got = run_available_now(stream_click_cap(s, ("user_id", "ad_id"), cap=100, reset="day"), "cap2")
-    assert got.filter("output = 'pass'").count() == 120
+    got = run_available_now(stream_click_cap(s, ("user_id", "ad_id"), cap=100, reset="day", check_every="1 second"),
+                            "cap2", settle=3)
+    assert got.filter("output = 'pass'").count() == 122 and "province" in got.columns
     assert rows(got.filter("output = 'warn'"), "user_id", "ad_id", "msg") == [
         (937166, 1715, "Click over 100 times today.")]
 
@@ -206,7 +208,7 @@ def test_stream_order_outcomes_timers_across_batches(spark):
     # file 1 ends at 1558430943 s; file 2 holds the late pays (34756, 34767), the
     # pay without create (34768) and moves the watermark past every deadline
     s = with_event_time(_two_file_stream(spark, FX.ORDER_LOG, "order", 60, "orders3"), "ts_us", "0 seconds")
-    got = run_available_now(stream_order_outcomes(s), "outcomes2")
+    got = run_available_now(stream_order_outcomes(s, check_every="1 second"), "outcomes2", settle=3)
     by = {}
     for oid, msg in rows(got, "order_id", "msg"):
         by.setdefault(msg, set()).add(oid)
@@ -221,3 +223,70 @@ def test_malformed_record_fails_the_job(spark):
     bad = records_from_lines(spark, ["5402,83.149.11.115,success,1558430815", "x,1.2.3.4,fail,notatime"], "login")
     with pytest.raises(Exception):
         bad.collect()
+
+
+def test_late_pay_before_its_timer_is_matched(spark):
+    from streamlytics.streaming.state import stream_order_outcomes
+    src = scratch_path(spark, "late-pay")
+    _write_csv(src, "a.csv", ["1,create,,100", "2,create,,530"])
+    _write_csv(src, "b.csv", ["1,pay,t1,200"])                   # behind the watermark (530 s), before 1000 s
+    _write_csv(src, "c.csv", ["3,create,,5000"])
+    s = with_event_time(read_records_stream(spark, src, "order", max_files=1).withColumn("seq", F.col("ts_us")))
+    got = run_available_now(stream_order_outcomes(s, check_every="1 second"), "late-pay", settle=3)
+    assert rows(got, "order_id", "msg") == [(1, "payed successfully"), (2, "order timeout")]
+
+
+def test_late_click_of_the_day_counts(spark):
+    from streamlytics.streaming.state import stream_click_cap
+    src = scratch_path(spark, "late-click")
+    _write_csv(src, "a.csv", ["1,9,p,c,1000"])
+    _write_csv(src, "b.csv", ["1,9,p,c,200", "1,9,p,c,300"])
+    s = with_event_time(read_records_stream(spark, src, "ad_click", max_files=1).withColumn("seq", F.col("ts_us")))
+    got = run_available_now(stream_click_cap(s, cap=2, check_every="1 second"), "late-click", settle=3)
+    assert rows(got, "ts_us", "output") == [(200_000000, "pass"), (300_000000, "warn"), (1000_000000, "pass")]
+
+
+def test_finished_keys_leave_no_state(spark):
+    from streamlytics.streaming import state as ST
+    def left(build, kind, lines):
+        src = scratch_path(spark, f"state-{kind}")
+        for i, part in enumerate(lines):
+            _write_csv(src, f"{i}.csv", part)
+        s = with_event_time(read_records_stream(spark, src, kind, max_files=1).withColumn("seq", F.col("ts_us")))
+        q = build(s).writeStream.format("noop").option("checkpointLocation", scratch_path(spark, "state-ck")).start()
+        q.processAllAvailable()
+        q.processAllAvailable()
+        n = q.lastProgress["stateOperators"][0]["numRowsTotal"]
+        q.stop()
+        return n
+    orders = [[f"{i},create,,{100 + i}" for i in range(50)] + [f"{i},pay,t{i},{160 + i}" for i in range(50)],
+              ["900,create,,2000000"], ["901,create,,2000001"]]
+    assert left(lambda s: ST.stream_followed_by_within(s), "order", orders) <= 2
+    logins = [[f"{i},10.0.0.1,fail,{100 + i}" for i in range(50)] + [f"{i},10.0.0.1,success,{101 + i}" for i in range(50)],
+              ["900,10.0.0.1,fail,2000000"], ["901,10.0.0.1,fail,2000001"]]
+    assert left(lambda s: ST.stream_strict_pair(s), "login", logins) <= 2
+    assert left(lambda s: ST.stream_login_fail(s), "login", logins) <= 2
+
+
+def test_watermark_follows_rows_that_a_filter_drops(spark):
+    src = scratch_path(spark, "wm")
+    _write_csv(src, "a.csv", ["1,1,1,pv,100"])
+    _write_csv(src, "b.csv", ["1,1,1,buy,50000"])
+    s = with_event_time(read_records_stream(spark, src, "user_behavior", max_files=1))
+    got = run_available_now(SJ.stream_window_count(SJ.page_views(s), None, "1 hour"), "wm")
+    assert rows(got, "window_start", "cnt") == [(0, 1)]
+
+
+def test_a_corrupt_sink_is_an_error(spark):
+    import pytest
+    from streamlytics.streaming.core import _read_or_empty
+    path = scratch_path(spark, "corrupt")
+    assert _read_or_empty(spark, path, spark.range(1).schema).count() == 0
+    _write_csv(path, "part-0.parquet", ["not parquet"])
+    with pytest.raises(Exception):
+        _read_or_empty(spark, path, spark.range(1).schema).count()
+
+
+def test_long_watermark_delay(spark):
+    df = spark.readStream.format("rate").load().selectExpr("value as ts_us")
+    assert with_event_time(df, "ts_us", "15 days").isStreaming
