@@ -170,7 +170,7 @@ def test_stream_click_cap_state_across_batches(spark):
     # are outside the pandas timestamp range): the guard bounds the watermark's column, and
     # the rows themselves are counted, as in the batch form.
     s = _two_file_stream(spark, FX.AD_CLICK_LOG, "ad_click", 110, "clicks2")
-    s = with_event_time(s, "ts_us", "0 seconds", max_ts_us=4102444800_000000)   # < 2100-01-01
+    s = with_event_time(s, "ts_us", "0 seconds", max_ts_us=1511700000_000000)   # the same day
     got = run_available_now(stream_click_cap(s, ("user_id", "ad_id"), cap=100, reset="day", check_every="1 second"),
                             "cap2", settle=3)
     assert got.filter("output = 'pass'").count() == 122 and "province" in got.columns
