@@ -29,6 +29,7 @@ empty result; texts are scored whole however long; other columns are not read.
 from __future__ import annotations
 
 import base64
+import re
 from collections import Counter
 from functools import lru_cache
 from itertools import chain, filterfalse
@@ -46,8 +47,8 @@ from .text import LOWER
 
 SIZE, MIX, MODULUS, HELD = 4095, 0.35, 10, 0
 ROWS, LONG_TEXT = 1024, 1 << 20
-COMMON, _HELD_WORDS = 200_000, 400_000
-PIECE, BEFORE, FULL, POWER, WORD_BYTES = 16, 10, 300_000, 0.6, 6
+COMMON, _HELD_WORDS = 200_000, 500_000
+PIECE, BEFORE, FULL, POWER, WORD_BYTES = 12, 10, 300_000, 0.65, 6
 WARM, WARM_PASSES, ROUNDS, RATE, BATCH, SHARE = 500, 3, 2, 0.01, 320, 40_000
 _LOWER = LOWER.tobytes()
 _WIDE = attention.WINDOW + 2 + attention.STEP + 1
@@ -67,15 +68,32 @@ class Spelling(dict):
         super().__init__()
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.encoder = tiktoken.Encoding("first", pat_str=public_tokenizers.PATTERN, special_tokens={},
-                                         mergeable_ranks={t: r for t, r in ranks.items() if r < size})
+        ranks = {t: r for t, r in ranks.items() if r < size}
+        self.encoder = tiktoken.Encoding("first", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.begins = np.zeros(size, bool)
+        self.begins[[r for t, r in ranks.items() if t[:1] == b" "]] = True
 
     def __missing__(self, word: bytes) -> tuple[int, ...]:
-        if len(self) > _HELD_WORDS:
-            self.clear()
         ids = self[word] = tuple(self.encoder.encode_ordinary(" " + word.decode(errors="replace")))
         return ids
 
+    def all(self, words) -> list[tuple[int, ...]]:
+        """The words' ids. New words are encoded together: after its space each is a piece of
+        its own for the encoder, unless it holds another kind of space."""
+        if len(self) > _HELD_WORDS:
+            self.clear()
+        new = [w for w in words if w not in self]
+        text = b" ".join([b"", *new]).decode(errors="replace")
+        if new and not _ODD_SPACE.search(text):
+            ids = self.encoder.encode_ordinary(text)
+            heads = np.flatnonzero(self.begins[ids]).tolist()
+            if len(heads) == len(new):
+                self.update((w, tuple(ids[a:b])) for w, a, b in zip(new, heads, [*heads[1:], len(ids)]))
+        return list(map(self.__getitem__, words))
+
+
+_ODD_SPACE = re.compile(r"[^\S ]")
+
 
 @lru_cache(maxsize=1)
 def spelling(ranks_path: str, size: int) -> Spelling:
@@ -84,7 +102,7 @@ def spelling(ranks_path: str, size: int) -> Spelling:
 
 def subwords(words: list[bytes], spelled: Spelling) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the words and the places where words begin."""
-    each = list(map(spelled.__getitem__, words))
+    each = spelled.all(words)
     size = np.fromiter(map(len, each), np.int64, len(each))
     ids = np.fromiter(chain.from_iterable(each), np.int32, int(size.sum()))
     return ids, np.cumsum(size) - size
@@ -308,7 +326,7 @@ def _score(sent, words, ends: int, ranks_path: str, size: int, mix: float, total
             own += np.bincount(np.concatenate(learnt), minlength=len(own))
         rare = dict(zip(right.column("word").to_pylist(), right.column("c").to_pylist()))
         count = np.array([common.get(w) or rare.get(w) or n for w, n in zip(number, own.tolist())], float)
-        each = list(map(spelled.__getitem__, number))
+        each = spelled.all(number)
         length = np.fromiter(map(len, each), np.int64, len(each))
         spelt = np.fromiter(chain.from_iterable(each), np.int32, int(length.sum()))
         begin = np.cumsum(length) - length
