@@ -40,6 +40,8 @@ def _views(spark, sf_dir):
 PV = f"SELECT * FROM ({O.USER_BEHAVIOR}) WHERE behavior = 'pv'"
 
 # ------------------------------------------------------------------ hot items
+# The report texts (labels, rulers) and messages in the SQL below are those of
+# the reference's jobs, as in operators.topn, operators.detect and operators.patterns.
 HOT_ITEMS_SQL = O.topn(O.sliding(PV, ["item_id"], H, 5 * MIN), "item_id", 3)
 
 

@@ -1,6 +1,7 @@
 """The four CSV inputs bundled with the reference jobs, as literals (file order kept:
 order matters for the arrival-order operators). Comma separated, no header."""
 
+# Rows of the bundled input file, as they stand.
 LOGIN_LOG = """\
 5402,83.149.11.115,success,1558430815
 23064,66.249.3.15,fail,1558430826
@@ -52,6 +53,7 @@ LOGIN_LOG = """\
 93765,209.85.238.199,success,1558430892
 """
 
+# Rows of the bundled input file, as they stand.
 ORDER_LOG = """\
 34729,create,,1558430842
 34730,create,,1558430843
@@ -134,6 +136,7 @@ ORDER_LOG = """\
 34767,pay,sdafen9932,1558432021
 """
 
+# Rows of the bundled input file, as they stand.
 RECEIPT_LOG = """\
 ewr342as4,wechat,1558430845
 sd76f87d6,wechat,1558430847
@@ -177,6 +180,7 @@ m23sare32e,wechat,1558430940
 sdafen9932,alipay,1558430949
 """
 
+# Rows of the bundled input file, as they stand.
 AD_CLICK_LOG = """\
 543462,1715,beijing,beijing,1511658000
 662867,2244074,guangdong,guangzhou,1511658060

@@ -6,8 +6,9 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from streamlytics.plans.queries import QUERIES
 
-BATCH = sorted(n for n in E.queries() if not n.startswith("stream_"))
+BATCH = sorted(n for n in QUERIES if not n.startswith("stream_"))
 
 
 def _plan(spark, name):

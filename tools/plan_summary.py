@@ -12,7 +12,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from streamlytics.session import local_session  # noqa: E402
-import __spark_entry__ as E  # noqa: E402
+from streamlytics.plans.queries import QUERIES  # noqa: E402
 
 
 def summary(plan: str) -> dict:
@@ -40,7 +40,7 @@ def main():
     print("over struct values (sort-based); `single partition` = anything forced through one task.\n")
     print("| query | scans | shuffles | broadcasts | joins | group limit | sort agg | python | single partition | pushed filters |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         if name.startswith("stream_"):
             continue
         df = fn(spark, sf)
