@@ -18,7 +18,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules, without lines that a host repeats too often."""
-    return quality_rules.apply(docs.select(COLUMNS))
+    return quality_rules.apply(docs.select(COLUMNS), enough_docs=quality_rules.ENOUGH_DOCS)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,9 +3,11 @@
 Each line is normalised (ASCII lower case, runs of white space as one space, digits as
 ``0``) and hashed. Per host (the ``source`` column) the distinct documents that carry a
 line are counted, exact copies of a text counting once. A line above both limits
-(``min_docs`` documents and ``max_share`` of the host's distinct documents) is removed
-from every document of the host but the earliest (least ``doc_id``) that has it, so that
-no content goes altogether. A document with fewer than ``min_words`` words or less than
+(``min_docs`` documents and ``max_share`` of the host's distinct documents), or above
+``enough_docs`` documents whatever the host's size, is removed from every document of the
+host but the earliest (least ``doc_id``) that has it, so that no content goes altogether.
+Without ``enough_docs`` (the default, the rule of the query's SQL) a line must be above
+both limits; the pipeline's stage gives ``ENOUGH_DOCS``. A document with fewer than ``min_words`` words or less than
 ``min_left`` of its words afterwards is depleted and rejected, as is one that fails the
 base rules (under 10 words, or over 20 % of them in repeated 5-word windows).
 
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from .tables import null_safe, unused, written
 from .text import SPACE, Words, lists, mix, runs_hash, text_chunks
 
-MIN_DOCS, MAX_SHARE = 5, 0.10
+MIN_DOCS, MAX_SHARE, ENOUGH_DOCS = 5, 0.10, 20
 MIN_WORDS, MIN_LEFT = 10, 0.3
 _PROFILE = ("doc_id long, source string, text_key long, n_words long, word_chars long, n_symbols long, "
             "n_dup_lines long, n_repeat_words long, lines array<long>, line_words array<long>")
@@ -111,26 +113,29 @@ def profile(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", "source", text_key("text").alias("text_key")).mapInArrow(_profiles, _PROFILE)
 
 
-def frequent_lines(prof: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
+def frequent_lines(prof: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE,
+                   enough_docs: int | None = None) -> DataFrame:
     """(host, line, first_doc) of the lines above the limits. Both counts pre-aggregate
     before their shuffle, so a hot host or line is spread."""
     lines = prof.select("source", "text_key", "doc_id", F.explode("lines").alias("line"))
     per_text = lines.groupBy("source", "line", "text_key").agg(F.min("doc_id").alias("doc_id"))
     count = per_text.groupBy("source", "line").agg(F.count("*").alias("docs"), F.min("doc_id").alias("first_doc")) \
-        .filter(F.col("docs") > min_docs)
+        .filter(F.col("docs") > (min_docs if enough_docs is None else min(min_docs, enough_docs)))
     hosts = prof.groupBy("source", "text_key").agg(F.lit(1).alias("one")) \
         .groupBy(F.col("source").alias("host")).agg(F.count("*").alias("host_docs"))
-    return null_safe(count, hosts, {"source": "host"}, "inner") \
-        .filter(F.col("docs") > F.col("host_docs") * F.lit(max_share)) \
+    hot = (F.col("docs") > min_docs) & (F.col("docs") > F.col("host_docs") * F.lit(max_share))
+    if enough_docs is not None:
+        hot = hot | (F.col("docs") > enough_docs)
+    return null_safe(count, hosts, {"source": "host"}, "inner").filter(hot) \
         .select(F.col("host"), F.col("line").alias("hot_line"), "first_doc", "docs")
 
 
 def verdicts(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE,
-             min_words: int = MIN_WORDS, min_left: float = MIN_LEFT) -> DataFrame:
+             min_words: int = MIN_WORDS, min_left: float = MIN_LEFT, enough_docs: int | None = None) -> DataFrame:
     """One row per document: doc_id, text_key, base measures, removed line hashes, words
     removed, base_failed, kept."""
     prof = written(profile(docs), "profile")
-    hot = frequent_lines(prof, min_docs, max_share)
+    hot = frequent_lines(prof, min_docs, max_share, enough_docs)
     lines = prof.filter(F.size("lines") > 0).select(
         "doc_id", "source", "text_key", F.explode(F.arrays_zip("lines", "line_words")).alias("x")) \
         .select("doc_id", "source", "text_key", F.col("x.lines").alias("line"), F.col("x.line_words").alias("w"))

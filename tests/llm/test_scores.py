@@ -11,6 +11,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from streamlytics.llm import attention, lm_score, packing, quality_gam, quality_rules, token_counts, toxicity
 from util import ODD, SCHEMA, corpus, docs_frame, prose
 
@@ -64,6 +65,21 @@ def test_quality_rules(spark):
     assert texts[7000].startswith("Read MORE") and not texts[7001].startswith("Read MORE")
 
 
+def test_many_documents_are_enough_on_any_host(spark):
+    rng = random.Random(15)
+    line = "Sign up for our news letter here and never miss a story again from us at all"
+    rows = [(i, (line + "\n" if i < 25 else "") + prose(rng, 30 if i else 60), "big") for i in range(300)]
+    rows += [(900 + i, line + "\n" + prose(rng, 12), "big") for i in range(2)]      # little else
+    docs = docs_frame(spark, rows)
+    assert quality_rules.verdicts(docs).filter("n_removed_lines > 0").count() == 0   # 27 of 302: under a tenth
+    got = {r.doc_id: r for r in quality_rules.verdicts(docs, enough_docs=quality_rules.ENOUGH_DOCS).collect()}
+    assert sorted(d for d, r in got.items() if r.n_removed_lines) == [*range(1, 25), 900, 901]
+    kept = {r.doc_id: r.text for r in corpus_pipeline.quality(spark, docs, "").collect()}
+    assert [d for d, t in kept.items() if t.startswith("Sign up")] == [0] and set(kept) == set(range(300)) | {d for d in (900, 901) if got[d].kept}
+    few = quality_rules.verdicts(docs, enough_docs=27)
+    assert few.filter("n_removed_lines > 0").count() == 0
+
+
 # ---- op 3 ----
 
 def test_prefix_counts_are_exact():
