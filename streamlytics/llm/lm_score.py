@@ -6,13 +6,12 @@ and the word's share of the training tokens (``mix`` is the share's weight; unse
 none). Subwords are those of a public byte-level BPE, its first ``size`` ranks.
 
 Gathered from all training texts (crc32 of the id modulo ``modulus`` not ``held``): the
-word counts, by partial sums and one shuffle by word; and windows for the attention model,
-from every text, ``PIECE`` words in each so many bytes that what they hold grows as the
-corpus to the power 1 - ``POWER``, or with the number of texts, whichever is more (all of a
-corpus of ``FULL`` words). Training is data-parallel: one task finds a first solution in at most
+word counts, by partial sums and one shuffle by word; and all ids of all of them, for the
+attention model, which learns from every word whatever the corpus's size. Training is
+data-parallel, the texts dealt to tasks of about ``SHARE`` words: one task finds a first solution in at most
 ``WARM`` steps; then each of ``ROUNDS`` rounds sends the parameters (about 1 MB, fixed) to
-tasks that each run Adam over their share of the windows, and averages their results, in
-two steps, by Spark.
+tasks that each run Adam over their part of the windows, a ``ROUNDS``-th in each round, and
+averages their results, in two steps, by Spark.
 
 Scoring goes by chunks of about ``ROWS`` neighbouring rows (a text over 1 MB is one by
 itself). The counts of the ``COMMON`` commonest words (a fixed bound) are sent to the tasks;
@@ -48,10 +47,11 @@ from .text import LOWER
 SIZE, MIX, MODULUS, HELD = 4095, 0.35, 10, 0
 ROWS, LONG_TEXT = 1024, 1 << 20
 COMMON, _HELD_WORDS = 200_000, 500_000
-PIECE, BEFORE, FULL, POWER, WORD_BYTES = 12, 10, 300_000, 0.65, 6
-WARM, WARM_PASSES, ROUNDS, RATE, BATCH, SHARE = 500, 3, 2, 0.01, 320, 40_000
+LINE = 64
+WARM, WARM_PASSES, ROUNDS, RATE, BATCH, SHARE = 500, 3, 2, 0.01, 320, 480_000
 _LOWER = LOWER.tobytes()
-_WIDE = attention.WINDOW + 2 + attention.STEP + 1
+_AHEAD = attention.WINDOW - attention.STEP + 3            # ids of a window before its first target
+_WIDE = _AHEAD + attention.STEP + 1
 
 
 def words_of(text: pa.Scalar) -> list[bytes]:
@@ -176,50 +176,36 @@ def _chunked(docs: DataFrame, modulus: int, held: int) -> DataFrame:
 
 # ---- training ----
 
-def pieces(raw: bytes, every: int):
-    """From a text, a piece in each ``every`` bytes and one at least: its words with some
-    before as context, how many are context, whether the text ends with it."""
-    n = len(raw)
-    shift = (n * 2654435761 >> 7) % max(1, min(every, n - 8 * PIECE + 1))
-    for p in range(shift, max(n, 1), every):
-        a, b = max(0, p - 8 * BEFORE), min(n, p + 12 * PIECE)
-        words, context = raw[a:b].split(), raw[a:p].split()
-        if context and a and raw[a - 1] not in _SPACES and raw[a] not in _SPACES:
-            words, context = words[1:], context[1:]                        # begun before
-        if words and b < n and raw[b - 1] not in _SPACES and raw[b] not in _SPACES:
-            words = words[:-1]                                             # not ended
-        if len(words) > len(context) or b == n:
-            yield words[:len(context) + PIECE], min(len(context), len(words)), b == n and len(words) <= len(context) + PIECE
-
-
-_SPACES = b" \t\n\x0b\x0c\r"
-
-
-def _windows(ranks_path: str, size: int, every: int):
-    """Windows of ids over the pieces of each text, their targets, and how many are scored."""
-    w, s = attention.WINDOW, attention.STEP
-
+def _lines(ranks_path: str, size: int):
+    """All ids of each text and its end, in lines of ``LINE`` windows' targets at most, behind
+    the ids that the first window has before them; in front of a text stand ends."""
     def run(batches):
         for batch in batches:
             rows = []
             for x in batch.column(0):
-                raw = x.as_buffer().to_pybytes().translate(_LOWER) if x.is_valid else b""
-                for words, context, ends in pieces(raw, every):
-                    ids, starts = subwords(words, spelling(ranks_path, size))
-                    first = int(starts[context]) if len(starts) > context else len(ids)
-                    if ends:
-                        ids = np.append(ids, size)
-                    n = len(ids) - first
-                    line = np.concatenate([np.full(w + 2, size), ids, np.full(s, size)]).astype(np.int32)
-                    for k in range(0, n, s):
-                        p = w + 2 + first + k - (w - s) - 3
-                        rows.append(np.concatenate([line[p:p + w + 2], line[p + 3 + w - s:p + 3 + w], [min(s, n - k)]]))
-            flat = np.concatenate(rows).astype(np.int32) if rows else np.zeros(0, np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, _WIDE, dtype=np.int32)), pa.array(flat))], names=["w"])
+                ids = subwords(words_of(x), spelling(ranks_path, size))[0]
+                ids = np.concatenate([np.full(_AHEAD, size), ids, [size]]).astype(np.int32)
+                rows.extend(ids[k:k + _AHEAD + LINE * attention.STEP] for k in range(0, len(ids) - _AHEAD, LINE * attention.STEP))
+            flat = np.concatenate(rows) if rows else np.zeros(0, np.int32)
+            bounds = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))], names=["w"])
     return run
 
 
+def cut_lines(lines, size: int) -> np.ndarray:
+    """The windows of some lines: the ids before and among their targets, and how many targets
+    they have. Each target stands in one window."""
+    s = attention.STEP
+    kind = np.int16 if size < 1 << 15 else np.int32
+    out = [np.zeros((0, _WIDE), kind)]
+    for line in lines:
+        first = np.arange(0, len(line) - _AHEAD, s)
+        full = np.concatenate([line, np.full(s, size)]).astype(kind)
+        own = np.minimum(s, len(line) - _AHEAD - first).astype(kind)
+        out.append(np.concatenate([full[first[:, None] + np.arange(_WIDE - 1)], own[:, None]], axis=1))
+    return np.concatenate(out)
+
+
 def _names(size: int) -> list[tuple[str, tuple]]:
     return [(k, v.shape) for k, v in attention.init(size, np.random.default_rng(0)).items()]
 
@@ -241,8 +227,7 @@ def _train(sent, size: int, turn: int):
     """Adam over this task's windows of the round; its parameters in parts, with their weight."""
     def run(batches):
         from pyspark import TaskContext
-        got = [np.asarray(b.column(0).flatten(), dtype=np.int32).reshape(-1, _WIDE) for b in batches if b.num_rows]
-        got = np.concatenate(got) if got else np.zeros((0, _WIDE), np.int32)
+        got = cut_lines((np.asarray(x.values) for b in batches for x in b.column(0)), size)
         task = TaskContext.get().partitionId()
         rng = np.random.default_rng(task)
         rng.shuffle(got)
@@ -258,9 +243,9 @@ def _train(sent, size: int, turn: int):
         tokens = 0
         for i in range(steps):
             at = i * BATCH % len(got)
-            x = got[at:at + BATCH]
+            x = got[at:at + BATCH].astype(np.int32)
             scored = np.arange(s)[None, :] < x[:, -1:]
-            logp, grad = attention.windows(p, x[:, :w], x[:, w:w + s], scored)
+            logp, grad = attention.windows(p, x[:, :w], x[:, _AHEAD:_AHEAD + s], scored)
             adam.step(p, grad, len(logp))
             tokens += len(logp)
         flat = _flat(p)
@@ -282,12 +267,12 @@ def _average(key, table):
 
 def train(docs: DataFrame, n_words: int, ranks_path: str, size: int = SIZE) -> np.ndarray:
     """Parameters of the attention model, learnt from the texts of ``docs``, ``n_words`` long."""
-    every = round(WORD_BYTES * PIECE * max(1.0, n_words / FULL) ** POWER)
     sc = docs.sparkSession.sparkContext
-    made = written(docs.select("text").mapInArrow(_windows(ranks_path, size, every), "w array<int>"), "windows")
-    n = made.count()
+    # dealt before they are written, so that each round reads them without a shuffle
+    shares = written(docs.select("text").mapInArrow(_lines(ranks_path, size), "w array<int>")
+                     .repartition(max(1, n_words // SHARE)), "lines")
+    n = shares.count()
     flat = _flat(attention.init(size, np.random.default_rng(7)))
-    shares = made.repartition(max(1, n // SHARE)) if n else made
     for turn in range(1 + ROUNDS if n else 0):
         done = shares.mapInArrow(_train(sc.broadcast(flat), size, turn), "part int, bucket int, n double, v array<float>")
         mean = done.groupBy("part", "bucket").applyInArrow(_average, "part int, n double, v array<float>") \

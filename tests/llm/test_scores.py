@@ -174,6 +174,23 @@ def test_lm_beats_an_untrained_one(spark, monkeypatch):
     assert trained > 0.75 * total()
 
 
+def test_lm_learns_from_every_word(spark, monkeypatch):
+    """Also of a corpus that is said to be large, and of its long texts."""
+    monkeypatch.setattr(lm_score, "WARM", 5)
+    rng = random.Random(2)
+    texts = [prose(rng, 9000), *ODD, *(prose(rng, n) for n in (1, 13, 26, 90, 400))]
+    rows = list(enumerate(texts))
+    made, keep = [], lm_score.written
+    monkeypatch.setattr(lm_score, "written", lambda df, name: made.append(keep(df, name)) or made[-1])
+    lm_score.train(docs_frame(spark, rows), 5_000_000, RANKS)
+    got = lm_score.cut_lines((np.array(r[0], np.int32) for r in made[0].collect()), lm_score.SIZE)
+    targets = Counter(x for r in got.tolist() for x in r[lm_score._AHEAD:lm_score._AHEAD + r[-1]])
+    spelled = lm_score.spelling(RANKS, lm_score.SIZE)
+    low = lambda t: (t or "").encode().translate(lm_score._LOWER).split()
+    wanted = Counter(int(x) for t in texts for x in lm_score.subwords(low(t), spelled)[0])
+    assert targets == wanted + Counter({lm_score.SIZE: len(texts)})
+
+
 # ---- op 7 ----
 
 def test_cuts():
