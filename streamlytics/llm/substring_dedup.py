@@ -3,7 +3,11 @@
 Words are lower-cased (ASCII). A sentence ends at a word that ends in ``.``, ``!`` or ``?``,
 at a line end, and at the text's end; a sentence of more than ``LONG`` words also ends at
 each word whose hash is a multiple of 16, so that text without stops is cut at the same
-places wherever it stands. From every sentence and to every sentence the shortest run of at
+places wherever it stands. Of words that touch such a sentence also every ``min_words`` in a row are
+a run where a repeat is near: of each ``NEAR`` neighbouring ones those of the least hash are
+joined first, which finds any passage of ``min_words + NEAR - 1`` words wherever it begins;
+then all within ``NEAR`` words of one found twice, which gives its exact first and last word.
+From every sentence and to every sentence the shortest run of at
 least ``min_sentences`` sentences with at least ``min_words`` words is hashed (128 bits). Runs
 are joined over all documents; each but the first, by (doc_id, place), covers sentences to
 remove. Covered stretches of a document are merged into ranges of bytes of its UTF-8 text.
@@ -23,18 +27,30 @@ from pyspark.sql import functions as F
 from .tables import null_safe, unused, written
 from .text import Words, runs_hash, signed, text_chunks
 
-MIN_SENTENCES, MIN_WORDS, LONG = 2, 20, 40
+MIN_SENTENCES, MIN_WORDS, LONG, NEAR = 2, 20, 40, 16
 _LAST = (1 << 63) - 1
 _STOPS = np.zeros(256, bool)
 _STOPS[list(b".!?")] = True
 
 
-def sentence_spans(w: Words, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS):
-    """(text index, first byte, end byte, hash, second hash) of every run."""
+def least_of_each(value: np.ndarray, row: np.ndarray, k: int = NEAR) -> np.ndarray:
+    """Marks the values that are the least of some k in neighbouring rows."""
+    out = np.zeros(len(row), bool)
+    if len(row) >= k:
+        least = np.lib.stride_tricks.sliding_window_view(value, k).min(axis=1)
+        whole = row[k - 1:] - row[:len(least)] == k - 1
+        for i in range(k):
+            out[i:i + len(least)] |= whole & (value[i:i + len(least)] == least)
+    return out
+
+
+def sentence_spans(w: Words, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS, found=None):
+    """(text index, first byte, end byte, hash, second hash, whether of words) of every run; with
+    ``found``, a list of first bytes for each text, only the runs of words near them."""
     n = len(w.starts)
     empty = np.zeros(0, np.int64)
     if not n:
-        return empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64)
+        return empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64), empty.astype(bool)
     h, doc = w.hashes(), w.doc_of_word()
     lines = np.concatenate([[0], np.cumsum(w.buf == 10)])
     last = np.ones(n, bool)
@@ -42,7 +58,8 @@ def sentence_spans(w: Words, min_sentences: int = MIN_SENTENCES, min_words: int
     last |= _STOPS[w.buf[w.ends - 1]]
     close = np.flatnonzero(last)
     length = np.diff(np.concatenate([[-1], close]))
-    last |= np.repeat(length > LONG, length) & (h % np.uint64(16) == 0)
+    long = np.repeat(length > LONG, length)
+    last |= long & (h % np.uint64(16) == 0)
     close = np.flatnonzero(last) + 1                      # word bounds of sentence j: open[j]:close[j]
     start = np.concatenate([[0], close[:-1]])
     sdoc = doc[start]
@@ -53,10 +70,26 @@ def sentence_spans(w: Words, min_sentences: int = MIN_SENTENCES, min_words: int
     ok = (ahead < len(start), back >= 0)
     j = np.concatenate([own[ok[0]], back[ok[1]]])
     e = np.concatenate([ahead[ok[0]], own[ok[1]]])
-    pair = np.unique((j * len(start) + e)[sdoc[j] == sdoc[e]])
-    j, e = pair // len(start), pair % len(start)
+    whole = sdoc[j] == sdoc[e]
+    # rows of min_words words that touch a long sentence
+    row = np.arange(max(0, n - min_words + 1))
+    among = np.concatenate([[0], np.cumsum(long)])
+    row = row[(among[row + min_words] > among[row]) & (doc[row] == doc[row + min_words - 1])]
+    if found is None:
+        row = row[least_of_each(runs_hash(h, min_words)[row], row)]
+        pair = np.unique((j * len(start) + e)[whole])
+        a = np.concatenate([start[pair // len(start)], row])
+        b = np.concatenate([close[pair % len(start)], row + min_words])
+    else:
+        hit = np.searchsorted(w.starts, np.concatenate([empty, *(w.offs[i] + np.array(x, np.int64) for i, x in enumerate(found))]))
+        near = np.zeros(n + 1, np.int64)
+        np.add.at(near, np.maximum(hit - NEAR, 0), 1)
+        np.add.at(near, np.minimum(hit + NEAR + 1, n), -1)
+        a = row[np.cumsum(near)[row] > 0]
+        b = a + min_words
+    of_words = np.arange(len(a)) >= (0 if found is not None else len(a) - len(row))
     # a run's hash from prefix sums of its words' hashes times powers of an odd base
-    out = [sdoc[j], w.starts[start[j]] - w.offs[sdoc[j]], w.ends[close[e] - 1] - w.offs[sdoc[j]]]
+    out = [doc[a], w.starts[a] - w.offs[doc[a]], w.ends[b - 1] - w.offs[doc[a]]]
     for base in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
         up = np.full(n, np.uint64(base), np.uint64)
         up[0] = 1
@@ -66,33 +99,41 @@ def sentence_spans(w: Words, min_sentences: int = MIN_SENTENCES, min_words: int
         down = np.multiply.accumulate(down)
         total = np.zeros(n + 1, np.uint64)
         np.cumsum((h ^ np.uint64(base)) * up, out=total[1:])
-        a, b = start[j], close[e]
         out.append(runs_hash((total[b] - total[a]) * down[a] + (b - a).astype(np.uint64), 1))
-    return tuple(out)
+    return (*out, of_words)
 
 
-def _spans(min_sentences: int, min_words: int):
+def _spans(min_sentences: int, min_words: int, near: bool):
     def run(batches):
         for batch in text_chunks(batches):
             w = Words(batch.column(1), lower=True)
-            at, b0, b1, h1, h2 = sentence_spans(w, min_sentences, min_words)
+            found = batch.column(2).to_pylist() if near else None
+            at, b0, b1, h1, h2, of_words = sentence_spans(w, min_sentences, min_words, found)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(signed(h1)), pa.array(signed(h2)), batch.column(0).take(pa.array(at)),
-                 pa.array(b0.astype(np.int32)), pa.array(b1.astype(np.int32))],
-                names=["h1", "h2", "doc", "b0", "b1"])
+                 pa.array(b0.astype(np.int32)), pa.array(b1.astype(np.int32)), pa.array(of_words, pa.bool_())],
+                names=["h1", "h2", "doc", "b0", "b1", "of_words"])
     return run
 
 
+def _repeats(docs: DataFrame, name: str, min_sentences: int, min_words: int, near: bool = False):
+    """The runs of ``docs`` whose hash is found at two places or more, with the first of them."""
+    spans = written(docs.mapInArrow(_spans(min_sentences, min_words, near),
+                                    "h1 long, h2 long, doc long, b0 int, b1 int, of_words boolean"), name)
+    # written, so that the join below reads two plain shuffles and can split a hot run
+    first = written(spans.groupBy("h1", "h2").agg(F.min(F.struct("doc", "b0")).alias("first"), F.max(F.struct("doc", "b0")).alias("last"))
+                    .filter(F.col("first") != F.col("last")).select("h1", "h2", "first"), f"{name}-repeated")
+    return spans.join(first, ["h1", "h2"])
+
+
 def repeated_ranges(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, start_byte, end_byte, n_spans, first_doc_id): the ranges to remove; of the
     documents their removed runs stand in first, the least."""
-    spans = written(docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), "text")
-                    .mapInArrow(_spans(min_sentences, min_words), "h1 long, h2 long, doc long, b0 int, b1 int"),
-                    "spans")
-    # written, so that the join below reads two plain shuffles and can split a hot run
-    first = written(spans.groupBy("h1", "h2").agg(F.min(F.struct("doc", "b0")).alias("first"), F.max(F.struct("doc", "b0")).alias("last"))
-                    .filter(F.col("first") != F.col("last")).select("h1", "h2", "first"), "repeated")
-    later = spans.join(first, ["h1", "h2"]).filter(F.struct("doc", "b0") != F.col("first")) \
+    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), "text")
+    runs = _repeats(docs, "spans", min_sentences, min_words)
+    found = runs.filter("of_words").groupBy(F.col("doc").alias("d")).agg(F.collect_set("b0").alias("found"))
+    exact = _repeats(docs.join(found, docs["doc"] == F.col("d")).select("doc", "text", "found"), "near", min_sentences, min_words, near=True)
+    later = runs.unionByName(exact).filter(F.struct("doc", "b0") != F.col("first")) \
         .groupBy("doc", "b0", "b1").agg(F.min("first.doc").alias("keeper"))
     order = Window.partitionBy("doc").orderBy("b0", "b1")
     reach = F.max("b1").over(order.rowsBetween(Window.unboundedPreceding, -1))

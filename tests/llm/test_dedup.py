@@ -227,6 +227,24 @@ def test_long_sentence_is_found_anywhere(spark):
     assert {r.doc_id for r in got} == {2} and sum(r.end_byte - r.start_byte for r in got) > 0.7 * len(shared)
 
 
+def test_passages_inside_long_sentences(spark):
+    """51 to 60 words in the middle of lines without stops, and 52-word lines: found to the byte."""
+    rng = random.Random(18)
+    words = lambda n: " ".join("w%x" % rng.randrange(1 << 30) for _ in range(n))
+    rows, wanted = [], {}
+    for k in range(60):
+        shared = words(51 + k % 10)
+        before = words(rng.randint(1, 70)) + " "
+        rows += [(2 * k, words(rng.randint(1, 70)) + " " + shared + " " + words(9)), (2 * k + 1, before + shared + " " + words(rng.randint(1, 70)))]
+        wanted[2 * k + 1] = (len(before), len(before) + len(shared))
+    for k in range(200, 320, 2):
+        shared = words(52)
+        rows += [(k, words(5) + "\n" + shared), (k + 1, shared + "\n" + words(5))]
+        wanted[k + 1] = (0, len(shared))
+    got = substring_dedup.repeated_ranges(docs_frame(spark, rows)).collect()
+    assert {r.doc_id: (r.start_byte, r.end_byte) for r in got} == wanted and len(got) == len(wanted)
+
+
 # ---- all ----
 
 def test_empty_tables(spark):
