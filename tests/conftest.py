@@ -7,8 +7,6 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.join(ROOT, "tests"))
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -16,9 +14,3 @@ def spark():
     s = local_session(cores="*", shuffle_partitions=8, app="streamlytics-tests")
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    """Sorted list of tuples of the given (or all) columns."""
-    cols = cols or tuple(df.columns)
-    return sorted(tuple(r) for r in df.select(*cols).collect())

@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, rows
+from helpers import SF_SMALL, rows
 from streamlytics.operators import detect, distinct
 from streamlytics.operators.windows import sliding_count
 from streamlytics.sources import testdata as td

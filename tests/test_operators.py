@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from streamlytics.functions.hashing import poly_hash_mask
 from streamlytics.operators import joins
 from streamlytics.operators.sequence import running_sum, seq_bucket, time_bucket, with_neighbor

@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from streamlytics.plans.queries import ORACLE, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events".split()

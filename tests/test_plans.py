@@ -5,7 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from streamlytics.plans.queries import QUERIES
 
 BATCH = sorted(n for n in QUERIES if not n.startswith("stream_"))

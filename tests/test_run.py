@@ -5,7 +5,7 @@ import os
 import pytest
 
 import fixtures as FX
-from conftest import rows
+from helpers import rows
 from streamlytics.plans.run import BATCH, run
 from streamlytics.session import scratch_path
 

@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 import fixtures as FX
-from conftest import rows
+from helpers import rows
 from streamlytics.plans import jobs
 from streamlytics.session import scratch_path
 from streamlytics.sources.records import read_records, read_records_stream, records_from_lines
