@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, line_dedup, lm_score, ngram_join, packing, quality_gam, quality_rules, substring_dedup,
+from . import (decontaminate, line_dedup, lm_score, merkle, ngram_join, packing, quality_gam, quality_rules, substring_dedup,
                token_counts, toxicity)
+from .manifest_sql import manifest_sql
 from .tables import read
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -148,10 +149,14 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         tokenizer_path("byte_bpe_50k.json"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {"op1_quality_rules": op1_quality_rules, "op2_line_dedup": op2_line_dedup,
            "op3_token_counts": op3_token_counts, "op4_decontamination": op4_decontamination,
            "op5_lm_scoring": op5_lm_scoring, "op6_ngram_join": op6_ngram_join, "op7_packing": op7_packing,
            "op8_quality_classifier": op8_quality_classifier, "op9_toxicity": op9_toxicity,
-           "op10_substring_dedup": op10_substring_dedup}
+           "op10_substring_dedup": op10_substring_dedup, "op13_merkle_manifest": op13_merkle_manifest}
 ORACLE = {"op1_quality_rules": OP1_SQL, "op2_line_dedup": OP2_SQL, "op4_decontamination": OP4_SQL,
-          "op6_ngram_join": OP6_SQL}
+          "op6_ngram_join": OP6_SQL, "op13_merkle_manifest": manifest_sql()}

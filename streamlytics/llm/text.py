@@ -59,10 +59,11 @@ class Words:
 
     ``buf`` holds the texts' bytes back to back, ``offs`` where each text begins,
     ``starts``/``ends`` the words, ``first[i]:first[i + 1]`` the words of text i.
-    Null texts have none.
+    Null texts have none. ``table`` maps bytes before words are found, ``space`` marks the
+    bytes between words, where not the default's.
     """
 
-    def __init__(self, column: pa.Array, lower: bool = False):
+    def __init__(self, column: pa.Array, lower: bool = False, table: np.ndarray | None = None, space: np.ndarray = SPACE):
         column = pc.fill_null(column, "") if column.null_count else column
         column = column.cast(pa.large_string())
         n = len(column)
@@ -71,8 +72,9 @@ class Words:
         raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
         self.raw = raw[offs[0]:offs[-1]]
         self.offs = offs - offs[0]
-        self.buf = LOWER[self.raw] if lower else self.raw
-        space = SPACE[self.buf]
+        table = LOWER if lower and table is None else table
+        self.buf = self.raw if table is None else table[self.raw]
+        space = space[self.buf]
         inside = ~space
         begin, end = inside.copy(), inside.copy()
         if len(begin):
