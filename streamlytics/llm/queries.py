@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, line_dedup, lm_score, merkle, ngram_join, packing, quality_gam, quality_rules, substring_dedup,
+from . import (collocations, decontaminate, license_scan, line_dedup, lm_score, merkle, ngram_join, packing, quality_gam, quality_rules, substring_dedup,
                token_counts, toxicity)
 from .manifest_sql import manifest_sql
 from .tables import read
@@ -63,7 +63,7 @@ FROM m
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.removed_lines(read(spark, sf_dir, "documents"))
+    return line_dedup.removed_lines(read(spark, sf_dir, "documents")).drop("text_key", "kept_text_key")
 
 
 OP2_SQL = r"""
@@ -141,7 +141,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.repeated_ranges(read(spark, sf_dir, "documents"))
+    return substring_dedup.repeated_ranges(read(spark, sf_dir, "documents")).drop("text_key")
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,6 +149,62 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         tokenizer_path("byte_bpe_50k.json"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.licenses(read(spark, sf_dir, "documents"))
+
+
+def _op11_sql() -> str:
+    low = f"translate({{}}, '{_UPPER}', '{_LOWER}')"
+    words = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    base = ", ".join(f"('{label}', {text.split()})" for label, text in license_scan.BASE)
+    sets = license_scan.words_of([t for _, t in license_scan.TEMPLATES])
+    templates = ", ".join(f"('{label}', {sorted(set(ws))})" for (label, _), ws in zip(license_scan.TEMPLATES, sets))
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, t, {words.format('t')} AS ws
+           FROM (SELECT doc_id, {low.format("coalesce(text, '')")} AS t FROM documents)),
+base AS (SELECT * FROM (VALUES {base}) v(label, ps)),
+template AS (SELECT * FROM (VALUES {templates}) v(label, ts)),
+place AS (SELECT row, label, p FROM (SELECT row, ws, label, ps, unnest(range(0, len(ws) - len(ps) + 1)) AS p FROM d, base)
+          WHERE ws[p + 1:p + len(ps)] = ps),
+based AS (SELECT row, count(*) AS n, min(p) AS a, max(p) AS b, list(DISTINCT label) AS ls FROM place GROUP BY row),
+block AS (SELECT row, list_distinct({words.format('l')}) AS bs FROM (SELECT row, unnest(string_split(t, chr(10))) AS l FROM d)),
+match AS (SELECT row, label, len(list_intersect(ts, bs)) AS c, len(ts) AS n FROM block, template),
+found AS (SELECT row, max(c / n) AS best, list(DISTINCT label) AS ls FROM match WHERE 5 * c >= 4 * n GROUP BY row)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(based.n, 0) AS n_base, a AS first_word, b AS last_word,
+       coalesce(array_to_string(list_sort(based.ls), ','), '') AS base_labels,
+       array_to_string(list_sort(list_distinct(coalesce(based.ls, []) || coalesce(found.ls, []))), ',') AS labels,
+       CASE WHEN based.n > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0::DOUBLE) END AS score
+FROM d LEFT JOIN based USING (row) LEFT JOIN found USING (row)
+"""
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+OP12_SQL = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(x, '[^\x20\x09]+') AS ws
+           FROM (SELECT lang, unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS x
+                 FROM documents)),
+g AS (SELECT lang, m, array_to_string(ws[i:i + m - 1], ' ') AS phrase
+      FROM (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM p, (SELECT unnest([1, 2, 3, 4, 5]) AS m))),
+total AS (SELECT lang, count(*) AS n FROM g WHERE m = 1 GROUP BY lang),
+f AS (SELECT lang, m, phrase, string_split(phrase, ' ') AS ws, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100),
+part AS (SELECT lang, array_to_string(ws[i:i + k - 1], ' ') AS phrase, max(a) AS longer
+         FROM (SELECT *, unnest(range(1, m - k + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS k FROM f WHERE m > 2)) GROUP BY ALL),
+cand AS (SELECT f.* FROM f LEFT JOIN part USING (lang, phrase) WHERE m > 1 AND (longer IS NULL OR 100 * longer < 100 * f.a)),
+cut AS (SELECT lang, phrase, a, k, array_to_string(ws[1:k], ' ') AS head, array_to_string(ws[k + 1:], ' ') AS rest
+        FROM (SELECT *, unnest(range(1, m)) AS k FROM cand)),
+scored AS (SELECT cut.lang, cut.phrase, cut.a, k, x.a AS l, y.a AS r, n,
+                  (1000::HUGEINT * cut.a * n) // (x.a::HUGEINT * y.a) AS score
+           FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = head JOIN f y ON y.lang = cut.lang AND y.phrase = rest
+           JOIN total ON total.lang = cut.lang),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS c FROM scored) WHERE c = 1),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM placed WHERE rank <= 2000
+"""
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(read(spark, sf_dir, "documents"))
 
@@ -157,6 +213,7 @@ QUERIES = {"op1_quality_rules": op1_quality_rules, "op2_line_dedup": op2_line_de
            "op3_token_counts": op3_token_counts, "op4_decontamination": op4_decontamination,
            "op5_lm_scoring": op5_lm_scoring, "op6_ngram_join": op6_ngram_join, "op7_packing": op7_packing,
            "op8_quality_classifier": op8_quality_classifier, "op9_toxicity": op9_toxicity,
-           "op10_substring_dedup": op10_substring_dedup, "op13_merkle_manifest": op13_merkle_manifest}
+           "op10_substring_dedup": op10_substring_dedup, "op11_license_scan": op11_license_scan, "op12_collocations": op12_collocations,
+           "op13_merkle_manifest": op13_merkle_manifest}
 ORACLE = {"op1_quality_rules": OP1_SQL, "op2_line_dedup": OP2_SQL, "op4_decontamination": OP4_SQL,
-          "op6_ngram_join": OP6_SQL, "op13_merkle_manifest": manifest_sql()}
+          "op6_ngram_join": OP6_SQL, "op11_license_scan": _op11_sql(), "op12_collocations": OP12_SQL, "op13_merkle_manifest": manifest_sql()}
