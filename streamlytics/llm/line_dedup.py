@@ -1,8 +1,8 @@
 """Operator 2, near-duplicate line dedup by a deletion-neighbourhood join.
 
 Lines (the ``\\n``-split) are sequences of words; edit distance counts words put in, left
-out or replaced. A line with an earlier line (by the first place, (doc_id, line number), of
-either) within the bound is removed wherever it stands; of equal lines only the first place
+out or replaced. A document is a (doc_id, text); a line with an earlier line (by the first
+place, (doc_id, text key, line number), of either) within the bound is removed wherever it stands; of equal lines only the first place
 stays. The bound is 1 for lines of at least ``min_words`` words, 0 for shorter ones, where
 one word changes too much. Lines without a word always stay.
 
@@ -18,9 +18,10 @@ the shorter of L words, either the first L // 2 words are equal or the last L -
 Each line emits these halves' hashes for L = its length and one less; lines whose halves
 are all unique have no partner, and nothing else is left out.
 
-Defined cases: null and blank texts have no line; a null ``doc_id`` counts as the last one;
-rows that repeat a ``doc_id`` share its places, so neither is a copy of the other's; an
-empty table gives an empty result; other columns are not read.
+Defined cases: null and blank texts have no line; null ``doc_id`` come last; texts that share
+a ``doc_id``, or have none, are documents of their own, told apart by the 64-bit key of
+their text; rows that repeat both share their places, so neither is a copy of the other's;
+an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .quality_rules import text_key
 from .tables import null_safe, unused, written
 from .text import Words, mix, signed, text_chunks
 
@@ -87,33 +89,34 @@ def _places(min_words: int):
                 halves += [pa.array(signed(x), mask=~ok) for x in (one.run(a, a + cut) ^ tag,
                                                                    one.run(b - (size - cut), b) ^ mix(tag))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(doc)), pa.array(number.astype(np.int32)), pa.array(n.astype(np.int32)),
-                 pa.array(signed(one.run(a, b))), pa.array(signed(two.run(a, b))), *halves],
-                names=["doc", "line", "n", "l1", "l2", *_HALVES])
+                [batch.column(0).take(pa.array(doc)), batch.column(2).take(pa.array(doc)), pa.array(number.astype(np.int32)),
+                 pa.array(n.astype(np.int32)), pa.array(signed(one.run(a, b))), pa.array(signed(two.run(a, b))), *halves],
+                names=["doc", "key", "line", "n", "l1", "l2", *_HALVES])
     return run
 
 
 def _candidate_lines(batches):
     """Of each text the asked lines (numbers in the last column), with their hashes."""
     for batch in batches:
-        docs, numbers, texts = [], [], []
-        for doc, text, asked in zip(*(batch.column(i).to_pylist() for i in range(3))):
+        docs, keys, numbers, texts = [], [], [], []
+        for doc, key, text, asked in zip(*(batch.column(i).to_pylist() for i in range(4))):
             lines = (text or "").split("\n")
             for i in set(asked):
                 if i < len(lines):
                     docs.append(doc)
+                    keys.append(key)
                     numbers.append(i)
                     texts.append(lines[i])
         for part in text_chunks([pa.RecordBatch.from_arrays(
-                [pa.array(docs, pa.int64()), pa.array(numbers, pa.int32()), pa.array(texts, pa.string())],
-                names=["doc", "line", "text"])]):
-            w = Words(part.column(2))
+                [pa.array(docs, pa.int64()), pa.array(keys, pa.int64()), pa.array(numbers, pa.int32()), pa.array(texts, pa.string())],
+                names=["doc", "key", "line", "text"])]):
+            w = Words(part.column(3))
             h = w.hashes()
             one, two = (_Sums(h, x) for x in _BASES)
             a, b = w.first[:-1], w.first[1:]
             yield pa.RecordBatch.from_arrays(
                 [*part.columns, pa.array(signed(one.run(a, b))), pa.array(signed(two.run(a, b)))],
-                names=["doc", "line", "text", "l1", "l2"])
+                names=["doc", "key", "line", "text", "l1", "l2"])
 
 
 def _variants(batches):
@@ -145,28 +148,25 @@ def within_one(a: list[str], b: list[str]) -> bool:
 def _verify(batches):
     for batch in batches:
         ok = [within_one(a.encode().split(), b.encode().split())
-              for a, b in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())]
-        yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(ok, pa.bool_())) for i in range(4)],
-                                         names=["l1", "l2", "k_doc", "k_line"])
+              for a, b in zip(batch.column(5).to_pylist(), batch.column(6).to_pylist())]
+        yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(ok, pa.bool_())) for i in range(5)],
+                                         names=["l1", "l2", "k_doc", "k_key", "k_line"])
 
 
 def near_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """(l1, l2, k_doc, k_line): distinct lines with an earlier line within one edit, and its place."""
+    """(l1, l2, k_doc, k_key, k_line): distinct lines with an earlier line within one edit, and its place."""
     halves = lines.filter("h1 is not null").select("l1", "l2", F.explode(F.array(*_HALVES)).alias("half")) \
         .filter("half is not null")
     shared = halves.groupBy("half").agg(F.count("*").alias("c")).filter("c > 1").select("half")
     asked = halves.join(shared, "half", "left_semi").select("l1", "l2").distinct() \
         .join(lines.select("l1", "l2", "first"), ["l1", "l2"])
-    per_doc = asked.groupBy(F.col("first.doc").alias("d")).agg(F.collect_list("first.line").alias("asked"))
-    found = docs.join(per_doc, docs["doc"] == per_doc["d"]).select("doc", "text", "asked") \
-        .mapInArrow(_candidate_lines, "doc long, line int, text string, l1 long, l2 long")
-    # a repeated doc_id may have another text: only the line that was asked for counts
-    cand = written(found.join(asked.select("l1", "l2", "first"), ["l1", "l2"])
-                   .filter((F.col("doc") == F.col("first.doc")) & (F.col("line") == F.col("first.line")))
-                   .groupBy("l1", "l2").agg(F.first("text").alias("text"), F.first("doc").alias("doc"),
-                                            F.first("line").alias("line"))
-                   .select("text", F.struct("doc", "line", "l1", "l2").alias("place")), "lines")
-    place = "place struct<doc: long, line: int, l1: long, l2: long>"
+    per_doc = asked.groupBy(F.col("first.doc").alias("d"), F.col("first.key").alias("k")).agg(F.collect_list("first.line").alias("asked"))
+    found = docs.join(per_doc, (docs["doc"] == per_doc["d"]) & (docs["key"] == per_doc["k"])).select("doc", "key", "text", "asked") \
+        .mapInArrow(_candidate_lines, "doc long, key long, line int, text string, l1 long, l2 long")
+    # repeated rows give a line twice
+    cand = written(found.groupBy("l1", "l2").agg(F.first("text").alias("text"), F.min(F.struct("doc", "key", "line")).alias("at"))
+                   .select("text", F.struct("at.doc", "at.key", "at.line", "l1", "l2").alias("place")), "lines")
+    place = "place struct<doc: long, key: long, line: int, l1: long, l2: long>"
     rows = cand.mapInArrow(_variants, f"v1 long, v2 long, p int, {place}")
     # most variants are one line's alone; only the others are carried on
     shared = rows.groupBy("v1", "v2").agg(F.count("*").alias("c")).filter("c > 1").select("v1", "v2")
@@ -181,29 +181,29 @@ def near_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
     mine = cand.select(F.col("place.l1").alias("l1"), F.col("place.l2").alias("l2"), F.col("text").alias("mine"))
     other = cand.select(F.col("place.l1").alias("o1"), F.col("place.l2").alias("o2"), F.col("text").alias("other"))
     return keeper.join(mine, ["l1", "l2"]).join(other, (F.col("best.l1") == F.col("o1")) & (F.col("best.l2") == F.col("o2"))) \
-        .select("l1", "l2", F.col("best.doc").alias("k_doc"), F.col("best.line").alias("k_line"), "mine", "other") \
-        .mapInArrow(_verify, "l1 long, l2 long, k_doc long, k_line int")
+        .select("l1", "l2", F.col("best.doc").alias("k_doc"), F.col("best.key").alias("k_key"), F.col("best.line").alias("k_line"),
+                "mine", "other").mapInArrow(_verify, "l1 long, l2 long, k_doc long, k_key long, k_line int")
 
 
 def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, line_no, n_words, kept_doc_id, kept_line_no, distance): each line removed and
-    the earliest line that stands for it."""
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), "text")
-    places = written(docs.mapInArrow(_places(min_words), "doc long, line int, n int, l1 long, l2 long, h1 long, h2 long, h3 long, h4 long"),
+    """(doc_id, text_key, line_no, n_words, kept_doc_id, kept_text_key, kept_line_no, distance):
+    each line removed and the earliest line that stands for it."""
+    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), "text", text_key("text").alias("key"))
+    places = written(docs.mapInArrow(_places(min_words), "doc long, key long, line int, n int, l1 long, l2 long, h1 long, h2 long, h3 long, h4 long"),
                      "places")
-    here = F.struct("doc", "line")
+    here = F.struct("doc", "key", "line")
     lines = written(places.groupBy("l1", "l2").agg(F.min(here).alias("first"), F.max(here).alias("last"),
                                                    *[F.first(h).alias(h) for h in _HALVES]), "distinct")
     near = written(near_lines(docs, lines), "near")
     gone = written(lines.drop(*_HALVES).join(near, ["l1", "l2"], "left").filter(F.col("k_doc").isNotNull() | (F.col("first") != F.col("last"))) \
-        .select("l1", "l2", "first", F.struct(F.col("k_doc").alias("doc"), F.col("k_line").alias("line")).alias("near"),
+        .select("l1", "l2", "first", F.struct(F.col("k_doc").alias("doc"), F.col("k_key").alias("key"), F.col("k_line").alias("line")).alias("near"),
                 F.col("k_doc").isNotNull().alias("is_near")), "gone")
     named = lambda c, n: F.when(c != _LAST, c).alias(n)
     kept = F.when(F.col("is_near"), F.col("near")).otherwise(F.col("first"))
     return places.join(gone, ["l1", "l2"]).filter(F.col("is_near") | (here != F.col("first"))) \
         .withColumn("kept", kept) \
-        .select(named(F.col("doc"), "doc_id"), F.col("line").cast("long").alias("line_no"), F.col("n").cast("long").alias("n_words"),
-                named(F.col("kept.doc"), "kept_doc_id"), F.col("kept.line").cast("long").alias("kept_line_no"),
+        .select(named(F.col("doc"), "doc_id"), F.col("key").alias("text_key"), F.col("line").cast("long").alias("line_no"), F.col("n").cast("long").alias("n_words"),
+                named(F.col("kept.doc"), "kept_doc_id"), F.col("kept.key").alias("kept_text_key"), F.col("kept.line").cast("long").alias("kept_line_no"),
                 F.col("is_near").cast("int").alias("distance")).distinct()
 
 
@@ -225,6 +225,7 @@ def _drop(batches):
 
 def apply(docs: DataFrame, **params) -> DataFrame:
     """The documents without their removed lines, same columns; one that loses all goes."""
-    d, lines = unused(docs, "_d", "_gone")
-    gone = removed_lines(docs, **params).groupBy(F.col("doc_id").alias(d)).agg(F.collect_list("line_no").alias(lines))
-    return null_safe(docs, gone, {"doc_id": d}, "left").drop(d).mapInArrow(_drop, docs.schema)
+    d, k, t, lines = unused(docs, "_d", "_k", "_t", "_gone")
+    gone = removed_lines(docs, **params).groupBy(F.col("doc_id").alias(d), F.col("text_key").alias(k)) \
+        .agg(F.collect_list("line_no").alias(lines))
+    return null_safe(docs.withColumn(t, text_key("text")), gone, {"doc_id": d, t: k}, "left").drop(d, k, t).mapInArrow(_drop, docs.schema)

@@ -7,6 +7,7 @@ from collections import defaultdict
 import pytest
 
 from streamlytics.llm import decontaminate, line_dedup, ngram_join, substring_dedup
+from streamlytics.llm.quality_rules import text_key
 from streamlytics.llm.text import Words
 from util import SCHEMA, corpus, docs_frame, prose
 
@@ -33,13 +34,24 @@ def lev(a, b):
     return row[-1]
 
 
-def brute_lines(rows):
+def text_keys(spark, rows):
+    """Text -> the key that orders texts of the same id."""
+    df = spark.createDataFrame([(r[1] or "",) for r in rows], "text string")
+    return dict(map(tuple, df.select("text", text_key("text")).distinct().collect()))
+
+
+def document(r, keys):
+    return (LAST if r[0] is None else r[0], keys.get(r[1] or "", 0))
+
+
+def brute_lines(rows, keys={}):
+    """(doc_id, text key, line, kept doc_id, kept text key, kept line, distance)"""
     places = defaultdict(set)
     for r in rows:
         for i, x in enumerate((r[1] or "").split("\n")):
             w = tuple(x.encode().split())
             if w:
-                places[w].add((LAST if r[0] is None else r[0], i))
+                places[w].add((*document(r, keys), i))
     out = set()
     for w, own in places.items():
         near = [min(p) for v, p in places.items()
@@ -62,9 +74,11 @@ def test_removed_lines(spark):
         w[p:p + rng.randint(0, 1)] = ["new%d" % i] * rng.randint(0, 1)
         rows.append((1000 + i, " ".join(w)))
     rows += [(2000, "a a a a a a a a a"), (2001, "a a a a a a a a"), (2002, "b a a a a a a a a"), (2003, "x y z"), (2004, "x y q")]
-    got = {tuple(LAST if v is None else v for v in (r.doc_id, r.line_no, r.kept_doc_id, r.kept_line_no, r.distance))
-           for r in line_dedup.removed_lines(docs_frame(spark, rows)).collect()}
-    assert got == brute_lines(rows)
+    rows += [(2003, "other words"), (2003, line[0] + " x\nx y z"), (None, "x y q\nu v"), (None, "u v\nnobody else has this"), (None, "u v")]
+    found = line_dedup.removed_lines(docs_frame(spark, rows)).collect()
+    got = {tuple(LAST if v is None else v for v in (r.doc_id, r.text_key, r.line_no, r.kept_doc_id, r.kept_text_key, r.kept_line_no, r.distance))
+           for r in found}
+    assert got == brute_lines(rows, text_keys(spark, rows)) and len(got) == len(found)
 
 
 def test_within_one():
@@ -82,6 +96,28 @@ def test_line_dedup_apply(spark):
     assert {r.doc_id: r.text for r in got.collect()} == {1: "a b\nc d", 2: "e f", 4: None, 5: ""}
 
 
+def test_line_dedup_tells_texts_of_one_id_apart(spark):
+    """Rows without an id, and rows that share one, lose their own lines only."""
+    rows = [(None, "c\nb"), (None, "u\nv"), (7, "q\na"), (7, "x\ny"), (8, "b"), (9, "a"), (7, "x\ny"), (6, "q"), (5, "c")]
+    got = line_dedup.apply(docs_frame(spark, rows)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == sorted([(0, "u\nv"), (7, "x\ny"), (7, "x\ny"), (8, "b"), (6, "q"), (5, "c"), (7, "a")])
+    rows = corpus(23, 40)
+    rows = [(r[0] and r[0] % 9, r[1]) for r in rows]           # a few ids, many texts each
+    keys = text_keys(spark, rows)
+    gone = defaultdict(set)
+    for d, k, i, *_ in brute_lines(rows, keys):
+        gone[d, k].add(i)
+    want = []
+    for r in rows:
+        out = [x for i, x in enumerate((r[1] or "").split("\n")) if i not in gone[document(r, keys)]]
+        if not gone[document(r, keys)]:
+            want.append(r)
+        elif "\n".join(out).encode().strip():
+            want.append((r[0], "\n".join(out)))
+    got = [(r.doc_id, r.text) for r in line_dedup.apply(docs_frame(spark, rows)).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
 # ---- op 6 ----
 
 def brute_classes(rows):
@@ -162,12 +198,12 @@ def test_contaminated(spark, max_sent):
 
 # ---- op 10 ----
 
-def brute_spans(rows):
+def brute_spans(rows, keys={}):
     """The runs from the docstring's rule, on Python words; long sentences are in no test here."""
     runs = defaultdict(set)
     for r in rows:
         raw = (r[1] or "").encode()
-        sent, doc = [], LAST if r[0] is None else r[0]
+        sent, doc = [], document(r, keys)
         at = 0
         for line in raw.split(b"\n"):
             words = [(m.start() + at, m.end() + at, m.group().translate(decontaminate._LOWER)) for m in re.finditer(rb"[^\x20\x09-\x0D]+", line)]
@@ -180,7 +216,7 @@ def brute_spans(rows):
             if cur:
                 sent.append(cur)
             at += len(line) + 1
-        assert all(len(s) <= 40 for s in sent)
+        assert all(len(s) <= substring_dedup.LONG for s in sent)
         for j in range(len(sent)):
             run = []
             for e in range(j, len(sent)):
@@ -203,11 +239,54 @@ def brute_spans(rows):
 
 def test_repeated_ranges(spark):
     rows = [r for r in corpus(9, 50) if r[1] is None or len(r[1]) < 100000]
+    rows += [(r[0] and r[0] % 9, r[1]) for r in corpus(29, 25)]  # ids that several texts share
     got = defaultdict(set)
     for r in substring_dedup.repeated_ranges(docs_frame(spark, rows)).collect():
-        assert not got[LAST if r.doc_id is None else r.doc_id] & set(range(r.start_byte, r.end_byte))
-        got[LAST if r.doc_id is None else r.doc_id].update(range(r.start_byte, r.end_byte))
-    assert dict(got) == dict(brute_spans(rows))
+        at = (LAST if r.doc_id is None else r.doc_id, r.text_key)
+        assert not got[at] & set(range(r.start_byte, r.end_byte))
+        got[at].update(range(r.start_byte, r.end_byte))
+    keys = text_keys(spark, rows)
+    assert dict(got) == dict(brute_spans(rows, keys))
+    out = []
+    for r in rows:
+        raw, gone = (r[1] or "").encode(), got.get(document(r, keys), ())
+        out.append((r[0], r[1] if r[1] is None else bytes(c for i, c in enumerate(raw) if i not in gone).decode()))
+    left = [(r.doc_id, r.text) for r in substring_dedup.apply(docs_frame(spark, rows)).collect()]
+    assert sorted(left, key=repr) == sorted(out, key=repr)
+
+
+def test_substring_dedup_cuts_no_text_by_another(spark):
+    rng = random.Random(4)
+    shared = prose(rng, 60).replace("\n", " ")
+    alone = ["é" * 200 + " " + prose(rng, 30) for _ in range(3)]
+    rows = [(None, shared), (None, alone[0]), (7, "Before it. " + shared), (7, alone[1]), (7, alone[2]), (1, shared)]
+    got = sorted(((r.doc_id or 0, r.text) for r in substring_dedup.apply(docs_frame(spark, rows)).collect()))
+    assert [t for d, t in got if t in alone] and sorted(t for d, t in got if t in alone) == sorted(alone)
+    assert (1, shared) in got and (0, "") in got and any(d == 7 and t.strip() == "Before it." for d, t in got)
+
+
+def test_short_passages_among_short_sentences(spark):
+    """51 to 60 words that begin and end inside sentences of 4 to 40 words: found, all but their ends."""
+    rng = random.Random(28)
+    rows, size, found = [], {}, defaultdict(int)
+
+    def sentences(n):
+        out = []
+        while len(out) < n:
+            k = rng.randint(4, 40)
+            out += ["w%x" % rng.randrange(1 << 30) for _ in range(k)]
+            out[-1] += rng.choice([".", "!", ".\n"])
+        return " ".join(out[:n]).replace("\n ", "\n")
+    for k in range(200):
+        shared = sentences(51 + k % 10)
+        rows += [(2 * k, sentences(rng.randint(1, 60)) + " " + shared + " " + sentences(40)),
+                 (2 * k + 1, sentences(rng.randint(1, 60)) + " " + shared + " " + sentences(40))]
+        size[2 * k + 1] = len(shared)
+    for r in substring_dedup.repeated_ranges(docs_frame(spark, rows)).collect():
+        found[r.doc_id] += r.end_byte - r.start_byte
+    assert set(found) <= set(size)                       # nothing else is cut
+    assert len(found) >= 0.95 * len(size)
+    assert sum(found[d] / n for d, n in size.items()) >= 0.75 * len(size)
 
 
 def test_substring_apply(spark):

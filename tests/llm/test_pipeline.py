@@ -27,7 +27,7 @@ def expected(rows, items):
     rows = [r for r in rows if all(ok[r[0]])]                   # no line is above the limits here
     yield rows
     gone = defaultdict(set)
-    for d, i, *_ in brute_lines(rows):
+    for d, _, i, *_ in brute_lines(rows):
         gone[d].add(i)
     out = []
     for d, t, h in rows:
