@@ -12,9 +12,14 @@ least ``min_sentences`` sentences with at least ``min_words`` words is hashed (1
 are joined over all documents; each but the first, by (doc_id, place), covers sentences to
 remove. Covered stretches of a document are merged into ranges of bytes of its UTF-8 text.
 
-Defined cases: null and blank texts have no sentence; a null ``doc_id`` counts as the last
-one; rows that repeat a ``doc_id`` with the same text share their places, so neither is a
-copy of the other; an empty table gives an empty result; other columns are not read.
+Most runs stand in one place only. So the texts are read twice: first only the 64-bit hashes
+are counted, then the runs whose hash was found again are made, with places and second hash,
+and only they are written.
+
+Defined cases: null and blank texts have no sentence; null ``doc_id`` come last; texts that
+share a ``doc_id``, or have none, are documents of their own, told apart by the 64-bit key of
+their text; rows that repeat both share their places, so neither is a copy of the other; an
+empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -24,11 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quality_rules import text_key
 from .tables import null_safe, unused, written
 from .text import Words, runs_hash, signed, text_chunks
 
-MIN_SENTENCES, MIN_WORDS, LONG, NEAR = 2, 20, 40, 16
+MIN_SENTENCES, MIN_WORDS, LONG, NEAR = 2, 20, 16, 16
 _LAST = (1 << 63) - 1
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _STOPS = np.zeros(256, bool)
 _STOPS[list(b".!?")] = True
 
@@ -44,13 +51,13 @@ def least_of_each(value: np.ndarray, row: np.ndarray, k: int = NEAR) -> np.ndarr
     return out
 
 
-def sentence_spans(w: Words, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS, found=None):
-    """(text index, first byte, end byte, hash, second hash, whether of words) of every run; with
-    ``found``, a list of first bytes for each text, only the runs of words near them."""
+def sentence_spans(w: Words, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS, found=None, bases=_BASES):
+    """(text index, first byte, end byte, whether of words, a hash for each of ``bases``) of every
+    run; with ``found``, a list of first bytes for each text, only the runs of words near them."""
     n = len(w.starts)
     empty = np.zeros(0, np.int64)
     if not n:
-        return empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64), empty.astype(bool)
+        return empty, empty, empty, empty.astype(bool), *[empty.astype(np.uint64) for _ in bases]
     h, doc = w.hashes(), w.doc_of_word()
     lines = np.concatenate([[0], np.cumsum(w.buf == 10)])
     last = np.ones(n, bool)
@@ -89,8 +96,8 @@ def sentence_spans(w: Words, min_sentences: int = MIN_SENTENCES, min_words: int
         b = a + min_words
     of_words = np.arange(len(a)) >= (0 if found is not None else len(a) - len(row))
     # a run's hash from prefix sums of its words' hashes times powers of an odd base
-    out = [doc[a], w.starts[a] - w.offs[doc[a]], w.ends[b - 1] - w.offs[doc[a]]]
-    for base in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
+    out = [doc[a], w.starts[a] - w.offs[doc[a]], w.ends[b - 1] - w.offs[doc[a]], of_words]
+    for base in bases:
         up = np.full(n, np.uint64(base), np.uint64)
         up[0] = 1
         up = np.multiply.accumulate(up)
@@ -100,50 +107,64 @@ def sentence_spans(w: Words, min_sentences: int = MIN_SENTENCES, min_words: int
         total = np.zeros(n + 1, np.uint64)
         np.cumsum((h ^ np.uint64(base)) * up, out=total[1:])
         out.append(runs_hash((total[b] - total[a]) * down[a] + (b - a).astype(np.uint64), 1))
-    return (*out, of_words)
+    return tuple(out)
+
+
+def _hashes(min_sentences: int, min_words: int, near: bool):
+    """The first hash of every run."""
+    def run(batches):
+        for batch in text_chunks(batches):
+            found = batch.column(3).to_pylist() if near else None
+            *_, h1 = sentence_spans(Words(batch.column(2), lower=True), min_sentences, min_words, found, _BASES[:1])
+            yield pa.RecordBatch.from_arrays([pa.array(signed(h1))], names=["h1"])
+    return run
 
 
 def _spans(min_sentences: int, min_words: int, near: bool):
     def run(batches):
         for batch in text_chunks(batches):
-            w = Words(batch.column(1), lower=True)
-            found = batch.column(2).to_pylist() if near else None
-            at, b0, b1, h1, h2, of_words = sentence_spans(w, min_sentences, min_words, found)
+            found = batch.column(3).to_pylist() if near else None
+            at, b0, b1, of_words, h1, h2 = sentence_spans(Words(batch.column(2), lower=True), min_sentences, min_words, found)
+            row = pa.array(at)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(h1)), pa.array(signed(h2)), batch.column(0).take(pa.array(at)),
+                [pa.array(signed(h1)), pa.array(signed(h2)), batch.column(0).take(row), batch.column(1).take(row),
                  pa.array(b0.astype(np.int32)), pa.array(b1.astype(np.int32)), pa.array(of_words, pa.bool_())],
-                names=["h1", "h2", "doc", "b0", "b1", "of_words"])
+                names=["h1", "h2", "doc", "key", "b0", "b1", "of_words"])
     return run
 
 
 def _repeats(docs: DataFrame, name: str, min_sentences: int, min_words: int, near: bool = False):
     """The runs of ``docs`` whose hash is found at two places or more, with the first of them."""
-    spans = written(docs.mapInArrow(_spans(min_sentences, min_words, near),
-                                    "h1 long, h2 long, doc long, b0 int, b1 int, of_words boolean"), name)
-    # written, so that the join below reads two plain shuffles and can split a hot run
-    first = written(spans.groupBy("h1", "h2").agg(F.min(F.struct("doc", "b0")).alias("first"), F.max(F.struct("doc", "b0")).alias("last"))
+    rule = (min_sentences, min_words, near)
+    # written, so that the joins below read two plain shuffles and can split a hot run
+    again = written(docs.mapInArrow(_hashes(*rule), "h1 long").groupBy("h1").agg(F.count("*").alias("c"))
+                    .filter("c > 1").select("h1"), f"{name}-hashes")
+    spans = written(docs.mapInArrow(_spans(*rule), "h1 long, h2 long, doc long, key long, b0 int, b1 int, of_words boolean")
+                    .join(again, "h1", "left_semi"), name)
+    place = F.struct("doc", "key", "b0")
+    first = written(spans.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
                     .filter(F.col("first") != F.col("last")).select("h1", "h2", "first"), f"{name}-repeated")
     return spans.join(first, ["h1", "h2"])
 
 
 def repeated_ranges(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, start_byte, end_byte, n_spans, first_doc_id): the ranges to remove; of the
-    documents their removed runs stand in first, the least."""
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), "text")
+    """(doc_id, text_key, start_byte, end_byte, n_spans, first_doc_id): the ranges to remove; of
+    the documents their removed runs stand in first, the least."""
+    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), text_key("text").alias("key"), "text")
     runs = _repeats(docs, "spans", min_sentences, min_words)
-    found = runs.filter("of_words").groupBy(F.col("doc").alias("d")).agg(F.collect_set("b0").alias("found"))
-    exact = _repeats(docs.join(found, docs["doc"] == F.col("d")).select("doc", "text", "found"), "near", min_sentences, min_words, near=True)
-    later = runs.unionByName(exact).filter(F.struct("doc", "b0") != F.col("first")) \
-        .groupBy("doc", "b0", "b1").agg(F.min("first.doc").alias("keeper"))
-    order = Window.partitionBy("doc").orderBy("b0", "b1")
+    found = runs.filter("of_words").groupBy(F.col("doc").alias("d"), F.col("key").alias("k")).agg(F.collect_set("b0").alias("found"))
+    asked = docs.join(found, (docs["doc"] == F.col("d")) & (docs["key"] == F.col("k"))).select("doc", "key", "text", "found")
+    exact = _repeats(written(asked, "asked"), "near", min_sentences, min_words, near=True)
+    later = runs.unionByName(exact).filter(F.struct("doc", "key", "b0") != F.col("first")) \
+        .groupBy("doc", "key", "b0", "b1").agg(F.min("first.doc").alias("keeper"))
+    order = Window.partitionBy("doc", "key").orderBy("b0", "b1")
     reach = F.max("b1").over(order.rowsBetween(Window.unboundedPreceding, -1))
     part = F.sum(F.when(F.col("b0") <= F.col("reach"), 0).otherwise(1)).over(order)
+    named = lambda c, n: F.when(F.col(c) != _LAST, F.col(c)).alias(n)
     return later.withColumn("reach", reach).withColumn("part", part) \
-        .groupBy("doc", "part").agg(F.min("b0").alias("start_byte"), F.max("b1").alias("end_byte"),
-                                    F.count("*").alias("n_spans"), F.min("keeper").alias("keeper")) \
-        .select(*[F.when(F.col(c) != _LAST, F.col(c)).alias(n) if c in ("doc", "keeper") else F.col(c)
-                  for c, n in (("doc", "doc_id"), ("start_byte", ""), ("end_byte", ""), ("n_spans", ""),
-                               ("keeper", "first_doc_id"))])
+        .groupBy("doc", "key", "part").agg(F.min("b0").alias("start_byte"), F.max("b1").alias("end_byte"),
+                                           F.count("*").alias("n_spans"), F.min("keeper").alias("keeper")) \
+        .select(named("doc", "doc_id"), F.col("key").alias("text_key"), "start_byte", "end_byte", "n_spans", named("keeper", "first_doc_id"))
 
 
 def _cut(batches):
@@ -164,7 +185,7 @@ def _cut(batches):
 
 def apply(docs: DataFrame, **params) -> DataFrame:
     """All documents, same columns, without the sentences of repeated runs."""
-    d, cuts = unused(docs, "_d", "_ranges")
-    ranges = repeated_ranges(docs, **params).groupBy(F.col("doc_id").alias(d)) \
+    d, k, t, cuts = unused(docs, "_d", "_k", "_t", "_ranges")
+    ranges = repeated_ranges(docs, **params).groupBy(F.col("doc_id").alias(d), F.col("text_key").alias(k)) \
         .agg(F.collect_list(F.struct("start_byte", "end_byte")).alias(cuts))
-    return null_safe(docs, ranges, {"doc_id": d}, "left").drop(d).mapInArrow(_cut, docs.schema)
+    return null_safe(docs.withColumn(t, text_key("text")), ranges, {"doc_id": d, t: k}, "left").drop(d, k, t).mapInArrow(_cut, docs.schema)
