@@ -10,11 +10,11 @@ written once. A phrase occurrence belongs to the chunk in which it begins before
 window (in a text's last chunk: anywhere), where all of it lies: overlaps count once.
 
 Phrases are counted inside the dictionary's chunks, weighted by their frequencies, in passes
-over it: words; then pairs of frequent words and triples of frequent pairs as 64-bit hashes;
-then, as text, the pairs and triples so found and longer phrases all of whose triples were.
-A part of a frequent phrase is frequent, so nothing is lost, and counts are of the phrases
-themselves. What a pass needs of the one before is a bitmap of ``BITS`` bits, whatever the
-data's size; a bit set by chance only lets a rare phrase into the next count, where it fails.
+over it: words; pairs of frequent words; triples of frequent pairs; longer phrases all of
+whose triples are frequent. A part of a frequent phrase is frequent, so nothing is lost, and
+the phrases themselves are counted, not hashes. What a pass needs of the one before is a
+bitmap of ``BITS`` bits, whatever the data's size; a bit set by chance only lets a rare
+phrase be counted, which then fails.
 
 Phrases of 2 or more words with ``min_count`` are candidates; those inside a longer one that
 is as frequent go. The rest are scored by their lowest cut, floor(1000 a n / (l r)), in
@@ -90,52 +90,48 @@ def dictionary(docs: DataFrame, max_words: int = MAX_WORDS, period: int = PERIOD
     return parse.groupBy("lang", "chunk", "last").agg(F.count("*").alias("freq"))
 
 
+def _hashes(w: Words, lang: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each word in its row's language."""
+    codes = lang.dictionary_encode()
+    salt = np.array([int.from_bytes(blake2b(x.encode(), digest_size=8).digest(), "little") for x in codes.dictionary.to_pylist()], np.uint64)
+    return mix(w.hashes() ^ salt[np.asarray(codes.indices)[w.doc_of_word()]]) if len(w.starts) else np.zeros(0, np.uint64)
+
+
 class _Phrases:
     """The words of a batch of chunks, the pieces they are in, and what each is worth."""
 
     def __init__(self, batch: pa.RecordBatch, overlap: int):
         self.w = w = Words(batch.column(1))
-        n = len(w.starts)
-        row = w.doc_of_word()
-        codes = batch.column(0).dictionary_encode()
-        self.lang = np.asarray(codes.indices)[row]
-        self.names = codes.dictionary
-        salt = np.array([_name_hash(x) for x in codes.dictionary.to_pylist()], np.uint64)
-        self.h = mix(w.hashes() ^ salt[self.lang]) if n else np.zeros(0, np.uint64)
-        left = w.first[1:][row] - np.arange(n)                     # words to the chunk's end
-        self.own = np.asarray(batch.column(2).cast(pa.int8())).astype(bool)[row] | (left > overlap)
+        self.lang, self.row = batch.column(0), w.doc_of_word()
+        self.h = _hashes(w, self.lang)
+        left = w.first[1:][self.row] - np.arange(len(self.h))      # words to the chunk's end
+        self.own = np.asarray(batch.column(2).cast(pa.int8())).astype(bool)[self.row] | (left > overlap)
         breaks = np.concatenate([[0], np.cumsum(w.buf == _BREAK)])
-        self.piece = breaks[w.starts] + row
-        self.freq = np.asarray(batch.column(3))[row]
+        self.piece = breaks[w.starts] + self.row
+        self.freq = np.asarray(batch.column(3))[self.row]
+        self.flat = w.raw.tobytes()
 
     def starts(self, k: int) -> np.ndarray:
         """Word positions at which a phrase of k words begins that belongs to its chunk."""
         m = max(0, len(self.h) - k + 1)
         return np.flatnonzero(self.own[:m] & (self.piece[:m] == self.piece[k - 1:]))
 
-    def summed(self, key: np.ndarray, at: np.ndarray):
-        """(distinct keys, one position of each, summed worth)"""
-        key, first, back = np.unique(key, return_index=True, return_inverse=True)
-        return key, at[first], np.rint(np.bincount(back, self.freq[at], len(key))).astype(np.int64)
+    def within(self, at: np.ndarray, k: int, part: int, bits: np.ndarray) -> np.ndarray:
+        """Of the phrases of k words at ``at`` those all of whose ``part`` words in a row are marked."""
+        marked = _has(bits, runs_hash(self.h, part))
+        for i in range(k - part + 1):
+            at = at[marked[at + i]]
+        return at
 
     def texts(self, at: np.ndarray, k: int) -> pa.Array:
-        flat = self.w.raw.tobytes()
-        return pa.array([flat[a:b] for a, b in zip(self.w.starts[at].tolist(), self.w.ends[at + k - 1].tolist())], pa.string())
-
-
-def _name_hash(name: str) -> int:
-    return int.from_bytes(blake2b(name.encode(), digest_size=8).digest(), "little")
+        return pa.array([self.flat[a:b] for a, b in zip(self.w.starts[at].tolist(), self.w.ends[at + k - 1].tolist())], pa.string())
 
-
-def _word_counts(overlap: int):
-    def run(batches):
-        for batch in text_chunks(batches, "chunk"):
-            p = _Phrases(batch, overlap)
-            at = np.flatnonzero(p.own)
-            key, first, c = p.summed(p.h[at], at)
-            yield pa.RecordBatch.from_arrays([p.names.take(pa.array(p.lang[first])), p.texts(first, 1), pa.array(signed(key)), pa.array(c)],
-                                             names=["lang", "phrase", "key", "c"])
-    return run
+    def counted(self, at: np.ndarray, k: int) -> pa.RecordBatch:
+        """(lang, phrase, c) of the different phrases of k words at ``at``."""
+        key, first, back = np.unique(runs_hash(self.h, k)[at], return_index=True, return_inverse=True)
+        c = np.rint(np.bincount(back, self.freq[at], len(key))).astype(np.int64)
+        at = at[first]
+        return pa.RecordBatch.from_arrays([self.lang.take(pa.array(self.row[at])), self.texts(at, k), pa.array(c)], names=["lang", "phrase", "c"])
 
 
 def _has(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -143,43 +139,31 @@ def _has(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
     return (bits[x >> np.uint64(3)] >> (x & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def _within(p: _Phrases, at: np.ndarray, k: int, part: int, bits: np.ndarray) -> np.ndarray:
-    """Of the phrases of k words at ``at`` those all of whose ``part`` words in a row are marked."""
-    marked = _has(bits, p.h if part == 1 else runs_hash(p.h, part))
-    for i in range(k - part + 1):
-        at = at[marked[at + i]]
-    return at
-
-
-def _key_counts(overlap: int, k: int, bits: np.ndarray):
-    """Hashes of the phrases of k words whose parts of k - 1 words are marked."""
+def _counts(overlap: int, sizes: list[int], part: int, bits: np.ndarray | None):
+    """Counts of the phrases of some sizes; with ``bits`` only of those whose parts are marked."""
     def run(batches):
         for batch in text_chunks(batches, "chunk"):
             p = _Phrases(batch, overlap)
-            at = _within(p, p.starts(k), k, k - 1, bits)
-            key, _, c = p.summed(runs_hash(p.h, k)[at], at)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(key)), pa.array(c)], names=["key", "c"])
+            for k in sizes:
+                at = p.starts(k)
+                yield p.counted(at if bits is None else p.within(at, k, part, bits), k)
     return run
 
 
-def _phrase_counts(overlap: int, max_words: int, bits: dict[int, np.ndarray]):
+def _keys(k: int):
+    """The hash of each phrase, all of k words, as ``_Phrases`` makes it."""
     def run(batches):
-        most = max(bits)
-        for batch in text_chunks(batches, "chunk"):
-            p = _Phrases(batch, overlap)
-            for k in range(2, max_words + 1):
-                part = min(k, most)
-                at = _within(p, p.starts(k), k, part, bits[part])
-                _, first, c = p.summed(runs_hash(p.h, k)[at], at)
-                yield pa.RecordBatch.from_arrays([p.names.take(pa.array(p.lang[first])), p.texts(first, k), pa.array(c)],
-                                                 names=["lang", "phrase", "c"])
+        for batch in batches:
+            w = Words(batch.column(1))
+            yield pa.RecordBatch.from_arrays([pa.array(signed(runs_hash(_hashes(w, batch.column(0)), k)[w.first[:-1]]))], names=["key"])
     return run
 
 
-def _bitmap(keys: DataFrame) -> np.ndarray:
-    """The keys' bitmap of BITS bits, at most BITS / 8 bytes whatever their number."""
+def bitmap(phrases: DataFrame, k: int) -> np.ndarray:
+    """The bitmap of some phrases (lang, phrase) of k words: BITS / 8 bytes whatever their number."""
     place = F.pmod(F.col("key"), F.lit(BITS)) + 1
-    rows = keys.groupBy(F.bitmap_bucket_number(place).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("m"))
+    rows = phrases.select("lang", "phrase").mapInArrow(_keys(k), "key long") \
+        .groupBy(F.bitmap_bucket_number(place).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("m"))
     out = np.zeros(BITS // 8, np.uint8)
     for b, m in rows.collect():
         out[(b - 1) * 4096:b * 4096] = np.frombuffer(m, np.uint8)
@@ -189,19 +173,20 @@ def _bitmap(keys: DataFrame) -> np.ndarray:
 def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, f) of every phrase of 1 to ``max_words`` words found ``min_count`` times or
     more, and (lang, n) with the number of words of each language."""
-    overlap = max_words - 1
     chunks = written(dictionary(docs, max_words), "chunks")
-    words = written(chunks.mapInArrow(_word_counts(overlap), "lang string, phrase string, key long, c long")
-                    .groupBy("lang", "phrase").agg(F.first("key").alias("key"), F.sum("c").alias("f")), "words")
-    frequent = words.filter(F.col("f") >= min_count)
-    bits = {1: _bitmap(frequent)}
+
+    def count(sizes: list[int], part: int, bits: np.ndarray | None) -> DataFrame:
+        return chunks.mapInArrow(_counts(max_words - 1, sizes, part, bits), "lang string, phrase string, c long") \
+            .groupBy("lang", "phrase").agg(F.sum("c").alias("f"))
+    words = written(count([1], 0, None), "words")
+    found = words.filter(F.col("f") >= min_count)
+    phrases, bits = found, bitmap(found, 1)
     for k in range(2, min(3, max_words) + 1):
-        keys = chunks.mapInArrow(_key_counts(overlap, k, bits[k - 1]), "key long, c long")
-        bits[k] = _bitmap(keys.groupBy("key").agg(F.sum("c").alias("f")).filter(F.col("f") >= min_count))
-    longer = chunks.mapInArrow(_phrase_counts(overlap, max_words, bits), "lang string, phrase string, c long") \
-        .groupBy("lang", "phrase").agg(F.sum("c").alias("f")).filter(F.col("f") >= min_count)
-    totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    return written(frequent.select("lang", "phrase", "f").unionByName(longer), "phrases"), totals
+        found = written(count([k], k - 1, bits).filter(F.col("f") >= min_count), f"phrases-{k}")
+        phrases, bits = phrases.unionByName(found), bitmap(found, k)
+    if max_words > 3:
+        phrases = phrases.unionByName(count(list(range(4, max_words + 1)), 3, bits).filter(F.col("f") >= min_count))
+    return written(phrases, "phrases"), words.groupBy("lang").agg(F.sum("f").alias("n"))
 
 
 def _words(c: str):

@@ -82,12 +82,17 @@ def test_chunks_hold_each_phrase_once(spark, period):
     assert sum(r.freq for r in chunks if r["last"]) == sum(1 for t, _ in rows if any(pieces(t)))
 
 
-def test_bitmap_marks_exactly_its_keys(spark):
-    keys = [0, 1, -1, C.BITS - 1, C.BITS, 32767, 32768, -(1 << 63), 12345678901]
-    bits = C._bitmap(spark.createDataFrame([(k,) for k in keys], "key long"))
-    place = {k % C.BITS for k in keys}
-    assert np.unpackbits(bits, bitorder="little").sum() == len(place)
-    assert C._has(bits, np.array(keys, np.int64).astype(np.uint64)).all()
+def test_bitmap_marks_exactly_its_phrases(spark):
+    rng = random.Random(6)
+    some = sorted({("l%d" % rng.randrange(3), " ".join("w%d" % rng.randrange(50) for _ in range(3))) for _ in range(500)})
+    bits = C.bitmap(spark.createDataFrame(some, "lang string, phrase string").repartition(3), 3)
+    batch = pa.RecordBatch.from_arrays([pa.array([x[0] for x in some]), pa.array([x[1] for x in some]), pa.array([True] * len(some)),
+                                        pa.array([1] * len(some))], names=["lang", "chunk", "last", "freq"])
+    p = C._Phrases(batch, 4)
+    at = p.starts(3)
+    keys = set((C.runs_hash(p.h, 3)[at] % np.uint64(C.BITS)).tolist())
+    assert len(at) == len(some) and len(p.within(at, 3, 3, bits)) == len(some)
+    assert set(np.flatnonzero(np.unpackbits(bits, bitorder="little")).tolist()) == keys
 
 
 def test_empty_and_clashing(spark):
