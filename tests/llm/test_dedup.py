@@ -221,13 +221,13 @@ def brute_spans(rows, keys={}):
             run = []
             for e in range(j, len(sent)):
                 run += sent[e]
-                if e > j and len(run) >= 20:
+                if len(run) >= 20:
                     runs[tuple(w for _, _, w in run)].add((doc, run[0][0], run[-1][1]))
                     break
             run = []
             for e in range(j, -1, -1):
                 run = sent[e] + run
-                if e < j and len(run) >= 20:
+                if len(run) >= 20:
                     runs[tuple(w for _, _, w in run)].add((doc, run[0][0], run[-1][1]))
                     break
     gone = defaultdict(set)
