@@ -76,9 +76,9 @@ def unique_visitors_bitmap_running(behavior: DataFrame, size="1 hour", seed: int
 
 
 def average_timestamp(behavior: DataFrame) -> DataFrame:
-    """AverageAgg: integer mean of the epoch-second timestamps per user, as double."""
-    views = behavior.filter(F.col("behavior") == "pv")
-    secs = views.select("user_id", F.expr("ts_us div 1000000").alias("ts_s"))
+    """AverageAgg: integer mean of the epoch-second timestamps per user, as double, of all
+    records (the accumulator has no filter of its own)."""
+    secs = behavior.select("user_id", F.expr("ts_us div 1000000").alias("ts_s"))
     return integer_average(secs, "user_id", "ts_s", "avg_ts")
 
 

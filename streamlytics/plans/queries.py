@@ -150,10 +150,10 @@ def uv_approx_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("avg_integer", (
-    f"SELECT user_id, CAST(sum(ts_us // 1000000) // count(*) AS DOUBLE) AS avg_ts FROM ({PV}) GROUP BY user_id"))
+    f"SELECT user_id, CAST(sum(ts_us // 1000000) // count(*) AS DOUBLE) AS avg_ts FROM ({O.USER_BEHAVIOR}) GROUP BY user_id"))
 def avg_integer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3: integer-division mean of epoch seconds per user."""
-    return jobs.average_timestamp(_views(spark, sf_dir))
+    return jobs.average_timestamp(td.user_behavior(spark, sf_dir))
 
 
 # ------------------------------------------------------------------ ads

@@ -159,6 +159,7 @@ def run(spark: SparkSession, job: str, inputs: list[str], output: str | None = N
     outs = _stream_outputs(job, d, params) if stream else fn(d, params)
     if stream:
         from streamlytics.session import scratch_path
+        from streamlytics.streaming.core import state_settings
         qs = {}
         for name, df in outs.items():
             per_batch = None
@@ -173,10 +174,11 @@ def run(spark: SparkSession, job: str, inputs: list[str], output: str | None = N
                         res.write.mode("overwrite").parquet(f"{output}/{name}/epoch={epoch_id}")
                     else:
                         res.show(20, truncate=False)
-                qs[name] = w.foreachBatch(sink).start()
+                w = w.foreachBatch(sink)
             else:
-                qs[name] = (w.format("parquet").option("path", f"{output}/{name}") if output
-                            else w.format("console").option("truncate", False)).start()
+                w = w.format("parquet").option("path", f"{output}/{name}") if output else w.format("console").option("truncate", False)
+            with state_settings(spark):
+                qs[name] = w.start()
         return qs
     if isinstance(outs, Tagged):
         if output:

@@ -15,18 +15,14 @@ from pyspark.sql import functions as F
 from ..sources import testdata as td
 from ..streaming import jobs as SJ
 from ..streaming import state as ST
-from ..streaming.core import run_available_now as _run, with_event_time
+from ..streaming.core import after_watermark, run_available_now as _run, with_event_time
+from ..functions.text import tx_present
 from ..functions.time import format_window_time
 from . import oracle as O
-from .queries import CAP_RANKED, D, H, MIN, PV, register
+from .queries import CAP_RANKED, D, H, MIN, MKT, PV, S, _TX, _TXR, _by_hour, _hourly, register
 from .queries import ORACLE as _BATCH_SQL
 
 
-# seconds without change after which a query with processing-time timeouts is over; its
-# keys with a timer are looked at every second
-SETTLE = 3.0
-
-
 def run_available_now(df, name, **kw):
     """Registered streams use one state partition per core of the cluster."""
     kw.setdefault("state_partitions", df.sparkSession.sparkContext.defaultParallelism)
@@ -66,18 +62,24 @@ def stream_uv_exact_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_ad_clicks_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ad clicks per province on a stream (stream-static join to the customer geography)."""
     clicks = with_event_time(td.ad_clicks(spark, sf_dir, stream=True), "ts_us", "0 seconds")
-    c = SJ.stream_window_count(clicks, "province", "1 hour", "5 seconds")
-    c = c.select("window_end", format_window_time("window_end").alias("window_end_str"), "province", "cnt")
-    return run_available_now(c, "ad_clicks")
+    c = run_available_now(SJ.stream_sliding_stretches(clicks, "province", "1 hour", "5 seconds"), "ad_clicks")
+    return SJ.unfold_windows(c, "1 hour", "5 seconds").select(
+        "window_end", format_window_time("window_end").alias("window_end_str"), "province", "cnt")
+
+
+def _pays_and_receipts(spark, sf_dir):
+    """Both sides of the joins; each watermark follows all events, filtered after it."""
+    def side(ts_col, event_type, rename):
+        e = with_event_time(td.events(spark, sf_dir, None, True), "ts_us", "0 seconds", ts_col)
+        return rename(e.filter(after_watermark(F.col("event_type") == event_type, ts_col)))
+    return (side("pay_ts", "purchase", lambda e: td.as_pays(e, "pay_ts").withColumnRenamed("ts_us", "pay_us")),
+            side("receipt_ts", "click", lambda e: td.as_receipts(e, "receipt_ts").withColumnRenamed("ts_us", "receipt_us")))
 
 
 @register("stream_tx_interval_join", _BATCH_SQL["tx_interval_join"])
 def stream_tx_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1 between two watermarked streams (purchases, clicks), +-1 h, inclusive."""
-    pays = with_event_time(td.pay_events(spark, sf_dir, stream=True), "ts_us", "0 seconds", "pay_ts") \
-        .withColumnRenamed("ts_us", "pay_us")
-    recs = with_event_time(td.receipt_events(spark, sf_dir, stream=True), "ts_us", "0 seconds", "receipt_ts") \
-        .withColumnRenamed("ts_us", "receipt_us")
+    pays, recs = _pays_and_receipts(spark, sf_dir)
     j = SJ.stream_interval_join(pays, recs, "key", "-1 hour", "1 hour", "pay_ts", "receipt_ts")
     j = j.select("key", "pay_id", "pay_us", "receipt_id", "pay_channel", "receipt_us")
     return run_available_now(j, "tx_join")
@@ -86,13 +88,12 @@ def stream_tx_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _cap_stream(spark, sf_dir):
     e = td.events(spark, sf_dir, stream=True).select("user_id", "event_type", "seq", "ts_us")
     e = with_event_time(e, "ts_us", "0 seconds")
-    return run_available_now(ST.stream_click_cap(e, ("user_id", "event_type"), 2, "day", check_every="1 second"),
-                             "click_cap", settle=SETTLE)
+    return run_available_now(ST.stream_click_cap(e, ("user_id", "event_type"), 2, "day"), "click_cap")
 
 
 @register("stream_click_cap_pass", f"SELECT user_id, event_type, seq, ts_us FROM ({CAP_RANKED}) t WHERE rn <= 2")
 def stream_click_cap_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D1 D1r on a stream (keyed state + end-of-day timeout): rows that pass."""
+    """D1 D1r on a stream (state by bucket, counts of finished days kept): rows that pass."""
     return _cap_stream(spark, sf_dir).filter(F.col("output") == "pass").select("user_id", "event_type", "seq", "ts_us")
 
 
@@ -110,7 +111,7 @@ def stream_login_fail_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_available_now(ST.stream_login_fail(lg, within="1 hour"), "login_fail")
 
 
-_OUTCOME_SRC = f"SELECT * FROM ({O.ORDERS}) o WHERE event_type IN ('create', 'pay')"
+_OUTCOME_SRC = O.ORDERS
 
 
 @register("stream_order_pay_outcomes", (
@@ -120,10 +121,9 @@ _OUTCOME_SRC = f"SELECT * FROM ({O.ORDERS}) o WHERE event_type IN ('create', 'pa
     f"OR (create_us IS NULL AND pay_us // 1000 < (SELECT max(ts_us) // 1000 FROM ({_OUTCOME_SRC}) s))"))
 def stream_order_pay_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D3 on a stream: keyed state with event-time timers (4 h deadline per user-day)."""
-    o = td.order_events(spark, sf_dir, where=F.col("event_type").isin("signup", "purchase"), stream=True)
+    o = td.order_events(spark, sf_dir, stream=True)
     o = with_event_time(o.withColumn("day", F.expr(f"ts_us div {D}L")), "ts_us", "0 seconds")
-    return run_available_now(ST.stream_order_outcomes(o, ("order_id", "day"), within="4 hours", check_every="1 second"),
-                             "order_outcomes", settle=SETTLE)
+    return run_available_now(ST.stream_order_outcomes(o, ("order_id", "day"), within="4 hours"), "order_outcomes")
 
 
 def _wm_us(src: str, delay_ms: int = 0) -> str:
@@ -187,10 +187,25 @@ def stream_marketing_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_available_now(c, "marketing_total")
 
 
-_PAY_SRC = f"SELECT ts_us FROM ({O.EVENTS}) e WHERE event_type = 'purchase'"
-_REC_SRC = f"SELECT ts_us FROM ({O.EVENTS}) e WHERE event_type = 'click'"
-# global watermark = the smaller of the two streams' watermarks (Spark's default policy)
-_WM2 = f"least((SELECT max(ts_us) // 1000 FROM ({_PAY_SRC}) a), (SELECT max(ts_us) // 1000 FROM ({_REC_SRC}) b)) * 1000"
+@register("stream_marketing_by_channel_1s", _by_hour(_closed(O.sliding(MKT, ["channel", "behavior"], H, S), O.MARKETING), "channel, behavior"))
+def stream_marketing_by_channel_1s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 on a stream with the reference's slide of 1 s: stretches of equal counts, unfolded
+    into their windows and reported by hour as ``marketing_by_channel_1s``."""
+    m = with_event_time(td.marketing_events(spark, sf_dir, stream=True), "ts_us", "0 seconds")
+    c = run_available_now(SJ.stream_marketing_stretches(m, ["channel", "behavior"]), "marketing_1s")
+    return _hourly(SJ.unfold_windows(c))
+
+
+@register("stream_marketing_total_1s", _by_hour("SELECT 'total' AS channel, 'total' AS behavior, window_end, cnt FROM ("
+                                                + _closed(O.sliding(MKT, [], H, S), O.MARKETING) + ") c", "channel, behavior"))
+def stream_marketing_total_1s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 on a stream with the reference's slide of 1 s, reported as ``marketing_total_1s``."""
+    m = with_event_time(td.marketing_events(spark, sf_dir, stream=True), "ts_us", "0 seconds")
+    c = SJ.unfold_windows(run_available_now(SJ.stream_marketing_stretches(m, None), "marketing_total_1s"))
+    return _hourly(c.withColumn("channel", F.lit("total")).withColumn("behavior", F.lit("total")))
+
+
+_WM2 = f"((SELECT max(ts_us) // 1000 FROM ({O.EVENTS}) a) * 1000)"
 
 
 @register("stream_tx_reconcile", (
@@ -200,10 +215,7 @@ _WM2 = f"least((SELECT max(ts_us) // 1000 FROM ({_PAY_SRC}) a), (SELECT max(ts_u
 def stream_tx_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J2 on streams: full outer interval join (+-1 h) of purchases and clicks; an
     unmatched row is emitted once the watermark has passed its interval."""
-    pays = with_event_time(td.pay_events(spark, sf_dir, stream=True), "ts_us", "0 seconds", "pay_ts") \
-        .withColumnRenamed("ts_us", "pay_us")
-    recs = with_event_time(td.receipt_events(spark, sf_dir, stream=True), "ts_us", "0 seconds", "receipt_ts") \
-        .withColumnRenamed("ts_us", "receipt_us")
+    pays, recs = _pays_and_receipts(spark, sf_dir)
     j = SJ.stream_interval_join(pays, recs, "key", "-1 hour", "1 hour", "pay_ts", "receipt_ts", "full_outer")
     j = j.select("key", "pay_id", "pay_us", "receipt_id", "pay_channel", "receipt_us", "output")
     return run_available_now(j, "tx_reconcile")
@@ -228,10 +240,9 @@ def _watermarks(src: str) -> str:
 
 
 _CAP_SRC = _delivered(f"SELECT user_id, event_type, seq, ts_us FROM ({O.EVENTS}) e", "CASE WHEN seq % 10 = 7 THEN 2 ELSE 0 END")
-_CAP_LATE = (f"WITH s AS ({_CAP_SRC}), w AS ({_watermarks('SELECT * FROM s')}) "
-             f"SELECT s.*, row_number() OVER (PARTITION BY user_id, event_type, ts_us // {D}, "
-             f"CASE WHEN wm >= (ts_us // {D} + 1) * {D // 1000} THEN s.batch ELSE -1 END ORDER BY s.batch, ts_us, seq) AS rn "
-             f"FROM s JOIN w USING (batch)")
+# rows in order of arrival: by micro-batch, in it by event time
+_CAP_LATE = (f"SELECT s.*, row_number() OVER (PARTITION BY user_id, event_type, ts_us // {D} ORDER BY batch, ts_us, seq) AS rn "
+             f"FROM ({_CAP_SRC}) s")
 
 
 @register("stream_click_cap_late", (
@@ -239,11 +250,11 @@ _CAP_LATE = (f"WITH s AS ({_CAP_SRC}), w AS ({_watermarks('SELECT * FROM s')}) "
     f"FROM ({_CAP_LATE}) t WHERE rn <= 3"))
 def stream_click_cap_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D1 D1r T8 over many micro-batches: state carried across them, every tenth row two
-    batches late; a row of a day that is over starts a count of its own."""
+    batches late, most of those after the watermark has passed their day: the day's count stands."""
     e = td.events(spark, sf_dir).select("user_id", "event_type", "seq", "ts_us")
     e = td.in_batches(spark, e, *td.time_range(spark, sf_dir), BATCHES, F.when(F.col("seq") % 10 == 7, 2).otherwise(0))
-    capped = ST.stream_click_cap(with_event_time(e), ("user_id", "event_type"), 2, "day", check_every="1 second")
-    return run_available_now(capped, "click_cap_late", settle=SETTLE).drop("msg")
+    capped = ST.stream_click_cap(with_event_time(e), ("user_id", "event_type"), 2, "day", keep="30 days")
+    return run_available_now(capped, "click_cap_late").drop("msg")
 
 
 _PAY_WITHIN = 4 * H
@@ -272,8 +283,8 @@ def stream_order_outcomes_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch late: matched if its order's timer has not fired by then."""
     o = td.in_batches(spark, td.single_orders(spark, sf_dir), *td.time_range(spark, sf_dir), BATCHES,
                       F.when((F.col("event_type") == "pay") & (F.col("order_id") % 10 == 7), 1).otherwise(0))
-    out = ST.stream_order_outcomes(with_event_time(o), ("order_id",), within="4 hours", check_every="1 second")
-    return run_available_now(out, "order_outcomes_late", settle=SETTLE)
+    out = ST.stream_order_outcomes(with_event_time(o), ("order_id",), within="4 hours")
+    return run_available_now(out, "order_outcomes_late")
 
 
 _BEH_LATE = _delivered(O.USER_BEHAVIOR, "CASE WHEN seq % 10 = 7 THEN 1 ELSE 0 END")
@@ -297,21 +308,37 @@ _D1G = (f"SELECT *, row_number() OVER (PARTITION BY user_id, ts_us // {D} ORDER
 
 @register("stream_click_cap_by_region", (
     f"SELECT window_end, strftime(epoch_ms(window_end), '%Y/%m/%d-%H:%M:%S') AS window_end_str, province, cnt FROM ("
-    + O.sliding(f"SELECT * FROM ({_D1G}) b WHERE rn <= 1", ["province"], H, MIN)
-    + f") t WHERE window_end <= (SELECT max(ts_us) // 1000 FROM ({_D1G}) m WHERE rn <= 1)"))
+    + O.sliding(f"SELECT * FROM ({_D1G}) b WHERE rn <= 1", ["province"], H, 5 * S)
+    + f") t WHERE window_end <= (SELECT max(ts_us) // 1000 FROM ({O.AD_CLICKS}) m)"))
 def stream_click_cap_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D1g on streams: capped clicks go to a table, which a second stream counts per
-    province in 1 h windows sliding by 1 min."""
+    """D1g as one streaming query: capped clicks, then clicks per province in 1 h windows
+    sliding by 5 s, a second state behind the first; the watermark follows every click."""
     clicks = with_event_time(td.ad_clicks(spark, sf_dir, stream=True))
-    passed = run_available_now(ST.stream_click_cap(clicks, ("user_id",), 1, "day", check_every="1 second"), "cap_region",
-                               settle=SETTLE)
-    again = spark.readStream.schema(passed.schema).parquet(passed.inputFiles()[0].rsplit("/", 1)[0]) if passed.inputFiles() \
-        else None
-    if again is None:
-        return spark.createDataFrame([], "window_end bigint, window_end_str string, province string, cnt bigint")
-    c = SJ.stream_window_count(with_event_time(again.filter(F.col("output") == "pass")), "province", "1 hour", "1 minute")
-    c = c.select("window_end", format_window_time("window_end").alias("window_end_str"), "province", "cnt")
-    return run_available_now(c, "cap_region_counts")
+    c = SJ.stream_capped_stretches(clicks, "province", ("user_id",), 1, "1 hour", "5 seconds")
+    c = SJ.unfold_windows(run_available_now(c, "cap_region"), "1 hour", "5 seconds")
+    return c.select("window_end", format_window_time("window_end").alias("window_end_str"), "province", "cnt")
+
+
+@register("stream_uv_bitmap_running", _BATCH_SQL["uv_bitmap_running"])
+def stream_uv_bitmap_running(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T7 A7 A8 on a stream, over many micro-batches: one output a page view, the set bits of
+    its hour's bitmap so far."""
+    b = td.in_batches(spark, td.user_behavior(spark, sf_dir), *td.time_range(spark, sf_dir), BATCHES)
+    return run_available_now(ST.stream_running_unique_visitors(SJ.page_views(with_event_time(b))), "uv_running")
+
+
+@register("stream_tx_match", (
+    f"SELECT * FROM ({_BATCH_SQL['tx_reconcile_unique']}) q, (SELECT greatest((SELECT max(pay_us) FROM ({_TX}) a), "
+    f"(SELECT max(receipt_us) FROM ({_TXR}) b)) // 1000 AS wm) w "
+    f"WHERE output = 'matched' OR (coalesce(pay_us, receipt_us) + {5 * S}) // 1000 < wm").replace("SELECT * FROM", "SELECT q.* FROM", 1))
+def stream_tx_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 T6 as one process function over two inputs, over many micro-batches: pays and
+    receipts pair one to one within 5 s, what waits longer is sent off unmatched by a timer."""
+    orders = td.order_events(spark, sf_dir)
+    pays = orders.filter(tx_present("tx_id")).select("tx_id", F.col("seq").alias("order_id"), F.col("ts_us").alias("pay_us"))
+    around = (spark, *td.time_range(spark, sf_dir), BATCHES)
+    sides = [td.in_batches(around[0], x, *around[1:], ts_col=ts) for x, ts in ((pays, "pay_us"), (td.unique_receipts(spark, sf_dir), "receipt_us"))]
+    return run_available_now(ST.stream_tx_match(*sides, "tx_id", "5 seconds", "pay_us", "receipt_us"), "tx_match")
 
 
 @register("stream_uv_update_hourly", _BATCH_SQL["uv_exact_hourly"])

@@ -62,14 +62,14 @@ def events(spark: SparkSession, sf_dir: str, where=None, stream: bool = False) -
     )
 
 
-def in_batches(spark: SparkSession, df: DataFrame, lo_us: int, hi_us: int, n: int, late=None) -> DataFrame:
-    """``df`` (with ``ts_us``) as a stream of ``n`` micro-batches: its rows are written as
+def in_batches(spark: SparkSession, df: DataFrame, lo_us: int, hi_us: int, n: int, late=None, ts_col: str = "ts_us") -> DataFrame:
+    """``df`` (with ``ts_col``) as a stream of ``n`` micro-batches: its rows are written as
     ordered sets of files, by their place in [lo_us, hi_us], and read one set a batch.
     ``late`` (a column of whole numbers) delays a row by so many batches."""
     from ..session import scratch_path
     k = max(1, spark.sparkContext.defaultParallelism // 4)
-    at = F.expr(f"(ts_us - {lo_us}L) * {n}L div {hi_us - lo_us + 1}L")
-    d = df.withColumn("_batch", F.least(at + (F.lit(0) if late is None else late), F.lit(n - 1)))
+    at = F.expr(f"({ts_col} - {lo_us}L) * {n}L div {hi_us - lo_us + 1}L")
+    d = df.withColumn("_batch", F.greatest(F.lit(0), F.least(at + (F.lit(0) if late is None else late), F.lit(n - 1))))
     path = scratch_path(spark, "batches")
     for i in range(n):
         # the stream takes files in the order they were written
@@ -186,12 +186,18 @@ def order_events(spark: SparkSession, sf_dir: str, where=None, stream: bool = Fa
 
 def pay_events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """Pays for reconciliation: purchases keyed by user (the shared key of both streams)."""
-    e = events(spark, sf_dir, None, stream).filter(F.col("event_type") == "purchase")
-    return e.select(F.col("user_id").alias("key"), F.col("event_id").alias("pay_id"), "ts_us")
+    return as_pays(events(spark, sf_dir, None, stream).filter(F.col("event_type") == "purchase"))
+
+
+def as_pays(e: DataFrame, *more: str) -> DataFrame:
+    return e.select(F.col("user_id").alias("key"), F.col("event_id").alias("pay_id"), "ts_us", *more)
 
 
 def receipt_events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """Receipts for reconciliation: clicks keyed by user, channel by k % 2."""
-    e = events(spark, sf_dir, None, stream).filter(F.col("event_type") == "click")
+    return as_receipts(events(spark, sf_dir, None, stream).filter(F.col("event_type") == "click"))
+
+
+def as_receipts(e: DataFrame, *more: str) -> DataFrame:
     return e.select(F.col("user_id").alias("key"), F.col("event_id").alias("receipt_id"),
-                    _pick(PAY_CHANNELS, F.col("k")).alias("pay_channel"), "ts_us")
+                    _pick(PAY_CHANNELS, F.col("k")).alias("pay_channel"), "ts_us", *more)

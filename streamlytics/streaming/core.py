@@ -14,7 +14,7 @@ that stays above it.
 
 from __future__ import annotations
 
-import time
+from contextlib import contextmanager
 from typing import Callable
 
 from pyspark.errors import AnalysisException
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.time import duration_us
-from ..session import scratch_path
+from ..session import REQUIRED_CONF, scratch_path
 
 
 def with_event_time(df: DataFrame, ts_us_col: str = "ts_us", delay="0 seconds", ts_col: str = "ts",
@@ -63,7 +63,7 @@ def _duration_text(d) -> str:
 
 def run_available_now(df: DataFrame, name: str, mode: str = "append",
                       foreach: Callable[[DataFrame], DataFrame] | None = None,
-                      state_partitions: int | None = None, settle: float | None = None) -> DataFrame:
+                      state_partitions: int | None = None) -> DataFrame:
     """Run a streaming DataFrame over everything available now and return the
     result table (a Parquet folder under the shared checkpoint folder).
 
@@ -72,18 +72,11 @@ def run_available_now(df: DataFrame, name: str, mode: str = "append",
     ``state_partitions`` fixes the number of state-store partitions of the query
     (taken from ``spark.sql.shuffle.partitions`` when the query first starts and
     kept in its checkpoint); the session setting is restored afterwards.
-    ``settle`` (seconds) is for functions with processing-time timeouts, whose query never
-    runs out of batches: it is stopped once its input is read and neither the watermark
-    nor the state has changed for that long, which must exceed ``check_every``.
     """
     spark = df.sparkSession
     out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
-    w = df.writeStream.option("checkpointLocation", ckpt).outputMode(mode)
-    w = w.trigger(processingTime="0 seconds") if settle else w.trigger(availableNow=True)
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    if state_partitions:
-        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    try:
+    w = df.writeStream.option("checkpointLocation", ckpt).outputMode(mode).trigger(availableNow=True)
+    with state_settings(spark, state_partitions):
         if foreach is None and mode == "append":
             q = w.format("parquet").option("path", out).start()
         else:
@@ -94,27 +87,31 @@ def run_available_now(df: DataFrame, name: str, mode: str = "append",
                 # folder instead of appending a second copy.
                 fn(batch).write.mode("overwrite").parquet(f"{out}/epoch={epoch_id}")
             q = w.foreachBatch(sink).start()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
-    if settle:
-        _stop_when_settled(q, settle)
     q.awaitTermination()
     schema = (foreach(df.sparkSession.createDataFrame([], df.schema)) if foreach else df).schema
     res = _read_or_empty(spark, out, schema)
     return res.drop("epoch") if "epoch" in res.columns else res
 
 
-def _stop_when_settled(q, seconds: float) -> None:
-    last, since = None, time.monotonic()
-    while q.isActive:
-        p = q.lastProgress
-        now = p and (p["numInputRows"] == 0, p["eventTime"].get("watermark"),
-                     [(s["numRowsTotal"], s["numRowsRemoved"]) for s in p["stateOperators"]])
-        if not now or not now[0] or now != last:
-            last, since = now, time.monotonic()
-        elif time.monotonic() - since > seconds:
-            q.stop()
-        time.sleep(0.2)
+@contextmanager
+def state_settings(spark: SparkSession, partitions: int | None = None):
+    """The settings with which a query with state starts (and which it keeps): RocksDB as the
+    state store, which the processors need, and the number of state partitions. The session's
+    own are restored."""
+    new = {k: v for k, v in REQUIRED_CONF.items() if "stateStore" in k}
+    if partitions:
+        new["spark.sql.shuffle.partitions"] = str(partitions)
+    before = {k: spark.conf.get(k, None) for k in new}
+    try:
+        for k, v in new.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:

@@ -21,6 +21,7 @@ from ..functions.text import drop_static_resources
 from ..functions.time import duration_us
 from ..operators.joins import _signed_us as _signed
 from ..operators.topn import top_n_by_count
+from . import processors as PR
 from .core import _duration_text, after_watermark, window_bounds_ms
 
 
@@ -46,6 +47,47 @@ def stream_window_count(df: DataFrame, keys, size="1 hour", slide=None, ts_col:
     return c.select(*k, *window_bounds_ms("w"), count_col)
 
 
+def stream_capped_stretches(clicks: DataFrame, by, keys=("user_id", "ad_id"), cap: int = 100, size="1 hour", slide="5 seconds",
+                            reset: str = "day") -> DataFrame:
+    """D1g in one streaming query: the clicks that pass the cap, counted per ``by`` in sliding
+    windows (``stream_sliding_stretches``); the watermark is that of all clicks."""
+    from .state import stream_click_cap
+    return stream_sliding_stretches(stream_click_cap(clicks, keys, cap, reset).filter(F.col("output") == "pass"), by, size, slide)
+
+
+def stream_sliding_stretches(df: DataFrame, keys, size="1 hour", slide="1 second", ts_col: str = "ts_us") -> DataFrame:
+    """T4 for windows that overlap many times (size a multiple of slide): keys..., first_end,
+    last_end (in slides), cnt: stretches of closed windows with an equal count, sent off as
+    the watermark passes them; ``unfold_windows`` makes the windows of them. A pane's rows
+    raise the count of the next size/slide windows, so what is kept is two changes a pane,
+    counted within each Arrow batch before the shuffle. The timeline is cut into parts, so
+    that a hot key is split. Windows that have closed take no late row."""
+    k = [] if keys is None else ([keys] if isinstance(keys, str) else list(keys))
+    size_us, slide_us = duration_us(size), duration_us(slide)
+    if size_us % slide_us:
+        raise ValueError("size must be a multiple of slide")
+    n = size_us // slide_us
+    part = 16 * n
+    panes = df.select(*k, F.expr(f"(`{ts_col}` - pmod(`{ts_col}`, {slide_us}L)) div {slide_us}L").alias("_pane"), F.lit(1).cast("long").alias("_n"))
+    panes = panes.mapInArrow(PR.summed(k), panes.schema)
+    at = lambda e: f"({e} - pmod({e}, {part}L)) div {part}L"
+    parts = F.explode(F.expr(f"sequence({at('(_pane + 1)')}, {at(f'(_pane + {n}L)')})")).alias("_part")
+    rows = panes.select(*k, "_pane", "_n", parts).select(
+        *k, "_part", F.expr(f"greatest(_pane + 1, _part * {part}L)").alias("_from"),
+        F.expr(f"least(_pane + {n}L, _part * {part}L + {part - 1}L)").alias("_to"), "_n")
+    schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in k] + ["first_end long, last_end long, cnt long"])
+    return PR.run_processor(rows, [*k, "_part"], PR.SlidingStretches(k, slide_us), schema)
+
+
+def unfold_windows(stretches: DataFrame, size="1 hour", slide="1 second", count_col: str = "cnt") -> DataFrame:
+    """The windows of ``stream_sliding_stretches``, as ``stream_window_count`` gives them."""
+    size_us, slide_us = duration_us(size), duration_us(slide)
+    k = [c for c in stretches.columns if c not in ("first_end", "last_end", "cnt")]
+    return stretches.select(*k, F.explode(F.expr("sequence(first_end, last_end)")).alias("_w"), F.col("cnt").alias(count_col)) \
+        .select(*k, F.expr(f"(_w * {slide_us}L - {size_us}L) div 1000").alias("window_start"),
+                F.expr(f"_w * {slide_us}L div 1000").alias("window_end"), count_col)
+
+
 def page_views(behavior: DataFrame) -> DataFrame:
     """P1 on a stream; the watermark still follows every row."""
     return behavior.filter(after_watermark(F.col("behavior") == "pv"))
@@ -58,6 +100,11 @@ def stream_marketing_counts(events: DataFrame, keys, size="1 hour", slide="1 sec
     return stream_window_count(kept, keys, size, slide)
 
 
+def stream_marketing_stretches(events: DataFrame, keys, size="1 hour", slide="1 second", drop_behavior: str = "UNINSTALL") -> DataFrame:
+    """``stream_marketing_counts`` as stretches, for the reference's slide of 1 s."""
+    return stream_sliding_stretches(events.filter(after_watermark(~F.col("behavior").eqNullSafe(drop_behavior))), keys, size, slide)
+
+
 def stream_hot_items(behavior: DataFrame, size="1 hour", slide="5 minutes", n: int = 3):
     """HotItems on a stream: returns (windowed counts stream, per-batch ranker)."""
     views = page_views(behavior)

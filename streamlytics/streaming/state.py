@@ -1,26 +1,21 @@
-"""Keyed state machines for streams (D1 D2 D3 C1 C2) with ``applyInPandasWithState``.
+"""Keyed state machines for streams: D1, D3, J2 and the running distinct count by
+``transformWithState`` (``processors``), D2, C1, C2 with ``applyInPandasWithState``.
 
-Each function receives the rows of one key in the current micro-batch (as Arrow
-batches) plus the key's state, and returns output rows. Rows of a key inside a
-micro-batch are ordered by the caller's order columns, and across micro-batches by
-arrival, as in the reference's keyed process functions.
+Late rows. The reference's process functions (D1, D3, J2) handle every row, however late, and
+so do these: their processors see all rows, and their timers fire once the watermark has
+passed them. The patterns (C1, C2) drop late rows, as the reference's do, and use event-time
+timeouts. D2 needs no timer.
 
-Late rows. The reference's process functions (D1, D3) handle every row, however late.
-Spark drops rows behind the watermark from a function with event-time timeouts, so these
-two use processing-time ones: a key with a timer is looked at again every ``check_every``
-and acts once the watermark has passed the timer's event time. The patterns (C1, C2) drop
-late rows, as the reference's do, and use event-time timeouts. D2 needs no timer.
+State is removed when nothing can follow from it: some days after the day (D1), with the
+outcome (D3, J2), with the window, after a row that is no fail (D2), when no row waits and no
+match is open (C1, C2).
 
-State is removed when nothing can follow from it: at the end of the day (D1), with the
-outcome (D3), after a row that is no fail (D2), when no row waits and no match is open
-(C1, C2).
+Memory per key and micro-batch is bounded by the micro-batch size (``maxFilesPerTrigger`` /
+``maxOffsetsPerTrigger``); the click cap sends only the ``cap + 1`` earliest rows of a key
+from each Arrow batch, D3 keeps only the earliest create and pay.
 
-Memory per key and micro-batch is bounded by the micro-batch size
-(``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``); the click cap keeps only the
-``cap + 1`` earliest rows of each Arrow batch, D3 only the earliest create and pay.
-
-Spark hands the watermark column (a TIMESTAMP) to the functions, and pandas holds
-timestamps in nanoseconds (years 1677-2262): ``core.with_event_time(max_ts_us=...)``
+For D2, C1 and C2 Spark hands the watermark column (a TIMESTAMP) to the functions, and pandas
+holds timestamps in nanoseconds (years 1677-2262): ``core.with_event_time(max_ts_us=...)``
 keeps that column inside the range and no row is lost.
 """
 
@@ -34,9 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from ..functions.hashing import poly_hash_mask
 from ..functions.time import US_PER, duration_us
 from ..operators import detect
 from ..operators.patterns import PAYED_MSG, STRICT_FAIL_MSG, TIMEOUT_MSG
+from . import processors as PR
+from .core import after_watermark, with_event_time
+
+BUCKETS = 64             # processors' groups of keys; more on a large cluster
 
 
 def _out_schema(df: DataFrame, cols: Sequence[str], extra: str) -> str:
@@ -56,52 +56,21 @@ def _not_before_watermark(state, ts_ms: int) -> int:
 # ---------------------------------------------------------------- D1 click cap
 def stream_click_cap(df: DataFrame, keys: Sequence[str] = ("user_id", "ad_id"), cap: int = 100,
                      reset: str = "day", ts_col: str = "ts_us", seq_col: str = "seq",
-                     msg: str | None = None, check_every="10 seconds") -> DataFrame:
+                     msg: str | None = None, keep="7 days", buckets: int = BUCKETS) -> DataFrame:
     """D1/D1r on a stream: rows of each key pass until ``cap``; the next one warns
-    once; later rows are dropped. With ``reset='day'`` the count lives per UTC day
-    and its state is removed when the watermark has passed the end of the day.
+    once; later rows are dropped. With ``reset='day'`` the count lives per UTC day, and a day
+    that is over keeps its count until the watermark is ``keep`` past its end; a row of a day
+    older than that counts in the oldest day kept, so late rows never pass the cap.
     Returns the input columns (but the watermark's) plus ``output`` and ``msg``."""
-    k = list(keys)
-    text = (msg or detect.CLICK_CAP_MSG).format(cap=cap)
-    d, gk = df, k
-    if reset == "day":
-        d = df.withColumn("_day", F.expr(f"(`{ts_col}` - pmod(`{ts_col}`, {US_PER['day']}L)) div {US_PER['day']}L"))
-        gk = k + ["_day"]
-    elif reset != "never":
+    if reset not in ("day", "never"):
         raise ValueError("reset must be 'day' or 'never'")
-    out_cols = [c for c in df.columns if c != "ts"]
-    schema = _out_schema(df, out_cols, "output string, msg string")
-    day_ms, every_ms = US_PER["day"] // 1000, duration_us(check_every) // 1000
-
-    def fn(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            if state.getCurrentWatermarkMs() >= int(key[-1] + 1) * day_ms:
-                state.remove()
-            else:
-                state.setTimeoutDuration(every_ms)
-            return
-        # a day that the watermark has passed is over, whether its state was looked at yet or not
-        over = reset == "day" and state.getCurrentWatermarkMs() >= int(key[-1] + 1) * day_ms
-        cnt, warned = state.get if state.exists and not over else (0, False)
-        room = max(cap - cnt, 0) + 1
-        heads = [b.sort_values([ts_col, seq_col]).head(room) for b in batches]
-        rows = pd.concat(heads).sort_values([ts_col, seq_col]).head(room) if heads else None
-        if rows is None or rows.empty:
-            return
-        n_pass = min(max(cap - cnt, 0), len(rows))
-        out = rows.iloc[:n_pass][out_cols].assign(output="pass", msg=None)
-        if len(rows) > n_pass and not warned:
-            w = rows.iloc[[n_pass]][out_cols].assign(output="warn", msg=text)
-            out = pd.concat([out, w]) if n_pass else w
-            warned = True
-        state.update((cnt + n_pass, warned))
-        if reset == "day":
-            state.setTimeoutDuration(every_ms)
-        yield out
-
-    return (d.groupBy(*gk).applyInPandasWithState(
-        fn, schema, "cnt long, warned boolean", "append",
-        GroupStateTimeout.ProcessingTimeTimeout if reset == "day" else GroupStateTimeout.NoTimeout))
+    cols = [c for c in df.columns if c != "ts"]
+    day = [F.expr(f"(`{ts_col}` - pmod(`{ts_col}`, {US_PER['day']}L)) div {US_PER['day']}L").alias("_d")] if reset == "day" else []
+    d = df.select(*cols, PR.packed(keys).alias("_key"), PR.bucket(keys, buckets), *day)
+    d = d.mapInPandas(PR.earliest(["_key", *(["_d"] if day else [])], [ts_col, seq_col], cap + 1), d.schema)
+    return PR.run_processor(d, ["_bucket"], PR.ClickCap(
+        cols, cap, (msg or detect.CLICK_CAP_MSG).format(cap=cap), ts_col, seq_col, reset == "day", -(-duration_us(keep) // US_PER["day"])),
+        _out_schema(df, cols, "output string, msg string"), timers=reset == "day")
 
 
 # ---------------------------------------------------------------- D2 login failures
@@ -134,48 +103,58 @@ def stream_login_fail(df: DataFrame, key: str = "user_id", type_col: str = "even
 # ---------------------------------------------------------------- D3 order / pay
 def stream_order_outcomes(df: DataFrame, keys: Sequence[str] = ("order_id",), type_col: str = "event_type",
                           create: str = "create", pay: str = "pay", within="15 minutes",
-                          ts_col: str = "ts_us", seq_col: str = "seq", check_every="10 seconds") -> DataFrame:
+                          ts_col: str = "ts_us", seq_col: str = "seq", buckets: int = BUCKETS) -> DataFrame:
     """D3 on a stream with timers: create waits ``within`` for its pay ('order
     timeout' when the watermark passes the deadline); a pay without create waits
     until the watermark passes its own time ('already payed but not found create
     log'); a late pay is 'payed but already timeout'. A pay that arrives behind the
     watermark but before its order's timer has fired is matched."""
     k = list(keys)
-    w, every_ms = duration_us(within), duration_us(check_every) // 1000
-    d = df.filter(F.col(type_col).isin(create, pay)).select(
-        *k, type_col, ts_col, seq_col, *(["ts"] if "ts" in df.columns else []))
-    schema = _out_schema(d, k, "create_us bigint, pay_us bigint, output string, msg string")
-
-    def row(key, c, p, m):
-        return pd.DataFrame([list(key) + [c, p, "payed" if m == detect.PAY_OK else "timeout", m]],
-                            columns=k + ["create_us", "pay_us", "output", "msg"])
-
-    def fn(key, batches, state):
-        c, p = state.get if state.exists else (None, None)
-        # the timer comes before any row of this batch, whether it was looked at yet or not
-        if state.exists and state.getCurrentWatermarkMs() > (p if c is None else c + w) // 1000:
-            state.remove()
-            yield row(key, c, p, detect.PAY_NO_CREATE if c is None else detect.CREATE_NO_PAY)
-            c = p = None
-        if state.hasTimedOut:
-            if state.exists:
-                state.setTimeoutDuration(every_ms)
-            return
-        first = {create: c, pay: p}
-        for b in batches:
-            for t, ts in b.groupby(type_col)[ts_col].min().items():
-                first[t] = int(ts) if first[t] is None else min(first[t], int(ts))
-        c, p = first[create], first[pay]
-        if c is not None and p is not None:
-            if state.exists:
-                state.remove()
-            yield row(key, c, p, detect.PAY_OK if p < c + w else detect.PAY_LATE)
-            return
-        state.update((c, p))
-        state.setTimeoutDuration(every_ms)
-
-    return d.groupBy(*k).applyInPandasWithState(fn, schema, "create_us long, pay_us long", "append",
-                                                 GroupStateTimeout.ProcessingTimeTimeout)
+    d = df.filter(after_watermark(F.col(type_col).isin(create, pay)) if "ts" in df.columns else F.col(type_col).isin(create, pay)) \
+        .select(PR.packed(k).alias("_key"), PR.bucket(k, buckets), type_col, ts_col)
+    out = PR.run_processor(d, ["_bucket"], PR.OrderOutcomes(type_col, create, pay, duration_us(within), ts_col),
+                           "_key string, create_us bigint, pay_us bigint, outcome string")
+    text = F.when(F.col("outcome") == "in time", detect.PAY_OK).when(F.col("outcome") == "late", detect.PAY_LATE) \
+        .when(F.col("outcome") == "no pay", detect.CREATE_NO_PAY).otherwise(detect.PAY_NO_CREATE)
+    known = lambda c: F.when(F.col(c) != PR.NONE, F.col(c)).alias(c)
+    return out.select(*PR.unpacked(out, "_key", df, k), known("create_us"), known("pay_us"),
+                      F.when(F.col("outcome") == "in time", "payed").otherwise("timeout").alias("output"), text.alias("msg"))
+
+
+# ---------------------------------------------------------------- J2 two inputs, one process function
+def stream_tx_match(left: DataFrame, right: DataFrame, on: Sequence[str] | str, wait="5 seconds", left_ts: str = "l_ts_us",
+                    right_ts: str = "r_ts_us", delay="0 seconds", max_ts_us: int | None = None, buckets: int = BUCKETS,
+                    tags=("matched", "unmatched_pay", "unmatched_receipt")) -> DataFrame:
+    """J2 as one process function over two inputs (streams without watermarks; theirs is
+    set here, over the rows of both): of each key one row of a side waits. A row of the other
+    side takes it, one to one; another row of its own side replaces it; a timer ``wait``
+    after a row that waited sends off, unmatched, whatever waits then. A key's rows of a
+    micro-batch come in event time, and a timer before a row whose time is past it.
+    Late rows are handled like all others. Returns ``reconcile``'s columns."""
+    keys = [on] if isinstance(on, str) else list(on)
+    sides = [(left, left_ts, True), (right, right_ts, False)]
+    both = None
+    for df, ts, is_left in sides:
+        one = df.select(PR.packed(keys).alias("_key"), PR.bucket(keys, buckets), PR.packed([c for c in df.columns if c not in keys]).alias("_row"),
+                        F.lit(is_left).alias("_left"), F.col(ts).alias("ts_us"))
+        both = one if both is None else both.unionByName(one)
+    both = with_event_time(both, "ts_us", delay, max_ts_us=max_ts_us)
+    out = PR.run_processor(both.drop("ts"), ["_bucket"], PR.TxMatch(duration_us(wait), "ts_us", "_row"),
+                           "_key string, left string, right string")
+    cols = [PR.unpacked(out, c, df, [x for x in df.columns if x not in keys]) for c, (df, _, _) in zip(("left", "right"), sides)]
+    tag = F.when(F.col("right").isNull(), tags[1]).when(F.col("left").isNull(), tags[2]).otherwise(tags[0])
+    return out.select(*PR.unpacked(out, "_key", left, keys), *cols[0], *cols[1], tag.alias("output"))
+
+
+# ---------------------------------------------------------------- T7 / A7 / A8 one output a row
+def stream_running_unique_visitors(df: DataFrame, size="1 hour", user_col: str = "user_id", seed: int = 61, bits: int = 1 << 29,
+                                   ts_col: str = "ts_us", seq_col: str = "seq") -> DataFrame:
+    """A8 with a firing for each row: (seq, window_end, uv), the set bits of the row's window's
+    bitmap after it. Rows of a micro-batch come in event time; rows of a closed window are dropped."""
+    size_us = duration_us(size)
+    d = df.select(F.expr(f"(`{ts_col}` - pmod(`{ts_col}`, {size_us}L)) div {size_us}L").alias("_window"), ts_col, seq_col,
+                  poly_hash_mask(F.col(user_col).cast("string"), seed, bits).alias("_pos"))
+    return PR.run_processor(d, ["_window"], PR.RunningDistinct(size_us // 1000, ts_col, seq_col), "seq bigint, window_end bigint, uv bigint")
 
 
 # ---------------------------------------------------------------- C1 / C2 patterns

@@ -193,6 +193,9 @@ def test_bounded_broadcast_checks_the_size(spark):
         large_plan = big.join(bounded_broadcast(dim, max_rows=10), "k")._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" in small_plan
         assert "BroadcastHashJoin" not in large_plan and "SortMergeJoin" in large_plan
+        wide = dim.selectExpr("k", "repeat('x', 1000) as pad", "array(1, 2) as a")
+        plan = lambda most: big.join(bounded_broadcast(wide, max_bytes=most), "k")._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan(40_000) and "BroadcastHashJoin" not in plan(20_000)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

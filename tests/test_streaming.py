@@ -1,8 +1,10 @@
 """Streaming behaviour that the batch oracles cannot see: late rows, outer-join
 emission, update-mode early results, file sources and tagged sinks."""
 
+import itertools
 import os
 import tempfile
+import time
 
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from streamlytics.plans import jobs
 from streamlytics.session import scratch_path
 from streamlytics.sources.records import read_records, read_records_stream, records_from_lines
 from streamlytics.streaming import jobs as SJ
-from streamlytics.streaming.core import run_available_now, with_event_time
+from streamlytics.streaming.core import run_available_now, state_settings, with_event_time
 
 
 def _write_csv(folder, name, lines):
@@ -20,6 +22,12 @@ def _write_csv(folder, name, lines):
     os.makedirs(folder, exist_ok=True)
     with open(os.path.join(folder, name), "w") as f:
         f.write("\n".join(lines) + "\n")
+    # a stream takes files in the order of their times
+    at = time.time() - 10_000 + next(_WRITTEN)
+    os.utime(os.path.join(folder, name), (at, at))
+
+
+_WRITTEN = itertools.count()
 
 
 def test_read_records_file_keeps_order(spark):
@@ -171,8 +179,7 @@ def test_stream_click_cap_state_across_batches(spark):
     # the rows themselves are counted, as in the batch form.
     s = _two_file_stream(spark, FX.AD_CLICK_LOG, "ad_click", 110, "clicks2")
     s = with_event_time(s, "ts_us", "0 seconds", max_ts_us=1511700000_000000)   # the same day
-    got = run_available_now(stream_click_cap(s, ("user_id", "ad_id"), cap=100, reset="day", check_every="1 second"),
-                            "cap2", settle=3)
+    got = run_available_now(stream_click_cap(s, ("user_id", "ad_id"), cap=100, reset="day"), "cap2")
     assert got.filter("output = 'pass'").count() == 122 and "province" in got.columns
     assert rows(got.filter("output = 'warn'"), "user_id", "ad_id", "msg") == [
         (937166, 1715, "Click over 100 times today.")]
@@ -208,7 +215,7 @@ def test_stream_order_outcomes_timers_across_batches(spark):
     # file 1 ends at 1558430943 s; file 2 holds the late pays (34756, 34767), the
     # pay without create (34768) and moves the watermark past every deadline
     s = with_event_time(_two_file_stream(spark, FX.ORDER_LOG, "order", 60, "orders3"), "ts_us", "0 seconds")
-    got = run_available_now(stream_order_outcomes(s, check_every="1 second"), "outcomes2", settle=3)
+    got = run_available_now(stream_order_outcomes(s), "outcomes2")
     by = {}
     for oid, msg in rows(got, "order_id", "msg"):
         by.setdefault(msg, set()).add(oid)
@@ -232,7 +239,7 @@ def test_late_pay_before_its_timer_is_matched(spark):
     _write_csv(src, "b.csv", ["1,pay,t1,200"])                   # behind the watermark (530 s), before 1000 s
     _write_csv(src, "c.csv", ["3,create,,5000"])
     s = with_event_time(read_records_stream(spark, src, "order", max_files=1).withColumn("seq", F.col("ts_us")))
-    got = run_available_now(stream_order_outcomes(s, check_every="1 second"), "late-pay", settle=3)
+    got = run_available_now(stream_order_outcomes(s), "late-pay")
     assert rows(got, "order_id", "msg") == [(1, "payed successfully"), (2, "order timeout")]
 
 
@@ -242,10 +249,193 @@ def test_late_click_of_the_day_counts(spark):
     _write_csv(src, "a.csv", ["1,9,p,c,1000"])
     _write_csv(src, "b.csv", ["1,9,p,c,200", "1,9,p,c,300"])
     s = with_event_time(read_records_stream(spark, src, "ad_click", max_files=1).withColumn("seq", F.col("ts_us")))
-    got = run_available_now(stream_click_cap(s, cap=2, check_every="1 second"), "late-click", settle=3)
+    got = run_available_now(stream_click_cap(s, cap=2), "late-click")
     assert rows(got, "ts_us", "output") == [(200_000000, "pass"), (300_000000, "warn"), (1000_000000, "pass")]
 
 
+def test_late_clicks_never_pass_the_cap(spark):
+    """The day is over, four more micro-batches bring two of its clicks each: one pass, one warning."""
+    from streamlytics.streaming.state import stream_click_cap
+    src = scratch_path(spark, "late-clicks")
+    _write_csv(src, "a.csv", ["1,9,p,c,1000"])
+    _write_csv(src, "b.csv", [f"2,9,p,c,{3 * 86400}"])
+    for i in range(4):
+        _write_csv(src, f"c{i}.csv", [f"1,9,p,c,{2000 + i}", f"1,9,p,c,{3000 + i}"])
+    s = with_event_time(read_records_stream(spark, src, "ad_click", max_files=1).withColumn("seq", F.col("ts_us")))
+    got = run_available_now(stream_click_cap(s, cap=1), "late-clicks")
+    assert rows(got.filter("user_id = 1"), "ts_us", "output") == [(1000_000000, "pass"), (2000_000000, "warn")]
+    # with one day kept, rows of older days share the oldest kept one's count
+    got = run_available_now(stream_click_cap(s, cap=1, keep="1 day"), "late-clicks-1")
+    assert got.filter("user_id = 1 and output = 'pass'").count() == 2
+    assert got.filter("user_id = 1 and output = 'warn'").count() == 1
+
+
+def test_null_and_many_typed_keys_on_streams(spark):
+    from streamlytics.streaming.state import stream_click_cap, stream_order_outcomes
+    src = scratch_path(spark, "null-keys")
+    schema = "k1 string, k2 timestamp, k3 decimal(20,3), event_type string, ts_us long, seq long"
+    at = "timestamp_micros(1234567890123456)"
+    spark.sql(f"SELECT k1, IF(k1 = 'a', {at}, NULL) AS k2, CAST(IF(k1 = 'a', NULL, 1.5) AS decimal(20,3)) AS k3, e AS event_type, "
+              "t * 1000000 AS ts_us, t AS seq FROM VALUES ('a', 'create', 10L), ('a', 'pay', 20L), (NULL, 'create', 11L), "
+              "('b', 'pay', 12L), ('z', 'other', 99999L) AS v(k1, e, t)").coalesce(1).write.parquet(src)
+    s = with_event_time(spark.readStream.schema(schema).parquet(src))
+    got = run_available_now(stream_order_outcomes(s, ("k1", "k2", "k3"), within="1 minute"), "typed-orders")
+    assert got.schema["k2"].dataType.simpleString() == "timestamp" and got.schema["k3"].dataType.simpleString() == "decimal(20,3)"
+    assert {(r.k1, r.k2 is None, r.k3 is None, r.msg) for r in got.collect()} == {
+        ("a", False, True, "payed successfully"), (None, True, False, "order timeout"),
+        ("b", True, False, "already payed but not found create log")}
+    assert got.filter(f"k2 = {at}").count() == 1
+    capped = run_available_now(stream_click_cap(s, ("k1", "k2"), cap=1), "typed-clicks")
+    assert capped.filter("output = 'pass'").count() == 4 and capped.filter("output = 'warn'").count() == 1
+
+
+def test_an_idle_key_is_not_looked_at_again(spark):
+    """The reads and writes of a bucket's state follow the batch's rows, not the open keys."""
+    from types import SimpleNamespace
+    import pandas as pd
+    from streamlytics.streaming.processors import ClickCap, OrderOutcomes
+
+    class Map(dict):
+        calls = 0
+
+        def getValue(self, k):
+            Map.calls += 1
+            return self.get(k)
+
+        def updateValue(self, k, v):
+            Map.calls += 1
+            self[k] = v
+
+        def removeKey(self, k):
+            Map.calls += 1
+            self.pop(k, None)
+
+    def started(p, names):
+        p.names = names
+        p.init(SimpleNamespace(getMapState=lambda *a: Map(), registerTimer=lambda t: None))
+        return p
+    wm = SimpleNamespace(getCurrentWatermarkInMs=lambda: 1)
+    cap = started(ClickCap(["k", "ts_us", "seq"], 2, "x", "ts_us", "seq", True, 7), ["k", "ts_us", "seq", "_key"])
+    orders = started(OrderOutcomes("event_type", "create", "pay", 900_000_000, "ts_us"), ["_key", "event_type", "ts_us"])
+    click = lambda k: pd.DataFrame({"k": [k], "ts_us": [5], "seq": [5], "_key": [f"{k}"]})
+    order = lambda k, t: pd.DataFrame({"_key": [f"{k}"], "event_type": ["create"], "ts_us": [t]})
+    used = []
+    for n in (10, 2000):                                       # few, then many keys wait
+        for i in range(n):
+            list(cap.handleInputRows((0,), iter([click(i)]), wm))
+        list(orders.handleInputRows((0,), iter([order(i, 10 ** 9 + i) for i in range(n)]), wm))
+        Map.calls = 0
+        list(cap.handleInputRows((0,), iter([click("new%d" % n)]), wm))
+        list(orders.handleInputRows((0,), iter([order("new%d" % n, 5 * 10 ** 9)]), wm))
+        used.append(Map.calls)
+    assert used[0] == used[1] <= 8
+    Map.calls = 0                                              # a timer before any deadline reads the slices' names only
+    list(orders.handleExpiredTimer((0,), wm, None))
+    assert Map.calls == 0
+
+
+def test_a_hot_key_sends_few_rows_of_each_batch(spark):
+    import pandas as pd
+    from streamlytics.streaming.processors import earliest
+    hot = pd.DataFrame({"_key": ["hot"] * 850 + [f"k{i}" for i in range(150)], "ts_us": range(1000, 0, -1), "seq": range(1000)})
+    out = pd.concat(earliest(["_key"], ["ts_us", "seq"], 3)(iter([hot, hot])))
+    assert (out["_key"] == "hot").sum() == 6 and len(out) == 306
+    assert sorted(out[out["_key"] == "hot"]["ts_us"].unique()) == [151, 152, 153]
+
+
+def _brute_match(rows_, wait):
+    """(pay, receipt) of one key's (ts, side, id) in event time, with the timers' effects."""
+    pay = receipt = None
+    timers, out = [], []
+    for ts, side, name in sorted(rows_):
+        if any(t < ts for t in timers):
+            out += [(pay, receipt)] if pay or receipt else []
+            pay = receipt = None
+            timers = [t for t in timers if t >= ts]
+        if side == "pay" and receipt or side == "receipt" and pay:
+            out.append((name, receipt) if side == "pay" else (pay, name))
+            pay, receipt = (None, None)
+            continue
+        pay, receipt = (name, receipt) if side == "pay" else (pay, name)
+        timers.append(ts + wait)
+    return out + ([(pay, receipt)] if pay or receipt else [])
+
+
+def test_tx_match_on_repeated_ids(spark):
+    """One to one, in order, over several micro-batches: as a walk over each key's rows."""
+    import random
+    from collections import defaultdict
+    from streamlytics.streaming.state import stream_tx_match
+    rng = random.Random(9)
+    src = {s: scratch_path(spark, f"match-{s}") for s in ("pay", "receipt")}
+    by, used = defaultdict(list), set()
+    parts = {s: [[] for _ in range(4)] for s in src}
+    for i in range(400):
+        key, ts, side = f"k{rng.randrange(12)}" if i % 9 else None, rng.randrange(400), rng.choice(["pay", "receipt"])
+        if (key, ts) in used:
+            continue
+        used.add((key, ts))
+        by[key].append((ts, side, i))
+        parts[side][ts // 100].append((key, i, ts * 1_000_000))
+    for side in src:
+        parts[side][3].append(("end", 10_000, 5_000_000_000))     # both inputs end late, so that every timer fires
+        for p in parts[side]:
+            spark.createDataFrame(p, f"tx string, {side}_id long, {side}_us long").coalesce(1).write.mode("append").parquet(src[side])
+    ends = [spark.readStream.schema(f"tx string, {s}_id long, {s}_us long").option("maxFilesPerTrigger", 1).parquet(src[s]) for s in ("pay", "receipt")]
+    got = run_available_now(stream_tx_match(*ends, "tx", "5 seconds", "pay_us", "receipt_us"), "match")
+    assert got.columns == ["tx", "pay_id", "pay_us", "receipt_id", "receipt_us", "output"]
+    want = sorted(((k, *m) for k, own in by.items() for m in _brute_match(own, 5)), key=repr)
+    assert sorted(((r.tx, r.pay_id, r.receipt_id) for r in got.filter("tx is null or tx <> 'end'").collect()), key=repr) == want
+    tags = {(r.pay_id is not None, r.receipt_id is not None): r.output for r in got.collect()}
+    assert tags == {(True, True): "matched", (True, False): "unmatched_pay", (False, True): "unmatched_receipt"}
+
+
+def test_stretches_unfold_to_the_windows(spark):
+    """Sliding windows over micro-batches with late rows: each closed window counts what came before it closed."""
+    src = scratch_path(spark, "stretches")
+    batches = [[(None, 3), ("a", 5), ("a", 5), ("a", 9)], [("a", 30), ("a", 4), ("b", 29)], [("b", 64), ("a", 26), ("a", 1)], [("z", 90)]]
+    for rows_ in batches:
+        spark.createDataFrame([(k, t * 1_000_000) for k, t in rows_], "k string, ts_us long").coalesce(1).write.mode("append").parquet(src)
+    s = with_event_time(spark.readStream.schema("k string, ts_us long").option("maxFilesPerTrigger", 1).parquet(src))
+    got = SJ.unfold_windows(run_available_now(SJ.stream_sliding_stretches(s, "k", "20 seconds", "2 seconds"), "stretches"), "20 seconds", "2 seconds")
+    want, wm = {}, 0
+    for rows_ in batches:
+        for k, t in rows_:
+            for e in range(t // 2 * 2 + 2, t // 2 * 2 + 22, 2):
+                if e > wm and e <= 90:
+                    want[k, e] = want.get((k, e), 0) + 1
+        wm = max(wm, max(t for _, t in rows_))
+    assert {(r.k, r.window_end // 1000): r.cnt for r in got.collect()} == want
+    assert got.count() == len(want) and got.filter("window_end - window_start <> 20000").count() == 0
+
+
+def test_running_bitmap_counts_each_row(spark):
+    from streamlytics.streaming.state import stream_running_unique_visitors
+    src = scratch_path(spark, "running")
+    batches = [[(1, 10), (2, 11), (1, 12)], [(2, 3605), (3, 13), (3, 3600)], [(9, 14), (2, 3700)], [(5, 9000)]]
+    n = 0
+    for rows_ in batches:
+        spark.createDataFrame([(u, t * 1_000_000, (n := n + 1)) for u, t in rows_], "user_id long, ts_us long, seq long").coalesce(1) \
+            .write.mode("append").parquet(src)
+    s = with_event_time(spark.readStream.schema("user_id long, ts_us long, seq long").option("maxFilesPerTrigger", 1).parquet(src))
+    got = run_available_now(stream_running_unique_visitors(s), "running")
+    # user 9's row of the first hour comes when the watermark has passed it
+    assert rows(got, "seq", "window_end", "uv") == [
+        (1, 3600000, 1), (2, 3600000, 2), (3, 3600000, 2), (4, 7200000, 2), (5, 3600000, 3), (6, 7200000, 1), (8, 7200000, 2), (9, 10800000, 1)]
+
+
+def test_running_bitmap_keeps_dense_and_sparse_parts():
+    import numpy as np
+    from streamlytics.streaming.processors import RunningDistinct
+    p, kept = RunningDistinct(1, "t", "s"), {}
+    p.seen = type("S", (), {"getValue": lambda self, k: kept.get(k), "updateValue": lambda self, k, v: kept.__setitem__(k, v)})()
+    for n in (0, 1, 2047, 2048, 30000):
+        bits = np.zeros(1 << 15, np.uint8)
+        bits[np.random.default_rng(n).choice(1 << 15, n, replace=False)] = 1
+        p._store((1,), bits)
+        assert (p._load((1,)) == bits).all() and len(kept[((1,),)][0]) <= 4096
+
+
 def test_finished_keys_leave_no_state(spark):
     from streamlytics.streaming import state as ST
     def left(build, kind, lines):
@@ -253,7 +443,8 @@ def test_finished_keys_leave_no_state(spark):
         for i, part in enumerate(lines):
             _write_csv(src, f"{i}.csv", part)
         s = with_event_time(read_records_stream(spark, src, kind, max_files=1).withColumn("seq", F.col("ts_us")))
-        q = build(s).writeStream.format("noop").option("checkpointLocation", scratch_path(spark, "state-ck")).start()
+        with state_settings(spark):
+            q = build(s).writeStream.format("noop").option("checkpointLocation", scratch_path(spark, "state-ck")).start()
         q.processAllAvailable()
         q.processAllAvailable()
         n = q.lastProgress["stateOperators"][0]["numRowsTotal"]
@@ -266,6 +457,9 @@ def test_finished_keys_leave_no_state(spark):
               ["900,10.0.0.1,fail,2000000"], ["901,10.0.0.1,fail,2000001"]]
     assert left(lambda s: ST.stream_strict_pair(s), "login", logins) <= 2
     assert left(lambda s: ST.stream_login_fail(s), "login", logins) <= 2
+    assert left(lambda s: ST.stream_order_outcomes(s), "order", orders) <= 8
+    clicks = [[f"{i},9,p,c,{i}" for i in range(200)], ["900,9,p,c,2000000"], ["901,9,p,c,2000001"]]
+    assert left(lambda s: ST.stream_click_cap(s), "ad_click", clicks) <= 10
 
 
 def test_watermark_follows_rows_that_a_filter_drops(spark):
