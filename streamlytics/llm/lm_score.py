@@ -11,10 +11,10 @@ attention model, which learns from every word whatever the corpus's size. Traini
 data-parallel, the texts dealt to tasks of about ``SHARE`` words: one task finds a first solution in at most
 ``WARM`` steps; then each of ``ROUNDS`` rounds sends the parameters (about 1 MB, fixed) to
 tasks that each run Adam over their part of the windows, a ``ROUNDS``-th in each round, and
-averages their results, in two steps, by Spark.
+averages their results by Spark, ``FAN`` at a time.
 
-Scoring goes by chunks of about ``ROWS`` neighbouring rows (a text over 1 MB is one by
-itself). The counts of the ``COMMON`` commonest words (a fixed bound) are sent to the tasks;
+Scoring goes by chunks of at most ``ROWS`` neighbouring rows, so of ``ROWS`` times
+``LONG_TEXT`` bytes (a longer text is one by itself). The counts of the ``COMMON`` commonest words (a fixed bound) are sent to the tasks;
 a chunk's other distinct words fetch theirs by a join, those that occur in no other chunk
 keep their own, and texts and counts meet by chunk. Overlapping windows score each
 subword once, many windows in one masked attention.
@@ -45,9 +45,9 @@ from .tables import written
 from .text import LOWER
 
 SIZE, MIX, MODULUS, HELD = 4095, 0.35, 10, 0
-ROWS, LONG_TEXT = 1024, 1 << 20
+ROWS, LONG_TEXT = 1024, 1 << 16
 COMMON, _HELD_WORDS = 200_000, 500_000
-LINE = 64
+LINE, FAN = 64, 32
 WARM, WARM_PASSES, ROUNDS, RATE, BATCH, SHARE = 500, 3, 2, 0.01, 320, 480_000
 _LOWER = LOWER.tobytes()
 _AHEAD = attention.WINDOW - attention.STEP + 3            # ids of a window before its first target
@@ -251,7 +251,7 @@ def _train(sent, size: int, turn: int):
         flat = _flat(p)
         for k in range(0, len(flat), 1 << 14):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k], pa.int32()), pa.array([task % 32], pa.int32()), pa.array([float(tokens)]),
+                [pa.array([k], pa.int32()), pa.array([task], pa.int32()), pa.array([float(tokens)]),
                  pa.array([flat[k:k + (1 << 14)]], pa.list_(pa.float32()))], names=["part", "bucket", "n", "v"])
     return run
 
@@ -261,8 +261,19 @@ def _average(key, table):
     n = np.asarray(table.column("n"))
     v = np.stack([np.asarray(x.values) for x in table.column("v")]).astype(float)
     mean = (v * n[:, None]).sum(axis=0) / n.sum()
-    return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "n": pa.array([float(n.sum())]),
-                     "v": pa.array([mean.astype(np.float32)], pa.list_(pa.float32()))})
+    return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "bucket": pa.array([key[1].as_py()], pa.int32()),
+                     "n": pa.array([float(n.sum())]), "v": pa.array([mean.astype(np.float32)], pa.list_(pa.float32()))})
+
+
+def averaged(done: DataFrame, tasks: int, fan: int = FAN) -> DataFrame:
+    """The weighted mean of the tasks' parameters (part, bucket: the task, n, v), ``fan`` of them
+    at a time, so that no group holds more however many tasks there are."""
+    while True:
+        done = done.groupBy("part", F.expr(f"bucket div {fan}").cast("int").alias("up")) \
+            .applyInArrow(_average, "part int, bucket int, n double, v array<float>")
+        tasks = -(-tasks // fan)
+        if tasks == 1:
+            return done
 
 
 def train(docs: DataFrame, n_words: int, ranks_path: str, size: int = SIZE) -> np.ndarray:
@@ -275,8 +286,7 @@ def train(docs: DataFrame, n_words: int, ranks_path: str, size: int = SIZE) -> n
     flat = _flat(attention.init(size, np.random.default_rng(7)))
     for turn in range(1 + ROUNDS if n else 0):
         done = shares.mapInArrow(_train(sc.broadcast(flat), size, turn), "part int, bucket int, n double, v array<float>")
-        mean = done.groupBy("part", "bucket").applyInArrow(_average, "part int, n double, v array<float>") \
-            .groupBy("part").applyInArrow(_average, "part int, n double, v array<float>")
+        mean = averaged(done, shares.rdd.getNumPartitions())
         got = sorted(mean.select("part", "v").collect())                # the model: its size is fixed
         flat = np.concatenate([np.array(r.v, np.float32) for r in got]) if got else flat
     return flat

@@ -6,8 +6,8 @@ line are counted, exact copies of a text counting once. A line above both limits
 (``min_docs`` documents and ``max_share`` of the host's distinct documents), or above
 ``enough_docs`` documents whatever the host's size, is removed from every document of the
 host but the earliest (least ``doc_id``) that has it, so that no content goes altogether.
-Without ``enough_docs`` (the default, the rule of the query's SQL) a line must be above
-both limits; the pipeline's stage gives ``ENOUGH_DOCS``. A document with fewer than ``min_words`` words or less than
+Without ``enough_docs`` (the default) a line must be above both limits; the query and the
+pipeline's stage give ``ENOUGH_DOCS``. A document with fewer than ``min_words`` words or less than
 ``min_left`` of its words afterwards is depleted and rejected, as is one that fails the
 base rules (under 10 words, or over 20 % of them in repeated 5-word windows).
 

@@ -25,7 +25,7 @@ def tokenizer_path(name: str) -> str:
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.verdicts(read(spark, sf_dir, "documents")).select(
+    return quality_rules.verdicts(read(spark, sf_dir, "documents"), enough_docs=quality_rules.ENOUGH_DOCS).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "n_removed_words", "n_removed_lines")
 
@@ -45,7 +45,7 @@ norm AS (SELECT doc_id, source, text, trim(regexp_replace(translate(l, '{_UPPER}
 hot AS (SELECT source, x, min(doc_id) AS first_doc, count(DISTINCT text) AS docs FROM norm GROUP BY source, x),
 host AS (SELECT source, count(DISTINCT text) AS docs FROM d GROUP BY source),
 limits AS (SELECT hot.source, x, first_doc FROM hot JOIN host ON hot.source IS NOT DISTINCT FROM host.source
-           WHERE hot.docs > 5 AND hot.docs > host.docs * 0.10),
+           WHERE hot.docs > 5 AND hot.docs > host.docs * 0.10 OR hot.docs > 20),
 gone AS (SELECT n.doc_id, sum(len(string_split(n.x, ' '))) AS w, count(DISTINCT n.x) AS k
          FROM norm n JOIN limits h ON n.source IS NOT DISTINCT FROM h.source AND n.x = h.x
          WHERE n.doc_id <> h.first_doc GROUP BY n.doc_id),

@@ -218,7 +218,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, modulus: int = MODULUS, held: int = HELD) -> Model:
     sc = docs.sparkSession.sparkContext
-    sample = written(training_texts(docs, labels, "toxic", modulus, held, max_rows).select("text", "y"), "sample")
+    sample = training_texts(docs, labels, "toxic", modulus, held, max_rows).select("text", "y")
     weights, other, clean, n_clean = lexicon(sample)
     model = Model(weights, other)
     if weights:

@@ -174,6 +174,28 @@ def test_lm_beats_an_untrained_one(spark, monkeypatch):
     assert trained > 0.75 * total()
 
 
+def test_parameters_are_averaged_a_few_at_a_time(spark):
+    rng = np.random.default_rng(3)
+    rows = [(part, task, float(rng.integers(1, 9)), rng.standard_normal(4).tolist()) for task in range(23) for part in (0, 4) if task % 5]
+    got = lm_score.averaged(spark.createDataFrame(rows, "part int, bucket int, n double, v array<float>"), 23, fan=3).collect()
+    assert sorted(r.part for r in got) == [0, 4]
+    for r in got:
+        own = [(n, v) for part, _, n, v in rows if part == r.part]
+        assert r.n == sum(n for n, _ in own)
+        assert np.allclose(r.v, sum(n * np.array(v) for n, v in own) / r.n, atol=1e-5)
+
+
+def test_a_repeated_labelled_id_is_gathered_once(spark):
+    from streamlytics.llm.labelled import training_texts
+    docs = spark.createDataFrame([(1, "same text")] * 500 + [(2, f"text {i % 300}") for i in range(600)] + [(None, "x"), (3, None), (3, None)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (3, 1), (None, 1), (4, None)], "doc_id long, quality int")
+    got = training_texts(docs, labels, "quality", 1000, 1000, 20_000).collect()
+    assert len(got) == 302 and sum(r.doc_id == 1 for r in got) == 1 and sum(r.doc_id == 3 for r in got) == 1
+    few = training_texts(docs, labels, "quality", 1000, 1000, 60).collect()
+    assert 30 <= len(few) <= 90
+
+
 def test_lm_learns_from_every_word(spark, monkeypatch):
     """Also of a corpus that is said to be large, and of its long texts."""
     monkeypatch.setattr(lm_score, "WARM", 5)
