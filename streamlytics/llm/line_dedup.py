@@ -165,9 +165,9 @@ def near_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
         .mapInArrow(_candidate_lines, "doc long, key long, line int, text string, l1 long, l2 long")
     # repeated rows give a line twice
     cand = written(found.groupBy("l1", "l2").agg(F.first("text").alias("text"), F.min(F.struct("doc", "key", "line")).alias("at"))
-                   .select("text", F.struct("at.doc", "at.key", "at.line", "l1", "l2").alias("place")), "lines")
-    place = "place struct<doc: long, key: long, line: int, l1: long, l2: long>"
-    rows = cand.mapInArrow(_variants, f"v1 long, v2 long, p int, {place}")
+                   .select("text", F.col("at").alias("place"), "l1", "l2"), "lines")
+    place = "place struct<doc: long, key: long, line: int>"          # names a distinct line, too
+    rows = cand.select("text", "place").mapInArrow(_variants, f"v1 long, v2 long, p int, {place}")
     # most variants are one line's alone; only the others are carried on
     shared = rows.groupBy("v1", "v2").agg(F.count("*").alias("c")).filter("c > 1").select("v1", "v2")
     rows = written(rows.join(shared, ["v1", "v2"], "left_semi"), "variants")
@@ -177,10 +177,10 @@ def near_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
     best = group.join(both, ["v1", "v2"]).select(
         "v1", "v2", "p", F.when(F.col("p") < 0, F.least("whole", "cut")).otherwise(F.least("least", "whole")).alias("best"))
     keeper = rows.join(best, ["v1", "v2", "p"]).filter(F.col("best") < F.col("place")) \
-        .groupBy(F.col("place.l1").alias("l1"), F.col("place.l2").alias("l2")).agg(F.min("best").alias("best"))
-    mine = cand.select(F.col("place.l1").alias("l1"), F.col("place.l2").alias("l2"), F.col("text").alias("mine"))
-    other = cand.select(F.col("place.l1").alias("o1"), F.col("place.l2").alias("o2"), F.col("text").alias("other"))
-    return keeper.join(mine, ["l1", "l2"]).join(other, (F.col("best.l1") == F.col("o1")) & (F.col("best.l2") == F.col("o2"))) \
+        .groupBy("place").agg(F.min("best").alias("best"))
+    mine = cand.select("place", "l1", "l2", F.col("text").alias("mine"))
+    other = cand.select(F.col("place").alias("best"), F.col("text").alias("other"))
+    return keeper.join(mine, "place").join(other, "best") \
         .select("l1", "l2", F.col("best.doc").alias("k_doc"), F.col("best.key").alias("k_key"), F.col("best.line").alias("k_line"),
                 "mine", "other").mapInArrow(_verify, "l1 long, l2 long, k_doc long, k_key long, k_line int")
 
