@@ -79,6 +79,24 @@ def bitmap_unique_visitors(df: DataFrame, pos_col: str, ts_col: str = "ts_us", s
     return bitmap_distinct(d, ["window_start", "window_end"], pos_col, out)
 
 
+def linear_count(set_bits, bits: int):
+    """Distinct values from the set bits of a bitmap of ``bits`` bits by a uniform hash, with
+    collisions corrected: -m ln(1 - X / m), rounded; null when every bit is set."""
+    x = F.col(set_bits) if isinstance(set_bits, str) else set_bits
+    return F.when(x < bits, F.round(F.lit(-float(bits)) * F.log(1 - x / F.lit(float(bits)))).cast("bigint"))
+
+
+def linear_count_error(n, bits: int):
+    """Standard error of ``linear_count`` at n distinct values: sqrt(m (e^t - t - 1)), t = n / m."""
+    t = (F.col(n) if isinstance(n, str) else n) / F.lit(float(bits))
+    return F.sqrt(F.lit(float(bits)) * (F.exp(t) - t - 1))
+
+
+def hll_error(n, lg_k: int):
+    """Standard error of an HLL estimate at n distinct values."""
+    return (F.col(n) if isinstance(n, str) else n) * F.lit(1.04 / 2 ** (lg_k / 2))
+
+
 def approx_unique_visitors(df: DataFrame, user_col: str = "user_id", ts_col: str = "ts_us",
                            size="1 hour", slide=None, lg_k: int = 12, out: str = "uv") -> DataFrame:
     """Approximate distinct visitors per window with mergeable HLL sketches, so that

@@ -3,7 +3,10 @@
 ``row_number() ... <= n`` is planned by Spark with a *partial* window-group limit
 before the shuffle (``WindowGroupLimit``), so every map task forwards at most
 ``n`` rows per window end: a window with millions of distinct items never meets
-in one task. Ties are broken by the item key ascending (the reference keeps
+in one task. Spark plans that limit only up to
+``spark.sql.optimizer.windowGroupLimitThreshold`` ranks (1,000); for more, a group is ranked
+in ``PARTS`` parts by hash first, and the parts' first ``n`` again, so that no task sorts more
+than a ``PARTS``-th of a group or ``PARTS`` times n rows. Ties are broken by the item key ascending (the reference keeps
 arrival order, which a DataFrame does not have).
 """
 
@@ -16,10 +19,19 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+PARTS = 16
+
+
 def top_n(df: DataFrame, group_cols: str | Sequence[str], order: Sequence[Column], n: int,
           rank_col: str = "rank") -> DataFrame:
     """Keep the first ``n`` rows per group by ``order``; adds a bigint ``rank`` (1-based)."""
     g = [group_cols] if isinstance(group_cols, str) else list(group_cols)
+    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n > threshold:
+        whole = F.xxhash64(*[F.col(f"`{c}`") for c, t in df.dtypes if not t.startswith("map")])
+        parted = df.withColumn("_part", F.pmod(whole, F.lit(PARTS)))
+        first = parted.withColumn(rank_col, F.row_number().over(W.partitionBy(*g, "_part").orderBy(*order)))
+        df = first.filter(F.col(rank_col) <= n).drop("_part", rank_col)
     w = W.partitionBy(*g).orderBy(*order)
     return (df.withColumn(rank_col, F.row_number().over(w))
             .filter(F.col(rank_col) <= n)

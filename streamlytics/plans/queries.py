@@ -149,6 +149,42 @@ def uv_approx_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return approx_unique_visitors(_views(spark, sf_dir), "user_id", "ts_us", "1 hour")
 
 
+# a bitmap so small that a day's visitors collide, by a uniform hash
+_SMALL = 1024
+_MD5_BITS = f"(CAST('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 8) AS BIGINT) % {_SMALL})"
+
+
+@register("uv_bitmap_estimate", (
+    f"SELECT window_start, window_end, set_bits, CAST(round(-{_SMALL}.0::DOUBLE * ln(1 - set_bits / {_SMALL}.0::DOUBLE)) AS BIGINT) AS uv_estimate, "
+    f"true AS within FROM (SELECT (ts_us // {D}) * {D // 1000} AS window_start, (ts_us // {D} + 1) * {D // 1000} AS window_end, "
+    f"CAST(count(DISTINCT {_MD5_BITS}) AS BIGINT) AS set_bits FROM ({PV}) GROUP BY ALL) t"))
+def uv_bitmap_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 on full windows: a day's visitors in a bitmap of 1,024 bits, collisions corrected by
+    linear counting; ``within``: four standard errors hold the exact count."""
+    from ..operators.distinct import bitmap_unique_visitors, linear_count, linear_count_error, unique_visitors
+    pv = _views(spark, sf_dir).filter(F.col("behavior") == "pv")
+    pos = F.conv(F.substring(F.md5(F.col("user_id").cast("string").cast("binary")), 1, 8), 16, 10).cast("bigint") % _SMALL
+    bits = bitmap_unique_visitors(pv.select("ts_us", pos.alias("_pos")), "_pos", "ts_us", "1 day", "set_bits")
+    exact = unique_visitors(pv, "user_id", "ts_us", "1 day")
+    out = bits.withColumn("uv_estimate", linear_count("set_bits", _SMALL)).join(exact, ["window_start", "window_end"])
+    return out.select("window_start", "window_end", "set_bits", "uv_estimate",
+                      (F.abs(F.col("uv_estimate") - F.col("uv")) <= 4 * linear_count_error("uv", _SMALL) + 1).alias("within"))
+
+
+@register("uv_approx_bound", (
+    f"SELECT (ts_us // {D}) * {D // 1000} AS window_start, (ts_us // {D} + 1) * {D // 1000} AS window_end, "
+    f"CAST(count(DISTINCT user_id) AS BIGINT) AS uv, true AS within FROM ({PV}) GROUP BY ALL"))
+def uv_approx_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 with a sketch too small to be exact (64 registers): ``within``: the HLL estimate of a
+    day's visitors lies within four standard errors of the exact count."""
+    from ..operators.distinct import approx_unique_visitors, hll_error, unique_visitors
+    pv = _views(spark, sf_dir).filter(F.col("behavior") == "pv")
+    exact = unique_visitors(pv, "user_id", "ts_us", "1 day")
+    near = approx_unique_visitors(pv, "user_id", "ts_us", "1 day", lg_k=6, out="estimate")
+    return exact.join(near, ["window_start", "window_end"]).select(
+        "window_start", "window_end", "uv", (F.abs(F.col("estimate") - F.col("uv")) <= 4 * hll_error("uv", 6) + 1).alias("within"))
+
+
 @register("avg_integer", (
     f"SELECT user_id, CAST(sum(ts_us // 1000000) // count(*) AS DOUBLE) AS avg_ts FROM ({O.USER_BEHAVIOR}) GROUP BY user_id"))
 def avg_integer(spark: SparkSession, sf_dir: str) -> DataFrame:

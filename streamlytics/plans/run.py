@@ -85,10 +85,10 @@ def _blacklist(clicks: DataFrame, p: dict) -> dict:
             "blacklist": tagged.filter(F.col("output") == "warn").select("user_id", "ad_id", "msg")}
 
 
-def _read(spark: SparkSession, kind: str, path: str, stream: bool) -> DataFrame:
+def _read(spark: SparkSession, kind: str, path: str, stream: bool, arrival: bool = False) -> DataFrame:
     if kind == "access_log":
         return read_access_log_stream(spark, path) if stream else read_access_log(spark, path)
-    return read_records_stream(spark, path, kind) if stream else read_records(spark, path, kind)
+    return read_records_stream(spark, path, kind, arrival=arrival) if stream else read_records(spark, path, kind)
 
 
 def _stream_outputs(job: str, d: list, p: dict) -> dict:
@@ -96,18 +96,20 @@ def _stream_outputs(job: str, d: list, p: dict) -> dict:
     from streamlytics.streaming import state as ST
     from streamlytics.streaming.core import with_event_time
     delay = {"network_flow": "1 second", "login_fail_with_cep": "5 seconds"}.get(job, "0 seconds")
-    # A file stream has no arrival sequence; the event-time jobs only use it to break
-    # ties, which are then left unordered (a queue's offset is used when present).
+    # The arrival sequence is read for the job that goes by it; the event-time jobs only use
+    # it to break ties, which are then left unordered (a queue's offset is used when present).
     d = [x if "seq" in x.columns else x.withColumn("seq", F.col("ts_us")) for x in d]
     capped = {k: p[k] for k in ("keys", "cap", "reset") if k in p}
     sliding = {k: p[k] for k in ("size", "slide") if k in p}
-    if job in ("tx_match_detect", "tx_match_by_join"):
+    if job == "tx_match_detect":
+        return {"result": ST.stream_tx_match(_pays(d[0]), _receipts(d[1]), "tx_id", p.get("wait", "5 seconds"), "pay_us", "receipt_us",
+                                             max_ts_us=p.get("max_ts_us"))}
+    if job == "tx_match_by_join":
         # each side gets its own event-time column and watermark
         pays = with_event_time(_pays(d[0]), "pay_us", "0 seconds", "pay_ts", p.get("max_ts_us"))
         recs = with_event_time(_receipts(d[1]), "receipt_us", "0 seconds", "receipt_ts", p.get("max_ts_us"))
-        how = "full_outer" if job == "tx_match_detect" else "inner"
         j = SJ.stream_interval_join(pays, recs, "tx_id", p.get("lower", "-5 seconds"), p.get("upper", "5 seconds"),
-                                    "pay_ts", "receipt_ts", how)
+                                    "pay_ts", "receipt_ts")
         return {"result": j.drop("pay_ts", "receipt_ts")}
     # max_ts_us: optional guard against impossible future event times (they would push
     # the watermark past all real data)
@@ -124,17 +126,18 @@ def _stream_outputs(job: str, d: list, p: dict) -> dict:
     if job == "login_fail":
         return {"warning": ST.stream_login_fail(d[0], within=p.get("within", "2 seconds"))}
     if job == "uv_with_bloom":
-        return {"uv": SJ.stream_bitmap_unique_visitors(d[0], p.get("size", "1 hour"))}
+        return {"uv": ST.stream_running_unique_visitors(SJ.page_views(d[0]), p.get("size", "1 hour"))}
     if job == "app_marketing_by_channel":
-        return {"count": SJ.stream_marketing_counts(d[0], ["channel", "behavior"], **sliding)}
+        return {"count": SJ.unfold_windows(SJ.stream_marketing_stretches(d[0], ["channel", "behavior"], **sliding), **sliding)}
     if job == "app_marketing_statistics":
-        return {"count": SJ.stream_marketing_counts(d[0], None, **sliding)}
+        return {"count": SJ.unfold_windows(SJ.stream_marketing_stretches(d[0], None, **sliding), **sliding)}
     if job == "page_view":
         return {"pv": SJ.stream_window_count(SJ.page_views(d[0]), None, p.get("size", "1 hour"))}
     if job == "unique_visitor":
         return {"uv": SJ.stream_unique_visitors(d[0], p.get("size", "1 hour"))}
     if job == "ad_statistics_by_geo":
-        return {"count": SJ.stream_window_count(d[0], "province", p.get("size", "1 hour"), p.get("slide", "5 seconds"))}
+        sizes = {"size": p.get("size", "1 hour"), "slide": p.get("slide", "5 seconds")}
+        return {"count": SJ.unfold_windows(SJ.stream_sliding_stretches(d[0], "province", **sizes), **sizes)}
     if job == "login_fail_with_cep":
         return {"warning": ST.stream_strict_pair(d[0], within=p.get("within", "2 seconds"))}
     if job == "order_timeout":
@@ -150,7 +153,7 @@ def run(spark: SparkSession, job: str, inputs: list[str], output: str | None = N
     kinds, fn = BATCH[job]
     if len(inputs) != len(kinds):
         raise SystemExit(f"{job} needs {len(kinds)} input(s): {', '.join(kinds)}")
-    d = [_read(spark, k, path, stream) for k, path in zip(kinds, inputs)]
+    d = [_read(spark, k, path, stream, arrival=job == "login_fail") for k, path in zip(kinds, inputs)]
     params = dict(params or {})
     if isinstance(params.get("keys"), str):
         params["keys"] = tuple(k.strip() for k in params["keys"].split(","))

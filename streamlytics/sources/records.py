@@ -65,9 +65,22 @@ def _arrival(spark: SparkSession, df: DataFrame, files: list[str]) -> DataFrame:
         .drop("_at", "_path", "_file", "_number")
 
 
-def read_records_stream(spark: SparkSession, path: str, kind: str, max_files: int | None = None) -> DataFrame:
-    """Streaming form of ``read_records`` (a folder that receives new CSV files)."""
+def read_records_stream(spark: SparkSession, path: str, kind: str, max_files: int | None = None,
+                        arrival: bool = False) -> DataFrame:
+    """Streaming form of ``read_records`` (a folder that receives new CSV files).
+
+    With ``arrival`` the rows carry ``seq``, a text that sorts by arrival: the file's time and
+    name, in the order in which a stream takes files, and the line. Each file is then one
+    segment, read by one task as a whole, so segments should be of some 100 MB at most."""
     configure(spark)
+    if arrival:
+        r = spark.readStream.format("text").option("wholetext", True)
+        if max_files:
+            r = r.option("maxFilesPerTrigger", max_files)
+        lines = r.load(path).select(F.col("_metadata.file_modification_time").alias("_at"), F.col("_metadata.file_name").alias("_name"),
+                                    F.posexplode(F.split("value", "\r?\n")).alias("_line", "value"))
+        seq = F.format_string("%016d/%s/%012d", F.unix_micros("_at"), "_name", "_line")
+        return decode_records(lines.filter(F.trim("value") != "").select(seq.alias("seq"), "value"), kind)
     r = (spark.readStream.schema(SCHEMAS[kind]).option("mode", "FAILFAST")
          .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True))
     if max_files:

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import sys
 from typing import Sequence
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -117,15 +118,18 @@ class _Due:
 
 
 class ClickCap(_Processor):
-    """Counts of (day, key) up to cap + 1, which stands for warned. A finished day's count is
-    kept ``keep`` days behind the watermark; rows of older days count in the oldest kept."""
+    """Counts of (day, key) up to cap + 1, which stands for warned, in ``CHUNKS`` chunks of keys a
+    day: state is read and written by chunk. A finished day's count is kept ``keep`` days behind
+    the watermark; rows of older days count in the oldest kept."""
+
+    CHUNKS = 8
 
     def __init__(self, columns: list[str], cap: int, text: str, ts: str, seq: str, daily: bool, keep: int):
         self.columns, self.cap, self.text, self.ts, self.seq, self.daily, self.keep = columns, cap, text, ts, seq, daily, keep
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.counts = handle.getMapState("counts", "day long, key string", "n long")
+        self.counts = handle.getMapState("counts", "day long, chunk long", "keys array<string>, n array<long>")
 
     def handleInputRows(self, key, rows, timerValues):
         oldest = None
@@ -139,12 +143,23 @@ class ClickCap(_Processor):
         rows = pd.concat(parts).sort_values([self.ts, self.seq])
         groups = rows.groupby(["_day", "_key"], sort=False)
         size = groups.size()
-        held = [self.counts.getValue((int(d), k)) for d, k in size.index]
-        before = np.array([h[0] if h else 0 for h in held], np.int64)
-        after = np.minimum(before + size.to_numpy(), self.cap + 1)
-        for (d, k), a, c in zip(size.index, before, after):
-            if a != c:
-                self.counts.updateValue((int(d), k), (int(c),))
+        before = np.zeros(len(size), np.int64)
+        chunks: dict[tuple[int, int], list[int]] = {}
+        groups_of, sizes = size.index.to_list(), size.to_list()
+        for i, (d, k) in enumerate(groups_of):
+            chunks.setdefault((int(d), crc32(k.encode()) % self.CHUNKS), []).append(i)
+        for chunk, own in chunks.items():
+            held = self.counts.getValue(chunk)
+            n = dict(zip(held[0], held[1])) if held else {}
+            changed = False
+            for i in own:
+                k = groups_of[i][1]
+                before[i] = n.get(k, 0)
+                after = min(int(before[i]) + sizes[i], self.cap + 1)
+                if after != before[i]:
+                    n[k], changed = after, True
+            if changed:
+                self.counts.updateValue(chunk, (list(n), [int(x) for x in n.values()]))
         if self.daily:
             for d in rows["_day"].unique():
                 self.handle.registerTimer(int(d + 1 + self.keep) * DAY_MS)
@@ -155,8 +170,8 @@ class ClickCap(_Processor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         last = expiredTimerInfo.getExpiryTimeInMs() // DAY_MS - 1 - self.keep
-        for d, k in [x for x in self.counts.keys() if x[0] <= last]:
-            self.counts.removeKey((d, k))
+        for chunk in [x for x in self.counts.keys() if x[0] <= last]:
+            self.counts.removeKey(chunk)
         return iter(())
 
 

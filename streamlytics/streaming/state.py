@@ -112,6 +112,7 @@ def stream_order_outcomes(df: DataFrame, keys: Sequence[str] = ("order_id",), ty
     k = list(keys)
     d = df.filter(after_watermark(F.col(type_col).isin(create, pay)) if "ts" in df.columns else F.col(type_col).isin(create, pay)) \
         .select(PR.packed(k).alias("_key"), PR.bucket(k, buckets), type_col, ts_col)
+    d = d.mapInPandas(PR.earliest(["_key", type_col], [ts_col], 1), d.schema)
     out = PR.run_processor(d, ["_bucket"], PR.OrderOutcomes(type_col, create, pay, duration_us(within), ts_col),
                            "_key string, create_us bigint, pay_us bigint, outcome string")
     text = F.when(F.col("outcome") == "in time", detect.PAY_OK).when(F.col("outcome") == "late", detect.PAY_LATE) \

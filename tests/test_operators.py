@@ -245,3 +245,28 @@ def test_times_do_not_move_with_the_session_zone(spark):
             assert rows(df) == want
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_top_n_beyond_the_group_limit(spark):
+    """Many ranks: the same rows, and no window or part of one is sorted whole by a task."""
+    from pyspark.sql import Window
+    from streamlytics.operators import topn
+    df = spark.range(60_000).selectExpr("id % 2 AS w", "id AS k", "(id * 7919) % 5000 AS cnt")
+    got = topn.top_n_by_count(df, "k", 5000, "w")
+    order = Window.partitionBy("w").orderBy(F.desc("cnt"), "k")
+    want = df.withColumn("rank", F.row_number().over(order).cast("long")).filter("rank <= 5000").select("w", "rank", "k", "cnt")
+    assert rows(got) == rows(want)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [row_number()") == 2 and "_part" in plan
+    # what the last window sorts: PARTS times n rows at most, here all of PARTS parts of 1,875
+    parts = df.groupBy("w", F.pmod(F.xxhash64("w", "k", "cnt"), F.lit(topn.PARTS)).alias("p")).count()
+    assert parts.agg(F.max("count")).first()[0] < 30_000 / topn.PARTS * 1.2
+
+
+def test_counts_of_full_bitmaps_and_sketches(spark):
+    from streamlytics.operators.distinct import linear_count, linear_count_error
+    df = spark.range(3000).selectExpr("id % 40 AS g", "pmod(xxhash64(id), 128) AS pos").groupBy("g").agg(F.countDistinct("pos").alias("x"))
+    got = df.select("x", linear_count("x", 128).alias("n"), linear_count_error(F.lit(75), 128).alias("e")).collect()
+    assert all(abs(r.n - 75) <= 4 * r.e + 1 and r.x < 75 for r in got)
+    assert abs(sum(r.n for r in got) / 40 - 75) < 3 < 75 - sum(r.x for r in got) / 40
+    assert spark.range(1).select(linear_count(F.lit(64), 64).alias("n")).first().n is None

@@ -253,6 +253,25 @@ def test_late_click_of_the_day_counts(spark):
     assert rows(got, "ts_us", "output") == [(200_000000, "pass"), (300_000000, "warn"), (1000_000000, "pass")]
 
 
+def test_arrival_order_on_streamed_files(spark):
+    """D2 on several files, with a restart from the checkpoint between them, is the one file's answer."""
+    from streamlytics.streaming.state import stream_login_fail
+    lines = FX.LOGIN_LOG.strip().splitlines()
+    lines += [f"7,10.0.0.1,fail,{t}" for t in (1558430900, 1558430899, 1558430901)] + ["7,10.0.0.1,success,1558430900", "7,10.0.0.1,fail,1558430902"]
+    whole = jobs.login_fail_state(records_from_lines(spark, lines, "login"))
+    src, out, ck = (scratch_path(spark, f"arrival-{x}") for x in ("in", "out", "ck"))
+    for many, cuts in ((1, [(0, 9), (9, 30), (30, 31)]), (2, [(31, 49), (49, 50), (50, None)])):
+        for i, (a, b) in enumerate(cuts):
+            _write_csv(src, f"{'zyx'[i]}{many}.csv", lines[a:b])      # names do not sort by arrival
+        s = with_event_time(read_records_stream(spark, src, "login", max_files=2, arrival=True), "ts_us", "5 seconds")
+        with state_settings(spark):
+            q = stream_login_fail(s).writeStream.format("parquet").option("path", out).option("checkpointLocation", ck) \
+                .trigger(availableNow=True).start()
+        q.awaitTermination()
+    got = spark.read.parquet(out)
+    assert rows(got, "user_id", "first_us", "last_us") == rows(whole, "user_id", "first_us", "last_us") and got.count() > 0
+
+
 def test_late_clicks_never_pass_the_cap(spark):
     """The day is over, four more micro-batches bring two of its clicks each: one pass, one warning."""
     from streamlytics.streaming.state import stream_click_cap
