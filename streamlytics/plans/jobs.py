@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import poly_hash_mask
 from ..functions.text import drop_static_resources
-from ..functions.time import format_window_time
+from ..functions.time import duration_us, format_window_time
 from ..operators import detect, distinct, joins, patterns
 from ..operators.topn import ITEM_REPORT, URL_REPORT, render_ranking, top_n_by_count
 from ..operators.windows import integer_average, sliding_count, sliding_count_by_runs, tumbling_count
@@ -83,9 +83,15 @@ def average_timestamp(behavior: DataFrame) -> DataFrame:
 
 
 # -------------------------------------------------------------- ads / marketing
+def _overlapping_count(df: DataFrame, keys, ts_col: str, size, slide) -> DataFrame:
+    """Sliding counts: panes fanned out to few windows each, changes of the count for many."""
+    many = duration_us(size) > 100 * duration_us(slide) and duration_us(size) % duration_us(slide) == 0
+    return (sliding_count_by_runs if many else sliding_count)(df, keys, ts_col, size, slide)
+
+
 def ad_count_by_province(clicks: DataFrame, size="1 hour", slide="5 seconds") -> DataFrame:
     """AdStatisticsByGeo: clicks per province per sliding window, end formatted."""
-    c = sliding_count_by_runs(clicks, "province", "ts_us", size, slide)
+    c = _overlapping_count(clicks, "province", "ts_us", size, slide)
     return c.select("window_end", format_window_time("window_end").alias("window_end_str"), "province", "cnt")
 
 
@@ -106,7 +112,7 @@ def marketing_by_channel(events: DataFrame, size="1 hour", slide="1 second",
                          drop_behavior: str = "UNINSTALL") -> DataFrame:
     """AppMarketingByChannel: counts per (channel, behaviour) per sliding window."""
     kept = events.filter(~F.col("behavior").eqNullSafe(drop_behavior))
-    c = sliding_count_by_runs(kept, ["channel", "behavior"], "ts_us", size, slide)
+    c = _overlapping_count(kept, ["channel", "behavior"], "ts_us", size, slide)
     return c.select("window_start", "window_end", format_window_time("window_start").alias("window_start_str"),
                     format_window_time("window_end").alias("window_end_str"), "channel", "behavior", "cnt")
 
@@ -115,7 +121,7 @@ def marketing_total(events: DataFrame, size="1 hour", slide="1 second",
                     drop_behavior: str = "UNINSTALL") -> DataFrame:
     """AppMarketingStatistics: grand total per sliding window, tagged total/total."""
     kept = events.filter(~F.col("behavior").eqNullSafe(drop_behavior))
-    c = sliding_count_by_runs(kept, None, "ts_us", size, slide)
+    c = _overlapping_count(kept, None, "ts_us", size, slide)
     return c.select("window_start", "window_end", format_window_time("window_start").alias("window_start_str"),
                     format_window_time("window_end").alias("window_end_str"),
                     F.lit("total").alias("channel"), F.lit("total").alias("behavior"), "cnt")
