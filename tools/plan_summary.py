@@ -35,7 +35,7 @@ def main():
     print("# PLANS\n")
     print(f"Physical plans of the registered batch queries (`tools/plan_summary.py`, {sf}), planned with")
     print("`spark.sql.autoBroadcastJoinThreshold=-1` so that joins show their large-table form; explicit")
-    print("broadcasts are the row-count-checked dimensions. `shuffles` counts exchanges of raw or partially")
+    print("broadcasts are the size-checked dimensions. `shuffles` counts exchanges of raw or partially")
     print("aggregated rows; `group limit` = top-N / cap pruned before the shuffle; `sort agg` = aggregates")
     print("over struct values (sort-based); `single partition` = anything forced through one task.\n")
     print("| query | scans | shuffles | broadcasts | joins | group limit | sort agg | python | single partition | pushed filters |")
