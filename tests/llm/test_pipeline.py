@@ -78,3 +78,22 @@ def test_empty_and_odd(spark, tmp_path):
     rows = [r for r in corpus(13, 25)] + [(1, None, None), (None, None, None)]
     sf = tables(spark, tmp_path / "b", [r[:3] for r in rows], [])
     assert corpus_pipeline.run(spark, sf).count() > 0
+
+
+def test_rows_without_an_id_or_with_a_shared_one_keep_their_texts(spark, tmp_path):
+    """Texts that are no copy of any other pass every filtering stage unchanged, whatever their ids."""
+    rng = random.Random(17)
+    lines = lambda: "\n".join(" ".join("w%x" % rng.randrange(1 << 30) for _ in range(12)) for _ in range(6))
+    unique = [(None, lines(), "a"), (None, lines(), "a"), (None, lines(), None), (7, lines(), "b"), (7, lines(), "b"), (7, lines(), None)]
+    shared = lines()
+    first, second = shared.split("\n")[:3], shared.split("\n")[3:]
+    copies = [(1, shared, "c"), (7, lines() + "\n" + "\n".join(second), "c"), (None, "\n".join(first) + "\n" + lines(), "c")]
+    sf = tables(spark, tmp_path, unique + copies, [(1, lines())])
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES[:4]):
+        stage(spark, docs, sf).write.parquet(str(tmp_path / f"s{k}"))
+        docs = spark.read.parquet(str(tmp_path / f"s{k}"))
+        left = [(r.doc_id, r.text) for r in docs.collect()]
+        assert len(left) == 9 and all((d, t) in left for d, t, _ in unique) and (1, shared) in left, name
+    assert (7, copies[1][1].rsplit("\n", 3)[0]) in left                       # only their own copied lines are gone
+    assert (None, copies[2][1].split("\n", 3)[3]) in left
