@@ -1,10 +1,10 @@
-"""Keyed state machines for streams: D1, D3, J2 and the running distinct count by
-``transformWithState`` (``processors``), D2, C1, C2 with ``applyInPandasWithState``.
+"""Keyed state machines for streams: D1, D3, J2, C2 and the running distinct count by
+``transformWithState`` (``processors``), D2, C1 with ``applyInPandasWithState``.
 
 Late rows. The reference's process functions (D1, D3, J2) handle every row, however late, and
 so do these: their processors see all rows, and their timers fire once the watermark has
 passed them. The patterns (C1, C2) drop late rows, as the reference's do, and use event-time
-timeouts. D2 needs no timer.
+timers. D2 needs no timer.
 
 State is removed when nothing can follow from it: some days after the day (D1), with the
 outcome (D3, J2), with the window, after a row that is no fail (D2), when no row waits and no
@@ -232,43 +232,12 @@ def stream_strict_pair(df: DataFrame, key: str = "user_id", type_col: str = "eve
 def stream_followed_by_within(df: DataFrame, key: str = "order_id", type_col: str = "event_type",
                               start: str = "create", end: str = "pay", within="15 minutes",
                               ts_col: str = "ts_us", seq_col: str = "seq",
-                              matched_msg: str = PAYED_MSG, timeout_msg: str = TIMEOUT_MSG) -> DataFrame:
+                              matched_msg: str = PAYED_MSG, timeout_msg: str = TIMEOUT_MSG, buckets: int = BUCKETS) -> DataFrame:
     """C2 on a stream: each ``start`` waits for the first later ``end`` of its key;
     matched when it comes less than ``within`` later, else a timeout row once the
     watermark reaches start + within (the reference's timeout side output)."""
-    w = duration_us(within)
-    d = df.select(key, type_col, ts_col, seq_col, *(["ts"] if "ts" in df.columns else []))
-    schema = _out_schema(d, [key], "start_us bigint, end_us bigint, output string, msg string")
-
-    def fn(k, batches, state):
-        st = state.get if state.exists else None
-        last_ts = st[3] if st else None
-        opened = list(st[4]) if st and st[4] else []
-        ready, pend, wm_us = _ready(state, [] if state.hasTimedOut else batches, ts_col, seq_col, type_col, last_ts)
-        out = []
-        for t, ty in zip(ready[ts_col], ready[type_col]):
-            t = int(t)
-            out += [(c, None, "timeout", timeout_msg) for c in opened if c + w <= t]
-            opened = [c for c in opened if c + w > t]
-            if ty == end and opened:
-                out += [(c, t, "matched", matched_msg) for c in opened]
-                opened = []
-            elif ty == start:
-                opened.append(t)
-            last_ts = t
-        out += [(c, None, "timeout", timeout_msg) for c in opened if c + w <= wm_us]
-        opened = [c for c in opened if c + w > wm_us]
-        timers = ([int(pend[ts_col].min())] if len(pend) else []) + [c + w for c in opened]
-        if timers:
-            state.update((*_pending_tuple(pend, ts_col, seq_col, type_col), last_ts, opened))
-            state.setTimeoutTimestamp(_not_before_watermark(state, min(timers) // 1000 + 1))
-        elif state.exists:
-            state.remove()
-        if out:
-            yield pd.DataFrame({key: [k[0]] * len(out), "start_us": [a for a, _, _, _ in out],
-                                "end_us": [b for _, b, _, _ in out], "output": [o for _, _, o, _ in out],
-                                "msg": [m for _, _, _, m in out]})
-
-    return d.groupBy(key).applyInPandasWithState(
-        fn, schema, f"{_PENDING}, last_ts bigint, opened array<bigint>", "append",
-        GroupStateTimeout.EventTimeTimeout)
+    # with the watermark's column, so that Spark drops late rows
+    d = df.select(PR.packed([key]).alias("_key"), PR.bucket([key], buckets), type_col, ts_col, seq_col, *(["ts"] if "ts" in df.columns else []))
+    out = PR.run_processor(d, ["_bucket"], PR.FollowedBy(type_col, start, end, duration_us(within), ts_col, seq_col, matched_msg, timeout_msg),
+                           "_key string, start_us bigint, end_us bigint, output string, msg string")
+    return out.select(*PR.unpacked(out, "_key", df, [key]), "start_us", "end_us", "output", "msg")
