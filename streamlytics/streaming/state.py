@@ -56,7 +56,7 @@ def _not_before_watermark(state, ts_ms: int) -> int:
 # ---------------------------------------------------------------- D1 click cap
 def stream_click_cap(df: DataFrame, keys: Sequence[str] = ("user_id", "ad_id"), cap: int = 100,
                      reset: str = "day", ts_col: str = "ts_us", seq_col: str = "seq",
-                     msg: str | None = None, keep="7 days", buckets: int = BUCKETS) -> DataFrame:
+                     msg: str | None = None, keep="7 days", buckets: int = 8 * BUCKETS) -> DataFrame:
     """D1/D1r on a stream: rows of each key pass until ``cap``; the next one warns
     once; later rows are dropped. With ``reset='day'`` the count lives per UTC day, and a day
     that is over keeps its count until the watermark is ``keep`` past its end; a row of a day
