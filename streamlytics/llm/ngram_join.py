@@ -187,8 +187,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, trees: int =
 
 def apply(docs: DataFrame, **params) -> DataFrame:
     """One document of each class stays, the one with the least doc_id; same columns."""
-    key, d, k = unused(docs, "_key", "_d", "_k")
+    key, i, no, d, k, none = unused(docs, "_key", "_i", "_no", "_d", "_k", "_none")
+    known = lambda c, i, no: [F.coalesce(F.col(c).cast("long"), F.lit(0)).alias(i), F.col(c).isNull().alias(no)]
     keep = near_duplicates(docs, **params).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))) \
-        .select(F.col("doc_id").alias(d), F.col("text_key").alias(k)).distinct()
-    return null_safe(docs.withColumn(key, text_key("text")), keep, {"doc_id": d, key: k}, "left_semi") \
-        .dropDuplicates(["doc_id", key]).drop(key)
+        .select(*known("doc_id", d, none), F.col("text_key").alias(k)).distinct()
+    # joined by the columns by which repeated rows go, so that texts are shuffled once
+    found = docs.select("*", *known("doc_id", i, no), text_key("text").alias(key))
+    return found.join(keep, (found[i] == keep[d]) & (found[no] == keep[none]) & (found[key] == keep[k]), "left_semi") \
+        .dropDuplicates([i, no, key]).drop(i, no, key)

@@ -159,6 +159,23 @@ def test_ngram_apply(spark):
     assert sorted((r.doc_id or 0) for r in got.collect()) == [0, 4, 7, 8]
 
 
+def test_ngram_apply_shuffles_the_texts_once(spark):
+    """Nothing is dealt anew after the join that keeps one of each class; null ids and repeated rows as before."""
+    same = "one two three four five six seven eight"
+    rows = [(None, same), (None, same), (None, "a text of its own"), (3, "another text here"), (3, "another text here"), (3, "a third"), (9, "a third")]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = ngram_join.apply(docs_frame(spark, rows))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan[:plan.index("SortMergeJoin")]
+    assert sorted(((r.doc_id or 0, r.text) for r in got.collect())) == [
+        (0, "a text of its own"), (0, same), (3, "a third"), (3, "another text here")]
+
+
+
 def test_prefix_length():
     r = ngram_join.prefix_length(24, 10, 0.8, 0.9999)
     assert 1 - (1 - 0.8 ** r) ** 24 >= 0.9999 > 1 - (1 - 0.8 ** (r + 1)) ** 24
