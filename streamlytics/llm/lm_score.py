@@ -3,7 +3,9 @@
 Tokens are lower-cased (ASCII) words and one end a text. The model's probability of a word
 is a mixture of the attention model's probability of its subword ids, given the text before,
 and the word's share of the training tokens (``mix`` is the share's weight; unseen words have
-none). Subwords are those of a public byte-level BPE, its first ``size`` ranks.
+none). Subwords are those of a byte-level BPE of ``size`` tokens, learnt from the training
+split's ``SPELT`` commonest words and their counts (``vocabulary``); a public BPE's first ranks fill
+what a small corpus leaves free.
 
 Gathered from all training texts (crc32 of the id modulo ``modulus`` not ``held``): the
 word counts, by partial sums and one shuffle by word; and all ids of all of them, for the
@@ -28,7 +30,6 @@ empty result; texts are scored whole however long; other columns are not read.
 from __future__ import annotations
 
 import base64
-import re
 from collections import Counter
 from functools import lru_cache
 from itertools import chain, filterfalse
@@ -47,6 +48,7 @@ from .text import LOWER
 SIZE, MIX, MODULUS, HELD = 4095, 0.35, 10, 0
 ROWS, LONG_TEXT = 1024, 1 << 16
 COMMON, _HELD_WORDS = 200_000, 500_000
+SPELT, _SPELT_TOTAL, _LONG_WORD = 100_000, 1_000_000, 64
 LINE, FAN = 64, 32
 WARM, WARM_PASSES, ROUNDS, RATE, BATCH, SHARE = 500, 3, 2, 0.01, 320, 480_000
 _LOWER = LOWER.tobytes()
@@ -59,45 +61,64 @@ def words_of(text: pa.Scalar) -> list[bytes]:
     return raw.to_pybytes().translate(_LOWER).split() if raw is not None else []
 
 
+def _public(ranks_path: str, size: int) -> list[bytes]:
+    with open(ranks_path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return sorted((t for t, r in ranks.items() if r < size), key=ranks.get)
+
+
+def vocabulary(counts: dict[bytes, int], ranks_path: str, size: int) -> tuple[bytes, ...]:
+    """``size`` tokens in the order of their ranks: the bytes, then BPE's merges on the words of
+    ``counts`` (each after a space, as bytes), then public ones. Counts are scaled to about
+    ``_SPELT_TOTAL`` in all, so that the time is bounded; words over ``_LONG_WORD`` bytes wait."""
+    from tokenizers import Tokenizer, models, trainers
+    most = sorted(((n, w) for w, n in counts.items() if len(w) <= _LONG_WORD), reverse=True)[:SPELT]
+    scale = min(1, _SPELT_TOTAL / max(1, sum(n for n, _ in most)))
+    learnt = Tokenizer(models.BPE())
+    learnt.train_from_iterator(
+        chain.from_iterable([" " + w.decode("latin-1")] * max(1, round(n * scale)) for n, w in most),
+        trainers.BpeTrainer(vocab_size=size, min_frequency=2, show_progress=False, initial_alphabet=list(map(chr, range(256)))))
+    ranks = learnt.get_vocab()
+    own = [t.encode("latin-1") for t in sorted(ranks, key=ranks.get)]
+    return tuple(dict.fromkeys([*own, *_public(ranks_path, size)]))[:size]
+
+
 class Spelling(dict):
-    """word -> its subword ids, those of the word after a space. Kept words are bounded."""
+    """word -> its subword ids, those of the word after a space. Kept words are bounded.
+    ``ranks``: the tokens in order, or the path of a public table of them."""
 
-    def __init__(self, ranks_path: str, size: int):
-        import public_tokenizers
+    def __init__(self, ranks: str | tuple[bytes, ...], size: int):
         import tiktoken
         super().__init__()
-        with open(ranks_path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        ranks = {t: r for t, r in ranks.items() if r < size}
-        self.encoder = tiktoken.Encoding("first", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        tokens = _public(ranks, size) if isinstance(ranks, str) else ranks
+        self.encoder = tiktoken.Encoding("first", pat_str=_PIECES, mergeable_ranks={t: r for r, t in enumerate(tokens)}, special_tokens={})
         self.begins = np.zeros(size, bool)
-        self.begins[[r for t, r in ranks.items() if t[:1] == b" "]] = True
+        self.begins[[r for r, t in enumerate(tokens) if t[:1] == b" "]] = True
 
     def __missing__(self, word: bytes) -> tuple[int, ...]:
         ids = self[word] = tuple(self.encoder.encode_ordinary(" " + word.decode(errors="replace")))
         return ids
 
     def all(self, words) -> list[tuple[int, ...]]:
-        """The words' ids. New words are encoded together: after its space each is a piece of
-        its own for the encoder, unless it holds another kind of space."""
+        """The words' ids. New words are encoded together: words hold no space, so each begins
+        with the only space it has."""
         if len(self) > _HELD_WORDS:
             self.clear()
         new = [w for w in words if w not in self]
-        text = b" ".join([b"", *new]).decode(errors="replace")
-        if new and not _ODD_SPACE.search(text):
-            ids = self.encoder.encode_ordinary(text)
+        if new:
+            ids = self.encoder.encode_ordinary(b" ".join([b"", *new]).decode(errors="replace"))
             heads = np.flatnonzero(self.begins[ids]).tolist()
             if len(heads) == len(new):
                 self.update((w, tuple(ids[a:b])) for w, a, b in zip(new, heads, [*heads[1:], len(ids)]))
         return list(map(self.__getitem__, words))
 
 
-_ODD_SPACE = re.compile(r"[^\S ]")
+_PIECES = r" [^ ]{0,255}|[^ ]{1,256}"      # a word, in parts if it is long
 
 
 @lru_cache(maxsize=1)
-def spelling(ranks_path: str, size: int) -> Spelling:
-    return Spelling(ranks_path, size)
+def spelling(ranks: str | tuple[bytes, ...], size: int) -> Spelling:
+    return Spelling(ranks, size)
 
 
 def subwords(words: list[bytes], spelled: Spelling) -> tuple[np.ndarray, np.ndarray]:
@@ -108,6 +129,32 @@ def subwords(words: list[bytes], spelled: Spelling) -> tuple[np.ndarray, np.ndar
     return ids, np.cumsum(size) - size
 
 
+class _Numbers(dict):
+    """word -> its number, in the order of first use."""
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        return n
+
+    def of(self, text: pa.Scalar) -> np.ndarray:
+        found = words_of(text)
+        return np.fromiter(map(self.__getitem__, found), np.int32, len(found))
+
+
+class _Spelt:
+    """The ids of numbered words, for arrays of their numbers."""
+
+    def __init__(self, number: _Numbers, spelled: Spelling):
+        self.ids, self.begin = subwords(list(number), spelled)
+        self.length = np.diff(np.append(self.begin, len(self.ids)))
+
+    def __call__(self, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words and the places where words begin."""
+        size = self.length[t]
+        first = np.cumsum(size) - size
+        return self.ids[np.repeat(self.begin[t] - first, size) + np.arange(int(size.sum()))], first
+
+
 # ---- counts ----
 
 def _partial_counts(batches):
@@ -176,19 +223,30 @@ def _chunked(docs: DataFrame, modulus: int, held: int) -> DataFrame:
 
 # ---- training ----
 
-def _lines(ranks_path: str, size: int):
+def _lines(ranks: str | tuple[bytes, ...], size: int):
     """All ids of each text and its end, in lines of ``LINE`` windows' targets at most, behind
     the ids that the first window has before them; in front of a text stand ends."""
+    ahead, end = np.full(_AHEAD, size, np.int32), np.array([size], np.int32)
+
+    def out(number: _Numbers, texts: list[np.ndarray]):
+        spelt, rows = _Spelt(number, spelling(ranks, size)), []
+        for t in texts:
+            ids = np.concatenate([ahead, spelt(t)[0], end])
+            rows.extend(ids[k:k + _AHEAD + LINE * attention.STEP] for k in range(0, len(ids) - _AHEAD, LINE * attention.STEP))
+        bounds = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(rows)))], names=["w"])
+
     def run(batches):
+        number, texts, pending = _Numbers(), [], 0
         for batch in batches:
-            rows = []
             for x in batch.column(0):
-                ids = subwords(words_of(x), spelling(ranks_path, size))[0]
-                ids = np.concatenate([np.full(_AHEAD, size), ids, [size]]).astype(np.int32)
-                rows.extend(ids[k:k + _AHEAD + LINE * attention.STEP] for k in range(0, len(ids) - _AHEAD, LINE * attention.STEP))
-            flat = np.concatenate(rows) if rows else np.zeros(0, np.int32)
-            bounds = np.cumsum([0, *map(len, rows)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))], names=["w"])
+                texts.append(number.of(x))
+                pending += len(texts[-1]) + 1
+                if pending > _HELD_WORDS:
+                    yield out(number, texts)
+                    number, texts, pending = _Numbers(), [], 0
+        if texts:
+            yield out(number, texts)
     return run
 
 
@@ -230,7 +288,7 @@ def _train(sent, size: int, turn: int):
         got = cut_lines((np.asarray(x.values) for b in batches for x in b.column(0)), size)
         task = TaskContext.get().partitionId()
         rng = np.random.default_rng(task)
-        rng.shuffle(got)
+        got = got[rng.permutation(len(got))]
         steps = min(WARM, WARM_PASSES * -(-len(got) // BATCH))
         if turn:
             got = got[turn - 1::ROUNDS]
@@ -276,16 +334,17 @@ def averaged(done: DataFrame, tasks: int, fan: int = FAN) -> DataFrame:
             return done
 
 
-def train(docs: DataFrame, n_words: int, ranks_path: str, size: int = SIZE) -> np.ndarray:
+def train(docs: DataFrame, n_words: int, ranks: str | tuple[bytes, ...], size: int = SIZE) -> np.ndarray:
     """Parameters of the attention model, learnt from the texts of ``docs``, ``n_words`` long."""
     sc = docs.sparkSession.sparkContext
     # dealt before they are written, so that each round reads them without a shuffle
-    shares = written(docs.select("text").mapInArrow(_lines(ranks_path, size), "w array<int>")
+    shares = written(docs.select("text").mapInArrow(_lines(ranks, size), "w array<int>")
                      .repartition(max(1, n_words // SHARE)), "lines")
     n = shares.count()
     flat = _flat(attention.init(size, np.random.default_rng(7)))
     for turn in range(1 + ROUNDS if n else 0):
-        done = shares.mapInArrow(_train(sc.broadcast(flat), size, turn), "part int, bucket int, n double, v array<float>")
+        own = shares if turn else shares.filter(F.spark_partition_id() == 0)
+        done = own.mapInArrow(_train(sc.broadcast(flat), size, turn), "part int, bucket int, n double, v array<float>")
         mean = averaged(done, shares.rdd.getNumPartitions())
         got = sorted(mean.select("part", "v").collect())                # the model: its size is fixed
         flat = np.concatenate([np.array(r.v, np.float32) for r in got]) if got else flat
@@ -294,26 +353,15 @@ def train(docs: DataFrame, n_words: int, ranks_path: str, size: int = SIZE) -> n
 
 # ---- scoring ----
 
-class _Numbers(dict):
-    """word -> its number, in the order of first use."""
-
-    def __missing__(self, word: bytes) -> int:
-        n = self[word] = len(self)
-        return n
-
-
-def _score(sent, words, ends: int, ranks_path: str, size: int, mix: float, total: int, distinct: int):
+def _score(sent, words, ends: int, ranks: tuple[bytes, ...], size: int, mix: float, total: int, distinct: int):
     log_all = np.log10(total + 0.1 * (distinct + 1))
 
     def run(key, left, right):
         p = _unflat(sent.value, size)
-        common, spelled = words.value, spelling(ranks_path, size)
+        common = words.value
         # texts as numbers of the chunk's words
         number = _Numbers()
-        texts = []
-        for x in left.column("text"):
-            found = words_of(x)
-            texts.append(np.fromiter(map(number.__getitem__, found), np.int32, len(found)))
+        texts = list(map(number.of, left.column("text")))
         held = left.column("held_out").to_pylist()
         own = np.zeros(len(number) + 1, np.int64)            # words of no other chunk keep their count in this one
         learnt = [t for t, out in zip(texts, held) if not out]
@@ -321,10 +369,7 @@ def _score(sent, words, ends: int, ranks_path: str, size: int, mix: float, total
             own += np.bincount(np.concatenate(learnt), minlength=len(own))
         rare = dict(zip(right.column("word").to_pylist(), right.column("c").to_pylist()))
         count = np.array([common.get(w) or rare.get(w) or n for w, n in zip(number, own.tolist())], float)
-        each = spelled.all(number)
-        length = np.fromiter(map(len, each), np.int64, len(each))
-        spelt = np.fromiter(chain.from_iterable(each), np.int32, int(length.sum()))
-        begin = np.cumsum(length) - length
+        spelt = _Spelt(number, spelling(ranks, size))
         with np.errstate(divide="ignore"):
             share = np.log(np.append(count, ends) / max(total, 1)) + np.log(mix)
         base = np.log10(np.append(count, ends) + 0.1) - log_all
@@ -335,15 +380,13 @@ def _score(sent, words, ends: int, ranks_path: str, size: int, mix: float, total
             """Scores some texts: word numbers, with the end as the one after all words."""
             n = np.array([len(t) for t in group])
             t = np.concatenate(group)
-            size_of = length[t]
-            first = np.cumsum(size_of) - size_of
-            ids = spelt[np.repeat(begin[t] - first, size_of) + np.arange(int(size_of.sum()))]
+            ids, first = spelt(t)
             word_bounds = np.concatenate([[0], np.cumsum(n)])
             bounds = np.append(first, len(ids))[word_bounds]
             win = attention.cut(ids, bounds, size)
             logp = np.concatenate([attention.score(p, *(x[k:k + 4096] for x in win)) for k in range(0, len(win[0]), 4096)])
             # with an end behind each text: its words' first places, and the end's own
-            tokens = np.insert(t, word_bounds[1:], len(length))
+            tokens = np.insert(t, word_bounds[1:], len(number))
             heads = np.insert(first, word_bounds[1:], bounds[1:]) + np.repeat(np.arange(len(n)), n + 1)
             word = np.add.reduceat(logp.astype(float), heads)
             both = np.logaddexp(share[tokens], word + np.log(1 - mix)) / np.log(10)
@@ -383,9 +426,10 @@ def score(docs: DataFrame, ranks_path: str, size: int = SIZE, mix: float = MIX,
     ends = texts.count()
     sc = spark.sparkContext
     words = sc.broadcast(common_words(counts.filter(F.col("word") != F.lit(b"")), COMMON))
-    sent = sc.broadcast(train(texts, total - ends, ranks_path, size))
+    ranks = vocabulary(words.value, ranks_path, size)
+    sent = sc.broadcast(train(texts, total - ends, ranks, size))
     rare = base.select("chunk", "text", "held_out").mapInArrow(_rare(words), "chunk long, word binary, own long") \
         .join(counts, "word").filter("c <> own").select("chunk", "word", "c")
     return base.groupBy("chunk").cogroup(rare.groupBy("chunk")).applyInArrow(
-        _score(sent, words, ends, ranks_path, size, mix, total, distinct),
+        _score(sent, words, ends, ranks, size, mix, total, distinct),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

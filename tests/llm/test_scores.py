@@ -185,6 +185,23 @@ def test_parameters_are_averaged_a_few_at_a_time(spark):
         assert np.allclose(r.v, sum(n * np.array(v) for n, v in own) / r.n, atol=1e-5)
 
 
+def test_vocabulary_is_learnt_from_the_counts():
+    """Fewer ids a word than the public ranks give, each word's bytes kept."""
+    rng = random.Random(4)
+    parts = [rng.choice("bdfgklmnprstvz") + rng.choice("aeiou") + rng.choice("lnrst") for _ in range(60)]
+    counts = Counter("".join(rng.choices(parts, k=rng.randint(1, 3))).encode() for _ in range(20_000))
+    odd = ["\u00fcber-\u6f22\u5b57\u00a0x".encode(), b"\x00\x01", b"ab" * 5000, "\U0001f600".encode() * 300]
+    ranks = lm_score.vocabulary(counts, RANKS, lm_score.SIZE)
+    assert len(ranks) == len(set(ranks)) == lm_score.SIZE and {bytes([b]) for b in range(256)} <= set(ranks)
+    own, public = (lm_score.Spelling(r, lm_score.SIZE) for r in (ranks, RANKS))
+    words = [*counts, *odd]
+    assert all(b"".join(ranks[i] for i in ids) == b" " + w for w, ids in zip(words, own.all(words)))
+    assert own.all(words) == [own[w] for w in words] == [lm_score.Spelling(ranks, lm_score.SIZE)[w] for w in words]
+    n = [sum(c * len(spelled[w]) for w, c in counts.items()) for spelled in (own, public)]
+    assert n[0] < 0.6 * n[1]
+    assert lm_score.vocabulary({}, RANKS, 600)[256:300] == tuple(t for t in lm_score._public(RANKS, 600) if len(t) > 1)[:44]
+
+
 def test_a_repeated_labelled_id_is_gathered_once(spark):
     from streamlytics.llm.labelled import training_texts
     docs = spark.createDataFrame([(1, "same text")] * 500 + [(2, f"text {i % 300}") for i in range(600)] + [(None, "x"), (3, None), (3, None)],
